@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SeriesFunction = Callable[[pd.Series], pd.Series]
 FrameFunction = Callable[[pd.DataFrame], pd.DataFrame]
@@ -62,7 +63,7 @@ def predict(
     df: DataFrame,
     make_predict: Callable[[], Callable],
     inputs: Sequence[str],
-    returns: str = "double",
+    returns: T.DataType = T.DoubleType(),
     batch_size: int = 1024,
     out: str = "prediction",
     input_shapes: Sequence[Sequence[int] | None] | None = None,

@@ -26,11 +26,13 @@ def read_metadata(records: DataFrame, column: str = "meta") -> DataFrame:
     for field in TEXT_FIELDS:
         good = F.coalesce(_kind(f"$.{field}") == "STRING", F.lit(False))
         problem = problem.when(~good, field)
-        typed.append(F.expr(f"try_variant_get(_v, '$.{field}', 'string')").alias(field))
+        value = F.expr(f"try_variant_get(_v, '$.{field}', 'string')")
+        typed.append(F.when(good, value).alias(field))
     for field in COUNT_FIELDS:
         good = F.coalesce(_kind(f"$.{field}") == "BIGINT", F.lit(False))
         problem = problem.when(~good, field)
-        typed.append(F.expr(f"try_variant_get(_v, '$.{field}', 'bigint')").alias(field))
+        value = F.expr(f"try_variant_get(_v, '$.{field}', 'bigint')")
+        typed.append(F.when(good, value).alias(field))
     names = F.coalesce(_kind("$.class_names"), F.lit("VOID"))
     listed = names.isin("VOID", "ARRAY<STRING>", "ARRAY<VOID>") & ~(
         (names == "ARRAY<VOID>") & (F.expr("size(try_variant_get(_v, '$.class_names', 'array<string>'))") > 0)
