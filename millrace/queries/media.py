@@ -48,7 +48,7 @@ def _files(spark, folder, make):
             content = [make(np.asarray(v)) for v in chunk["v"]]
             yield pd.DataFrame({"vec_id": chunk["vec_id"], "content": content})
 
-    byte = F.transform("embedding", lambda e: F.floor((e + 1) * 100).cast("int"))
+    byte = F.transform("embedding", lambda e: F.floor((e::double + 1) * 100).cast("int"))
     rows = table(spark, folder, "embeddings").select("vec_id", byte.alias("v"))
     return rows.mapInPandas(work, "vec_id bigint, content binary")
 
@@ -59,7 +59,7 @@ def _images(spark, folder):
 
 @query(
     "md1_prepare_images",
-    """with b as (select vec_id, [floor((e + 1) * 100) for e in embedding] as v from embeddings)
+    """with b as (select vec_id, [floor((e::double + 1) * 100) for e in embedding] as v from embeddings)
     select vec_id, i as at, round((v[i // 3 + 1] / 255.0::double - [0.5, 0.25, 0][i % 3 + 1]::double) / [0.5, 1, 2][i % 3 + 1]::double, 5) as value
     from (select *, unnest(range(192)) as i from b)""",
 )
@@ -79,7 +79,7 @@ def resize_images(spark, folder):
 
 @query(
     "md1_prepare_masks",
-    """with b as (select vec_id, [floor((e + 1) * 100) for e in embedding] as v from embeddings)
+    """with b as (select vec_id, [floor((e::double + 1) * 100) for e in embedding] as v from embeddings)
     select vec_id, y * 4 + x as at, v[(2 * y + 1) * 8 + 2 * x + 2]::double as value
     from (select *, unnest(range(4)) as x from (select *, unnest(range(4)) as y from b))""",
 )
@@ -91,12 +91,12 @@ def prepare_masks(spark, folder):
 
 @query(
     "md2_prepare_clips",
-    """with b as (select vec_id, [floor((e + 1) * 100) for e in embedding] as v from embeddings)
+    """with b as (select vec_id, [floor((e::double + 1) * 100) for e in embedding] as v from embeddings)
     select vec_id, i as at, round(coalesce(v[i + 1], 0) / 255.0::double, 5) as value
     from (select *, unnest(range(96)) as i from b)""",
 )
 def prepare_clips(spark, folder):
-    byte = F.transform("embedding", lambda e: F.floor((e + 1) * 100).cast("float"))
+    byte = F.transform("embedding", lambda e: F.floor((e::double + 1) * 100).cast("float"))
     shape = F.array(F.lit(4), F.lit(4), F.lit(4))
     clips = table(spark, folder, "embeddings").select(
         "vec_id", F.struct(shape.alias("shape"), byte.alias("data")).alias("video")
@@ -110,7 +110,7 @@ def prepare_clips(spark, folder):
 
 @query(
     "md3_prepare_audio",
-    """with b as (select vec_id, [floor((e + 1) * 100) for e in embedding] as v from embeddings)
+    """with b as (select vec_id, [floor((e::double + 1) * 100) for e in embedding] as v from embeddings)
     select vec_id, i as at, round(case when i % 2 = 0 then coalesce(v[i // 2 + 1], 0)
         when i < 127 then (v[i // 2 + 1] + v[i // 2 + 2]) / 2 when i = 127 then v[64] else 0 end / 32768.0::double, 7) as value
     from (select *, unnest(range(140)) as i from b)""",

@@ -42,6 +42,11 @@ def joined(values: Column) -> Column:
     return F.array_join(F.transform(values, lambda v: v.cast("string")), " ")
 
 
+def one_line_base64(content: Column) -> Column:
+    """Base64 without the line feeds that Spark may put in."""
+    return F.translate(F.base64(content), "\r\n", "")
+
+
 # Event kinds of the events table, read as the events of a training run.
 EVENT_KINDS = {
     "click": "metric",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions import arrays, labels, records, text
 from millrace.operators import roles, runs
 from millrace.operators.encode import encode_labels, encode_target
-from millrace.queries.registry import RUN_EVENTS, joined, query, run_events, sql_crc, sql_tokens, table
+from millrace.queries.registry import RUN_EVENTS, joined, one_line_base64, query, run_events, sql_crc, sql_tokens, table
 
 
 def _hash_sql(source: str, key: str, maxlen: int, words: int) -> str:
@@ -156,9 +156,9 @@ def fit_length(spark, folder):
 
 @query(
     "fn10_normalize",
-    """select vec_id, i as at, round((embedding[i + 1]::double - [0.1, 0.2, 0.3, 0.4][i % 4 + 1]::double)
-        / [0.5, 0.25, 2, 4][i % 4 + 1]::double, 5) as v,
-      round(embedding[i + 1]::double / 255, 6) as scaled
+    """select vec_id, i as at, cast(cast((embedding[i + 1] - cast([0.1, 0.2, 0.3, 0.4][i % 4 + 1] as float))::double
+        / [0.5, 0.25, 2, 4][i % 4 + 1]::double as float) as double) as v,
+      cast(cast(embedding[i + 1]::double / 255 as float) as double) as scaled
     from (select *, unnest(range(64)) as i from embeddings)""",
 )
 def normalize(spark, folder):
@@ -172,8 +172,8 @@ def normalize(spark, folder):
     return values.select(
         "vec_id",
         F.col("at").cast("bigint").alias("at"),
-        F.round(F.col("v").cast("double"), 5).alias("v"),
-        F.round(F.get("s", "at").cast("double"), 6).alias("scaled"),
+        F.col("v").cast("double").alias("v"),
+        F.get("s", "at").cast("double").alias("scaled"),
     )
 
 
@@ -189,7 +189,7 @@ def remap_contiguous(spark, folder):
 
 @query(
     "fn12_mean_channels",
-    """select vec_id, i as at, round((embedding[2 * i + 1]::double + embedding[2 * i + 2]::double) / 2, 6) as v
+    """select vec_id, i as at, cast(cast((embedding[2 * i + 1]::double + embedding[2 * i + 2]::double) / 2 as float) as double) as v
        from (select *, unnest(range(32)) as i from embeddings)""",
 )
 def mean_channels(spark, folder):
@@ -197,7 +197,7 @@ def mean_channels(spark, folder):
         "vec_id", F.posexplode(arrays.mean_channels(F.col("embedding"), 2)).alias("at", "v")
     )
     return rows.select(
-        "vec_id", F.col("at").cast("bigint").alias("at"), F.round(F.col("v").cast("double"), 6).alias("v")
+        "vec_id", F.col("at").cast("bigint").alias("at"), F.col("v").cast("double").alias("v")
     )
 
 
@@ -289,7 +289,7 @@ def timestamps(spark, folder):
         when 'click' then 'GET https://api.test/x?a=1&X-Amz-Signature=<redacted>&b=' || event_id
         when 'view' then 'retry ?token=<redacted> later'
         when 'error' then 'Authorization: <redacted>'
-        when 'signup' then '{"x-api-key":<redacted>' else 'user ' || user_id end as message,
+        when 'signup' then '{"x-api-key": <redacted>' else 'user ' || user_id end as message,
       case when event_type = 'click' then '<redacted>' end as download_url from events""",
 )
 def redact(spark, folder):
@@ -385,7 +385,7 @@ def sniff_image(spark, folder):
     part = (F.col("doc_id") % 7).cast("int")
     body = F.concat(F.unhex(F.get(F.lit(heads), part)), F.col("text").cast("binary"))
     # the last kind is no base64
-    cell = F.when(part == 6, F.concat(F.lit("!"), F.base64(F.col("text").cast("binary")))).otherwise(F.base64(body))
+    cell = F.when(part == 6, F.concat(F.lit("!"), one_line_base64(F.col("text").cast("binary")))).otherwise(one_line_base64(body))
     raw = records.image_bytes(cell)
     return table(spark, folder, "documents").select(
         "doc_id", records.sniff_image(raw).alias("kind"), raw.isNotNull().alias("decoded")

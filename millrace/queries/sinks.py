@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.runs import run_state
 from millrace.operators.split import assign_batches, ratio_split, permuted_position
-from millrace.queries.registry import RUN_EVENTS, indexed, query, run_events, table
+from millrace.queries.registry import RUN_EVENTS, indexed, one_line_base64, query, run_events, table
 from millrace.session import fresh_path
 from millrace.sinks import events as event_sink
 from millrace.sinks import manifest, shards
@@ -147,9 +147,9 @@ def extract_preview_media(spark, folder):
     png = F.concat(F.unhex(F.lit("89504E470D0A1A0A")), F.col("text").cast("binary"))
     gif = F.concat(F.lit("GIF89a").cast("binary"), F.col("text").cast("binary"))
     cell = (
-        F.when(F.col("lang") == "en", F.base64(png))
-        .when(F.col("lang") == "de", F.concat(F.lit("data:image/gif;base64,"), F.base64(gif)))
-        .when(F.col("lang") == "es", F.base64(F.col("text").cast("binary")))
+        F.when(F.col("lang") == "en", one_line_base64(png))
+        .when(F.col("lang") == "de", F.concat(F.lit("data:image/gif;base64,"), one_line_base64(gif)))
+        .when(F.col("lang") == "es", one_line_base64(F.col("text").cast("binary")))
         .otherwise(F.col("text"))
     )
     out = manifest.extract_preview_media(docs.select("doc_id", cell.alias("cell")), "my set", "cell", "doc_id")

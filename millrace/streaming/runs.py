@@ -167,8 +167,9 @@ def operation_outcomes(
         if done:
             return
         for chunk in chunks:
-            at = chunk["at"].to_numpy()
-            start = min(start, float(at.min()))
+            if chunk.empty:
+                continue
+            start = min(start, float(chunk["at"].min()))
             ends = chunk[chunk["state"].isin(success | failure)]
             if len(ends):
                 first = ends.loc[ends["at"].idxmin()]
