@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters between two tokens. Java's \s is ASCII only, so the Unicode spaces
-# and the separators U+001C to U+001F and U+0085 are listed.
-TOKEN_BREAK = (
-    r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
-)
+# The characters between two tokens: Unicode white space and the separators U+001C to
+# U+001F. Java's own \s is ASCII only.
+TOKEN_BREAK = r"[\p{IsWhite_Space}\x1c-\x1f]+"
 # The line ends.
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 # Control characters other than tab and newline.

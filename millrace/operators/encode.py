@@ -12,6 +12,7 @@ from millrace.functions.labels import encode_label, label_text, numeric_target
 from millrace.functions.text import tokens
 from millrace.operators.joins import lookup_join
 from millrace.operators.position import numbered, ordered_position
+from millrace.session import materialize, spread
 
 # Up to this many class names are matched by an array literal, more by a join.
 INLINE_CLASSES = 256
@@ -89,25 +90,36 @@ def feature_vector(df: DataFrame, candidates: Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("float") for c in chosen])
 
 
-def token_counts(docs: DataFrame, text: str, order: Sequence[str]) -> DataFrame:
+def words_of(docs: DataFrame, text: str, order: Sequence[str]) -> DataFrame:
+    """``(order, words, n)``: the tokens of each text, stored, as they are read several times."""
+    spread_docs = spread(docs.select(*order, F.col(text)), *order)
+    words = tokens(F.col(text))
+    return materialize(
+        spread_docs.select(*order, words.alias("words")).withColumn("n", F.size("words").cast("bigint")),
+        "words",
+    )
+
+
+def token_counts(words: DataFrame, order: Sequence[str]) -> DataFrame:
     """``(token, n, first)`` where ``first`` is the place of the first occurrence.
 
     Counted partially in each task, so a word that fills a third of the corpus is one row per task
     in the shuffle.
     """
-    words = docs.select(*order, F.posexplode(tokens(F.col(text))).alias("_at", "token"))
+    single = words.select(*order, F.posexplode("words").alias("_at", "token"))
     place = F.struct(*order, "_at")
-    return words.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+    return single.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
 
 
 def vocabulary(
-    docs: DataFrame, text: str, order: Sequence[str], vocab_size: int | None = None
+    words: DataFrame, order: Sequence[str], vocab_size: int | None = None
 ) -> DataFrame:
-    """``(token, n, id)``: the most frequent tokens, ids from 1, ties by first occurrence.
+    """``(token, n, id)``: the most frequent tokens of ``words_of``, ids from 1, ties by first
+    occurrence.
 
     ``vocab_size`` counts id 0 (unknown), so one token less is kept; 1, 0 or None keep all tokens.
     """
-    counts = token_counts(docs, text, order)
+    counts = token_counts(words, order)
     ranking = [F.desc("n"), F.asc("first")]
     if vocab_size is not None and vocab_size > 1:
         counts = counts.orderBy(*ranking).limit(vocab_size - 1)
@@ -135,22 +147,22 @@ def lm_sequences(
     """
     if seq_len <= 0:
         raise ValueError("seq_len must be positive")
-    sizes = docs.select(*order, F.size(tokens(F.col(text))).cast("bigint").alias("_n"))
-    starts = ordered_position(sizes, list(order), "_doc", {"_start": "_n"})
-    total = starts.agg(F.sum("_n")).first()[0] or 0
+    words = words_of(docs, text, order)
+    starts = ordered_position(words.select(*order, "n"), list(order), "_doc", {"_start": "n"})
+    total = words.agg(F.sum("n")).first()[0] or 0
     chunk = seq_len + 1
     if total == 0:
         raise CorpusError("the corpus has no tokens")
     if total < chunk:
         raise CorpusError(f"the corpus has {total} tokens, fewer than one window of {chunk}")
 
-    vocab = vocabulary(docs, text, order, vocab_size)
+    vocab = vocabulary(words, order, vocab_size)
     # one row per text on both sides, so the join cannot skew; Catalyst sees the stored size
-    placed = docs.select(*order, F.col(text)).join(starts.select(*order, "_start"), list(order))
-    words = placed.select(
-        "_start", F.posexplode(tokens(F.col(text))).alias("_at", "token")
-    ).select((F.col("_start") + F.col("_at")).alias("_pos"), "token")
-    coded = token_ids(words, vocab)
+    placed = words.join(starts.select(*order, "_start"), list(order))
+    single = placed.select("_start", F.posexplode("words").alias("_at", "token")).select(
+        (F.col("_start") + F.col("_at")).alias("_pos"), "token"
+    )
+    coded = token_ids(single, vocab)
     # consecutive tokens sit in one task, so windows are mostly assembled before the shuffle
     window = F.expr(f"_pos div {chunk}")
     pieces = (
@@ -166,18 +178,22 @@ def lm_sequences(
 
 
 def rows_from_offsets(
-    values: DataFrame, offsets: DataFrame, bucket: int = 4096
+    values: DataFrame, offsets: DataFrame, block: int | None = None
 ) -> DataFrame:
     """``(row, values)`` from a flat table ``(pos, value)`` and ``(row, start, stop)``.
 
-    A range match without a range join: both sides meet on blocks of ``bucket`` positions. A row
-    that spans many blocks is listed once per block; each value belongs to exactly one block.
+    A range match without a range join: both sides meet on blocks of positions. A row that spans
+    many blocks is listed once per block; each value belongs to exactly one block. Blocks as long as
+    the mean row keep both the listing and the rows met per value short.
     """
-    first, last = F.expr(f"start div {bucket}"), F.expr(f"(stop - 1) div {bucket}")
+    if block is None:
+        block = int(offsets.agg(F.avg(F.col("stop") - F.col("start"))).first()[0] or 0)
+    block = max(16, block)
+    first, last = F.expr(f"start div {block}"), F.expr(f"(stop - 1) div {block}")
     spans = offsets.filter("stop > start").select(
         "row", "start", "stop", F.explode(F.sequence(first, last)).alias("_block")
     )
-    blocked = values.withColumn("_block", F.expr(f"pos div {bucket}"))
+    blocked = values.withColumn("_block", F.expr(f"pos div {block}"))
     hit = blocked.join(spans, "_block").filter("pos >= start and pos < stop")
     rows = hit.groupBy("row").agg(
         F.transform(

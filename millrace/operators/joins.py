@@ -38,13 +38,13 @@ def lookup_join(
     values = [c for c in table.columns if c not in keys and c != weight]
     if table.count() <= broadcast_rows:
         small = F.broadcast(table.drop(weight))
-        return _null_safe(facts, small, keys, how)
+        return null_safe_join(facts, small, keys, how)
 
     total = table.agg(F.sum(weight)).first()[0] or 0
     hot_row = F.col(weight) * HOT_SHARE > total
     renamed = [F.col(c).alias(f"_hot_{c}") for c in values]
     hot = table.filter(hot_row).select(*keys, *renamed, F.lit(True).alias("_hot"))
-    marked = _null_safe(facts, F.broadcast(hot), keys, "left")
+    marked = null_safe_join(facts, F.broadcast(hot), keys, "left")
     # a hash of the row, not a counter: a recomputed task must send its rows to the same place
     spread = F.when(
         F.col("_hot"), F.pmod(F.xxhash64(*_hashable(facts)), F.lit(SALTS)) + 1
@@ -53,7 +53,7 @@ def lookup_join(
     cold = table.filter(~hot_row).drop(weight).withColumn("_salt", F.lit(0)).withColumn(
         "_cold", F.lit(True)
     )
-    joined = _null_safe(marked, cold, [*keys, "_salt"], "left")
+    joined = null_safe_join(marked, cold, [*keys, "_salt"], "left")
     if how == "inner":
         joined = joined.filter(F.col("_hot") | F.col("_cold"))
     picked = [
@@ -70,7 +70,10 @@ def _hashable(df: DataFrame) -> list[Column]:
     ]
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def null_safe_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
+) -> DataFrame:
+    """Equi-join in which null matches null; the keys appear once."""
     renamed = right.select(*[
         F.col(c).alias(f"_key_{c}") if c in keys else F.col(c) for c in right.columns
     ])

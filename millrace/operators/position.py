@@ -8,15 +8,16 @@ counting, and the cut becomes a filter.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import null_safe_join
 from millrace.session import materialize
 
-# Buckets of one counting pass; their counts are the only rows that reach the driver.
+# Buckets of one counting pass, about; their counts are the only rows that reach the driver.
 PASS_BUCKETS = 4096
 # A bucket this small is sorted to read off the key at a rank.
 SORT_ROWS = 10_000
@@ -32,66 +33,85 @@ def hash_key(seed: object, keys: Sequence[str]) -> Column:
 
 
 class RankIndex:
-    """Finds the key at a rank by repeated counting.
+    """Finds the keys at given ranks by repeated counting.
 
-    ``radix`` is a long column that never falls while ``order`` grows; rows with equal radix are
-    told apart by ``order``, whose columns together must be unique. Each pass counts at most
-    ``PASS_BUCKETS`` radix ranges and goes on inside the range that holds the rank; nothing is
-    shuffled but those counts.
+    ``bucket(level)`` gives ever finer buckets of the order, about ``PASS_BUCKETS`` per bucket of
+    the level above; ``order`` tells rows of one bucket apart and must be unique. Each pass counts
+    the buckets inside those that hold a wanted rank. Nothing is shuffled but the counts.
     """
 
     def __init__(
-        self, df: DataFrame, radix: Column, order: Sequence[Column], low: int, high: int
+        self, df: DataFrame, bucket: Callable[[int], Column], order: Sequence[Column], levels: int
     ) -> None:
-        named = [column.alias(f"_o{i}") for i, column in enumerate(order)]
-        self._rows = df.select(radix.cast("bigint").alias("_r"), *named)
-        self._order = [f"_o{i}" for i in range(len(order))]
-        self._low, self._high = low, high
-        self._first = self._histogram(low, high)
-        self.count = sum(n for _, n in self._first[1])
-
-    def _histogram(self, low: int, high: int) -> tuple[int, list[tuple[int, int]]]:
-        width = max(1, -(-(high - low) // PASS_BUCKETS))
-        inside = self._rows.filter((F.col("_r") >= low) & (F.col("_r") < high))
-        bucket = F.floor((F.col("_r") - F.lit(low)) / F.lit(width))
-        if width & (width - 1) == 0:
-            bucket = F.shiftright(F.col("_r") - F.lit(low), width.bit_length() - 1)
-        else:
-            bucket = F.expr(f"(_r - {low}L) div {width}L")
-        counts = inside.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
-        return width, sorted((row["b"], row["n"]) for row in counts)
-
-    def key_at(self, rank: int) -> tuple[Any, ...]:
-        """The order values of the row at 0-based ``rank``."""
-        if not 0 <= rank < self.count:
-            raise IndexError(f"rank {rank} outside 0..{self.count - 1}")
-        low, high = self._low, self._high
-        width, counts = self._first
-        while True:
-            for bucket, n in counts:
-                if rank < n:
-                    break
-                rank -= n
-            low, high = low + bucket * width, min(high, low + (bucket + 1) * width)
-            if n <= SORT_ROWS or width == 1:
-                inside = self._rows.filter((F.col("_r") >= low) & (F.col("_r") < high))
-                row = inside.orderBy(*self._order).offset(rank).limit(1).select(*self._order)
-                return tuple(row.first())
-            width, counts = self._histogram(low, high)
+        self._df, self._bucket, self._order, self._levels = df, bucket, list(order), levels
+        self._first = self._counts(df.select(bucket(1).alias("b")))
+        self.count = sum(n for _, n in self._first)
+
+    @staticmethod
+    def _counts(buckets: DataFrame) -> list[tuple[Any, int]]:
+        rows = buckets.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()
+        return sorted((row["b"], row["n"]) for row in rows)
+
+    @staticmethod
+    def _descend(counts: Sequence[tuple[Any, int]], rank: int) -> tuple[Any, int, int]:
+        """The bucket that holds ``rank``, the rank inside it, and its rows."""
+        for bucket, n in counts:
+            if rank < n:
+                return bucket, rank, n
+            rank -= n
+        raise IndexError("rank beyond the rows")
+
+    def keys_at(self, ranks: Sequence[int]) -> dict[int, tuple[Any, ...]]:
+        """The order values of the rows at 0-based ``ranks``."""
+        if not ranks:
+            return {}
+        places = {rank: self._descend(self._first, rank) for rank in ranks}
+        level = 1
+        while level < self._levels and max(n for _, _, n in places.values()) > SORT_ROWS:
+            upper, finer = self._bucket(level), self._bucket(level + 1)
+            held = sorted({bucket for bucket, _, _ in places.values()})
+            inside = self._df.filter(upper.isin(held))
+            rows = inside.groupBy(upper.alias("u"), finer.alias("b")).agg(
+                F.count(F.lit(1)).alias("n")
+            ).collect()
+            counts = sorted((row["u"], row["b"], row["n"]) for row in rows)
+            places = {
+                rank: self._descend([(b, n) for u, b, n in counts if u == bucket], place)
+                for rank, (bucket, place, _) in places.items()
+            }
+            level += 1
+        # what is left to sort is small: at most SORT_ROWS rows per wanted rank
+        bucket = self._bucket(level)
+        held = sorted({b for b, _, _ in places.values()})
+        names = [f"_o{i}" for i in range(len(self._order))]
+        left = self._df.filter(bucket.isin(held)).select(
+            bucket.alias("b"), *[o.alias(n) for o, n in zip(self._order, names, strict=True)]
+        )
+        ranked = left.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy(*names)) - 1)
+        wanted = F.lit(False)
+        for b, place, _ in places.values():
+            wanted = wanted | ((F.col("b") == F.lit(b)) & (F.col("r") == place))
+        found = {(row["b"], row["r"]): tuple(row[n] for n in names) for row in ranked.filter(wanted).collect()}
+        return {rank: found[(b, place)] for rank, (b, place, _) in places.items()}
 
 
 def hash_index(df: DataFrame, keys: Sequence[str], seed: object) -> RankIndex:
-    """Ranks of the seeded permutation of ``keys``."""
+    """Ranks of the seeded permutation of ``keys``; three hex digits of the hash per level."""
     digest = hash_key(seed, keys)
-    radix = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
-    return RankIndex(df, radix, [digest, *[F.col(k) for k in keys]], 0, 16**15)
+    order = [digest, *[F.col(k) for k in keys]]
+    return RankIndex(df, lambda level: F.substring(digest, 1, 3 * level), order, 10)
 
 
 def integer_index(df: DataFrame, key: str) -> RankIndex:
-    """Ranks of a unique integer key in rising order."""
+    """Ranks of a unique integer key in rising order; twelve bits of its range per level."""
     low, high = df.agg(F.min(key), F.max(key)).first()
-    low, high = (0, 0) if low is None else (int(low), int(high) + 1)
-    return RankIndex(df, F.col(key), [F.col(key)], low, max(high, low + 1))
+    bits = 0 if low is None else (int(high) - int(low)).bit_length()
+    offset = F.col(key).cast("bigint") - F.lit(0 if low is None else int(low))
+
+    def bucket(level: int) -> Column:
+        return F.shiftright(offset, max(0, bits - 12 * level))
+
+    return RankIndex(df, bucket, [F.col(key)], max(1, -(-bits // 12)))
 
 
 def before(columns: Sequence[Column], values: Sequence[Any], types: Sequence[Any]) -> Column:
@@ -104,27 +124,30 @@ def before(columns: Sequence[Column], values: Sequence[Any], types: Sequence[Any
 
 
 def permuted_position(
-    df: DataFrame, keys: Sequence[str], seed: object, out: str = "pos", digits: int = HASH_DIGITS
+    df: DataFrame,
+    keys: Sequence[str],
+    seed: object,
+    out: str = "pos",
+    within: Sequence[str] = (),
+    digits: int = HASH_DIGITS,
 ) -> DataFrame:
-    """Adds the 0-based position in the seeded permutation.
+    """Adds the 0-based position in the seeded permutation, counted per group of ``within``.
 
-    The hash spreads rows evenly over ``16**digits`` buckets whatever the keys look like; one
-    shuffle by bucket, and one broadcast table of bucket offsets. Both are functions of the row
-    values alone, so a recomputed task gives the same positions. ``keys`` must be unique.
+    The hash spreads rows evenly over ``16**digits`` buckets whatever the keys look like, and a
+    group of any size over as many; one shuffle by bucket, and one broadcast table of bucket
+    offsets. Both are functions of the row values alone, so a recomputed task gives the same
+    positions. ``keys`` must be unique; ``within`` is for few groups (splits).
     """
-    marked = df.withColumn("_h", hash_key(seed, keys)).withColumn(
-        "_b", F.conv(F.substring("_h", 1, digits), 16, 10).cast("int")
-    )
-    counts = (
-        df.select(F.conv(F.substring(hash_key(seed, keys), 1, digits), 16, 10).cast("int").alias("_b"))
-        .groupBy("_b")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    # at most 16**digits rows, never more however large the table
-    running = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = counts.select("_b", (F.sum("_n").over(running) - F.col("_n")).alias("_off"))
-    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *keys))
-    placed = marked.withColumn("_rank", rank).join(F.broadcast(offsets), "_b")
+    digest = hash_key(seed, keys)
+    bucket = F.substring(digest, 1, digits)
+    place = [*within, "_b"]
+    counts = df.groupBy(*within, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    # at most 16**digits rows per group, however large the table
+    earlier = Window.partitionBy(*within).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*place, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    marked = df.withColumns({"_h": digest, "_b": bucket})
+    rank = F.row_number().over(Window.partitionBy(*place).orderBy("_h", *keys))
+    placed = null_safe_join(marked.withColumn("_rank", rank), F.broadcast(offsets), place, "inner")
     return placed.withColumn(out, F.col("_off") + F.col("_rank") - 1).drop(
         "_h", "_b", "_rank", "_off"
     )

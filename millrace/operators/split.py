@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.position import (
+    RankIndex,
     before,
     hash_index,
     hash_key,
@@ -27,20 +28,17 @@ SPLIT_ALIASES = {
 RATIO_SPLITS = ("train", "val", "test")
 
 
-def _hash_cut(df: DataFrame, keys: Sequence[str], seed: object, cuts: Mapping[str, int],
-              index) -> Column | None:
+def _hash_cut(
+    df: DataFrame, keys: Sequence[str], seed: object, cuts: Mapping[str, int], index: RankIndex
+) -> Column:
     """The split of a row, by comparing its permutation key with the keys at the cuts."""
     columns = [hash_key(seed, keys), *[F.col(k) for k in keys]]
     types = ["string", *[df.schema[k].dataType for k in keys]]
-    column = None
+    at = index.keys_at(sorted({end for end in cuts.values() if 0 < end < index.count}))
+    column = F
     for name, end in cuts.items():
-        if end >= index.count:
-            inside = F.lit(True)
-        elif end <= 0:
-            inside = F.lit(False)
-        else:
-            inside = before(columns, index.key_at(end), types)
-        column = F.when(inside, name) if column is None else column.when(inside, name)
+        inside = before(columns, at[end], types) if end in at else F.lit(end > 0)
+        column = column.when(inside, name)
     return column
 
 
@@ -101,7 +99,8 @@ def tail_holdout(df: DataFrame, key: str, val_ratio: float, out: str = "split")
         return df.withColumn(out, F.lit("train"))
     if n_val == index.count:
         return df.withColumn(out, F.lit("val"))
-    (first,) = index.key_at(index.count - n_val)
+    cut = index.count - n_val
+    (first,) = index.keys_at([cut])[cut]
     return df.withColumn(out, F.when(F.col(key) >= F.lit(first), "val").otherwise("train"))
 
 
@@ -111,7 +110,7 @@ def head_holdout(df: DataFrame, key: str, val_ratio: float, out: str = "split")
     n_val = max(1, int(index.count * val_ratio))
     if n_val >= index.count:
         return df.withColumn(out, F.lit("val"))
-    (first,) = index.key_at(n_val)
+    (first,) = index.keys_at([n_val])[n_val]
     return df.withColumn(out, F.when(F.col(key) < F.lit(first), "val").otherwise("train"))
 
 

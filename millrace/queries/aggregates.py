@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.arrays import remap_contiguous
 from millrace.operators import catalog, runs, split
-from millrace.operators.encode import global_value_set, token_counts
+from millrace.operators.encode import global_value_set, token_counts, words_of
 from millrace.operators.integrity import directory_sizes
 from millrace.operators.position import permuted_position
 from millrace.queries.registry import RUN_EVENTS, joined, query, run_events, sql_tokens, table
@@ -19,7 +19,7 @@ from millrace.queries.registry import RUN_EVENTS, joined, query, run_events, sql
     select token, count(*) as n, min(doc_id) as first_doc from w group by token""",
 )
 def count_tokens(spark, folder):
-    counts = token_counts(table(spark, folder, "documents"), "text", ["doc_id"])
+    counts = token_counts(words_of(table(spark, folder, "documents"), "text", ["doc_id"]), ["doc_id"])
     return counts.select("token", "n", F.col("first.doc_id").alias("first_doc"))
 
 

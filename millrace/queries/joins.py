@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.text import tokens
 from millrace.operators import catalog, joins
-from millrace.operators.encode import encode_labels, token_ids, vocabulary
+from millrace.operators.encode import encode_labels, token_ids, vocabulary, words_of
 from millrace.queries.registry import LINEITEM, indexed, query, sql_tokens, table
 
 
@@ -134,10 +133,9 @@ def descriptor_lookup(spark, folder):
            count(*) as n_tokens from w left join v using (token) group by doc_id""",
 )
 def vocabulary_lookup(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    vocab = vocabulary(docs, "text", ["doc_id"], 300)
-    words = docs.select("doc_id", F.explode(tokens(F.col("text"))).alias("token"))
-    return token_ids(words, vocab).groupBy("doc_id").agg(
+    words = words_of(table(spark, folder, "documents"), "text", ["doc_id"])
+    vocab = vocabulary(words, ["doc_id"], 300)
+    return token_ids(words.select("doc_id", F.explode("words").alias("token")), vocab).groupBy("doc_id").agg(
         F.sum("id").alias("id_sum"),
         F.count_if(F.col("id") == 0).alias("unknown"),
         F.count(F.lit(1)).alias("n_tokens"),

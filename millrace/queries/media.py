@@ -48,7 +48,7 @@ def _files(spark, folder, make):
             content = [make(np.asarray(v)) for v in chunk["v"]]
             yield pd.DataFrame({"vec_id": chunk["vec_id"], "content": content})
 
-    byte = F.transform("embedding", lambda e: F.floor((e::double + 1) * 100).cast("int"))
+    byte = F.transform("embedding", lambda e: F.floor((e.cast("double") + 1) * 100).cast("int"))
     rows = table(spark, folder, "embeddings").select("vec_id", byte.alias("v"))
     return rows.mapInPandas(work, "vec_id bigint, content binary")
 
@@ -96,7 +96,7 @@ def prepare_masks(spark, folder):
     from (select *, unnest(range(96)) as i from b)""",
 )
 def prepare_clips(spark, folder):
-    byte = F.transform("embedding", lambda e: F.floor((e::double + 1) * 100).cast("float"))
+    byte = F.transform("embedding", lambda e: F.floor((e.cast("double") + 1) * 100).cast("float"))
     shape = F.array(F.lit(4), F.lit(4), F.lit(4))
     clips = table(spark, folder, "embeddings").select(
         "vec_id", F.struct(shape.alias("shape"), byte.alias("data")).alias("video")

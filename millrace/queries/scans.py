@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators.encode import rows_from_offsets, spans_of
+from millrace.operators.encode import rows_from_offsets, spans_of, words_of
 from millrace.operators.position import ordered_position
-from millrace.functions.text import tokens
 from millrace.queries.registry import LINE_CLASS, indexed, joined, query, sql_tokens, table
 from millrace.session import fresh_path
 from millrace.sources import arrays, eventlog, folders, metadata, tabular, text
@@ -110,9 +109,8 @@ def scan_arrays(spark, folder):
     f"select doc_id as row, array_to_string({sql_tokens('text')}, ' ') as words from documents",
 )
 def ragged_from_offsets(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", tokens(F.col("text")).alias("words"))
-    sizes = docs.select("doc_id", F.size("words").cast("bigint").alias("n"))
-    placed = ordered_position(sizes, ["doc_id"], "i", {"offset": "n"})
+    docs = words_of(table(spark, folder, "documents"), "text", ["doc_id"])
+    placed = ordered_position(docs.select("doc_id", "n"), ["doc_id"], "i", {"offset": "n"})
     # the flat form: all words with their place in the corpus, and the row boundaries
     flat = docs.join(placed, "doc_id").select("offset", F.posexplode("words").alias("at", "value"))
     values = flat.select((F.col("offset") + F.col("at")).alias("pos"), "value")
@@ -188,18 +186,30 @@ def filter_split_files(spark, folder):
     return chosen.select("root", "folder", "doc_id")
 
 
+def write_logs(events, line, path):
+    """One log file per ten users, in event order."""
+    log = F.expr("user_id div 10").alias("log")
+    lines = events.select(log, "event_id", line.alias("value")).repartition("log")
+    ordered = lines.sortWithinPartitions("log", "event_id").drop("event_id")
+    ordered.write.partitionBy("log").text(path)
+
+
+def log_of(file):
+    return F.regexp_extract(file, r"log=(\d+)", 1).cast("bigint")
+
+
 @query(
     "sc15_scan_events",
     """with l as (
-      select user_id, event_id,
+      select user_id // 10 as log, event_id,
         case event_type when 'error' then '{not json}' when 'signup' then '[1, 2, 3]'
              when 'view' then '' else '{"seq":' || event_id || ',"kind":"' || event_type || '"}' end
           || case when event_type = 'purchase' then chr(13) else '' end as line
       from events),
     o as (select *, sum(octet_length(encode(line)) + 1)
-             over (partition by user_id order by event_id) - octet_length(encode(line)) - 1 as off
+             over (partition by log order by event_id) - octet_length(encode(line)) - 1 as off
           from l)
-    select cast(user_id as bigint) as run, cast(off as bigint) as "offset",
+    select cast(log as bigint) as log, cast(off as bigint) as "offset",
            event_id as seq from o where line like '{"seq"%'""",
 )
 def scan_events(spark, folder):
@@ -214,15 +224,10 @@ def scan_events(spark, folder):
         .otherwise(good)
     )
     path = fresh_path(spark, "log")
-    # one log file per run, written in event order
-    lines = events.select("user_id", "event_id", line.alias("value")).repartition("user_id")
-    lines.sortWithinPartitions("user_id", "event_id").drop("event_id").write.partitionBy(
-        "user_id"
-    ).text(path)
+    write_logs(events, line, path)
     found = eventlog.scan_events(spark, path)
-    run = F.regexp_extract("file", r"user_id=(\d+)", 1).cast("bigint")
     return found.select(
-        run.alias("run"), "offset", F.get_json_object("line", "$.seq").cast("bigint").alias("seq")
+        log_of("file").alias("log"), "offset", F.get_json_object("line", "$.seq").cast("bigint").alias("seq")
     )
 
 

@@ -75,12 +75,9 @@ def write_training_shards(spark, folder):
     rows = ratio_split(indexed(spark, folder, "lineitem"), ["row_index"]).select(
         "split", "row_index", "l_quantity"
     )
-    parts = []
-    for split in ("train", "val", "test"):
-        placed = permuted_position(rows.filter(F.col("split") == split), ["row_index"], "42:0")
-        parts.append(assign_batches(placed, 256))
+    placed = permuted_position(rows, ["row_index"], "42:0", within=["split"])
     path = fresh_path(spark, "shards")
-    shards.write_training_shards(parts[0].unionByName(parts[1]).unionByName(parts[2]), path)
+    shards.write_training_shards(assign_batches(placed, 256), path)
     stored = spark.read.parquet(path)
     return stored.groupBy("split", "batch_id").agg(
         F.count(F.lit(1)).alias("n_rows"),

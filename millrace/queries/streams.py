@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.queries.registry import RUN_EVENTS, query, run_columns, run_events, table
+from millrace.queries.scans import log_of, write_logs
 from millrace.queries.windows import OUTCOMES, states
 from millrace.session import fresh_path
 from millrace.streaming import runs
@@ -24,23 +25,21 @@ def stream_runs(spark, folder):
 
 @query(
     "sm1_tail_log",
-    """with l as (select user_id, event_id, '{"seq":' || event_id || ',"kind":"' || event_type || '"}' as line from events),
-    o as (select *, sum(octet_length(encode(line)) + 1) over (partition by user_id order by event_id)
+    """with l as (select user_id // 10 as log, event_id, '{"seq":' || event_id || ',"kind":"' || event_type || '"}' as line from events),
+    o as (select *, sum(octet_length(encode(line)) + 1) over (partition by log order by event_id)
              - octet_length(encode(line)) - 1 as off from l)
-    select cast(user_id as bigint) as run, cast(off as bigint) as "offset", event_id as seq,
-           user_id || ':' || cast(off as bigint) as event_id from o""",
+    select cast(log as bigint) as log, cast(off as bigint) as "offset", event_id as seq,
+           log || ':' || cast(off as bigint) as event_id from o""",
 )
 def tail_log(spark, folder):
     path, out = fresh_path(spark, "segments"), fresh_path(spark, "tailed")
     events = table(spark, folder, "events")
     line = F.to_json(F.struct(F.col("event_id").alias("seq"), F.col("event_type").alias("kind")))
-    lines = events.select("user_id", "event_id", line.alias("value")).repartition("user_id")
-    lines.sortWithinPartitions("user_id", "event_id").drop("event_id").write.partitionBy("user_id").text(path)
+    write_logs(events, line, path)
     runs.tail_log(spark, path, out).awaitTermination()
     found = read_batches(spark, out, "file string, offset bigint, line string")
-    run = F.regexp_extract("file", r"user_id=(\d+)", 1).cast("bigint")
-    named = runs.with_event_ids(found.withColumn("run", run), "run")
-    return named.select("run", "offset", F.get_json_object("line", "$.seq").cast("bigint").alias("seq"), "event_id")
+    named = runs.with_event_ids(found.withColumn("log", log_of("file")), "log")
+    return named.select("log", "offset", F.get_json_object("line", "$.seq").cast("bigint").alias("seq"), "event_id")
 
 
 @query("sm2_exactly_once", "select distinct user_id || ':' || json_extract_string(props, '$.k') as event_id from events")

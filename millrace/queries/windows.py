@@ -105,7 +105,8 @@ VOCABULARY = f"""w as (select doc_id, i as ix, t[i + 1] as token from
     from w group by token order by id limit 499""",
 )
 def vocabulary(spark, folder):
-    return encode.vocabulary(table(spark, folder, "documents"), "text", ["doc_id"], 500)
+    words = encode.words_of(table(spark, folder, "documents"), "text", ["doc_id"])
+    return encode.vocabulary(words, ["doc_id"], 500)
 
 
 @query(
@@ -115,7 +116,8 @@ def vocabulary(spark, folder):
     from w group by token""",
 )
 def vocabulary_uncapped(spark, folder):
-    return encode.vocabulary(table(spark, folder, "documents"), "text", ["doc_id"])
+    words = encode.words_of(table(spark, folder, "documents"), "text", ["doc_id"])
+    return encode.vocabulary(words, ["doc_id"])
 
 
 @query(

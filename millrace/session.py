@@ -64,3 +64,12 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table that is stored in fewer pieces than there are cores, before costly row work.
+
+    A table of many pieces is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
