@@ -36,10 +36,19 @@ def offset_lines(raw: DataFrame) -> DataFrame:
         ),
         "loglines",
     )
-    pieces = staged.groupBy("file", "_block").agg(F.sum("_len").alias("_bytes"))
-    earlier = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = staged.groupBy("file", "_block").agg(
+        F.sum("_len").alias("_bytes"), F.max("_size").alias("_size")
+    )
+    whole = Window.partitionBy("file")
+    earlier = whole.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    # Spark's reader drops a byte order mark; the lines are then three bytes short of the file, not
+    # counting the one line feed that may be missing at its end
+    short = F.col("_size") - F.sum("_bytes").over(whole)
     starts = pieces.select(
-        "file", "_block", F.coalesce(F.sum("_bytes").over(earlier), F.lit(0)).alias("_start")
+        "file",
+        "_block",
+        F.coalesce(F.sum("_bytes").over(earlier), F.lit(0)).alias("_start"),
+        F.when(short >= 2, 3).otherwise(0).alias("_mark"),
     )
     inside = (
         Window.partitionBy("file", "_block").orderBy("_ord").rowsBetween(Window.unboundedPreceding, -1)
@@ -47,10 +56,10 @@ def offset_lines(raw: DataFrame) -> DataFrame:
     placed = staged.withColumn("_before", F.coalesce(F.sum("_len").over(inside), F.lit(0))).join(
         starts, ["file", "_block"]
     )
-    offset = F.col("_start") + F.col("_before")
-    return placed.withColumn("offset", offset).filter(
-        F.col("offset") + F.col("_len") <= F.col("_size")
-    ).select("file", "offset", "line")
+    place = F.col("_start") + F.col("_before")
+    complete = place + F.col("_mark") + F.col("_len") <= F.col("_size")
+    offset = F.when(place > 0, place + F.col("_mark")).otherwise(place)
+    return placed.filter(complete).select("file", offset.alias("offset"), "line")
 
 
 def json_lines(lines: DataFrame) -> DataFrame:
