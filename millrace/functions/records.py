@@ -65,9 +65,11 @@ def parse_timestamp(text: Column) -> Column:
     return F.when(text.rlike(shape), F.try_to_timestamp(full))
 
 
-def format_day(text: Column) -> Column:
-    """The day of a timestamp text: ``-`` when absent, the part before ``T`` when malformed."""
-    day = F.date_format(parse_timestamp(text), "yyyy-MM-dd")
+def format_day(text: Column, zone: str = "UTC") -> Column:
+    """The day of a timestamp text in ``zone``: ``-`` when absent, the part before ``T`` when
+    malformed."""
+    wall = parse_timestamp(text).cast("timestamp_ntz")
+    day = F.date_format(F.convert_timezone(F.current_timezone(), F.lit(zone), wall), "yyyy-MM-dd")
     return (
         F.when(F.coalesce(text, F.lit("")) == "", "-")
         .when(day.isNull(), F.substring_index(text, "T", 1))

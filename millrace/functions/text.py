@@ -60,7 +60,9 @@ def hash_tokens(
     """
     length = positive_int(maxlen, DEFAULT_LENGTH)
     words = positive_int(num_words, DEFAULT_VOCABULARY)
-    kept = F.slice(tokens(text), 1, length)
+    # the split stops behind the tokens that are kept; one more may be the empty piece in front
+    parts = F.array_remove(F.split(text, TOKEN_BREAK, length + 2), "")
+    kept = F.coalesce(F.slice(parts, 1, length), F.array().cast("array<string>"))
     ids = F.transform(kept, lambda token: token_id(token, words))
     return pad_right(ids, length, F.lit(0))
 

@@ -138,14 +138,12 @@ def permuted_position(
     offsets. Both are functions of the row values alone, so a recomputed task gives the same
     positions. ``keys`` must be unique; ``within`` is for few groups (splits).
     """
-    digest = hash_key(seed, keys)
-    bucket = F.substring(digest, 1, digits)
     place = [*within, "_b"]
-    counts = df.groupBy(*within, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    marked = df.withColumn("_h", hash_key(seed, keys)).withColumn("_b", F.substring("_h", 1, digits))
+    counts = marked.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
     # at most 16**digits rows per group, however large the table
     earlier = Window.partitionBy(*within).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*place, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
-    marked = df.withColumns({"_h": digest, "_b": bucket})
     rank = F.row_number().over(Window.partitionBy(*place).orderBy("_h", *keys))
     placed = null_safe_join(marked.withColumn("_rank", rank), F.broadcast(offsets), place, "inner")
     return placed.withColumn(out, F.col("_off") + F.col("_rank") - 1).drop(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.position import (
@@ -28,18 +28,24 @@ SPLIT_ALIASES = {
 RATIO_SPLITS = ("train", "val", "test")
 
 
-def _hash_cut(
-    df: DataFrame, keys: Sequence[str], seed: object, cuts: Mapping[str, int], index: RankIndex
-) -> Column:
-    """The split of a row, by comparing its permutation key with the keys at the cuts."""
-    columns = [hash_key(seed, keys), *[F.col(k) for k in keys]]
+def _with_cuts(
+    df: DataFrame,
+    keys: Sequence[str],
+    seed: object,
+    cuts: Mapping[str, int],
+    index: RankIndex,
+    out: str,
+) -> DataFrame:
+    """Adds the split of a row, by comparing its permutation key with the keys at the cuts."""
+    columns = [F.col("_h"), *[F.col(k) for k in keys]]
     types = ["string", *[df.schema[k].dataType for k in keys]]
     at = index.keys_at(sorted({end for end in cuts.values() if 0 < end < index.count}))
-    column = F
+    split = F
     for name, end in cuts.items():
         inside = before(columns, at[end], types) if end in at else F.lit(end > 0)
-        column = column.when(inside, name)
-    return column
+        split = split.when(inside, name)
+    # the hash is a column of its own, so that it is computed once per row
+    return df.withColumn("_h", hash_key(seed, keys)).withColumn(out, split).drop("_h")
 
 
 def ratio_split(
@@ -61,7 +67,7 @@ def ratio_split(
     n_test, n_val = int(n * test_ratio), int(n * val_ratio)
     n_train = n - n_val - n_test
     cuts = {"train": n_train, "val": n_train + n_val, "test": n}
-    return df.withColumn(out, _hash_cut(df, keys, seed, cuts, index))
+    return _with_cuts(df, keys, seed, cuts, index, out)
 
 
 def ratio_rows(df: DataFrame, keys: Sequence[str], split: str, **options) -> DataFrame:
@@ -88,7 +94,7 @@ def permuted_holdout(
     index = hash_index(df, keys, seed)
     n_val = int(index.count * val_ratio)
     cuts = {"val": max(1, n_val) if min_one else n_val, "train": index.count}
-    return df.withColumn(out, _hash_cut(df, keys, seed, cuts, index))
+    return _with_cuts(df, keys, seed, cuts, index, out)
 
 
 def tail_holdout(df: DataFrame, key: str, val_ratio: float, out: str = "split") -> DataFrame:

@@ -8,6 +8,7 @@ from millrace.functions import arrays, labels, records, text
 from millrace.operators import roles, runs
 from millrace.operators.encode import encode_labels, encode_target
 from millrace.queries.registry import RUN_EVENTS, joined, one_line_base64, query, run_events, sql_crc, sql_tokens, table
+from millrace.session import spread
 
 
 def _hash_sql(source: str, key: str, maxlen: int, words: int) -> str:
@@ -21,7 +22,7 @@ def _hash_sql(source: str, key: str, maxlen: int, words: int) -> str:
 
 @query("fn1_hash_tokenize", _hash_sql("documents", "doc_id", 200, 20000))
 def hash_tokenize(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", joined(text.hash_tokens(F.col("text"))).alias("ids"))
 
 

@@ -7,17 +7,17 @@ from pyspark.sql import functions as F
 
 
 def write_training_shards(
-    batches: DataFrame, path: str, shards: int | None = None, split: str = "split"
+    batches: DataFrame, path: str, batches_per_shard: int = 1024, split: str = "split"
 ) -> None:
     """Write rows with ``batch_id`` and ``pos_in_batch`` per split, in batch order.
 
-    Rows are placed by range of (split, batch, place), so a shard holds consecutive rows and a
-    large split spreads over all shards.
+    Rows go to tasks by split and run of consecutive batches, so a large split spreads over as many
+    tasks as it has runs. Unlike a range partitioning this needs no sample, which would compute the
+    input twice.
     """
-    order = [split, "batch_id", "pos_in_batch"]
-    spark = batches.sparkSession
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = batches.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    run = F.floor(F.col("batch_id") / batches_per_shard)
+    placed = batches.repartition(F.col(split), run)
+    ordered = placed.sortWithinPartitions(split, "batch_id", "pos_in_batch")
     ordered.write.mode("overwrite").partitionBy(split).parquet(path)
 
 
