@@ -28,8 +28,12 @@ HASH_DIGITS = 4
 
 
 def hash_key(seed: object, keys: Sequence[str]) -> Column:
-    """The hash by which rows are permuted: md5 of the seed and the row's key."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    """The hash by which rows are permuted: md5 of the seed and the row's key.
+
+    ``seed`` may be a column, to permute groups of rows differently.
+    """
+    first = seed if isinstance(seed, Column) else F.lit(str(seed))
+    return F.md5(F.concat_ws(":", first, *[F.col(k).cast("string") for k in keys]))
 
 
 class RankIndex:

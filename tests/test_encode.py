@@ -175,6 +175,30 @@ def test_write_dataset(spark, tmp_path):
     }
 
 
+def test_prepared_order(spark):
+    import hashlib
+
+    table = spark.range(40).select(F.col("id").alias("row_index"), F.col("id").alias("x"), (F.col("id") % 2).alias("y"))
+
+    def order(split, plan, membership=None):
+        rows = prepare_split(table, split, plan, membership).orderBy("batch_id", "pos_in_batch").collect()
+        return [int(r["features"][0]) for r in rows], [r["batch_id"] for r in rows]
+
+    def permuted(keys, seed):
+        return sorted(keys, key=lambda k: hashlib.md5(f"{seed}:{k}".encode()).hexdigest())
+
+    cut = permuted(range(40), 42)
+    plan = Prepare(batch_size=3, val_ratio=0.25)
+    assert order("val", plan) == (cut[26:36], [i // 3 for i in range(10)])
+    assert order("train", plan)[0] == permuted(cut[:26], "42:0")[:24]
+    rows = [("train", i, r) for i, r in enumerate([3, 99, 0, 1, 7])]
+    declared = spark.createDataFrame(rows, "split_name string, pos bigint, row_index bigint")
+    kept = Prepare(batch_size=2, shuffle=False, drop_last=False)
+    assert order("train", kept, declared) == ([3, 0, 1, 7], [0, 0, 1, 1])
+    with pytest.raises(ValueError):
+        prepare_split(table, "holdout")
+
+
 def test_text_layout():
     layout, own = {"text": {"file": "c.txt"}}, {"kind": "next_token", "where": "loader"}
     binding = {"self_supervised": own, "input_transform": {"params": {"sequence_length": 8, "vocab_size": True}}}
