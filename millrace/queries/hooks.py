@@ -10,6 +10,7 @@ from millrace.operators import hooks
 from millrace.operators.position import permuted_position
 from millrace.operators.split import assign_batches
 from millrace.queries.registry import query, table
+from millrace.sources.registry import reader_for
 
 
 def _pairs(spark, folder):
@@ -71,6 +72,12 @@ def transform_x_only(spark, folder):
     return hooks.map_column(_pairs(spark, folder), "x", lambda xs: xs.map(len), "bigint")
 
 
+@query("ud6_reader_by_format", "select o_orderkey as id, o_totalprice as price from orders")
+def reader_by_format(spark, folder):
+    layout = {"id": {"column": "o_orderkey"}, "price": {"column": "o_totalprice"}}
+    return reader_for("tabular")(spark, f"{folder}/orders.parquet", layout, "train")
+
+
 @query(
     "ud7_predict",
     """select vec_id, round(list_sum([embedding[i + 1]::double * (i + 1) for i in range(64)]), 3) as prediction from embeddings""",

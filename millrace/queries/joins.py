@@ -46,12 +46,13 @@ def membership_join(spark, folder):
     return joins.rows_at(rows, members).select("row_index", "split_name", "pos", "l_partkey")
 
 
-@query(
-    "jn3_pair_by_stem",
-    """select 'img' || doc_id as stem, 'img' || doc_id || '.jpg' as image,
+PAIRS = """select 'img' || doc_id as stem, 'img' || doc_id || '.jpg' as image,
         'img' || doc_id || case when lang in ('en', 'fr') then '.png' else '.bmp' end as mask
-       from documents where lang <> 'es'""",
-)
+       from documents where lang <> 'es'"""
+
+
+@query("sc11_image_mask_pairs", PAIRS)
+@query("jn3_pair_by_stem", PAIRS)
 def pair_by_stem(spark, folder):
     from millrace.sources.folders import pair_by_stem as pair
 

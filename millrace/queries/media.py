@@ -131,6 +131,21 @@ def mel_spectrogram(spark, folder):
     return tensors.select("vec_id", joined(F.col("audio.shape")).alias("shape"), F.size("audio.data").alias("n"))
 
 
+@query(
+    "ud5_audio_hooks",
+    """with b as (select vec_id, [floor((e::double + 1) * 100) for e in embedding] as v from embeddings)
+    select vec_id, i as at, round(-2 * v[64 - i] / 32768.0::double, 7) as value
+    from (select *, unnest(range(64)) as i from b)""",
+)
+def audio_hooks(spark, folder):
+    sounds = _files(spark, folder, lambda v: wav_file(v, 16000))
+    tensors = media.prepare_audio(sounds, 16000, 64, waveform_transform=lambda w: -2 * w[::-1])
+    values = tensors.select("vec_id", F.posexplode("audio.data").alias("at", "value"))
+    return values.select(
+        "vec_id", F.col("at").cast("bigint").alias("at"), F.round(F.col("value").cast("double"), 7).alias("value")
+    )
+
+
 @query(
     "md5_channels_first",
     """select vec_id, i as at, cast(embedding[(i % 16) * 4 + i // 16 + 1] as double) as v

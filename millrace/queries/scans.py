@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import io
+import tarfile
+import zipfile
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from millrace.operators.encode import rows_from_offsets, spans_of, words_of
 from millrace.operators.position import ordered_position
 from millrace.queries.registry import LINE_CLASS, indexed, joined, query, sql_tokens, table
 from millrace.session import fresh_path
-from millrace.sources import arrays, eventlog, folders, metadata, tabular, text
+from millrace.sources import archives, arrays, eventlog, folders, metadata, tabular, text
 
 
 @query(
@@ -122,6 +128,104 @@ def ragged_from_offsets(spark, folder):
     return named.select(F.col("doc_id").alias("row"), joined(F.col("values")).alias("words"))
 
 
+@query(
+    "sc7_scan_npz",
+    """select vec_id, cast(label as bigint) as y, i as at, cast(embedding[i + 1] as double) as v,
+         cast(vec_id % 5 + 1 as bigint) as ragged_size
+       from (select *, unnest(range(len(embedding))) as i from embeddings)""",
+)
+def scan_npz(spark, folder):
+    def pack(chunk: pd.DataFrame) -> pd.DataFrame:
+        sizes = (chunk["vec_id"] % 5 + 1).to_numpy()
+        out = io.BytesIO()
+        np.savez(
+            out, ids=chunk["vec_id"], x=np.stack(chunk["embedding"]), y=chunk["label"],
+            r_values=np.arange(sizes.sum()), r_offsets=np.concatenate([[0], np.cumsum(sizes)]),
+        )
+        return pd.DataFrame({"path": [str(chunk["vec_id"].iloc[0])], "content": [out.getvalue()]})
+
+    # one file per fifty vectors
+    files = table(spark, folder, "embeddings").groupBy(F.expr("vec_id div 50")).applyInPandas(
+        pack, "path string, content binary"
+    )
+    layout = {"id": {"key": "ids"}, "x": {"key": "x"}, "y": {"key": "y"}, "r": {"key": "r", "ragged": True}}
+    rows = arrays.decode_npz(files, layout).select(
+        F.get("id", F.lit(0)).cast("bigint").alias("vec_id"),
+        F.get("y", F.lit(0)).cast("bigint").alias("y"),
+        F.posexplode("x").alias("at", "v"),
+        F.size("r").cast("bigint").alias("ragged_size"),
+    )
+    return rows.withColumn("at", F.col("at").cast("bigint"))
+
+
+def _class_paths(spark, folder, endings):
+    docs = table(spark, folder, "documents")
+    part = (F.col("doc_id") % len(endings)).cast("int")
+    name = F.concat(F.lit("f"), F.col("doc_id"), F.get(F.lit(endings), part))
+    # some folders are hidden, some files lie a folder too deep
+    place = F.when(F.col("source") == "src3", F.concat(F.lit("."), "lang")).otherwise(F.col("lang"))
+    deep = F.when(F.col("source") == "src4", F.concat_ws("/", place, F.lit("more"), name))
+    return docs.select("doc_id", F.coalesce(deep, F.concat_ws("/", place, name)).alias("relative"))
+
+
+@query(
+    "sc9_scan_image_folder",
+    """with c as (select lang, row_number() over (order by lang) - 1 as label
+                  from (select distinct lang from documents where source <> 'src3'))
+    select doc_id, lang as class_name, cast(label as bigint) as label from documents join c using (lang)
+    where doc_id % 4 in (0, 1) and source not in ('src3', 'src4')""",
+)
+def scan_image_folder(spark, folder):
+    files = _class_paths(spark, folder, [".jpg", ".WebP", ".txt", ""])
+    return folders.class_folder_files(files).select("doc_id", "class_name", "label")
+
+
+@query(
+    "sc10_scan_audio_folder",
+    """with c as (select lang, row_number() over (order by lang) - 1 as label
+                  from (select distinct lang from documents where source <> 'src3'))
+    select doc_id, lang as class_name, cast(label as bigint) as label from documents join c using (lang)
+    where doc_id % 4 = 0 and source not in ('src3', 'src4')""",
+)
+def scan_audio_folder(spark, folder):
+    # a declared layout matches its extensions exactly
+    files = _class_paths(spark, folder, [".wav", ".WAV", ".mp3", ".md"])
+    found = folders.class_folder_files(files, [".wav"], any_case=False)
+    return found.select("doc_id", "class_name", "label")
+
+
+@query(
+    "sc14_scan_archive_members",
+    """select cast(doc_id // 50 as bigint) as archive, lang || '/' || doc_id || '.txt' as relative, sha256(text) as checksum
+       from documents""",
+)
+def scan_archive_members(spark, folder):
+    def pack(chunk: pd.DataFrame) -> pd.DataFrame:
+        number = int(chunk["doc_id"].iloc[0]) // 50
+        out = io.BytesIO()
+        names = [f"set/{r.lang}/{r.doc_id}.txt" for r in chunk.itertuples()]
+        contents = [t.encode() for t in chunk["text"]]
+        if number % 2:
+            with tarfile.open(fileobj=out, mode="w:gz") as archive:
+                for name, content in zip(names, contents, strict=True):
+                    info = tarfile.TarInfo(name)
+                    info.size = len(content)
+                    archive.addfile(info, io.BytesIO(content))
+        else:
+            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+                for name, content in zip(names, contents, strict=True):
+                    archive.writestr(name, content)
+        return pd.DataFrame({"path": [str(number)], "content": [out.getvalue()]})
+
+    # one archive per fifty documents, zip and tar in turn
+    packed = table(spark, folder, "documents").groupBy(F.expr("doc_id div 50")).applyInPandas(
+        pack, "path string, content binary"
+    )
+    return archives.unpack(packed).select(
+        F.col("archive").cast("bigint").alias("archive"), "relative", F.sha2("content", 256).alias("checksum")
+    )
+
+
 FOLDERS = """
 f as (select source, cast(substr(source, 4) as bigint) % 4 as kind, doc_id, lang,
              doc_id % 3 as part from documents)

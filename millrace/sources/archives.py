@@ -61,36 +61,42 @@ def _tar_members(content: bytes, limits: tuple[int, int]) -> Iterator[tuple[str,
 def scan_archive_members(
     spark: SparkSession, path: str, max_members: int = MAX_MEMBERS, max_bytes: int = MAX_BYTES
 ) -> DataFrame:
-    """``(archive, member, relative, content)`` of all plain files in the archives under ``path``.
+    """Members of all archives under ``path``: see ``unpack``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{zip,tar,tar.gz,tgz,tar.bz2}")
+    return unpack(files.load(path).select("path", "content"), max_members, max_bytes)
+
+
+def unpack(
+    archives: DataFrame, max_members: int = MAX_MEMBERS, max_bytes: int = MAX_BYTES
+) -> DataFrame:
+    """``(archive, member, relative, content)`` of all plain files in archives ``(path, content)``.
 
     Every member is checked before the first is read. One task reads one archive and passes its
     members on one by one. ``relative`` leaves out a single top folder.
     """
     limits = (max_members, max_bytes)
 
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for archive, content in zip(batch["path"], batch["content"], strict=True):
                 zipped = zipfile.is_zipfile(io.BytesIO(content))
-                read = _zip_members if zipped else _tar_members
-                names = [name for name, _ in _names(content, zipped)]
-                tops = {n.split("/", 1)[0] for n in names if "/" in n}
-                tops = {t for t in tops if not t.startswith(".")}
+                names = _names(content, zipped)
+                tops = {n.split("/", 1)[0] for n in names if "/" in n and not n.startswith(".")}
                 strip = f"{next(iter(tops))}/" if len(tops) == 1 else ""
-                for name, data in read(content, limits):
+                members = _zip_members if zipped else _tar_members
+                for name, data in members(content, limits):
                     yield pd.DataFrame(
                         {"archive": [archive], "member": [name],
                          "relative": [name.removeprefix(strip)], "content": [data]}
                     )
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{zip,tar,tar.gz,tgz,tar.bz2}")
-    found = files.load(path).select("path", "content")
-    return found.mapInPandas(unpack, "archive string, member string, relative string, content binary")
+    schema = "archive string, member string, relative string, content binary"
+    return archives.select("path", "content").mapInPandas(work, schema)
 
 
-def _names(content: bytes, zipped: bool) -> list[tuple[str, int]]:
+def _names(content: bytes, zipped: bool) -> list[str]:
     if zipped:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            return [(m.filename, m.file_size) for m in archive.infolist()]
+            return archive.namelist()
     with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as archive:
-        return [(m.name, m.size) for m in archive.getmembers()]
+        return archive.getnames()

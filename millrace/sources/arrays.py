@@ -49,7 +49,18 @@ def scan_npz(
     split: str = "train",
     rows_per_chunk: int = 1024,
 ) -> DataFrame:
-    """Rows of ``.npz`` files: ``(file, row_index)`` and a flat array and shape per column.
+    """Rows of the ``.npz`` files under ``path``: see ``decode_npz``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").load(path)
+    return decode_npz(files.select("path", "content"), layout, split, rows_per_chunk)
+
+
+def decode_npz(
+    files: DataFrame,
+    layout: Mapping[str, Mapping[str, object]],
+    split: str = "train",
+    rows_per_chunk: int = 1024,
+) -> DataFrame:
+    """Rows of ``.npz`` contents: ``(file, row_index)`` and a flat array and shape per column.
 
     Each file is one task's work and leaves it in chunks. Object arrays, which need pickle, are
     refused. A ragged column is stored as ``<key>_values`` and ``<key>_offsets``.
@@ -90,5 +101,4 @@ def scan_npz(
     schema = "file string, row_index bigint" + "".join(
         f", `{name}` array<double>, `{name}_shape` array<int>" for name in keys
     )
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").load(path)
     return files.select("path", "content").mapInPandas(decode, schema)
