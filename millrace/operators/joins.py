@@ -20,12 +20,15 @@ def lookup_join(
     facts: DataFrame,
     table: DataFrame,
     on: Sequence[str],
-    weight: str,
+    weight: str | None = None,
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
     stored: bool = False,
 ) -> DataFrame:
-    """Join ``facts`` to a table with one row per key and the key's row count in ``weight``.
+    """Join ``facts`` to a table with one row per key.
+
+    ``weight`` names the table's column with each key's number of fact rows; where the table has
+    none, the keys are counted, but only if the table is too large to broadcast.
 
     A table within ``broadcast_rows`` is broadcast. Beyond that, its hot keys (fewer than
     ``HOT_SHARE``) are broadcast and all other keys meet by shuffle; rows of hot keys are spread
@@ -37,8 +40,12 @@ def lookup_join(
         table = materialize(table, "lookup")
     values = [c for c in table.columns if c not in keys and c != weight]
     if table.count() <= broadcast_rows:
-        small = F.broadcast(table.drop(weight))
+        small = F.broadcast(table.drop(weight) if weight else table)
         return null_safe_join(facts, small, keys, how)
+    if weight is None:
+        weight = "_weight"
+        counted = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias(weight))
+        table = materialize(null_safe_join(table, counted, keys, "left").na.fill(0, [weight]), "lookup")
 
     total = table.agg(F.sum(weight)).first()[0] or 0
     hot_row = F.col(weight) * HOT_SHARE > total

@@ -71,7 +71,7 @@ def resume_after(
     events: DataFrame, cursors: DataFrame, stream: str, seq: str
 ) -> DataFrame:
     """Rows beyond each stream's cursor ``(stream, cursor)``; all rows where there is none."""
-    joined = events.join(cursors, stream, "left")
+    joined = lookup_join(events, cursors.select(stream, "cursor"), [stream])
     return joined.filter(F.col("cursor").isNull() | (F.col(seq) > F.col("cursor"))).drop("cursor")
 
 

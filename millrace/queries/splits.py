@@ -73,23 +73,24 @@ def membership_fallback(spark, folder):
 
 @query(
     "sp2_parse_membership",
-    """select source as dataset_id, 'fold_' || lang as split_name,
-        cast(row_number() over (partition by source, lang order by doc_id) - 1 as bigint) as pos,
+    """select cast(doc_id // 100 as bigint) as dataset_id, 'fold_' || lang as split_name,
+        cast(row_number() over (partition by doc_id // 100, lang order by doc_id) - 1 as bigint) as pos,
         doc_id as row_index from documents where lang <> 'es'""",
 )
 def parse_membership(spark, folder):
-    docs = table(spark, folder, "documents")
+    # one dataset per hundred documents
+    docs = table(spark, folder, "documents").withColumn("dataset_id", F.expr("doc_id div 100"))
     # entries of other types stand between the indices; the es split has no list
     members = F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda d: d.cast("string")), ',"x",true,1.5,')
-    per = docs.groupBy("source", "lang").agg(members.alias("ids"))
+    per = docs.groupBy("dataset_id", "lang").agg(members.alias("ids"))
     entry = F.concat(
         F.lit('{"split_name":"fold_'), F.col("lang"), F.lit('","member_row_indices":'),
         F.when(F.col("lang") == "es", "null").otherwise(F.concat(F.lit("["), F.col("ids"), F.lit("]"))),
         F.lit("}"),
     )
-    entries = per.groupBy("source").agg(F.array_join(F.collect_list(entry), ",").alias("all"))
+    entries = per.groupBy("dataset_id").agg(F.array_join(F.collect_list(entry), ",").alias("all"))
     meta = F.concat(F.lit('{"splits":[0,{"split_name":3,"member_row_indices":[1]},'), F.col("all"), F.lit("]}"))
-    parsed = split.parse_membership(entries.select(F.col("source").alias("dataset_id"), meta.alias("meta")))
+    parsed = split.parse_membership(entries.select("dataset_id", meta.alias("meta")))
     return parsed.withColumn("pos", F.col("pos").cast("bigint"))
 
 

@@ -8,7 +8,7 @@ from millrace.operators import integrity
 from millrace.queries.registry import query, table
 
 VERSIONS = """
-v as (select source as dataset_id, cast(row_number() over (partition by source order by doc_id) as bigint) as version_number,
+v as (select source as dataset_id, doc_id + 1 as version_number,
              'v-' || doc_id as id from documents)
 """
 
@@ -25,12 +25,8 @@ v as (select source as dataset_id, cast(row_number() over (partition by source o
     from q join l using (dataset_id) left join n on n.dataset_id = q.dataset_id and n.version = q.version""",
 )
 def pin_version(spark, folder):
-    from pyspark.sql import Window
-
-    docs = table(spark, folder, "documents")
-    number = F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).cast("bigint")
-    versions = docs.select(
-        F.col("source").alias("dataset_id"), number.alias("version_number"),
+    versions = table(spark, folder, "documents").select(
+        F.col("source").alias("dataset_id"), (F.col("doc_id") + 1).alias("version_number"),
         F.concat(F.lit("v-"), F.col("doc_id")).alias("id"),
     )
     firsts = versions.groupBy("dataset_id").agg(F.min("id").alias("own"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.catalog import distinct_classes
+from millrace.operators.joins import lookup_join
 
 # Folder names that mean a split, and media file extensions.
 SPLIT_FOLDERS = ("train", "val", "validation", "test", "dev")
@@ -69,7 +70,7 @@ def class_folder_files(
     extension = suffix(F.col("file_name"))
     wanted = (F.lower(extension) if any_case else extension).isin(*extensions)
     media = placed.filter((F.col("_depth") == 2) & wanted).drop("_depth")
-    return media.join(classes, "class_name")
+    return lookup_join(media, classes, ["class_name"], how="inner", stored=True)
 
 
 def scan_image_folder(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
@@ -188,4 +189,4 @@ def filter_split_files(files: DataFrame, split: str, folder: str = "folder", roo
         F.raise_error(F.concat(F.lit(f"no folder answers split {split!r} in "), F.col(root)))
     )
     wanted = best.select(root, chosen.alias(folder))
-    return files.join(wanted, [root, folder], "left_semi")
+    return lookup_join(files, wanted, [root, folder], how="inner")
