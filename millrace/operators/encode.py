@@ -90,25 +90,39 @@ def feature_vector(df: DataFrame, candidates: Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("float") for c in chosen])
 
 
-def words_of(docs: DataFrame, text: str, order: Sequence[str]) -> DataFrame:
-    """``(order, words, n)``: the tokens of each text, stored, as they are read several times."""
+def words_of(
+    docs: DataFrame, text: str, order: Sequence[str], store: bool = True
+) -> DataFrame:
+    """``(order, words, n)``: the tokens of each text; stored unless they are read only once."""
     spread_docs = spread(docs.select(*order, F.col(text)), *order)
-    words = tokens(F.col(text))
-    return materialize(
-        spread_docs.select(*order, words.alias("words")).withColumn("n", F.size("words").cast("bigint")),
-        "words",
-    )
+    split = spread_docs.select(*order, tokens(F.col(text)).alias("words"))
+    words = split.withColumn("n", F.size("words").cast("bigint"))
+    return materialize(words, "words") if store else words
 
 
 def token_counts(words: DataFrame, order: Sequence[str]) -> DataFrame:
     """``(token, n, first)`` where ``first`` is the place of the first occurrence.
 
     Counted partially in each task, so a word that fills a third of the corpus is one row per task
-    in the shuffle.
+    in the shuffle. The place is packed into one long where the order is an integer key of moderate
+    range: a long can be kept in a hash aggregate, a struct only in a sorted one.
     """
     single = words.select(*order, F.posexplode("words").alias("_at", "token"))
-    place = F.struct(*order, "_at")
-    return single.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+    count = F.count(F.lit(1)).alias("n")
+    key = order[0]
+    if len(order) > 1 or not isinstance(words.schema[key].dataType, T.IntegralType):
+        return single.groupBy("token").agg(count, F.min(F.struct(*order, "_at")).alias("first"))
+    low, high = words.agg(F.min(key), F.max(key)).first()
+    if low is not None and high - low >= 1 << 32:
+        return single.groupBy("token").agg(count, F.min(F.struct(key, "_at")).alias("first"))
+    low = low or 0
+    place = F.shiftleft(F.col(key).cast("bigint") - F.lit(low), 31) + F.col("_at")
+    packed = single.groupBy("token").agg(count, F.min(place).alias("_first"))
+    first = F.struct(
+        (F.shiftright("_first", 31) + F.lit(low)).alias(key),
+        F.col("_first").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("_at"),
+    )
+    return packed.select("token", "n", first.alias("first"))
 
 
 def vocabulary(

@@ -91,15 +91,14 @@ def lineage(versions: DataFrame, max_rounds: int = 64) -> DataFrame:
         moving = rows.filter("not done")
         if moving.isEmpty():
             return rows.drop("done")
-        # one popular ancestor may be where most pointers lead: weigh the targets
-        weights = moving.groupBy("root").agg(F.count(F.lit(1)).alias("_n"))
+        # one popular ancestor may be where most pointers lead; the lookup spreads such a key
         targets = rows.select(
             F.col("id").alias("root"),
             F.col("root").alias("_next"),
             F.col("depth").alias("_more"),
             F.col("done").alias("_ended"),
-        ).join(weights, "root")
-        moved = lookup_join(moving, targets, ["root"], weight="_n").select(
+        )
+        moved = lookup_join(moving, targets, ["root"], stored=True).select(
             "id",
             F.col("_next").alias("root"),
             (F.col("depth") + F.col("_more")).alias("depth"),

@@ -19,7 +19,7 @@ from millrace.queries.registry import RUN_EVENTS, joined, query, run_events, sql
     select token, count(*) as n, min(doc_id) as first_doc from w group by token""",
 )
 def count_tokens(spark, folder):
-    counts = token_counts(words_of(table(spark, folder, "documents"), "text", ["doc_id"]), ["doc_id"])
+    counts = token_counts(words_of(table(spark, folder, "documents"), "text", ["doc_id"], store=False), ["doc_id"])
     return counts.select("token", "n", F.col("first.doc_id").alias("first_doc"))
 
 

@@ -105,7 +105,7 @@ VOCABULARY = f"""w as (select doc_id, i as ix, t[i + 1] as token from
     from w group by token order by id limit 499""",
 )
 def vocabulary(spark, folder):
-    words = encode.words_of(table(spark, folder, "documents"), "text", ["doc_id"])
+    words = encode.words_of(table(spark, folder, "documents"), "text", ["doc_id"], store=False)
     return encode.vocabulary(words, ["doc_id"], 500)
 
 
@@ -116,7 +116,7 @@ def vocabulary(spark, folder):
     from w group by token""",
 )
 def vocabulary_uncapped(spark, folder):
-    words = encode.words_of(table(spark, folder, "documents"), "text", ["doc_id"])
+    words = encode.words_of(table(spark, folder, "documents"), "text", ["doc_id"], store=False)
     return encode.vocabulary(words, ["doc_id"])
 
 

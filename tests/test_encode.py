@@ -75,6 +75,16 @@ def test_lm_windows_match_the_stream(spark, texts, seq_len, vocab):
         assert windows(spark, texts, seq_len, vocab) == python_windows(texts, seq_len, vocab)
 
 
+@pytest.mark.parametrize("ids", [[5, 3], [-(2**40), 2**40]])
+def test_first_occurrence(spark, ids):
+    table = spark.createDataFrame([(ids[0], "b a b"), (ids[1], "c a c")], "d bigint, text string")
+    counts = encode.token_counts(encode.words_of(table, "text", ["d"]), ["d"])
+    found = {r["token"]: (r["n"], r["first"]["d"], r["first"]["_at"]) for r in counts.collect()}
+    first = min(ids)
+    assert found["a"] == (2, first, 1)
+    assert found["b"] == (2, ids[0], 0) and found["c"] == (2, ids[1], 0)
+
+
 def test_lm_errors(spark):
     for texts, seq in (([" \n "], 4), (["a b c"], 4)):
         with pytest.raises(encode.CorpusError):

@@ -151,3 +151,14 @@ def test_pages_agree(spark):
     assert after == catalog.paginate(table, 2, 10, "v", "id").collect()
     assert tuple(catalog.page_info(table, 0, 10).first()) == (1, 6, 57)
     assert tuple(catalog.page_info(table.limit(0)).first()) == (1, 1, 0)
+
+
+def test_lineage_with_a_popular_ancestor_by_shuffle(spark, monkeypatch):
+    # two thirds of the versions hang on one parent, and the table is too large to broadcast
+    monkeypatch.setattr(joins.lookup_join, "__defaults__", (None, "left", 0, False))
+    edges = [(0, None), (1, 0)] + [(i, 1 if i % 3 else i - 1) for i in range(2, 300)]
+    table = spark.createDataFrame(edges, "id bigint, parent_version_id bigint")
+    depth = {0: 0}
+    for child, parent in edges[1:]:
+        depth[child] = depth[parent] + 1
+    assert {r["id"]: (r["root"], r["depth"]) for r in integrity.lineage(table).collect()} == {k: (0, d) for k, d in depth.items()}
