@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +49,12 @@ def _with_cuts(
     return df.withColumn("_h", hash_key(seed, keys)).withColumn(out, split).drop("_h")
 
 
+def ratio_sizes(n: int, val_ratio: float = 0.1, test_ratio: float = 0.1) -> dict[str, int]:
+    """Rows of each ratio split of ``n`` rows, in the order of the cut."""
+    n_val, n_test = int(n * val_ratio), int(n * test_ratio)
+    return {"train": n - n_val - n_test, "val": n_val, "test": n_test}
+
+
 def ratio_split(
     df: DataFrame,
     keys: Sequence[str],
@@ -55,18 +62,18 @@ def ratio_split(
     test_ratio: float = 0.1,
     seed: object = 42,
     out: str = "split",
+    index: RankIndex | None = None,
 ) -> DataFrame:
     """Adds the split of each row: the seeded permutation cut into train, val and test.
 
     Sizes are exact: ``int(n * test_ratio)``, ``int(n * val_ratio)``, the rest is train. No row is
     moved: the two cut keys are found by counting and the split is an expression on the row.
-    ``keys`` must identify a row.
+    ``keys`` must identify a row. Where ``df`` is costly, give the ``index`` of the table it is made
+    from, so that the counting reads that table's keys only.
     """
-    index = hash_index(df, keys, seed)
-    n = index.count
-    n_test, n_val = int(n * test_ratio), int(n * val_ratio)
-    n_train = n - n_val - n_test
-    cuts = {"train": n_train, "val": n_train + n_val, "test": n}
+    index = index or hash_index(df, keys, seed)
+    sizes = ratio_sizes(index.count, val_ratio, test_ratio)
+    cuts = dict(zip(sizes, accumulate(sizes.values()), strict=True))
     return _with_cuts(df, keys, seed, cuts, index, out)
 
 
