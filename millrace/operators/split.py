@@ -352,7 +352,7 @@ def preview(df: DataFrame, rows: int = 20, order: str = "row_index") -> DataFram
 
 
 def preview_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per column: count, nulls, distinct estimate-free min, max and mean, in one pass."""
+    """Per column: count, nulls, min, max and mean, in one pass."""
     parts = []
     for c in columns:
         parts += [

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions.text import tokens
 from millrace.operators import catalog, runs
 from millrace.operators.split import permuted_holdout, ratio_split
-from millrace.queries.registry import RUN_EVENTS, query, run_events, sql_tokens, table
+from millrace.queries.registry import query, sql_tokens, table
 from millrace.sources.folders import class_folder_files, sort_files
 
 

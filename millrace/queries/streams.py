@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.queries.registry import RUN_EVENTS, query, run_columns, run_events, table
+from millrace.queries.registry import RUN_EVENTS, query, run_columns, table
 from millrace.queries.scans import log_of, write_logs
 from millrace.queries.windows import OUTCOMES, states
 from millrace.session import fresh_path

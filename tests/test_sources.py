@@ -5,7 +5,6 @@ import zipfile
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from millrace.queries.media import png_file, wav_file
 from millrace.sources import archives, arrays, eventlog, folders, metadata, registry, tabular, text
