@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import packing
+from millrace.llm import mixing, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
@@ -22,5 +22,13 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
-QUERIES: dict[str, Query] = {"op1_packing": op1_packing}
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+QUERIES: dict[str, Query] = {
+    "op1_packing": op1_packing,
+    "op2_mixing": op2_mixing,
+}
 ORACLES: dict[str, str] = {}
