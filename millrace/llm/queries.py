@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import mixing, packing
+from millrace.llm import mixing, packing, quality_classifier, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
@@ -27,8 +27,32 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "path",
+        "threshold",
+    )
+
+
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.classify(
+        table(spark, folder, "documents"), table(spark, folder, "labels")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
+    "op3_quality_rules": op3_quality_rules,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 ORACLES: dict[str, str] = {}
