@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import mixing, packing, quality_classifier, quality_rules
+from millrace.llm import mixing, packing, quality_classifier, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
@@ -49,10 +49,16 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select("doc_id", "toxicity", "toxic")
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {}
