@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import mixing, packing, quality_classifier, quality_rules, toxicity
+from millrace.llm import mixing, packing, quality_classifier, quality_rules, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
@@ -43,6 +43,42 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(table(spark, folder, "documents"))
+
+
+def _secrets_sql() -> str:
+    """The same spans without an index: every rule searched in every text."""
+    each = []
+    for number, rule in enumerate(secrets.RULES):
+        pattern = "'" + rule.pattern.replace("'", "''") + "'"
+        each.append(f"""
+          list_filter(list_transform(range(1, len(regexp_extract_all(t, {pattern}, 0)) + 1), lambda k: {{
+            'start': list_sum(list_transform(regexp_split_to_array(t, {pattern})[1:k], lambda x: length(x)))
+              + coalesce(list_sum(list_transform(
+                  regexp_extract_all(t, {pattern}, 0)[1:k - 1], lambda x: length(x))), 0),
+            'kind': {number},
+            'length': length(regexp_extract_all(t, {pattern}, 0)[k]),
+            'counted': length(regexp_extract_all(t, {pattern}, {rule.group})[k])}}),
+            lambda s: s.counted >= {rule.least})""")
+    kinds = "[" + ", ".join(f"'{rule.kind}'" for rule in secrets.RULES) + "]"
+    base = len(secrets.BASE)
+    joined = (
+        "list_transform({}, lambda s: {}[s.kind + 1] || ':' || cast(s.start as bigint) || ':' || "
+        "cast(s.start + s.length as bigint))"
+    )
+    counts = ", ".join(
+        f"cast(len(list_filter(spans, lambda s: s.kind = {n})) as bigint) as n_{rule.kind}"
+        for n, rule in enumerate(secrets.BASE)
+    )
+    first = joined.format(f"list_filter(spans, lambda s: s.kind < {base})", kinds)
+    return f"""
+    with d as (select doc_id, coalesce(text, '') as t from documents),
+    s as (select doc_id, list_sort(flatten([{", ".join(each)}])) as spans from d)
+    select doc_id, {counts}, sha256(coalesce(array_to_string({first}, ','), '')) as base_sha256,
+           coalesce(array_to_string({joined.format("spans", kinds)}, ','), '') as spans from s"""
+
+
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.classify(
         table(spark, folder, "documents"), table(spark, folder, "labels")
@@ -58,7 +94,8 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
+    "op8_secrets": op8_secrets,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_toxicity": op10_toxicity,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_secrets": _secrets_sql()}
