@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import mixing, packing, quality_classifier, quality_rules, secrets, toxicity
+from millrace.llm import mixing, neighbours, packing, quality_classifier, quality_rules, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
@@ -43,6 +44,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(table(spark, folder, "documents"))
 
@@ -94,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
+    "op5_neighbours": op5_neighbours,
     "op8_secrets": op8_secrets,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_toxicity": op10_toxicity,
