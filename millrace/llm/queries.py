@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, neighbours, packing, quality_classifier, quality_rules, secrets, toxicity
+from millrace.llm import (
+    mixing,
+    near_duplicates,
+    neighbours,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
@@ -48,6 +57,10 @@ def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.classes(table(spark, folder, "documents"))
+
+
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(table(spark, folder, "documents"))
 
@@ -100,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op5_neighbours": op5_neighbours,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_secrets": op8_secrets,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_toxicity": op10_toxicity,
