@@ -15,6 +15,7 @@ from millrace.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    repeats,
     secrets,
     toxicity,
 )
@@ -57,6 +58,18 @@ def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op6_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    left = repeats.remove_repeats(table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.classes(table(spark, folder, "documents"))
 
@@ -113,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op5_neighbours": op5_neighbours,
+    "op6_repeats": op6_repeats,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_secrets": op8_secrets,
     "op9_quality_classifier": op9_quality_classifier,
