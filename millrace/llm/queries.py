@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
+    language_model,
     mixing,
     near_duplicates,
     neighbours,
@@ -54,6 +55,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score(table(spark, folder, "documents"))
+
+
 def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -125,6 +130,7 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_language_model": op4_language_model,
     "op5_neighbours": op5_neighbours,
     "op6_repeats": op6_repeats,
     "op7_near_duplicates": op7_near_duplicates,
