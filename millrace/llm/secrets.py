@@ -295,13 +295,15 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         step,
         lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))),
     )
-    new = F.when(F.size("spans") > 0, clean).otherwise(text)
+    # a column of its own first: the length is then that of the finished text
+    found = F.size("spans") > 0
+    done = spanned.withColumn("new", F.when(found, clean).otherwise(text)).withColumn("found", found)
     columns = []
     for i, name in enumerate(names):
         value = F.col(f"c{i}")
         if name == "text":
-            value = new
+            value = F.col("new")
         elif name == "n_chars":
-            value = F.when(F.size("spans") > 0, F.length(new).cast("bigint")).otherwise(value)
+            value = F.when(F.col("found"), F.length("new").cast("bigint")).otherwise(value)
         columns.append(value.alias(name))
-    return spanned.select(*columns)
+    return done.select(*columns)
