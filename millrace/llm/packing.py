@@ -10,6 +10,7 @@ the loss against packing everything together is a few thousandths.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -28,7 +29,7 @@ LENGTH = 4096
 GROUP_TOKENS = 1 << 20
 GROUP_PIECES = 1 << 16
 # Words whose ids a worker remembers; beyond it starts to remember anew.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 PIECES = T.StructType(
     [
@@ -41,6 +42,16 @@ PIECES = T.StructType(
 )
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the rest follow 255."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class Memo(dict):
     """Ids by word, filled on first use and emptied when full."""
 
@@ -59,11 +70,13 @@ class WordEncoder:
     """Token ids of texts, equal to the tokenizer's own, with the words' ids remembered.
 
     Only for tokenizers whose words never span an ASCII blank, as those that drop white space: then
-    the ids of a text are the ids of its blank-separated chunks, one after the other. A chunk that is
-    ASCII letters with at most one mark behind goes to the model word by word; any other goes through
-    the whole tokenizer.
+    the ids of a text are the ids of its blank-separated chunks, one after the other. A chunk of ASCII
+    or Latin-1 letters with at most one mark behind goes straight to the model, in lower case and with
+    its bytes written as the byte-level alphabet writes them; any other goes through the whole tokenizer.
     """
 
+    PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:]?)")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -73,14 +86,14 @@ class WordEncoder:
         self._cores = Memo(self._core)
 
     def _core(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
         return np.array([t.id for t in self._model.tokenize(word)], "<u4").tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        if chunk.isascii():
-            if chunk.isalpha():
-                return self._cores[chunk.lower()]
-            if chunk[:-1].isalpha() and chunk[-1] in ".,!?;:":
-                return self._cores[chunk[:-1].lower()] + self._cores[chunk[-1]]
+        if plain := self.PLAIN.fullmatch(chunk):
+            word, mark = plain.groups()
+            return self._cores[word.lower()] + (self._cores[mark] if mark else b"")
         ids = self._tokenizer.encode(chunk, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
