@@ -35,19 +35,21 @@ def _shares(sources: DataFrame, most: int) -> DataFrame:
     What a capped source can't take goes to the others by weight. Each pass raises the level (words
     per unit of weight) until no further source is capped; only two sums per pass reach the driver.
     """
-    cap = F.col("source_size") * most
-    total = sources.agg(F.sum("source_size")).first()[0] or 0
-    capped, above, level, weights = -1, 0, 0, 1
-    while above != capped:
-        capped = above
-        over = cap * F.lit(weights) <= F.col("weight") * F.lit(level) if level else F.lit(False)
-        row = sources.agg(
-            F.count(F.when(over, 1)), F.sum(F.when(over, cap)), F.sum(F.when(~over, F.col("weight")))
+    cap = (F.col("source_size") * most).cast("double")
+    total, weights = sources.agg(F.sum("source_size"), F.sum("weight")).first()
+    total, weights, level, capped = total or 0, weights or 1, total or 0, 0
+    while True:
+        over = cap * float(weights) <= F.col("weight") * float(level)
+        held = sources.agg(
+            F.count(F.when(over, 1)),
+            F.sum(F.when(over, F.col("source_size"))),
+            F.sum(F.when(~over, F.col("weight"))),
         ).first()
-        above = row[0]
-        level, weights = total - (row[1] or 0), row[2] or 1
+        if held[0] == capped or held[2] is None:
+            break
+        capped, level, weights = held[0], total - most * held[1], held[2]
     share = F.col("weight") * F.lit(float(level)) / F.lit(float(weights))
-    return sources.withColumn("target", F.least(cap.cast("double"), share))
+    return sources.withColumn("target", F.least(cap, share))
 
 
 def fit(sizes: Sequence[int], counts: Sequence[int], budget: float) -> np.ndarray:
