@@ -29,10 +29,12 @@ COMMON = 192
 SHARED = 64
 HIDDEN = 32
 REACH = 3
-# Passes over the texts, and the share of positions that each masks.
+# Passes over the texts, and the share of positions that each masks; a small corpus masks more, up to
+# half of it, to come to so many positions.
 PASSES = 2
 MASKED = 0.05
-BATCH = 2048
+POSITIONS = 1 << 18
+BATCH = 1024
 RATE = 0.15
 CHUNK = 1 << 21
 # Logits are kept in this range, so that their exponentials can be summed as they are.
@@ -149,8 +151,8 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def vocabulary(texts: DataFrame, seed: int) -> Network:
-    """An untrained network whose classes and prior come from the counts of all words of all texts."""
+def vocabulary(texts: DataFrame, seed: int) -> tuple[Network, float]:
+    """An untrained network and the number of words, from the counts of all words of all texts."""
     counts = materialize(
         texts.select("text").mapInArrow(_counted, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")),
         "words",
@@ -159,12 +161,14 @@ def vocabulary(texts: DataFrame, seed: int) -> Network:
     known = common["word"].to_numpy(np.int64).view(_U)
     order = np.argsort(known)
     # what the shared classes hold: all other words, summed by class
-    rest = counts.join(F.broadcast(counts.sparkSession.createDataFrame(common[["word"]])), "word", "left_anti")
+    own = counts.sparkSession.createDataFrame([(w,) for w in common["word"].tolist()], "word bigint")
+    rest = counts.join(F.broadcast(own), "word", "left_anti")
     low = F.pmod(F.col("word"), F.lit(SHARED))
     shared = np.zeros(SHARED)
     for row in rest.groupBy(low.alias("class")).agg(F.sum("n").alias("n")).collect():
         shared[row["class"]] = row["n"]
-    return fresh(known[order], np.concatenate([common["n"].to_numpy(np.float64)[order], shared]), seed)
+    frequency = np.concatenate([common["n"].to_numpy(np.float64)[order], shared])
+    return fresh(known[order], frequency, seed), float(frequency.sum())
 
 
 def train_on(network: Network, around: np.ndarray, middle: np.ndarray, squares: list[np.ndarray]) -> None:
@@ -239,10 +243,11 @@ def _trained(network: Network, masked: float, seed: int):
 def train(docs: DataFrame, seed: int = 17) -> Network:
     """The network after all passes over all texts; without words it stays as it began."""
     texts = documents_of(docs).select("text")
-    network = vocabulary(texts, seed)
+    network, words = vocabulary(texts, seed)
+    masked = max(MASKED, min(0.5, POSITIONS / max(words, 1.0)))
     for turn in range(PASSES):
         parts = texts.mapInArrow(
-            _trained(network, MASKED, seed + turn), "weight bigint, total double, seen double"
+            _trained(network, masked, seed + turn), "weight bigint, total double, seen double"
         )
         mean = parts.groupBy("weight").agg((F.sum("total") / F.sum("seen")).alias("value"))
         values = mean.toPandas().sort_values("weight")  # one row per weight of the network
@@ -261,7 +266,7 @@ def _scored(network: Network):
                 span = slice(at, at + BATCH)
                 logs[span] = network.log_probability(around[span], middle[span])
             count = np.bincount(of, minlength=len(texts))
-            total = np.bincount(of, weights=logs, minlength=len(texts))
+            total = np.bincount(of, weights=logs, minlength=len(texts)).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0)[first : first + len(texts)], pa.array(count.astype(np.int64)), pa.array(total)],
                 names=["doc_id", "n_words", "log_likelihood"],
