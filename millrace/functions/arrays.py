@@ -63,14 +63,14 @@ def normalize(values: Column, mean: Sequence[float], std: Sequence[float]) -> Co
 
 
 def remap_contiguous(values: Column, value_set: Sequence[int] | None = None) -> Column:
-    """Values to their rank in the sorted value set; values outside it to 0.
+    """Values to their rank in the sorted value set; negative values and values outside it to 0.
 
     Without a declared set, the set is the distinct values of the row itself.
     """
     wide = values.cast("array<bigint>")
     if value_set is None:
         known = F.array_sort(F.array_distinct(wide))
-        return F.transform(wide, lambda v: F.array_position(known, v) - 1)
+        return F.transform(wide, lambda v: F.when(v < 0, 0).otherwise(F.array_position(known, v) - 1))
     ranks = {raw: rank for rank, raw in enumerate(sorted(set(value_set))) if raw >= 0}
     if not ranks:
         return wide if not value_set else F.transform(wide, lambda v: F.lit(0).cast("bigint"))
@@ -86,7 +86,8 @@ def remap_contiguous(values: Column, value_set: Sequence[int] | None = None) ->
         )
     ordered = F.array(*[F.lit(raw).cast("bigint") for raw in sorted(set(value_set))])
     return F.transform(
-        wide, lambda v: F.greatest(F.array_position(ordered, v) - 1, zero)
+        wide,
+        lambda v: F.when(v < 0, zero).otherwise(F.greatest(F.array_position(ordered, v) - 1, zero)),
     )
 
 

@@ -18,15 +18,21 @@ def label_text(label: Column, dtype: T.DataType) -> Column:
     return F.coalesce(text, F.lit("None"))
 
 
+def class_codes(class_names: Sequence[str]) -> dict[str, int]:
+    """The code of each class name: its place, the last one where a name is repeated."""
+    return {name: place for place, name in enumerate(class_names)}
+
+
 def encode_label(label: Column, dtype: T.DataType, class_names: Sequence[str]) -> Column:
-    """Index of the label's text in ``class_names``; an unknown label fails, naming it."""
+    """Code of the label's text among ``class_names``; an unknown label fails, naming it."""
     text = label_text(label, dtype)
-    names = list(class_names)
-    position = F.array_position(F.lit(names), text)
+    codes = class_codes(class_names)
+    position = F.array_position(F.lit(list(codes)), text)
     message = F.concat(
-        F.lit("label "), text, F.lit(" is not one of the class names " + repr(sorted(names)))
+        F.lit("label "), text, F.lit(" is not one of the class names " + repr(sorted(codes)))
     )
-    return F.when(position > 0, position - 1).otherwise(F.raise_error(message).cast("bigint"))
+    code = F.get(F.lit(list(codes.values())), (position - 1).cast("int")).cast("bigint")
+    return F.when(position > 0, code).otherwise(F.raise_error(message).cast("bigint"))
 
 
 def numeric_target(target: Column) -> Column:

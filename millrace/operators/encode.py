@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.labels import encode_label, label_text, numeric_target
+from millrace.functions.labels import class_codes, encode_label, label_text, numeric_target
 from millrace.functions.text import tokens
 from millrace.operators.joins import lookup_join
 from millrace.operators.position import numbered, ordered_position
 from millrace.session import materialize, spread
 
-# Up to this many class names are matched by an array literal, more by a join.
+# Up to this many class names are matched by an array literal, more by a join; the codes are the same.
 INLINE_CLASSES = 256
 
 
@@ -45,14 +45,14 @@ def encode_labels(
 ) -> DataFrame:
     """Adds the label code: place in ``class_names`` by text, or first-seen order without names.
 
-    A label outside the names fails the job and is named in the message.
+    Of a repeated name the last place counts. A label outside the names fails the job and is named in the message.
     """
     if not class_names:
         return factorize(df, column, order, out)
     dtype = df.schema[column].dataType
     if len(class_names) <= INLINE_CLASSES:
         return df.withColumn(out, encode_label(F.col(column), dtype, class_names))
-    rows = [(name, i) for i, name in enumerate(class_names)]
+    rows = list(class_codes(class_names).items())
     names = df.sparkSession.createDataFrame(rows, f"_name string, {out} bigint")
     text = label_text(F.col(column), dtype)
     joined = df.join(names, text == F.col("_name"), "left")
@@ -234,14 +234,21 @@ def spans_of(offsets: DataFrame) -> DataFrame:
     )
 
 
-def global_value_set(df: DataFrame, column: str) -> list[int]:
-    """The sorted distinct values of an array column over all rows.
+def value_ranks(df: DataFrame, column: str) -> DataFrame:
+    """``(value, rank)``: the distinct values of an array column over all rows, in rising order."""
+    distinct = df.select(F.explode(F.col(column).cast("array<bigint>")).alias("value")).distinct()
+    return numbered(distinct, ["value"], "rank")
 
-    Meant for mask values; more than 65,536 of them is no value set and refused.
+
+def remap_to_ranks(
+    df: DataFrame, column: str, ranks: DataFrame, order: Sequence[str], out: str = "remapped"
+) -> DataFrame:
+    """``(order, out)``: array values as their ranks in a table of any size.
+
+    Negative values, and values that the table lacks, become 0. ``order`` identifies a row.
     """
-    limit = 65536
-    distinct = df.select(F.explode(column).alias("v")).distinct().limit(limit + 1)
-    values = sorted(row["v"] for row in distinct.collect())
-    if len(values) > limit:
-        raise ValueError(f"column {column!r} has more than {limit} values")
-    return values
+    single = df.select(*order, F.posexplode(F.col(column).cast("array<bigint>")).alias("_at", "value"))
+    coded = lookup_join(single, ranks.filter("value >= 0"), ["value"], stored=True)
+    pair = F.struct("_at", F.coalesce("rank", F.lit(0).cast("bigint")).alias("rank"))
+    per_row = coded.groupBy(*order).agg(F.array_sort(F.collect_list(pair)).alias("_p"))
+    return per_row.select(*order, F.col("_p.rank").alias(out))

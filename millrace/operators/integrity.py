@@ -68,18 +68,20 @@ def pin_version(versions: DataFrame, requests: DataFrame) -> DataFrame:
     )
 
 
-def lineage(versions: DataFrame, max_rounds: int = 64) -> DataFrame:
+def lineage(versions: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """``(id, root, depth)`` for every version, following ``parent_version_id``.
 
-    Pointers are doubled each round, so a chain of a million versions takes twenty rounds. Each
-    round is stored, as its plan would otherwise double too. A cycle never ends and is refused.
+    Pointers are doubled each round, so a chain of a million versions takes twenty rounds. Rows that
+    have reached their root are stored once and not written again; the open ones are stored each
+    round, as their plan would double too. A cycle never ends: after the rounds that a chain of all
+    versions would take it is refused.
     """
     nodes = versions.select("id", F.col("parent_version_id").alias("up"))
     known = nodes.select(F.col("id").alias("up"), F.lit(True).alias("_known"))
-    # a parent outside the table makes its child a root
-    linked = nodes.join(known, "up", "left").select(
-        "id",
-        F.when(F.col("_known"), F.col("up")).alias("up"),
+    # a parent outside the table makes its child a root; versions without a parent need no lookup
+    parented = lookup_join(nodes.filter("up is not null"), known, ["up"])
+    linked = parented.select("id", F.when(F.col("_known"), F.col("up")).alias("up")).unionByName(
+        nodes.filter("up is null")
     )
     rows = materialize(linked.select(
         "id",
@@ -87,24 +89,23 @@ def lineage(versions: DataFrame, max_rounds: int = 64) -> DataFrame:
         F.col("up").isNotNull().cast("bigint").alias("depth"),
         F.col("up").isNull().alias("done"),
     ), "lineage")
-    for _ in range(max_rounds):
-        moving = rows.filter("not done")
+    ended, moving = rows.filter("done"), rows.filter("not done")
+    for _ in range(max_rounds or rows.count().bit_length() + 1):
         if moving.isEmpty():
-            return rows.drop("done")
-        # one popular ancestor may be where most pointers lead; the lookup spreads such a key
-        targets = rows.select(
+            return ended.drop("done")
+        targets = ended.unionByName(moving).select(
             F.col("id").alias("root"),
             F.col("root").alias("_next"),
             F.col("depth").alias("_more"),
             F.col("done").alias("_ended"),
         )
-        moved = lookup_join(moving, targets, ["root"], stored=True).select(
+        moved = materialize(lookup_join(moving, targets, ["root"], stored=True).select(
             "id",
             F.col("_next").alias("root"),
             (F.col("depth") + F.col("_more")).alias("depth"),
             F.col("_ended").alias("done"),
-        )
-        rows = materialize(rows.filter("done").unionByName(moved), "lineage")
+        ), "lineage")
+        ended, moving = ended.unionByName(moved.filter("done")), moved.filter("not done")
     raise ValueError("the version lineage holds a cycle")
 
 

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from millrace.session import materialize
 
-# A lookup table with at most this many rows is broadcast whole; the count is taken first.
-BROADCAST_ROWS = 200_000
 # A key with more than 1/HOT_SHARE of the weight counts as hot; there are fewer than HOT_SHARE.
 HOT_SHARE = 200
 SALTS = 64
@@ -22,32 +20,26 @@ def lookup_join(
     on: Sequence[str],
     weight: str | None = None,
     how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
     stored: bool = False,
 ) -> DataFrame:
-    """Join ``facts`` to a table with one row per key.
-
-    ``weight`` names the table's column with each key's number of fact rows; where the table has
-    none, the keys are counted, but only if the table is too large to broadcast.
-
-    A table within ``broadcast_rows`` is broadcast. Beyond that, its hot keys (fewer than
-    ``HOT_SHARE``) are broadcast and all other keys meet by shuffle; rows of hot keys are spread
-    over ``SALTS`` shuffle keys, so no task receives a whole hot key. Keys match null to null.
-    ``weight`` does not appear in the result. ``stored`` says that ``table`` is cheap to read twice.
+    """Join ``facts`` to a table with one row per key; null matches null.
+
+    The table is stored first (``stored`` says that it is already cheap to read), so Catalyst decides
+    on measured bytes whether it is broadcast. ``weight`` names the table's column with each key's
+    number of fact rows; it does not appear in the result. With it, keys of more than
+    ``1 / HOT_SHARE`` of all rows, of which there are fewer than ``HOT_SHARE``, are broadcast, their
+    rows spread over ``SALTS`` shuffle keys, and all other keys meet as usual. Without it, skewed
+    partitions are left to adaptive execution.
     """
     keys = list(on)
     if not stored:
         table = materialize(table, "lookup")
-    values = [c for c in table.columns if c not in keys and c != weight]
-    if table.count() <= broadcast_rows:
-        small = F.broadcast(table.drop(weight) if weight else table)
-        return null_safe_join(facts, small, keys, how)
     if weight is None:
-        weight = "_weight"
-        counted = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias(weight))
-        table = materialize(null_safe_join(table, counted, keys, "left").na.fill(0, [weight]), "lookup")
-
-    total = table.agg(F.sum(weight)).first()[0] or 0
+        return null_safe_join(facts, table, keys, how)
+    values = [c for c in table.columns if c not in keys and c != weight]
+    total, top = table.agg(F.sum(weight), F.max(weight)).first()
+    if not top or top * HOT_SHARE <= total:
+        return null_safe_join(facts, table.drop(weight), keys, how)
     hot_row = F.col(weight) * HOT_SHARE > total
     renamed = [F.col(c).alias(f"_hot_{c}") for c in values]
     hot = table.filter(hot_row).select(*keys, *renamed, F.lit(True).alias("_hot"))

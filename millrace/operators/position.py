@@ -21,8 +21,6 @@ from millrace.session import materialize
 PASS_BUCKETS = 4096
 # A bucket this small is sorted to read off the key at a rank.
 SORT_ROWS = 10_000
-# A table with at most this many rows may be numbered by one task; the count is taken first.
-SMALL_ROWS = 200_000
 # The leading hex digits of the hash that form the rank bucket: 65,536 buckets.
 HASH_DIGITS = 4
 
@@ -207,12 +205,8 @@ def ordered_position(
 
 
 def numbered(table: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
-    """Positions of a derived table (classes, vocabulary) that is usually small but need not be.
+    """Positions of a derived table (classes, vocabulary), however many rows it has.
 
-    The table is stored and counted; only within ``SMALL_ROWS`` one window numbers it.
+    The table is stored first, as the range bounds and the sort both read it.
     """
-    table = materialize(table, "numbered")
-    if table.count() > SMALL_ROWS:
-        return ordered_position(table, order, out)
-    columns = [F.col(o) if isinstance(o, str) else o for o in order]
-    return table.withColumn(out, F.row_number().over(Window.orderBy(*columns)).cast("bigint") - 1)
+    return ordered_position(materialize(table, "numbered"), order, out)

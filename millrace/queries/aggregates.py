@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.arrays import remap_contiguous
 from millrace.operators import catalog, runs, split
-from millrace.operators.encode import global_value_set, token_counts, words_of
+from millrace.operators.encode import remap_to_ranks, token_counts, value_ranks, words_of
 from millrace.operators.integrity import directory_sizes
 from millrace.operators.position import permuted_position
 from millrace.queries.registry import RUN_EVENTS, joined, query, run_events, sql_tokens, table
@@ -99,9 +99,8 @@ def row_value_set(spark, folder):
 def global_values(spark, folder):
     quantised = F.transform("embedding", lambda e: F.floor((e + 1) * 8))
     rows = table(spark, folder, "embeddings").select("vec_id", quantised.alias("v"))
-    values = global_value_set(rows, "v")
-    ranks = rows.select("vec_id", F.explode(remap_contiguous(F.col("v"), values)).alias("r"))
-    return ranks.groupBy("vec_id").agg(F.sum("r").alias("rank_sum"), F.max("r").alias("rank_max"))
+    ranks = remap_to_ranks(rows, "v", value_ranks(rows, "v"), ["vec_id"], "r")
+    return ranks.select("vec_id", F.explode("r").alias("r")).groupBy("vec_id").agg(F.sum("r").alias("rank_sum"), F.max("r").alias("rank_max"))
 
 
 @query(

@@ -21,9 +21,7 @@ def test_factorize_first_seen(spark):
     assert coded(spark, ["b", None, "a", None]) == [0, 1, 2, 1]
 
 
-@pytest.mark.parametrize("small", [0, 10**6])
-def test_factorize_by_either_way(spark, monkeypatch, small):
-    monkeypatch.setattr(position, "SMALL_ROWS", small)
+def test_factorize_many_labels(spark):
     labels = [str(i * i % 17) for i in range(100)]
     order = list(dict.fromkeys(labels))
     assert coded(spark, labels) == [order.index(x) for x in labels]
