@@ -11,7 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import lookup_join
+from millrace.operators.joins import lookup_join, null_safe_join
+from millrace.operators.position import ordered_position
+from millrace.session import materialize
 
 # Events that end a stream.
 TERMINAL_TRAINING = ("complete", "failed", "cancelled", "stream_end")
@@ -21,9 +23,8 @@ TERMINAL_INFERENCE = ("complete", "error")
 SUCCESS_STATES = ("completed", "ready", "success", "SUCCESS")
 FAILURE_STATES = ("failed", "failure", "FAILURE", "cancelled", "revoked", "REVOKED")
 ERROR_KEYS = ("error", "error_message")
-# Upload batch, backlog, and longest error texts.
+# Events of an upload batch, and the longest error texts of the event format.
 BATCH_EVENTS = 50
-BACKLOG_EVENTS = 10_000
 SUMMARY_CHARS = 500
 TRACEBACK_CHARS = 8192
 SCHEMA_VERSION = "1"
@@ -266,13 +267,27 @@ def upload_batches(
     seq: str = "seq",
     event_id: str = "event_id",
     batch_size: int = BATCH_EVENTS,
-    backlog: int = BACKLOG_EVENTS,
+    backlog: int | None = None,
 ) -> DataFrame:
-    """Adds the upload batch of each event: duplicates and the oldest beyond the backlog drop out."""
+    """Each event of a run once, oldest first, with its ``batch_id`` in the run.
+
+    All events are delivered. Only a caller whose receiver fails may give a ``backlog``: the newest so
+    many of each run are then kept. Positions come from one range sort of the keys, never from a
+    window over a run, so one run may hold most of the events.
+    """
     once = events.dropDuplicates([run, event_id])
-    newest = top_per_group(once, run, [F.desc(seq)], [event_id], backlog)
-    oldest_first = F.row_number().over(Window.partitionBy(run).orderBy(F.asc(seq))) - 1
-    return newest.withColumn("batch_id", F.floor(oldest_first / batch_size)).drop("rank")
+    placed = ordered_position(once.select(run, event_id, seq), [run, seq, event_id], "_pos")
+    spans = materialize(
+        placed.groupBy(run).agg(F.min("_pos").alias("_from"), F.count(F.lit(1)).alias("_n")), "spans"
+    )
+    joined = lookup_join(placed, spans.withColumn("_all", F.col("_n")), [run], weight="_n", stored=True)
+    place = F.col("_pos") - F.col("_from")
+    if backlog is not None:
+        first = F.greatest(F.col("_all") - F.lit(backlog), F.lit(0))
+        joined = joined.filter(place >= first)
+        place = place - first
+    numbers = joined.select(run, event_id, F.floor(place / batch_size).alias("batch_id"))
+    return null_safe_join(once, numbers, [run, event_id], "inner")
 
 
 def upload_accounting(events: DataFrame, call: str, event_id: str = "event_id") -> DataFrame:

@@ -48,15 +48,14 @@ def append_events(spark, folder):
 @query(
     "sk2_deliver_batches",
     f"""with {RUN_EVENTS},
-    r as (select run, seq, row_number() over (partition by run order by seq desc) as back from ev),
-    k as (select *, row_number() over (partition by run order by seq) - 1 as pos from r where back <= 50)
+    k as (select run, seq, row_number() over (partition by run order by seq) - 1 as pos from ev)
     select run, seq, cast(pos // 20 as bigint) as batch_id from k""",
 )
 def deliver_batches(spark, folder):
     ev = run_events(spark, folder).select("run", "seq", F.concat_ws(":", "run", "seq").alias("event_id"))
     path = fresh_path(spark, "delivered")
     # every event is sent twice, as after a lost answer
-    event_sink.deliver_batches(ev.unionByName(ev), path, batch_size=20, backlog=50)
+    event_sink.deliver_batches(ev.unionByName(ev), path, batch_size=20)
     return spark.read.parquet(path).select("run", "seq", "batch_id")
 
 

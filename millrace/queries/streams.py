@@ -39,7 +39,13 @@ def tail_log(spark, folder):
     runs.tail_log(spark, path, out).awaitTermination()
     found = read_batches(spark, out, "file string, offset bigint, line string")
     named = runs.with_event_ids(found.withColumn("log", log_of("file")), "log")
-    return named.select("log", "offset", F.get_json_object("line", "$.seq").cast("bigint").alias("seq"), "event_id")
+    # the ids name the file too, which differs from run to run; what they must be is distinct
+    distinct = named.groupBy("event_id").agg(F.first("log").alias("log"), F.first("offset").alias("offset"), F.first("line").alias("line"))
+    parts = F.split("event_id", ":")
+    return distinct.select(
+        "log", "offset", F.get_json_object("line", "$.seq").cast("bigint").alias("seq"),
+        F.concat_ws(":", F.element_at(parts, 1), F.element_at(parts, -1)).alias("event_id"),
+    )
 
 
 @query("sm2_exactly_once", "select distinct user_id || ':' || json_extract_string(props, '$.k') as event_id from events")
@@ -81,14 +87,13 @@ def dropped_streams(spark, folder):
 @query(
     "sm5_bounded_backlog",
     f"""with {RUN_EVENTS},
-    r as (select run, seq, row_number() over (partition by run order by seq desc) as back from ev),
-    k as (select *, row_number() over (partition by run order by seq) - 1 as pos from r where back <= 40)
+    k as (select run, seq, row_number() over (partition by run order by seq) - 1 as pos from ev)
     select run, seq, cast(pos // 15 as bigint) as batch_id from k""",
 )
 def bounded_backlog(spark, folder):
     stream = stream_runs(spark, folder).select("run", "seq", F.concat_ws(":", "run", "seq").alias("event_id"))
     out = fresh_path(spark, "backlog")
-    runs.deliver_stream(stream, out, batch_size=15, backlog=40).awaitTermination()
+    runs.deliver_stream(stream, out, batch_size=15).awaitTermination()
     return read_batches(spark, out, "run bigint, seq bigint, event_id string, batch_id bigint").select("run", "seq", "batch_id")
 
 

@@ -15,7 +15,11 @@ def raw_lines(reader, path: str) -> DataFrame:
     """Lines with the file, the piece of the file and the file size, by ``spark.read`` or
     ``spark.readStream``."""
     text = reader.format("text").option("lineSep", "\n").option("recursiveFileLookup", True)
-    return text.load(path).select(
+    return _located(text.load(path))
+
+
+def _located(lines: DataFrame) -> DataFrame:
+    return lines.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.col("_metadata.file_size").alias("_size"),
@@ -24,7 +28,7 @@ def raw_lines(reader, path: str) -> DataFrame:
 
 
 def offset_lines(raw: DataFrame) -> DataFrame:
-    """``(file, offset, line)`` of every complete line of a scan.
+    """``(file, offset, line, end)`` of every complete line of a scan; ``end`` is behind its feed.
 
     A file is read by many tasks. Inside one piece a running sum of line lengths gives the offset;
     the pieces before it are summed over one row per piece. A last line without its line feed is
@@ -57,9 +61,9 @@ def offset_lines(raw: DataFrame) -> DataFrame:
         starts, ["file", "_block"]
     )
     place = F.col("_start") + F.col("_before")
-    complete = place + F.col("_mark") + F.col("_len") <= F.col("_size")
+    end = place + F.col("_mark") + F.col("_len")
     offset = F.when(place > 0, place + F.col("_mark")).otherwise(place)
-    return placed.filter(complete).select("file", offset.alias("offset"), "line")
+    return placed.filter(end <= F.col("_size")).select("file", offset.alias("offset"), "line", end.alias("end"))
 
 
 def json_lines(lines: DataFrame) -> DataFrame:
@@ -71,16 +75,37 @@ def json_lines(lines: DataFrame) -> DataFrame:
     return clean.filter((F.trim("line") != "") & is_json_object(F.col("line")))
 
 
+def log_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, size)`` of the log files as they are listed; their contents aren't read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return listed.select(F.col("path").alias("file"), F.col("length").alias("size"))
+
+
+def new_lines(spark: SparkSession, path: str, seen: DataFrame) -> DataFrame:
+    """``(file, offset, line, end)`` of the lines that have ended behind ``seen(file, size)``.
+
+    A line that was still being written when its file had the size seen ends behind it, and is
+    returned now. Only files that have grown are read.
+    """
+    known = seen.groupBy("file").agg(F.max("size").alias("_seen"))
+    files = log_files(spark, path).join(known, "file", "left")
+    grown = [r["file"] for r in files.filter("size > coalesce(_seen, 0)").select("file").collect()]
+    if not grown:
+        return spark.createDataFrame([], "file string, offset bigint, line string, end bigint")
+    text = spark.read.format("text").option("lineSep", "\n").load(grown)
+    lines = offset_lines(_located(text)).join(known, "file", "left")
+    return lines.filter(F.col("end") > F.coalesce("_seen", F.lit(0))).drop("_seen")
+
+
 def scan_events(
     spark: SparkSession, path: str, replay: bool = True, seen: DataFrame | None = None
 ) -> DataFrame:
     """``(file, offset, line)`` of the events in a log.
 
-    With ``seen(file, size)`` only lines behind the sizes already seen are returned; without
-    ``replay`` and ``seen`` reading starts at the end, so there is nothing yet.
+    With ``seen(file, size)`` only lines that ended behind the sizes already seen are returned;
+    without ``replay`` and ``seen`` reading starts at the end, so there is nothing yet.
     """
-    events = json_lines(offset_lines(raw_lines(spark.read, path)))
     if seen is not None:
-        known = events.join(seen.select("file", F.col("size").alias("_seen")), "file", "left")
-        return known.filter(F.col("offset") >= F.coalesce("_seen", F.lit(0))).drop("_seen")
+        return json_lines(new_lines(spark, path, seen)).drop("end")
+    events = json_lines(offset_lines(raw_lines(spark.read, path))).drop("end")
     return events if replay else events.limit(0)

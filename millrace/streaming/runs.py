@@ -12,7 +12,6 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from millrace.functions.records import event_id
 from millrace.operators.joins import lookup_join
 from millrace.operators.runs import (
-    BACKLOG_EVENTS,
     BATCH_EVENTS,
     ERROR_KEYS,
     FAILURE_STATES,
@@ -21,8 +20,8 @@ from millrace.operators.runs import (
     first_terminal,
     upload_batches,
 )
-from millrace.session import fresh_path
-from millrace.sources.eventlog import json_lines, offset_lines, raw_lines
+from millrace.session import fresh_path, materialize
+from millrace.sources.eventlog import json_lines, new_lines, offset_lines, raw_lines
 from millrace.streaming.tables import latest_rows, read_batches, run_to_table, start, write_batch
 
 
@@ -35,15 +34,39 @@ def tail_log(
     """
 
     def handle(rows: DataFrame, batch: int) -> None:
-        write_batch(json_lines(offset_lines(rows)), table, batch)
+        write_batch(json_lines(offset_lines(rows)).drop("end"), table, batch)
 
     return start(raw_lines(spark.readStream, path), handle, checkpoint, **trigger)
 
 
+CURSORS = "file string, size bigint"
+
+
+def follow_log(spark: SparkSession, path: str, table: str) -> int:
+    """One look at a folder of growing logs: new events go to ``table``, their number is returned.
+
+    Beside the table lies how far each file has been read: the end of its last complete line, so a
+    line that is still being written is taken up by a later look. A look that is repeated after a
+    failure overwrites what it wrote before.
+    """
+    cursors = read_batches(spark, f"{table}-cursors", CURSORS)
+    look = (cursors.agg(F.max("batch")).first()[0] or 0) + 1
+    found = materialize(new_lines(spark, path, cursors.select("file", "size")), "lines")
+    events = json_lines(found).drop("end")
+    write_batch(events, table, look)
+    write_batch(found.groupBy("file").agg(F.max("end").alias("size")), f"{table}-cursors", look)
+    return read_batches(spark, table, "file string, offset bigint, line string").filter(F.col("batch") == look).count()
+
+
 def with_event_ids(lines: DataFrame, run: str = "file") -> DataFrame:
-    """Adds the stable id of each event: its own, else run and byte offset."""
+    """Adds the stable id of each event: its own, else its run, its file's name and byte offset.
+
+    A run may be written in several files, in each of which the offsets begin at 0.
+    """
     own = F.get_json_object("line", "$.event_id")
-    return lines.withColumn("event_id", event_id(own, F.col(run), F.col("offset")))
+    name = F.substring_index("file", "/", -1)
+    place = F.concat_ws(":", name, F.col("offset")) if run != "file" else F.col("offset")
+    return lines.withColumn("event_id", event_id(own, F.col(run), place))
 
 
 def deduplicate(
@@ -103,14 +126,26 @@ def deliver_stream(
     seq: str = "seq",
     key: str = "event_id",
     batch_size: int = BATCH_EVENTS,
-    backlog: int = BACKLOG_EVENTS,
     checkpoint: str | None = None,
     **trigger,
 ):
-    """Deliver each micro-batch in upload batches; what exceeds the backlog loses its oldest."""
+    """Deliver every event once, in upload batches that are numbered on over all micro-batches.
+
+    What the table already holds of earlier micro-batches is left out by id, and a run's numbers go
+    on behind its last batch. A batch is cut short at the end of a micro-batch.
+    """
+    spark = stream.sparkSession
+    kind = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
+    schema = f"{run} {kind[run]}, {key} {kind[key]}, batch_id bigint"
 
     def handle(rows: DataFrame, batch: int) -> None:
-        write_batch(upload_batches(rows, run, seq, key, batch_size, backlog), table, batch)
+        sent = read_batches(spark, table, schema, before=batch)
+        fresh = rows.join(sent.select(run, key).distinct(), [run, key], "left_anti")
+        numbered = upload_batches(fresh, run, seq, key, batch_size)
+        last = sent.groupBy(run).agg((F.max("batch_id") + 1).alias("_next"))
+        onward = numbered.join(last, run, "left")
+        number = F.col("batch_id") + F.coalesce("_next", F.lit(0))
+        write_batch(onward.withColumn("batch_id", number).drop("_next"), table, batch)
 
     return start(stream, handle, checkpoint, **trigger)
 
@@ -151,12 +186,14 @@ def operation_outcomes(
     failure: Sequence[str] = FAILURE_STATES,
     error_keys: Sequence[str] = ERROR_KEYS,
     delay: str = "1 minute",
+    keep_seconds: float = 86400.0,
 ) -> DataFrame:
-    """Outcome of each operation once event time has passed its deadline.
+    """Outcome of each operation: at its end state, or once event time has passed its deadline.
 
     State is the first row's time and the earliest end state; rows are read chunk by chunk and not
-    kept. An operation that is done ignores later rows. Operation and time are cast to text and
-    ``timestamp``.
+    kept. An operation that is done ignores later rows; its state is removed ``keep_seconds`` of
+    event time after the deadline, so the state does not grow with all operations there ever were.
+    Operation and time are cast to text and ``timestamp``.
     """
     success, failure = set(success), set(failure)
 
@@ -164,7 +201,11 @@ def operation_outcomes(
         start, ended, final, detail, done = (
             held.get if held.exists else (float("inf"), float("inf"), None, None, False)
         )
+        if done and held.hasTimedOut:
+            held.remove()
+            return
         if done:
+            held.setTimeoutTimestamp(max(int((start + timeout_seconds + keep_seconds) * 1000), held.getCurrentWatermarkMs() + 1))
             return
         for chunk in chunks:
             if chunk.empty:
@@ -177,11 +218,13 @@ def operation_outcomes(
                     ended, final, detail = float(first["at"]), first["state"], first["detail"]
         deadline = start + timeout_seconds
         passed = held.hasTimedOut or held.getCurrentWatermarkMs() > deadline * 1000
-        held.update((start, ended, final, detail, bool(passed)))
-        if not passed:
-            held.setTimeoutTimestamp(int(deadline * 1000) + 1)
-            return
         timely = ended <= deadline
+        finished = bool(passed or timely)
+        held.update((start, ended, final, detail, finished))
+        until = deadline + keep_seconds if finished else deadline
+        held.setTimeoutTimestamp(max(int(until * 1000), held.getCurrentWatermarkMs()) + 1)
+        if not finished:
+            return
         outcome = "timeout" if not timely else "success" if final in success else "failure"
         yield pd.DataFrame(
             {

@@ -106,13 +106,52 @@ def test_tail_resumes(spark, tmp_path):
     runs.tail_log(spark, str(folder), table, check).awaitTermination()
     lines = tables.read_batches(spark, table, "file string, offset bigint, line string")
     named = runs.with_event_ids(lines.withColumn("run", F.lit("r")), "run")
-    assert sorted(r["event_id"] for r in named.collect()) == ["own", "r:0", "r:0"]
+    ids = sorted(r["event_id"] for r in named.collect())
+    # two segments of one run: the offsets are alike, the ids are not
+    assert ids == ["own", "r:a.jsonl:0", "r:b.jsonl:0"]
 
 
-def test_backlog_per_batch(spark, source, tmp_path):
+def test_a_growing_log_is_followed_from_its_last_complete_line(spark, tmp_path):
+    folder, table = tmp_path / "log", str(tmp_path / "t")
+    folder.mkdir()
+    log = folder / "a.jsonl"
+    log.write_bytes(b'{"n":1}\n{"n":2')
+    assert runs.follow_log(spark, str(folder), table) == 1
+    assert runs.follow_log(spark, str(folder), table) == 0
+    with log.open("ab") as more:
+        more.write(b'2}\nnot json\n{"n":3}\n{"n"')
+    (folder / "b.jsonl").write_bytes(b'{"n":9}\n')
+    assert runs.follow_log(spark, str(folder), table) == 3
+    with log.open("ab") as more:
+        more.write(b':4}\n')
+    assert runs.follow_log(spark, str(folder), table) == 1
+    rows = tables.read_batches(spark, table, "file string, offset bigint, line string").collect()
+    found = sorted((r["file"].rsplit("/", 1)[1], r["offset"], json.loads(r["line"])["n"]) for r in rows)
+    assert found == [("a.jsonl", 0, 1), ("a.jsonl", 8, 22), ("a.jsonl", 26, 3), ("a.jsonl", 34, 4), ("b.jsonl", 0, 9)]
+
+
+def test_delivery_over_batches(spark, source, tmp_path):
     path = str(tmp_path / "b")
+    # every event comes twice, in one micro-batch or in several
     events = source.select("run", "seq", F.col("seq").cast("string").alias("event_id"))
-    runs.deliver_stream(events, path, backlog=1).awaitTermination()
-    out = tables.read_batches(spark, path, "run bigint, seq bigint, event_id string, batch_id bigint")
-    # a micro-batch with two events of one run keeps the newer
-    assert {r["seq"] for r in out.collect()} == {1, 2, 4, 3 + 2, 6, 7, 8, 9, 10} - {3}
+    for _ in range(2):
+        runs.deliver_stream(events, path, batch_size=1, checkpoint=str(tmp_path / "c")).awaitTermination()
+    out = tables.read_batches(spark, path, "run bigint, seq bigint, event_id string, batch_id bigint").collect()
+    assert sorted(r["seq"] for r in out) == list(range(1, 11))
+    per_run = {}
+    for r in sorted(out, key=lambda r: r["seq"]):
+        per_run.setdefault(r["run"], []).append(r["batch_id"])
+    assert all(ids == list(range(len(ids))) for ids in per_run.values())
+
+
+def test_delivery_leaves_out_what_was_sent(spark, tmp_path):
+    folder, path = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    schema = "run string, seq bigint, event_id string"
+    for look, rows in enumerate([[("r", 1, "e1"), ("r", 2, "e2")], [("r", 2, "e2"), ("r", 3, "e3")], [("r", 1, "e1"), ("s", 1, "e1")]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(str(folder))
+        stream = spark.readStream.schema(schema).json(str(folder))
+        runs.deliver_stream(stream, path, batch_size=2, checkpoint=str(tmp_path / "c")).awaitTermination()
+    out = tables.read_batches(spark, path, schema + ", batch_id bigint")
+    found = sorted((r["run"], r["seq"], r["batch_id"]) for r in out.collect())
+    assert found == [("r", 1, 0), ("r", 2, 0), ("r", 3, 1), ("s", 1, 0)]
