@@ -20,12 +20,15 @@ from millrace.sources import archives, arrays, eventlog, folders, metadata, tabu
 @query(
     "sc1_scan_csv",
     "select cast(c_custkey as bigint) c_custkey, c_name, cast(c_nationkey as bigint) c_nationkey,"
-    " c_acctbal, c_mktsegment from customer",
+    " c_acctbal, c_mktsegment || chr(10) || 'a \"' || c_name || '\"; b' as c_mktsegment from customer",
 )
 def scan_csv(spark, folder):
+    # fields with line breaks, separators and quotes in them
     path = fresh_path(spark, "csv")
-    table(spark, folder, "customer").write.csv(path, sep=";", header=True)
-    return tabular.scan_csv(spark, path)
+    odd = F.concat("c_mktsegment", F.lit('\na "'), "c_name", F.lit('"; b'))
+    customers = table(spark, folder, "customer").withColumn("c_mktsegment", odd)
+    customers.write.csv(path, sep=";", header=True, escape='"')
+    return tabular.scan_csv(spark, path, ";")
 
 
 @query(
@@ -52,7 +55,7 @@ def scan_json(spark, folder):
     arrays_.write.partitionBy("part").format("text").save(path)
     # the reader takes *.json; Spark names text files *.txt, so the schema is given
     schema = "s_suppkey bigint, s_name string, s_nationkey bigint, s_acctbal double"
-    return tabular.scan_json(spark, path, schema)
+    return tabular.scan_json(spark, path, schema, "*.txt")
 
 
 @query(

@@ -75,13 +75,17 @@ def scan_csv(
     separator: str | None = None,
     schema: T.StructType | None = None,
     sampling: float = 1.0,
+    multi_line: bool = True,
 ) -> DataFrame:
     """A CSV table with header; the separator is sniffed and the types are inferred.
 
-    Give ``schema`` for large data: inferring types reads the files once more.
+    A quoted field may hold line breaks, and quotes written twice. Give ``schema`` for large data:
+    inferring types reads the files once more. With ``multi_line=False``, for data known to have no
+    line break inside quotes, one file is read by many tasks.
     """
     separator = separator or sniff_separator(spark, path)
-    reader = spark.read.option("header", True).option("sep", separator).option("multiLine", False)
+    reader = spark.read.option("header", True).option("sep", separator)
+    reader = reader.option("escape", '"').option("multiLine", multi_line)
     if schema is None:
         schema = _plain(
             reader.option("inferSchema", True).option("samplingRatio", sampling).csv(path).schema
@@ -93,13 +97,20 @@ def scan_tsv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return scan_csv(spark, path, "\t", schema)
 
 
-def scan_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Files that each hold one JSON array of records; ``meta.json`` is metadata, not data."""
+# File names that end in .json, but for meta.json, as a file pattern: what differs at each letter.
+JSON_FILES = "{[^m]*,m,me,met,m[^e]*,me[^t]*,met[^a]*,meta[^.]*,meta.?*}.json"
+
+
+def scan_json(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, files: str = JSON_FILES
+) -> DataFrame:
+    """Files that each hold one JSON array of records; ``meta.json`` is metadata, not data.
+
+    ``files`` says which files of a folder are read, also when the schema is inferred from them.
+    """
     reader = spark.read.option("multiLine", True).option("recursiveFileLookup", True)
-    if schema is None:
-        schema = reader.option("pathGlobFilter", "*.json").json(path).schema
-    table = reader.schema(schema).json(path)
-    return table.filter(F.col("_metadata.file_name") != "meta.json")
+    reader = reader.option("pathGlobFilter", files)
+    return (reader if schema is None else reader.schema(schema)).json(path)
 
 
 def scan_jsonl(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -121,6 +132,14 @@ def project_layout(table: DataFrame, layout: Mapping[str, Mapping[str, object]])
 def scan_tabular(
     spark: SparkSession, path: str, layout: Mapping[str, Mapping[str, object]]
 ) -> DataFrame:
-    """A CSV or Parquet table as the columns of a layout; only those are read from Parquet."""
-    table = scan_csv(spark, path, ",") if path.endswith(".csv") else spark.read.parquet(path)
+    """A CSV or Parquet table as the columns of a layout; only those are read from Parquet.
+
+    A folder of another name stands for the first CSV or Parquet file in it by name.
+    """
+    if not path.rstrip("/").endswith((".csv", ".parquet")):
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.{csv,parquet}").load(path)
+        path = listed.agg(F.min("path")).first()[0]
+        if path is None:
+            raise ValueError("the folder holds no CSV or Parquet file")
+    table = scan_csv(spark, path, ",") if path.rstrip("/").endswith(".csv") else spark.read.parquet(path)
     return project_layout(table, layout)
