@@ -55,13 +55,20 @@ def roles_from_binding(binding: Mapping[str, object]) -> dict[str, str] | None:
     return roles or None
 
 
-def resolve_column(
-    columns: Sequence[str], name: object, wanted: Sequence[str], roles: Mapping[str, str]
-) -> str | None:
-    """A column by its literal name, else the first one with a wanted role."""
-    if isinstance(name, str) and name in columns:
-        return name
-    return next((c for c, role in roles.items() if role in wanted and c in columns), None)
+def first_present(columns: Sequence[str], candidates: Sequence[object]) -> str | None:
+    """The first candidate that is a column."""
+    return next((c for c in candidates if isinstance(c, str) and c in columns), None)
+
+
+def with_role(roles: Mapping[str, str], wanted: Sequence[str]) -> list[str]:
+    return [name for name, role in roles.items() if role in wanted]
+
+
+def trains_next_token(binding: Mapping[str, object]) -> bool:
+    """Whether a binding asks the loader for next-token targets."""
+    own = binding.get("self_supervised")
+    asked = {"kind": "next_token", "where": "loader"}
+    return isinstance(own, Mapping) and all(own.get(k) == v for k, v in asked.items())
 
 
 def project_roles(df: DataFrame, roles: Mapping[str, str]) -> DataFrame:
@@ -98,17 +105,14 @@ def bound_columns(
 
     Without a target, next-token training falls back to a column named ``target``.
     """
-    source = resolve_column(df.columns, binding.get("input_column"), BOUND_INPUT_ROLES, roles)
+    named = binding.get
+    inputs = [named("input_column"), *with_role(roles, BOUND_INPUT_ROLES)]
+    targets = [named("target_column"), *with_role(roles, BOUND_TARGET_ROLES)]
+    if trains_next_token(binding):
+        targets.append("target")
+    source, target = (first_present(df.columns, side) for side in (inputs, targets))
     if source is None:
         raise ValueError("the binding names no input column of this table")
-    target = resolve_column(df.columns, binding.get("target_column"), BOUND_TARGET_ROLES, roles)
-    own = binding.get("self_supervised")
-    next_token = isinstance(own, Mapping) and (own.get("kind"), own.get("where")) == (
-        "next_token",
-        "loader",
-    )
-    if target is None and next_token and "target" in df.columns:
-        target = "target"
     return source, target
 
 

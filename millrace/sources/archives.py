@@ -6,7 +6,10 @@ import io
 import stat
 import tarfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+from functools import partial
 from pathlib import PurePosixPath
 
 import pandas as pd
@@ -17,45 +20,60 @@ MAX_MEMBERS = 200_000
 MAX_BYTES = 8 * 1024**3
 
 
-def _check_name(name: str) -> None:
-    path = PurePosixPath(name.replace("\\", "/"))
-    if path.is_absolute() or ".." in path.parts:
-        raise ValueError(f"archive member leaves its folder: {name}")
-
-
-def _check_size(sizes: list[int], max_members: int, max_bytes: int) -> None:
-    if len(sizes) > max_members:
-        raise ValueError(f"archive has {len(sizes)} members, more than {max_members}")
-    if sum(max(0, s) for s in sizes) > max_bytes:
-        raise ValueError(f"archive unpacks to {sum(sizes)} bytes, more than {max_bytes}")
-
-
-def _zip_members(content: bytes, limits: tuple[int, int]) -> Iterator[tuple[str, bytes]]:
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        members = archive.infolist()
-        _check_size([m.file_size for m in members], *limits)
-        for member in members:
-            _check_name(member.filename)
-            if stat.S_ISLNK(member.external_attr >> 16):
-                raise ValueError(f"archive member is a link: {member.filename}")
-        for member in members:
-            if not member.is_dir():
-                yield member.filename, archive.read(member)
-
-
-def _tar_members(content: bytes, limits: tuple[int, int]) -> Iterator[tuple[str, bytes]]:
-    with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as archive:
-        members = archive.getmembers()
-        _check_size([m.size for m in members], *limits)
-        for member in members:
-            _check_name(member.name)
-            if member.issym() or member.islnk():
-                raise ValueError(f"archive member is a link: {member.name}")
-            if not (member.isdir() or member.isfile()):
-                raise ValueError(f"archive member is no plain file: {member.name}")
-        for member in members:
-            if member.isfile():
-                yield member.name, archive.extractfile(member).read()
+@dataclass
+class Entry:
+    """One member of an archive, whatever its format."""
+
+    name: str
+    size: int
+    kind: str  # "file", "folder", "link" or "other"
+    read: Callable[[], bytes]
+
+
+def _zip_kind(info: zipfile.ZipInfo) -> str:
+    if stat.S_ISLNK(info.external_attr >> 16):
+        return "link"
+    return "folder" if info.is_dir() else "file"
+
+
+def _tar_kind(info: tarfile.TarInfo) -> str:
+    kinds = {"link": info.issym() or info.islnk(), "folder": info.isdir(), "file": info.isfile()}
+    return next((kind for kind, true in kinds.items() if true), "other")
+
+
+@contextmanager
+def _opened(content: bytes) -> Iterator[list[Entry]]:
+    """The entries of a zip or tar archive; they can be read while it is open."""
+    data = io.BytesIO(content)
+    if zipfile.is_zipfile(data):
+        with zipfile.ZipFile(data) as archive:
+            yield [
+                Entry(i.filename, i.file_size, _zip_kind(i), partial(archive.read, i))
+                for i in archive.infolist()
+            ]
+        return
+    data.seek(0)
+    with tarfile.open(fileobj=data, mode="r:*") as archive:
+        yield [
+            Entry(i.name, i.size, _tar_kind(i), lambda i=i: archive.extractfile(i).read())
+            for i in archive.getmembers()
+        ]
+
+
+def _refusal(entries: list[Entry], max_members: int, max_bytes: int) -> str | None:
+    """Why an archive is not unpacked, if there is a reason."""
+    unpacked = sum(max(0, e.size) for e in entries)
+    if len(entries) > max_members:
+        return f"archive has {len(entries)} members, more than {max_members}"
+    if unpacked > max_bytes:
+        return f"archive unpacks to {unpacked} bytes, more than {max_bytes}"
+    for entry in entries:
+        path = PurePosixPath(entry.name.replace("\\", "/"))
+        if path.is_absolute() or ".." in path.parts:
+            return f"archive member leaves its folder: {entry.name}"
+        if entry.kind in ("link", "other"):
+            return f"archive member is a {entry.kind} and no plain file: {entry.name}"
+    return None
 
 
 def scan_archive_members(
@@ -74,29 +92,22 @@ def unpack(
     Every member is checked before the first is read. One task reads one archive and passes its
     members on one by one. ``relative`` leaves out a single top folder.
     """
-    limits = (max_members, max_bytes)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for archive, content in zip(batch["path"], batch["content"], strict=True):
-                zipped = zipfile.is_zipfile(io.BytesIO(content))
-                names = _names(content, zipped)
-                tops = {n.split("/", 1)[0] for n in names if "/" in n and not n.startswith(".")}
-                strip = f"{next(iter(tops))}/" if len(tops) == 1 else ""
-                members = _zip_members if zipped else _tar_members
-                for name, data in members(content, limits):
-                    yield pd.DataFrame(
-                        {"archive": [archive], "member": [name],
-                         "relative": [name.removeprefix(strip)], "content": [data]}
-                    )
+                with _opened(content) as entries:
+                    if refusal := _refusal(entries, max_members, max_bytes):
+                        raise ValueError(refusal)
+                    nested = [e.name.split("/", 1)[0] for e in entries if "/" in e.name]
+                    tops = {top for top in nested if not top.startswith(".")}
+                    strip = f"{next(iter(tops))}/" if len(tops) == 1 else ""
+                    for entry in entries:
+                        if entry.kind == "file":
+                            yield pd.DataFrame(
+                                {"archive": [archive], "member": [entry.name],
+                                 "relative": [entry.name.removeprefix(strip)], "content": [entry.read()]}
+                            )
 
     schema = "archive string, member string, relative string, content binary"
     return archives.select("path", "content").mapInPandas(work, schema)
-
-
-def _names(content: bytes, zipped: bool) -> list[str]:
-    if zipped:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            return archive.namelist()
-    with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as archive:
-        return archive.getnames()
