@@ -15,10 +15,14 @@ def search(
     equals: Mapping[str, object] | None = None,
     tags: Sequence[str] | None = None,
     tag_column: str = "tags",
+    sort_by: str | None = None,
+    key: str = "id",
+    order: str = "desc",
 ) -> DataFrame:
     """Catalog rows that hold ``text`` (any case), match all given fields and share a tag.
 
-    A field given as None or ``all`` does not filter.
+    A field given as None or ``all`` does not filter. With ``sort_by`` the rows come in that order,
+    ties by ``key``, rows without a value last.
     """
     if text:
         hits = [F.contains(F.lower(F.col(c)), F.lit(text.lower())) for c in text_columns]
@@ -31,7 +35,7 @@ def search(
             catalog = catalog.filter(F.col(column) == value)
     if tags:
         catalog = catalog.filter(F.arrays_overlap(F.col(tag_column), F.lit(list(tags))))
-    return catalog
+    return catalog.orderBy(*_ordering(sort_by, key, order)) if sort_by else catalog
 
 
 def status_in(df: DataFrame, statuses: str | Sequence[str], column: str = "status") -> DataFrame:
@@ -41,7 +45,8 @@ def status_in(df: DataFrame, statuses: str | Sequence[str], column: str = "statu
 
 
 def _ordering(sort_by: str, key: str, order: str) -> list[Column]:
-    return [F.col(sort_by).desc() if order == "desc" else F.col(sort_by).asc(), F.col(key).asc()]
+    value = F.col(sort_by)
+    return [value.desc_nulls_last() if order == "desc" else value.asc_nulls_last(), F.col(key).asc()]
 
 
 def paginate(
@@ -57,12 +62,18 @@ def page_after(
     df: DataFrame, last: tuple[object, object] | None, limit: int = 20,
     sort_by: str = "created_at", key: str = "id", order: str = "desc",
 ) -> DataFrame:
-    """The page behind a row ``(sort value, key)``: a deep page costs no more than the first."""
+    """The page behind a row ``(sort value, key)``: a deep page costs no more than the first.
+
+    Rows without a sort value come after all others, by key.
+    """
     if last is not None:
         value = F.lit(last[0]).cast(df.schema[sort_by].dataType)
         ident = F.lit(last[1]).cast(df.schema[key].dataType)
+        tied = F.col(sort_by).eqNullSafe(value) & (F.col(key) > ident)
+        if last[0] is None:
+            return df.filter(tied).orderBy(*_ordering(sort_by, key, order)).limit(max(1, limit))
         beyond = F.col(sort_by) < value if order == "desc" else F.col(sort_by) > value
-        df = df.filter(beyond | ((F.col(sort_by) == value) & (F.col(key) > ident)))
+        df = df.filter(beyond | tied | F.col(sort_by).isNull())
     return df.orderBy(*_ordering(sort_by, key, order)).limit(max(1, limit))
 
 
