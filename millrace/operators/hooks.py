@@ -37,6 +37,25 @@ def transform_samples(
     return df
 
 
+def transform_pair(
+    df: DataFrame,
+    function: Callable[[pd.Series, pd.Series], pd.Series | tuple[pd.Series, pd.Series]],
+    returns: str = "array<float>",
+    target_returns: str = "bigint",
+) -> DataFrame:
+    """Apply ``function(x, y)``, which gives a new ``x``, or a new ``x`` and ``y``."""
+
+    def work(x: pd.Series, y: pd.Series) -> pd.DataFrame:
+        result = function(x, y)
+        pair = result if isinstance(result, tuple) else (result, y)
+        return pd.DataFrame({"x": pair[0], "y": pair[1]})
+
+    both = F.pandas_udf(work, f"x {returns}, y {target_returns}")
+    return df.withColumn("_pair", both("x", "y")).withColumns(
+        {"x": F.col("_pair.x"), "y": F.col("_pair.y")}
+    ).drop("_pair")
+
+
 def map_samples(df: DataFrame, function: FrameFunction, schema: str) -> DataFrame:
     """Map ``(x, y)`` rows to ``(x, y)`` rows, a chunk at a time; chunks carry no meaning."""
 

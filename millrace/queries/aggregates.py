@@ -123,21 +123,21 @@ def scorer_aggregates(spark, folder):
 
 @query(
     "ag8_collect_batches",
-    """with o as (select vec_id, label, embedding[1]::double as x,
+    """with o as (select vec_id, label, list_sum([v::double for v in embedding]) as x,
                        row_number() over (order by md5('42:' || vec_id), vec_id) - 1 as pos from embeddings)
     select cast(pos // 32 as bigint) as batch_id, array_to_string(list(vec_id order by pos), ' ') as ids,
-      array_to_string(list(label order by pos), ' ') as labels, round(sum(x), 5) as first_sum
+      array_to_string(list(label order by pos), ' ') as labels, round(sum(x), 5) as value_sum
     from o group by pos // 32""",
 )
 def collect_batches(spark, folder):
     rows = permuted_position(table(spark, folder, "embeddings"), ["vec_id"], 42)
     batches = split.collect_batches(split.assign_batches(rows, 32), ["vec_id", "embedding", "label"])
-    first = F.aggregate("embedding", F.lit(0.0), lambda a, e: a + F.get(e, F.lit(0)).cast("double"))
+    total = F.aggregate(F.flatten("embedding"), F.lit(0.0), lambda a, v: a + v.cast("double"))
     return batches.select(
         "batch_id",
         joined(F.col("vec_id")).alias("ids"),
         joined(F.col("label")).alias("labels"),
-        F.round(first, 5).alias("first_sum"),
+        F.round(total, 5).alias("value_sum"),
     )
 
 

@@ -53,23 +53,40 @@ def batch_transform(spark, folder):
 
 @query(
     "ud3_map_samples",
-    "select vec_id, cast(embedding[64] as double) as x, cast(label + 1 as bigint) as y from embeddings",
+    """select vec_id, round(list_sum([v::double * (v::double) for v in embedding]), 6) as x, cast(label + 1 as bigint) as y
+       from embeddings""",
 )
 def map_samples(spark, folder):
-    def last(chunk: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"vec_id": chunk["vec_id"], "x": [float(x[-1]) for x in chunk["x"]], "y": chunk["y"] + 1}
-        )
+    def squared(chunk: pd.DataFrame) -> pd.DataFrame:
+        x = [float((np.asarray(x, np.float64) ** 2).sum()) for x in chunk["x"]]
+        return pd.DataFrame({"vec_id": chunk["vec_id"], "x": x, "y": chunk["y"] + 1})
 
-    return hooks.map_samples(_pairs(spark, folder), last, "vec_id bigint, x double, y bigint")
+    found = hooks.map_samples(_pairs(spark, folder), squared, "vec_id bigint, x double, y bigint")
+    return found.withColumn("x", F.round("x", 6))
 
 
 @query(
     "ud4_transform_x_only",
-    "select vec_id, cast(len(embedding) as bigint) as x, cast(label as bigint) as y from embeddings",
+    """select vec_id, round(list_sum([v::double for v in embedding]), 6) as x, cast(label as bigint) as y from embeddings""",
 )
 def transform_x_only(spark, folder):
-    return hooks.map_column(_pairs(spark, folder), "x", lambda xs: xs.map(len), "bigint")
+    def total(xs: pd.Series) -> pd.Series:
+        return xs.map(lambda x: float(np.asarray(x, np.float64).sum()))
+
+    return hooks.map_column(_pairs(spark, folder), "x", total, "double").withColumn("x", F.round("x", 6))
+
+
+@query(
+    "ud4_transform_pair",
+    """select vec_id, round(label * list_sum([v::double for v in embedding]), 6) as x, cast(len(embedding) - label as bigint) as y
+       from embeddings""",
+)
+def transform_pair(spark, folder):
+    def weighed(xs: pd.Series, ys: pd.Series) -> tuple[pd.Series, pd.Series]:
+        return xs.map(lambda x: float(np.asarray(x, np.float64).sum())) * ys, xs.map(len) - ys
+
+    found = hooks.transform_pair(_pairs(spark, folder), weighed, "double", "bigint")
+    return found.withColumn("x", F.round("x", 6))
 
 
 @query("ud6_reader_by_format", "select o_orderkey as id, o_totalprice as price from orders")

@@ -127,17 +127,18 @@ def clip_token_ids(spark, folder):
 @query(
     "fn8_casts",
     """select vec_id, cast(label as bigint) as class_index, cast(cast(label as float) as double) as numeric_value,
-      round(cast(embedding[1] as double), 9) as same from embeddings""",
+      round(list_sum([v::double for v in embedding]), 6) as same from embeddings""",
 )
 def casts(spark, folder):
     from millrace.plans.prepare import transform_column
 
     label = F.col("label")
+    same = transform_column(F.col("embedding"), None)
     return table(spark, folder, "embeddings").select(
         "vec_id",
         transform_column(label, {"kind": "class_index"}).alias("class_index"),
         transform_column(label, {"kind": "numeric"}).cast("double").alias("numeric_value"),
-        F.round(F.get(transform_column(F.col("embedding"), None), F.lit(0)).cast("double"), 9).alias("same"),
+        F.round(F.aggregate(same, F.lit(0.0), lambda a, v: a + v.cast("double")), 6).alias("same"),
     )
 
 
