@@ -213,3 +213,17 @@ def test_text_layout():
     out = text_layout(layout, {"task_type": "language_modeling"}, binding)
     assert out["text"] == {"file": "c.txt", "self_supervised": "next_token", "sequence_length": 8}
     assert text_layout(layout, {"task_type": "other"}, binding) == layout
+
+
+def test_repeated_class_names_take_the_last_place(spark):
+    many = ["a", "b", "a", *[f"n{i}" for i in range(300)], "b"]
+    assert coded(spark, ["a", "b"], ["a", "b", "a"]) == [2, 1]
+    assert coded(spark, ["a", "b", "n7"], many) == [2, 303, 10]
+
+
+def test_ranks_of_a_value_set_of_any_size(spark):
+    rows = spark.createDataFrame([(0, [5, -2, 70_000]), (1, [5, 5]), (2, [])], "r bigint, v array<bigint>")
+    ranks = encode.value_ranks(rows, "v")
+    assert sorted(tuple(r) for r in ranks.select("value", "rank").collect()) == [(-2, 0), (5, 1), (70_000, 2)]
+    out = {r["r"]: r["remapped"] for r in encode.remap_to_ranks(rows, "v", ranks.filter("value < 9"), ["r"]).collect()}
+    assert out == {0: [1, 0, 0], 1: [1, 1]}

@@ -131,3 +131,23 @@ def test_images_and_artifacts(values):
     names = ["adapter_config.json", "README.md", "x.bin"]
     assert values(records.artifact_type(V), names, "string") == ["adapter", "readme", "weights"]
     assert values(records.bare_checksum(V), ["sha256:ab", "ab"], "string") == ["ab", "ab"]
+
+
+def test_redact_error_text(values):
+    given = ["error 'stream_token=abc' seen", "token=A&b=1", 'url "https://h/x?sig=Q" failed', "monkey=1 b=2", None]
+    out = values(text.redact_error(V), given, "string")
+    assert out == ["error 'stream_token=<redacted>' seen", "token=<redacted>&b=1", 'url "https://h/x?sig=<redacted>" failed', "monkey=<redacted> b=2", None]
+
+
+def test_unsafe_file_names_are_refused(values):
+    assert values(text.checked_filename(V), [" a.csv ", "con1.txt"], "string") == ["a.csv", "con1.txt"]
+    for bad in ("a/b", "c:x", "..", "", "NUL.txt", "a\\b"):
+        with pytest.raises(Exception, match="unsafe file name"):
+            values(text.checked_filename(V), [bad], "string")
+
+
+def test_negative_values_become_zero_on_every_path(values):
+    rows = [[-3, -1, 2]]
+    assert values(arrays.remap_contiguous(V), rows, "array<bigint>") == [[0, 0, 2]]
+    assert values(arrays.remap_contiguous(V, [-3, -1, 2]), rows, "array<bigint>") == [[0, 0, 2]]
+    assert values(arrays.remap_contiguous(V, [-3, -1, 2, 100_000]), rows, "array<bigint>") == [[0, 0, 2]]

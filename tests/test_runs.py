@@ -161,3 +161,24 @@ def test_lineage_with_a_popular_ancestor(spark):
     for child, parent in edges[1:]:
         depth[child] = depth[parent] + 1
     assert {r["id"]: (r["root"], r["depth"]) for r in integrity.lineage(table).collect()} == {k: (0, d) for k, d in depth.items()}
+
+
+def test_pages_reach_rows_without_a_sort_value(spark):
+    data = [(i, None if i % 3 == 0 else float(i % 5)) for i in range(30)]
+    table = spark.createDataFrame(data, "id bigint, v double")
+    for order in ("asc", "desc"):
+        seen, last = [], None
+        while page := catalog.page_after(table, last, 7, "v", "id", order).collect():
+            seen += [r["id"] for r in page]
+            last = (page[-1]["v"], page[-1]["id"])
+        assert sorted(seen) == list(range(30))
+        assert [i for i in seen if i % 3 == 0] == seen[20:]
+    found = catalog.search(table.withColumn("name", F.lit("x")), "X", ["name"], sort_by="v").collect()
+    assert found[0]["v"] == 4.0 and found[-1]["v"] is None
+
+
+def test_every_event_is_delivered(spark):
+    table = spark.range(10_050).selectExpr("'r' as run", "id as seq", "concat('e', id) as event_id")
+    out = runs.upload_batches(table, batch_size=50)
+    assert out.count() == 10_050
+    assert out.filter("batch_id <> seq div 50").count() == 0

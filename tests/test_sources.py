@@ -256,3 +256,36 @@ def test_native_image_source_agrees(spark, tmp_path):
     row = spark.read.format("image").load(str(tmp_path)).select("image.data").first()
     own = media.decode_image(png_file(pixels), "L")
     assert list(row["data"])[:64] == own.reshape(-1).tolist()[:64] or len(row["data"]) == 192
+
+
+def test_csv_with_line_breaks_and_doubled_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,t\n1,"two\nlines"\n2,"say ""hi"", ok"\n3,plain\n')
+    rows = tabular.scan_csv(spark, str(tmp_path / "a.csv")).orderBy("id").collect()
+    assert [r["t"] for r in rows] == ["two\nlines", 'say "hi", ok', "plain"]
+
+
+def test_json_inference_leaves_out_the_metadata(spark, tmp_path):
+    (tmp_path / "meta.json").write_text('{"format": "json", "id": "q"}')
+    for name in ("a", "m", "meta2", "metadata", "meta.part", "me"):
+        (tmp_path / f"{name}.json").write_text('[{"x": 1, "y": "u"}]')
+    table = tabular.scan_json(spark, str(tmp_path))
+    assert sorted(table.columns) == ["x", "y"] and table.count() == 6
+
+
+def test_tabular_folder_opens_its_first_table(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "c.csv").write_text("x,y\n3,4\n")
+    (tmp_path / "a.txt").write_text("no table")
+    rows = tabular.scan_tabular(spark, str(tmp_path), {"x": {}, "z": {"column": "y"}}).collect()
+    assert [tuple(r) for r in rows] == [(1, 2)]
+
+
+def test_a_line_that_was_being_written_is_read_later(spark, tmp_path):
+    log = tmp_path / "log.jsonl"
+    log.write_bytes(b'{"a":1}\n{"a":2')
+    listed = eventlog.log_files(spark, str(tmp_path)).collect()
+    before = spark.createDataFrame([tuple(r) for r in listed], "file string, size bigint")
+    with log.open("ab") as more:
+        more.write(b'2}\n')
+    rows = eventlog.scan_events(spark, str(tmp_path), seen=before).collect()
+    assert [(r["offset"], r["line"]) for r in rows] == [(8, '{"a":22}')]
