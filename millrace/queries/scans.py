@@ -95,6 +95,32 @@ def scan_text_lines(spark, folder):
     return text.explode_lines(docs, "doc_id").withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
+@query(
+    "sc6_scan_text_files",
+    f"""with l as (select unnest(list_filter(regexp_split_to_array(text, '{LINE_CLASS}'), lambda t: t <> '')) as text from documents)
+    select text, cast(count(*) as bigint) as n from l group by text""",
+)
+def scan_text_files(spark, folder):
+    path = fresh_path(spark, "corpus")
+    table(spark, folder, "documents").select("text").write.text(path)
+    lines = text.scan_text_lines(spark, path)
+    return lines.groupBy("text").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "sc9_list_class_folders",
+    """with c as (select lang, row_number() over (order by lang) - 1 as label from (select distinct lang from documents))
+    select 'lang=' || lang as class_name, cast(label as bigint) as label, cast(sum(octet_length(encode(text)) + 1) as bigint) as size_bytes
+    from documents join c using (lang) group by all""",
+)
+def list_class_folders(spark, folder):
+    # real files, a folder per class; however many files a class has, its bytes are the same
+    path = fresh_path(spark, "classes")
+    table(spark, folder, "documents").select("lang", "text").write.partitionBy("lang").text(path)
+    files = folders.class_folder_files(folders.list_files(spark, path), [".txt"])
+    return files.groupBy("class_name", "label").agg(F.sum("size_bytes").alias("size_bytes"))
+
+
 @query(
     "sc7_scan_arrays",
     """select vec_id, cast(label as bigint) as y, cast(i as bigint) as at,
