@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from millrace.functions.text import safe_basename, safe_component
+
 # Leading bytes of the image formats, as hex.
 IMAGE_MAGIC = [
     ("89504E470D0A1A0A", "png"),
@@ -117,6 +119,16 @@ def artifact_type(filename: Column) -> Column:
     return kind.otherwise("weights")
 
 
+def artifact_name(filename: Column, logical_key: Column, artifact_id: Column) -> Column:
+    """The local file name of an artifact: that of its file, else of its key, else its id.
+
+    Empty text counts as absent; a name that isn't safe falls back to the id.
+    """
+    own = F.concat(safe_component(artifact_id.cast("string")), F.lit(".bin"))
+    given = F.coalesce(F.nullif(filename, F.lit("")), F.nullif(logical_key, F.lit("")))
+    return safe_basename(given, own)
+
+
 def checksum(content: Column) -> Column:
     return F.sha2(content, 256)
 

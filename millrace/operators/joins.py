@@ -93,6 +93,19 @@ def pending_uploads(offered: DataFrame, committed: DataFrame, on: Sequence[str])
     return offered.join(committed.select(*on), list(on), "left_anti")
 
 
+def normalize_by_descriptor(
+    values: DataFrame, descriptors: DataFrame, column: str = "name", value: str = "v"
+) -> DataFrame:
+    """Values less the mean and over the spread that their column's descriptor names.
+
+    ``descriptors(name, mean, std)`` has one row per column; values of columns without one stay.
+    """
+    found = lookup_join(values, descriptors.select(F.col("name").alias(column), "mean", "std"), [column])
+    plain = F.col(value).cast("double")
+    scaled = F.when(F.col("mean").isNull(), plain).otherwise((plain - F.col("mean")) / F.col("std"))
+    return found.withColumn(value, scaled).drop("mean", "std")
+
+
 def verify_checksums(expected: DataFrame, actual: DataFrame, on: str = "file") -> DataFrame:
     """Compare ``checksum`` per file: ``ok``, ``mismatch``, ``missing`` or ``unexpected``.
 

@@ -118,10 +118,8 @@ def descriptor_lookup(spark, folder):
     declared = values.select("i", "name").distinct().filter("i < 32").select(
         "name", (F.col("i") / 100.0).alias("mean"), (1 + F.col("i") / 10.0).alias("std")
     )
-    looked_up = values.join(F.broadcast(declared), "name", "left")
-    plain = F.col("v").cast("double")
-    scaled = F.when(F.col("mean").isNull(), plain).otherwise((plain - F.col("mean")) / F.col("std"))
-    return looked_up.select("vec_id", "name", F.round(scaled, 6).alias("v"))
+    scaled = joins.normalize_by_descriptor(values, declared)
+    return scaled.select("vec_id", "name", F.round("v", 6).alias("v"))
 
 
 @query(

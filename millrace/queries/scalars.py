@@ -309,6 +309,24 @@ def redact(spark, folder):
     return events.select("event_id", text.redact(line).alias("message"), text.redact_url(url).alias("download_url"))
 
 
+@query(
+    "fn17_redact_error",
+    r"""select event_id, case event_type
+        when 'click' then 'error at ''stream_token=<redacted>'' again' when 'view' then 'X-Amz-Signature=<redacted>&b=' || event_id
+        when 'error' then 'get "https://h/x?a=1&sig=<redacted>" failed' else 'user=' || user_id end as message from events""",
+)
+def redact_error(spark, folder):
+    events = table(spark, folder, "events")
+    secret, kind = F.md5(F.col("event_id").cast("string")), F.col("event_type")
+    line = (
+        F.when(kind == "click", F.concat(F.lit("error at 'stream_token="), secret, F.lit("' again")))
+        .when(kind == "view", F.concat(F.lit("X-Amz-Signature="), secret, F.lit("&b="), F.col("event_id")))
+        .when(kind == "error", F.concat(F.lit('get "https://h/x?a=1&sig='), secret, F.lit('" failed')))
+        .otherwise(F.concat(F.lit("user="), F.col("user_id")))
+    )
+    return events.select("event_id", text.redact_error(line).alias("message"))
+
+
 @query(
     "fn18_clean_text",
     r"""with c as (select doc_id, regexp_replace(text, '[\x00-\x08\x0b-\x1f\x{7f}-\x{9f}]', '', 'g') as t from documents)
@@ -371,7 +389,8 @@ def artifact_type(spark, folder):
         .when(kind == "SMALL", "../README.md")
         .when(kind == "MEDIUM", F.concat(F.lit("weights\\model-"), key, F.lit(".bin")))
     )
-    name = text.safe_basename(F.coalesce(filename, logical), F.concat(key, F.lit(".bin")))
+    # an empty name counts as none
+    name = records.artifact_name(F.coalesce(filename, F.lit("")), logical, key)
     return table(spark, folder, "part").select(
         "p_partkey", records.artifact_type(name).alias("kind"), name.alias("file_name")
     )
