@@ -35,6 +35,11 @@ CHUNK_TEXTS = 50_000
 # One byte of each coordinate estimates the similarity of a candidate pair. A pair is verified unless
 # the estimate lies so many standard errors below the similarity that one in millions is lost.
 ERRORS = 5.0
+# Buckets up to this size are compared member by member where the heads left them apart; in larger
+# ones the rarest shingles decide who meets. Both find every link.
+SMALL_BUCKET = 64
+# Sizes of sets that count as alike, as a ratio, when it is decided how many rare shingles are needed.
+SIZE_STEP = 1.05
 # Each round at least halves the longest chain of links.
 ROUNDS = 64
 
@@ -235,6 +240,78 @@ def _sets(shingle: int, counted: bool):
     return run
 
 
+def _elements(shingle: int, counted: bool):
+    """Per text its shingles; one that occurs several times counts as so many, if counted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.as_py().encode("utf-8", "surrogatepass") for t in batch.column(1)]
+            found = []
+            for part in _chunks(texts):
+                of, value, times = shingles_of(part, shingle)
+                if counted:
+                    row = np.repeat(np.arange(len(of)), times)
+                    nth = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+                    of, value = of[row], np.where(nth > 0, _mix(value[row] + nth.astype(_U) * _STEP), value[row])
+                cut = np.searchsorted(of, np.arange(len(part) + 1))
+                found += [value[cut[i] : cut[i + 1]].view(np.int64) for i in range(len(part))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["doc", "elements"]
+            )
+
+    return run
+
+
+def rare_matches(sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``(a, b)`` of different labels that can be similar, by their rarest elements.
+
+    ``sets`` holds ``doc, elements, total, label, few``; ``a`` is one of the ``few``. All sets are put
+    in one order, the rarest elements first. The first element that two similar sets share stands so
+    early in both that enough others follow to make up the overlap they need; an element further
+    back can't be the first. How far back that is depends on both sizes, so sets meet by element and
+    size class. What is unique to a set fills its first places, so sets that differ too much from
+    all others meet none of them, however many there are.
+    """
+    share = similarity / (1 + similarity)
+    single = sets.select("doc", F.explode("elements").alias("e"))
+    common = single.groupBy("e").agg(F.count(F.lit(1)).alias("n"))
+    ordered = (
+        single.join(common, "e")
+        .groupBy("doc")
+        .agg(F.array_sort(F.collect_list(F.struct("n", "e"))).alias("order"))
+        .join(sets.select("doc", "total", "label", "few"), "doc")
+    )
+    step = float(np.log(SIZE_STEP))
+
+    def size_class(size: Column) -> Column:
+        return F.floor(F.log(size) / step)
+
+    total = F.col("total").cast("double")
+    reach = F.sequence(size_class(total * similarity), size_class(total / similarity))
+    first = F.slice("order", 1, F.floor(total * (1 - similarity)).cast("int") + 1)
+    placed = ordered.select(
+        "doc", "label", "few", "total", size_class(total).alias("own"), F.explode(reach).alias("other"),
+        first.alias("first"),
+    ).select("doc", "label", "few", "total", "own", "other", F.posexplode("first").alias("at", "el"))
+    rest = F.col("total") - F.col("at")
+    smallest = F.pow(F.lit(SIZE_STEP), F.col("other"))
+    useful = placed.select(
+        "doc", "label", "few", "total", "own", "other", F.col("el.e").alias("e"), rest.alias("rest")
+    ).filter(F.col("rest") >= share * (F.col("total") + smallest) - 1e-3)
+    useful = materialize(useful, "rare")
+    a, b = useful.filter("few").alias("a"), useful.alias("b")
+    enough = share * (F.col("a.total") + F.col("b.total")) - 1e-3
+    met = a.join(
+        b,
+        (F.col("a.e") == F.col("b.e"))
+        & (F.col("a.own") == F.col("b.other"))
+        & (F.col("a.other") == F.col("b.own"))
+        & (F.col("a.label") != F.col("b.label"))
+        & (F.least("a.rest", "b.rest") >= enough),
+    )
+    return met.select(F.col("a.doc").alias("a"), F.col("b.doc").alias("b"))
+
+
 def weighted_jaccard(a: bytes, b: bytes) -> float:
     """Sum of the smaller weights over sum of the larger, of two packed sets."""
     x, y = np.frombuffer(a, _U), np.frombuffer(b, _U)
@@ -360,6 +437,12 @@ def classes(
     def could_be(x: str, y: str) -> Column:  # totals too far apart rule a link out
         return F.least(x, y) >= F.lit(similarity) * F.greatest(x, y)
 
+    def text_of(wanted: DataFrame) -> DataFrame:
+        """``(doc, text)`` of the named docs."""
+        named = heads.join(wanted, "doc").select("doc", F.col("copy").alias("of"))
+        found = texts.join(named, F.col("doc_id") == F.col("doc")).filter(F.col("copy") == F.col("of"))
+        return found.select("doc", "text")
+
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs that are similar enough by their whole shingle sets."""
         sketch = heads.select("doc", "sketch")
@@ -371,10 +454,8 @@ def classes(
         )
         likely = materialize(sketched.mapInPandas(_likely(least), "a bigint, b bigint"), "likely")
         wanted = likely.select(F.col("a").alias("doc")).union(likely.select("b")).distinct()
-        named = heads.join(wanted, "doc").select("doc", F.col("copy").alias("of"))
-        found = texts.join(named, F.col("doc_id") == F.col("doc")).filter(F.col("copy") == F.col("of"))
         sets = materialize(
-            found.select("doc", "text").mapInArrow(_sets(shingle, counted), "doc bigint, set binary"), "sets"
+            text_of(wanted).mapInArrow(_sets(shingle, counted), "doc bigint, set binary"), "sets"
         )
         held = likely.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
         return materialize(held.mapInPandas(_similar(similarity), "a bigint, b bigint"), "verified")
@@ -391,20 +472,40 @@ def classes(
     per_label = placed.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
     mains = (
         per_label.groupBy("band")
-        .agg(F.max(F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("parts"))
+        .agg(
+            F.max(F.struct("n", "label")).alias("main"),
+            F.count(F.lit(1)).alias("parts"),
+            F.sum("n").alias("members"),
+        )
         .filter(F.col("parts") > 1)
-        .select("band", F.col("main.label").alias("main"))
+        .select("band", F.col("main.label").alias("main"), "members")
     )
     split = materialize(placed.join(mains, "band"), "split")
-    other = split.select(
+    small = split.filter(F.col("members") <= SMALL_BUCKET)
+    other = small.select(
         "band", F.col("doc").alias("doc_2"), F.col("label").alias("label_2"), F.col("total").alias("total_2")
     )
-    across = split.filter(F.col("label") != F.col("main")).join(other, "band").filter(
+    across = small.filter(F.col("label") != F.col("main")).join(other, "band").filter(
         (F.col("label") != F.col("label_2"))
         & could_be("total", "total_2")
         & ((F.col("label_2") == F.col("main")) | (F.col("doc") < F.col("doc_2")))
     )
-    rest = verified(across.select(F.least("doc", "doc_2").alias("a"), F.greatest("doc", "doc_2").alias("b")))
+    apart = across.select(F.col("doc").alias("a"), F.col("doc_2").alias("b"))
+    large = materialize(
+        split.filter(F.col("members") > SMALL_BUCKET)
+        .groupBy("doc")
+        .agg(
+            F.first("total").alias("total"),
+            F.first("label").alias("label"),
+            F.max(F.col("label") != F.col("main")).alias("few"),
+        ),
+        "large",
+    )
+    sets = text_of(large.select("doc")).mapInArrow(
+        _elements(shingle, counted), "doc bigint, elements array<bigint>"
+    )
+    apart = apart.union(rare_matches(materialize(sets.join(large, "doc"), "sets"), similarity))
+    rest = verified(apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     # the second links connect whole components
     label = first.select(F.col("doc").alias("of"), "label")
 

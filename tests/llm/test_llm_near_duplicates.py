@@ -101,13 +101,36 @@ def rows_of(seed):
 
 
 @pytest.mark.parametrize("weights", ["set", "count"])
-def test_classes_match_brute_force(spark, weights):
+@pytest.mark.parametrize("small", [near.SMALL_BUCKET, 1])
+def test_classes_match_brute_force(spark, weights, small, monkeypatch):
+    monkeypatch.setattr(near, "SMALL_BUCKET", small)
     rows = rows_of(3)
     docs = spark.createDataFrame([(*r, 1, "b") for r in rows], "doc_id bigint, text string, label int, band string")
     found = near.classes(docs, weights=weights).collect()
     assert sorted([(r["doc_id"], r["class_id"]) for r in found], key=repr) == brute(rows, weights == "count")
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_rare_elements_find_every_similar_pair(spark, seed):
+    rng = random.Random(seed)
+    base = rng.sample(range(10**9), 300)
+    sets = []
+    for doc in range(60):
+        own = set(base[: rng.choice([300, 300, 270, 200])])
+        for e in rng.sample(sorted(own), rng.randint(0, 60)):
+            own.discard(e)
+            if rng.random() < 0.8:
+                own.add(rng.randrange(10**9, 2 * 10**9))
+        sets.append((doc, sorted(own), len(own), doc % 7, doc % 3 == 0))
+    table = spark.createDataFrame(sets, "doc bigint, elements array<bigint>, total bigint, label bigint, few boolean")
+    found = {tuple(r) for r in near.rare_matches(table, 0.8).collect()}
+    for a, x, _, la, few in sets:
+        for b, y, _, lb, _ in sets:
+            both = len(set(x) & set(y))
+            if few and la != lb and both / (len(x) + len(y) - both) >= 0.8:
+                assert (a, b) in found
+
+
 def test_one_row_of_each_class_stays(spark):
     rows = rows_of(5)
     docs = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id bigint, text string, copy string, id int")
