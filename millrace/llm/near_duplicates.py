@@ -29,9 +29,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 32
 BAND_ROWS = 5
-# Texts whose shingles are looked at together: bytes, and texts.
-CHUNK = 1 << 22
-CHUNK_TEXTS = 50_000
+# Texts whose shingles are looked at together: bytes, and texts. A text has about a thousand darts.
+CHUNK = 1 << 20
+CHUNK_TEXTS = 1000
 # One byte of each coordinate estimates the similarity of a candidate pair. A pair is verified unless
 # the estimate lies so many standard errors below the similarity that one in millions is lost.
 ERRORS = 5.0
@@ -171,16 +171,17 @@ def dart_signatures(
     return signature
 
 
-def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
-    """Runs of texts of about ``CHUNK`` bytes."""
-    first, held = 0, 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= CHUNK or i + 1 - first >= CHUNK_TEXTS:
-            yield texts[first : i + 1]
-            first, held = i + 1, 0
-    if first < len(texts):
-        yield texts[first:]
+def _chunks(column: pa.Array) -> Iterator[list[bytes]]:
+    """The texts of a column in runs of about ``CHUNK`` bytes, encoded as they are needed."""
+    texts, held = [], 0
+    for value in column:
+        texts.append(value.as_py().encode("utf-8", "surrogatepass"))
+        held += len(texts[-1])
+        if held >= CHUNK or len(texts) >= CHUNK_TEXTS:
+            yield texts
+            texts, held = [], 0
+    if texts:
+        yield texts
 
 
 def _weights(times: np.ndarray, counted: bool) -> np.ndarray:
@@ -192,9 +193,8 @@ def _signed(bands: int, rows: int, shingle: int, counted: bool, seed: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.as_py().encode("utf-8", "surrogatepass") for t in batch.column(2)]
             totals, hashes, sketches = [], [], []
-            for part in _chunks(texts):
+            for part in _chunks(batch.column(2)):
                 of, value, times = shingles_of(part, shingle)
                 weight = _weights(times, counted)
                 signature = dart_signatures(of, value, weight, len(part), bands * rows, seed)
@@ -223,9 +223,8 @@ def _signed(bands: int, rows: int, shingle: int, counted: bool, seed: int):
 def _sets(shingle: int, counted: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.as_py().encode("utf-8", "surrogatepass") for t in batch.column(1)]
             packed = []
-            for part in _chunks(texts):
+            for part in _chunks(batch.column(1)):
                 of, value, times = shingles_of(part, shingle)
                 cut = np.searchsorted(of, np.arange(len(part) + 1))
                 for i in range(len(part)):
@@ -245,9 +244,8 @@ def _elements(shingle: int, counted: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.as_py().encode("utf-8", "surrogatepass") for t in batch.column(1)]
             found = []
-            for part in _chunks(texts):
+            for part in _chunks(batch.column(1)):
                 of, value, times = shingles_of(part, shingle)
                 if counted:
                     row = np.repeat(np.arange(len(of)), times)
