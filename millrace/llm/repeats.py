@@ -148,6 +148,15 @@ def _unpack(column: pd.Series, kind: str) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts) if parts else np.zeros(0, kind)), row
 
 
+def _codes(anchor: np.ndarray, buckets: int) -> np.ndarray:
+    """An anchor's bucket and, below it, the 32 bits that stand for the anchor in its bucket.
+
+    A bucket holds about a million anchors, so two of them rarely share their bits; where they do, a
+    stretch that nothing else holds is looked at in vain.
+    """
+    return ((anchor % _U(buckets)) << _U(32)) | (anchor >> _U(32))
+
+
 def _anchors(length: int, gram: int, buckets: int):
     """Of one group of texts, the distinct anchors, packed per bucket: of one document, and of more."""
 
@@ -156,7 +165,7 @@ def _anchors(length: int, gram: int, buckets: int):
         ids = group["doc_id"].to_numpy()
         for part, texts in _chunks(ids, _bytes(group["text"])):
             s = Stretches(texts, length, gram)
-            found.append(s.anchor)
+            found.append(_codes(s.anchor, buckets))
             owners.append(part[s.doc])
         anchor, owner = np.concatenate(found), np.concatenate(owners)
         order = np.lexsort([owner, anchor])
@@ -164,12 +173,12 @@ def _anchors(length: int, gram: int, buckets: int):
         new = np.ones(len(anchor), bool)
         new[1:] = (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])
         anchor, docs = np.unique(anchor[new], return_counts=True)
-        bucket = (anchor % _U(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        bucket = (anchor >> _U(32)).astype(np.int64)  # in order, as the codes are
+        cut = np.searchsorted(bucket, np.arange(buckets + 1))
+        anchor = anchor.astype(np.uint32)
         rows = []
         for b in np.unique(bucket).tolist():
-            span = order[cut[b] : cut[b + 1]]
+            span = np.arange(cut[b], cut[b + 1])
             single = docs[span] == 1
             rows.append(
                 (
@@ -192,8 +201,8 @@ def _repeated(hot: int):
     """Of one bucket of anchors, to each group those of its own that two documents or more hold."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        single, row1 = _unpack(rows["single"], "<u8")
-        several, row2 = _unpack(rows["several"], "<u8")
+        single, row1 = _unpack(rows["single"], "<u4")
+        several, row2 = _unpack(rows["several"], "<u4")
         docs, _ = _unpack(rows["docs"], "<u4")
         anchor = np.concatenate([single, several])
         row = np.concatenate([row1, row2])
@@ -208,17 +217,20 @@ def _repeated(hot: int):
             own = keep[cut[r] : cut[r + 1]]
             if len(own):
                 many = total[own] > hot
-                out.append((part, anchor[own[~many]].tobytes(), anchor[own[many]].tobytes()))
-        return pd.DataFrame(out, columns=["part", "shared", "hot"])
+                bucket = rows["bucket"].iloc[0]
+                out.append((part, bucket, anchor[own[~many]].tobytes(), anchor[own[many]].tobytes()))
+        return pd.DataFrame(out, columns=["part", "bucket", "shared", "hot"])
 
     return run
 
 
-REPEATED = "part bigint, shared binary, hot binary"
+REPEATED = "part bigint, bucket bigint, shared binary, hot binary"
 
 
-def _sorted_values(column: pd.Series) -> np.ndarray:
-    return np.sort(_unpack(column, "<u8")[0])
+def _sorted_codes(rows: pd.DataFrame, column: str) -> np.ndarray:
+    bits, row = _unpack(rows[column], "<u4")
+    bucket = rows["bucket"].to_numpy(np.int64)[row].astype(_U)
+    return np.sort((bucket << _U(32)) | bits.astype(_U))
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -228,7 +240,7 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[place] == values
 
 
-def _strings(length: int, gram: int, buckets: int):
+def _strings(length: int, gram: int, anchor_buckets: int, buckets: int):
     """Of one group of texts, the distinct strings under stretches with a shared anchor.
 
     Each comes with its key and the smallest of the group's documents that hold it, packed per
@@ -239,15 +251,16 @@ def _strings(length: int, gram: int, buckets: int):
         columns = ["bucket", "part", "keys", "docs", "sizes", "strings"]
         if not len(group) or not len(shared):
             return pd.DataFrame([], columns=columns)
-        known, hot = _sorted_values(shared["shared"]), _sorted_values(shared["hot"])
+        known, hot = _sorted_codes(shared, "shared"), _sorted_codes(shared, "hot")
         ids = group["doc_id"].to_numpy()
         keys, docs, deal, strings = [], [], [], []
         for part, texts in _chunks(ids, _bytes(group["text"])):
             s = Stretches(texts, length, gram)
-            plain = _among(s.anchor, known)
+            code = _codes(s.anchor, anchor_buckets)
+            plain = _among(code, known)
             start, stop = s.start[plain], s.stop[plain]
             owner, bucket = s.doc[plain], s.anchor[plain]
-            many = np.flatnonzero(_among(s.anchor, hot))
+            many = np.flatnonzero(_among(code, hot))
             if len(many):
                 times = s.stop[many] - s.start[many]
                 row = np.repeat(many, times)
@@ -359,17 +372,18 @@ def _judged(length: int):
                     (place[steps] - begin[of[steps]]).astype(np.uint32).tobytes(),
                     least[place[steps]].tobytes(),
                     b"",
+                    0,
                 )
             )
-        return pd.DataFrame(out, columns=["part", "keys", "counts", "steps", "holders", "hot"])
+        return pd.DataFrame(out, columns=["part", "keys", "counts", "steps", "holders", "hot", "bucket"])
 
     return run
 
 
-JUDGED = "part bigint, keys binary, counts binary, steps binary, holders binary, hot binary"
+JUDGED = "part bigint, keys binary, counts binary, steps binary, holders binary, hot binary, bucket bigint"
 
 
-def _cleared(length: int, gram: int):
+def _cleared(length: int, gram: int, anchor_buckets: int):
     """Of one group of texts, what is left of each when the windows held before it are removed."""
 
     def run(group: pd.DataFrame, judged: pd.DataFrame) -> pd.DataFrame:
@@ -379,7 +393,7 @@ def _cleared(length: int, gram: int):
         count, _ = _unpack(judged["counts"], "<u4")
         step, _ = _unpack(judged["steps"], "<u4")
         holder, _ = _unpack(judged["holders"], "<i8")
-        hot = _sorted_values(judged["hot"])
+        hot = _sorted_codes(judged, "hot")
         order = np.argsort(key, kind="stable")
         known = key[order]
         count = count.astype(np.int64)
@@ -388,7 +402,7 @@ def _cleared(length: int, gram: int):
         for part, texts in _chunks(group["doc_id"].to_numpy(), _bytes(group["text"])):
             s = Stretches(texts, length, gram)
             start, stop, doc = s.start, s.stop, s.doc
-            many = np.flatnonzero(_among(s.anchor, hot))
+            many = np.flatnonzero(_among(_codes(s.anchor, anchor_buckets), hot))
             if len(many):
                 times = stop[many] - start[many]
                 row = np.repeat(many, times)
@@ -467,17 +481,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_
     strings = (
         stored.groupBy("part")
         .cogroup(repeated.groupBy("part"))
-        .applyInPandas(_strings(length, gram, string_buckets), STRINGS)
+        .applyInPandas(_strings(length, gram, anchor_buckets, string_buckets), STRINGS)
     )
     judged = strings.groupBy("bucket").applyInPandas(_judged(length), JUDGED)
     none = F.lit(b"")
     hot = repeated.filter(F.octet_length("hot") > 0).select(
-        "part", *[none.alias(c) for c in ("keys", "counts", "steps", "holders")], "hot"
+        "part", *[none.alias(c) for c in ("keys", "counts", "steps", "holders")], "hot", "bucket"
     )
     cleared = (
         stored.groupBy("part")
         .cogroup(judged.unionByName(hot).groupBy("part"))
-        .applyInPandas(_cleared(length, gram), CLEARED)
+        .applyInPandas(_cleared(length, gram, anchor_buckets), CLEARED)
     )
     rest = texts.filter(~long | F.col("doc_id").isNull()).select(
         "doc_id",
