@@ -207,6 +207,6 @@ def ordered_position(
 def numbered(table: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
     """Positions of a derived table (classes, vocabulary), however many rows it has.
 
-    The table is stored first, as the range bounds and the sort both read it.
+    Such a table ends in an aggregate, whose shuffle serves both the range bounds and the sort.
     """
-    return ordered_position(materialize(table, "numbered"), order, out)
+    return ordered_position(table, order, out)
