@@ -4,7 +4,9 @@ Every word of a text is predicted from the words on both sides of it, as if it w
 the logarithms of these conditional probabilities scores the text. The network is small: the words
 around, each weighted by its distance, add up to a hidden layer, and a softmax over the classes of
 words predicts the middle one. The commonest words are classes of their own, all others share classes
-by hash.
+by hash. The probability of a word is that of its class times the word's share of its class, counted
+over all texts: the commonest of the other words are sent to all tasks, the rest meet their counts in a
+join by word.
 
 The classes come from the counts of all words of all texts. Training passes over all texts as well:
 each part of the table trains a copy of the network on the masked positions of its texts, and the
@@ -18,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.base import documents_of
@@ -34,6 +36,8 @@ REACH = 3
 PASSES = 2
 MASKED = 0.05
 POSITIONS = 1 << 18
+# Of the words that share classes, so many at most are sent to all tasks with their counts.
+SENT = 1 << 18
 BATCH = 1024
 RATE = 0.15
 CHUNK = 1 << 21
@@ -151,8 +155,39 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def vocabulary(texts: DataFrame, seed: int) -> tuple[Network, float]:
-    """An untrained network and the number of words, from the counts of all words of all texts."""
+@dataclass
+class Words:
+    """How often each word occurs in all texts, as ``word, n``, and all words of each shared class."""
+
+    counts: DataFrame
+    shared: np.ndarray
+
+    def sent(self, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Hashes and counts of the commonest words that are not ``known``, and the least count of these.
+
+        Words are counted per eighth of an octave of their counts, so that only those few numbers and
+        at most ``SENT`` words and the known ones reach the driver.
+        """
+        step = F.floor(F.log2("n") * 8)
+        held, least = 0, None
+        for row in self.counts.groupBy(step.alias("step")).agg(
+            F.count(F.lit(1)).alias("words"), F.min("n").alias("n")
+        ).orderBy(F.desc("step")).collect():
+            held += row["words"]
+            if held > SENT + len(known):
+                break
+            least = row["n"]
+        if least is None:  # nothing is sent
+            return np.zeros(0, _U), np.zeros(0, np.int64), np.iinfo(np.int64).max
+        found = self.counts.filter(F.col("n") >= least).toPandas().sort_values("word")
+        hashes, n = found["word"].to_numpy(np.int64).view(_U), found["n"].to_numpy(np.int64)
+        rest = np.flatnonzero(~np.isin(hashes, known))
+        rest = rest[np.argsort(hashes[rest])]
+        return hashes[rest], n[rest], int(least)
+
+
+def vocabulary(texts: DataFrame, seed: int) -> tuple[Network, Words]:
+    """An untrained network, and the counts of all words of all texts that its classes come from."""
     counts = materialize(
         texts.select("text").mapInArrow(_counted, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")),
         "words",
@@ -168,7 +203,7 @@ def vocabulary(texts: DataFrame, seed: int) -> tuple[Network, float]:
     for row in rest.groupBy(low.alias("class")).agg(F.sum("n").alias("n")).collect():
         shared[row["class"]] = row["n"]
     frequency = np.concatenate([common["n"].to_numpy(np.float64)[order], shared])
-    return fresh(known[order], frequency, seed), float(frequency.sum())
+    return fresh(known[order], frequency, seed), Words(counts, shared)
 
 
 def train_on(network: Network, around: np.ndarray, middle: np.ndarray, squares: list[np.ndarray]) -> None:
@@ -240,11 +275,12 @@ def _trained(network: Network, masked: float, seed: int):
     return run
 
 
-def train(docs: DataFrame, seed: int = 17) -> Network:
-    """The network after all passes over all texts; without words it stays as it began."""
+def fitted(docs: DataFrame, seed: int = 17) -> tuple[Network, Words]:
+    """The network after all passes over all texts, and their words; without any it stays as it began."""
     texts = documents_of(docs).select("text")
     network, words = vocabulary(texts, seed)
-    masked = max(MASKED, min(0.5, POSITIONS / max(words, 1.0)))
+    n = words.counts.agg(F.sum("n")).first()[0] or 0
+    masked = max(MASKED, min(0.5, POSITIONS / max(n, 1)))
     for turn in range(PASSES):
         parts = texts.mapInArrow(
             _trained(network, masked, seed + turn), "weight bigint, total double, seen double"
@@ -253,18 +289,29 @@ def train(docs: DataFrame, seed: int = 17) -> Network:
         values = mean.toPandas().sort_values("weight")  # one row per weight of the network
         if len(values):
             network = network.with_flat(values["value"].to_numpy())
-    return network
+    return network, words
+
+
+def train(docs: DataFrame, seed: int = 17) -> Network:
+    """The network of ``fitted``."""
+    return fitted(docs, seed)[0]
+
+
+def _log_of_classes(network: Network, hashes: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each word and the logarithm of its probability."""
+    around, middle = windows(hashes, of, network)
+    logs = np.empty(len(middle))
+    for at in range(0, len(middle), BATCH):
+        span = slice(at, at + BATCH)
+        logs[span] = network.log_probability(around[span], middle[span])
+    return middle, logs
 
 
 def _scored(network: Network):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, first, texts in _chunks(batches, 1):
             hashes, of = words_of(texts)
-            around, middle = windows(hashes, of, network)
-            logs = np.empty(len(middle))
-            for at in range(0, len(middle), BATCH):
-                span = slice(at, at + BATCH)
-                logs[span] = network.log_probability(around[span], middle[span])
+            _, logs = _log_of_classes(network, hashes, of)
             count = np.bincount(of, minlength=len(texts))
             total = np.bincount(of, weights=logs, minlength=len(texts)).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
@@ -275,17 +322,91 @@ def _scored(network: Network):
     return run
 
 
+def _scored_words(network: Network, shared: np.ndarray, sent: np.ndarray, n: np.ndarray):
+    """Sums over each text, and its distinct words whose counts were not sent, with how often each occurs."""
+    log_shared, log_n = np.log(np.maximum(shared, 1)), np.log(n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, first, texts in _chunks(batches, 1):
+            hashes, of = words_of(texts)
+            middle, logs = _log_of_classes(network, hashes, of)
+            count = np.bincount(of, minlength=len(texts))
+            own = np.bincount(of, weights=logs, minlength=len(texts)).astype(np.float64)
+            alike = np.flatnonzero(middle >= network.classes - SHARED)
+            hashes, of = hashes[alike], of[alike]
+            within = -log_shared[middle[alike] - (network.classes - SHARED)]
+            left = np.ones(len(hashes), bool)
+            if len(sent):
+                place = np.minimum(np.searchsorted(sent, hashes), len(sent) - 1)
+                left = sent[place] != hashes
+                within += np.where(left, 0.0, log_n[place])
+            share = np.bincount(of, weights=within, minlength=len(texts)).astype(np.float64)
+            hashes, of = hashes[left], of[left]
+            order = np.lexsort([hashes, of])
+            hashes, of = hashes[order], of[order]
+            new = np.ones(len(of), bool)
+            new[1:] = (of[1:] != of[:-1]) | (hashes[1:] != hashes[:-1])
+            at = np.flatnonzero(new)
+            times = np.diff(np.append(at, len(of)))
+            cut = pa.array(np.searchsorted(of[at], np.arange(len(texts) + 1)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0)[first : first + len(texts)],
+                    pa.array(count.astype(np.int64)),
+                    pa.array(own),
+                    pa.array(share),
+                    pa.ListArray.from_arrays(cut, pa.array(hashes[at].view(np.int64))),
+                    pa.ListArray.from_arrays(cut, pa.array(times.astype(np.int32))),
+                ],
+                names=["doc_id", "n_words", "classes", "share", "words", "times"],
+            )
+
+    return run
+
+
 def score(docs: DataFrame, seed: int = 17) -> DataFrame:
-    """Per document ``doc_id``, ``n_words``, ``log_likelihood``, ``mean_log`` and ``perplexity``.
+    """Per document ``doc_id``, ``n_words``, ``log_likelihood``, ``mean_log`` and ``perplexity`` of classes.
 
     ``log_likelihood`` is the sum over all words of the whole text of the logarithm of its class's
-    probability given ``REACH`` words on each side. Null text counts as empty; a text without words
-    has the sum 0, and null as mean and perplexity. Repeated rows are scored one by one.
+    probability given ``REACH`` words on each side; ``score_words`` has that of the words themselves.
+    Null text counts as empty; a text without words has the sum 0, and null as mean and perplexity.
+    Repeated rows are scored one by one.
     """
     network = train(docs, seed)
     texts = documents_of(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     scored = texts.mapInArrow(_scored(network), "doc_id bigint, n_words bigint, log_likelihood double")
+    return scored.select("doc_id", "n_words", "log_likelihood", *_means())
+
+
+def _means() -> list[Column]:
     mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
-    return scored.select(
-        "doc_id", "n_words", "log_likelihood", mean.alias("mean_log"), F.exp(-mean).alias("perplexity")
+    return [mean.alias("mean_log"), F.exp(-mean).alias("perplexity")]
+
+
+def score_words(docs: DataFrame, seed: int = 17) -> DataFrame:
+    """As ``score``, of the words themselves, and ``class_log_likelihood``, the part of their classes.
+
+    To the logarithm of its class's probability each word adds that of its share of the class, its
+    count over that of all words of the class in all texts. Every word of every text counts: those
+    whose counts were not sent meet them in a join, one row per text and word.
+    """
+    network, words = fitted(docs, seed)
+    texts = documents_of(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    sent, n, least = words.sent(network.known)
+    run = _scored_words(network, words.shared, sent, n)
+    schema = (
+        "doc_id bigint, n_words bigint, classes double, share double, words array<bigint>, times array<int>"
+    )
+    # ids may be null or repeated, so rows are numbered; stored, the numbers stay as they are
+    stored = materialize(
+        texts.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored"
+    )
+    single = stored.select("row", F.inline(F.arrays_zip("words", "times")).alias("word", "times"))
+    # a word that occurs once has the logarithm 0
+    counted = words.counts.filter((F.col("n") < least) & (F.col("n") > 1))
+    more = single.join(counted, "word").groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("more"))
+    total = F.col("classes") + F.col("share") + F.coalesce("more", F.lit(0.0))
+    summed = stored.drop("words", "times").join(more, "row", "left").select(
+        "doc_id", "n_words", total.alias("log_likelihood"), F.col("classes").alias("class_log_likelihood")
     )
+    return summed.select("doc_id", "n_words", "log_likelihood", *_means(), "class_log_likelihood")

@@ -56,7 +56,7 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_language_model(spark: SparkSession, folder: str) -> DataFrame:
-    return language_model.score(table(spark, folder, "documents"))
+    return language_model.score_words(table(spark, folder, "documents"))
 
 
 def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from millrace.llm import language_model as lm
-from millrace.llm.queries import table
+from millrace.llm.queries import op4_language_model, table
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -64,3 +64,45 @@ def test_odd_rows(spark):
     assert lm.score(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
     blank = spark.createDataFrame([(1, "")], "doc_id bigint, text string")
     assert lm.score(blank).first()["log_likelihood"] == 0.0
+
+
+@pytest.mark.parametrize("sent", [lm.SENT, 40, 0])
+def test_words_of_a_class_are_told_apart(spark, sent, monkeypatch):
+    monkeypatch.setattr(lm, "SENT", sent)
+    docs = table(spark, FOLDER, "documents").select("doc_id", "text").limit(200).cache()
+    network, words = lm.fitted(docs)
+    monkeypatch.setattr(lm, "fitted", lambda docs, seed: (network, words))
+    texts = dict(docs.collect())
+    counts, classes = {}, {}
+    hashed = {d: lm.words_of([(t or "").encode().lower()])[0] for d, t in texts.items()}
+    for hashes in hashed.values():
+        for h, c in zip(hashes.tolist(), network.class_of(hashes).tolist(), strict=True):
+            counts[h] = counts.get(h, 0) + 1
+            classes[c] = classes.get(c, 0) + 1
+    found = {r["doc_id"]: r for r in lm.score_words(docs).collect()}
+    assert len(found) == len(texts)
+    for doc in sorted(texts)[:40]:
+        n, total = plain(network, texts[doc] or "")
+        pairs = zip(hashed[doc].tolist(), network.class_of(hashed[doc]).tolist(), strict=True)
+        within = sum(np.log(counts[h] / classes[c]) for h, c in pairs)
+        row = found[doc]
+        assert row["n_words"] == n and row["class_log_likelihood"] == pytest.approx(total, rel=1e-3)
+        assert row["log_likelihood"] - row["class_log_likelihood"] == pytest.approx(within, rel=1e-9)
+
+
+def test_op4_scores_words_not_only_their_classes(spark, tmp_path):
+    # two rare words of one class: one occurs in many texts, the other once
+    rng = np.random.default_rng(1)
+    common = [f"c{i}" for i in range(lm.COMMON)]
+    rare = [f"r{i}" for i in range(4000)]
+    group = lm.words_of([" ".join(rare).encode()])[0] % np.uint64(lm.SHARED)
+    one, other = [w for w, g in zip(rare, group, strict=True) if g == 0][:2]
+    rows = [(i, " ".join(rng.choice(common, 200).tolist())) for i in range(60)]
+    rows += [(100 + i, f"{one} {common[0]}") for i in range(9)] + [(200, f"{other} {common[0]}")]
+    rows += [(None, ""), (200, f"{other} {common[0]}")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = op4_language_model(spark, str(tmp_path)).collect()
+    assert len(found) == len(rows)
+    by = {r["doc_id"]: r for r in found}
+    assert by[100]["class_log_likelihood"] == pytest.approx(by[200]["class_log_likelihood"])
+    assert by[100]["log_likelihood"] - by[200]["log_likelihood"] == pytest.approx(np.log(9 / 2))
