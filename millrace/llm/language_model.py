@@ -31,11 +31,8 @@ COMMON = 192
 SHARED = 64
 HIDDEN = 32
 REACH = 3
-# Passes over the texts, and the share of positions that each masks; a small corpus masks more, up to
-# half of it, to come to so many positions.
+# Passes over the texts; each masks its own part of the positions, and together they mask them all.
 PASSES = 2
-MASKED = 0.05
-POSITIONS = 1 << 18
 # Of the words that share classes, so many at most are sent to all tasks with their counts.
 SENT = 1 << 18
 BATCH = 1024
@@ -217,11 +214,13 @@ def train_on(network: Network, around: np.ndarray, middle: np.ndarray, squares:
     error[rows, middle] -= 1
     error /= n
     back = (error @ network.out) * (1 - hidden * hidden)
+    # sums by class of the words around, in the order of the classes
     into = np.zeros_like(network.into)
-    for place in range(around.shape[1]):
-        mark = np.zeros((n, len(into)), np.float32)
-        mark[rows, around[:, place]] = 1
-        into += mark.T @ (back * network.near[place])
+    order = np.argsort(around, axis=None, kind="stable")
+    classes = around.ravel()[order]
+    first = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]]))
+    each = (back[:, None, :] * network.near).reshape(around.size, -1)
+    into[classes[first]] = np.add.reduceat(each[order], first, axis=0)
     gradients = [
         into,
         (inner * back[:, None, :]).sum(axis=0),
@@ -234,7 +233,16 @@ def train_on(network: Network, around: np.ndarray, middle: np.ndarray, squares:
         weight -= RATE * gradient / (np.sqrt(square) + 1e-6)
 
 
-def _trained(network: Network, masked: float, seed: int):
+def turns(hashes: np.ndarray, of: np.ndarray, seed: int) -> np.ndarray:
+    """The pass that masks each position: by its word and place in its text alone, so one and the same
+    in every pass and in a task that runs again."""
+    count = np.bincount(of)
+    place = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+    draw = (hashes ^ (place.astype(_U) * _U(0x9E3779B97F4A7C15))) * _U(2 * seed + 0xBF58476D1CE4E5B9)
+    return ((draw >> _U(40)) * _U(PASSES)) >> _U(24)
+
+
+def _trained(network: Network, turn: int, seed: int):
     """Of one part of the table, the weights after a pass over its masked positions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,10 +253,7 @@ def _trained(network: Network, masked: float, seed: int):
         for _, _, texts in _chunks(batches, 0):
             hashes, of = words_of(texts)
             around, middle = windows(hashes, of, own)
-            # a position is masked by its word and place, so a task that runs again masks alike
-            place = np.arange(len(hashes), dtype=_U)
-            draw = (hashes ^ (place * _U(0x9E3779B97F4A7C15))) * _U(2 * seed + 0xBF58476D1CE4E5B9)
-            chosen = np.flatnonzero((draw >> _U(40)).astype(np.float64) < masked * 2.0**24)
+            chosen = np.flatnonzero(turns(hashes, of, seed) == turn)
             waiting.append((around[chosen], middle[chosen]))
             held += len(chosen)
             if held >= BATCH:
@@ -279,12 +284,8 @@ def fitted(docs: DataFrame, seed: int = 17) -> tuple[Network, Words]:
     """The network after all passes over all texts, and their words; without any it stays as it began."""
     texts = documents_of(docs).select("text")
     network, words = vocabulary(texts, seed)
-    n = words.counts.agg(F.sum("n")).first()[0] or 0
-    masked = max(MASKED, min(0.5, POSITIONS / max(n, 1)))
     for turn in range(PASSES):
-        parts = texts.mapInArrow(
-            _trained(network, masked, seed + turn), "weight bigint, total double, seen double"
-        )
+        parts = texts.mapInArrow(_trained(network, turn, seed), "weight bigint, total double, seen double")
         mean = parts.groupBy("weight").agg((F.sum("total") / F.sum("seen")).alias("value"))
         values = mean.toPandas().sort_values("weight")  # one row per weight of the network
         if len(values):

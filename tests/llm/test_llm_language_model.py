@@ -106,3 +106,23 @@ def test_op4_scores_words_not_only_their_classes(spark, tmp_path):
     by = {r["doc_id"]: r for r in found}
     assert by[100]["class_log_likelihood"] == pytest.approx(by[200]["class_log_likelihood"])
     assert by[100]["log_likelihood"] - by[200]["log_likelihood"] == pytest.approx(np.log(9 / 2))
+
+
+def test_passes_mask_disjoint_positions_that_cover_all(spark, monkeypatch):
+    texts = [b"one two three four five six seven " * 500, b"", b"one two"]
+    hashes, of = lm.words_of(texts)
+    turn = lm.turns(hashes, of, 17)
+    assert set(turn.tolist()) == set(range(lm.PASSES))
+    assert abs((turn == 0).mean() - 1 / lm.PASSES) < 0.05
+    # what a text masks does not depend on the texts it is read with
+    alone = lm.turns(*lm.words_of(texts[2:]), 17)
+    assert turn[-2:].tolist() == alone.tolist()
+    docs = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts * 200)], "doc_id bigint, text string")
+    network, _ = lm.vocabulary(docs.select("text"), 17)
+    seen = 0
+    for number in range(lm.PASSES):
+        rows = docs.select("text").coalesce(1).mapInArrow(
+            lm._trained(network, number, 17), "weight bigint, total double, seen double"
+        )
+        seen += rows.first()["seen"]
+    assert seen == len(hashes) * 200
