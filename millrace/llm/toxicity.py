@@ -3,7 +3,8 @@
 The categories are predicted one after the other: each is a linear model over the words of a text and
 over the probabilities of the categories before it. Those probabilities are out-of-fold predictions
 when the later models are trained, so a later model learns how far an earlier one can be trusted on
-texts it has not seen. The last category is the verdict.
+texts it has not seen. The last category is the verdict. Its cut is chosen on all labelled rows: by their
+out-of-fold probabilities those that the chain learned from, the others as counts per probability and label.
 
 Labels that only say toxic or not are split first: terms that mark toxic texts are gathered into
 groups that occur in the same texts (of one language, say), and each group is a category.
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.base import documents_of, labelled_sample
+from millrace.session import materialize
 
 SAMPLE_ROWS = 12_000
 KINDS = 4
@@ -35,6 +37,8 @@ RATE = 1.0
 RIDGE = 1e-4
 # What a clean text called toxic costs against a toxic one missed, when the cut is chosen.
 CLEAN_COST = 5.0
+# Rows that were not learned from are counted per step of the logarithm of the odds for this.
+STEP = 0.01
 REMEMBERED = 300_000
 MARKS = ".,!?;:\"'()[]{}|*#%&$<>-_"
 
@@ -130,6 +134,15 @@ def fit_link(x: np.ndarray, earlier: np.ndarray, label: np.ndarray) -> Link:
 
 def fit_chain(features: list[np.ndarray], chosen: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> Chain:
     """Links for the columns of ``labels`` in order; ``fold`` numbers the fold of each row."""
+    chain, verdict = fit_links(features, chosen, labels, fold)
+    chain.cut = least_cost(verdict, labels[:, -1])
+    return chain
+
+
+def fit_links(
+    features: list[np.ndarray], chosen: np.ndarray, labels: np.ndarray, fold: np.ndarray
+) -> tuple[Chain, np.ndarray]:
+    """As ``fit_chain``, without a cut, and each row's out-of-fold probability of the last category."""
     chain = Chain(chosen)
     x = chain.rows(features)
     outside = np.zeros((len(features), 0))  # out-of-fold probabilities of the links so far
@@ -141,19 +154,22 @@ def fit_chain(features: list[np.ndarray], chosen: np.ndarray, labels: np.ndarray
             predicted[~inside] = part.predict(x[~inside], outside[~inside])
         chain.links.append(fit_link(x, outside, labels[:, k]))
         outside = np.column_stack([outside, predicted])
-    chain.cut = least_cost(outside[:, -1], labels[:, -1])
-    return chain
+    return chain, outside[:, -1]
 
 
-def least_cost(probability: np.ndarray, label: np.ndarray) -> float:
-    """The cut with the least cost of wrong verdicts, in the middle (by odds) of the gap it lies in."""
+def least_cost(probability: np.ndarray, label: np.ndarray, rows: np.ndarray | None = None) -> float:
+    """The cut with the least cost of wrong verdicts, in the middle (by odds) of the gap it lies in.
+
+    Each probability and label stands for so many ``rows``, one if not given.
+    """
     if not (label == 1).any() or not (label == 0).any():
         return 0.5
     order = np.argsort(probability, kind="stable")
     p, y = np.clip(probability[order], 1e-6, 1 - 1e-6), label[order]
+    n = np.ones(len(y), np.int64) if rows is None else rows[order]
     # the first i rows are called clean
-    missed = np.concatenate([[0], np.cumsum(y)])
-    wrong = np.concatenate([[0], np.cumsum(1 - y)])
+    missed = np.concatenate([[0], np.cumsum(y * n)])
+    wrong = np.concatenate([[0], np.cumsum((1 - y) * n)])
     cost = missed + CLEAN_COST * (wrong[-1] - wrong)
     split = np.concatenate([[True], p[1:] > p[:-1], [True]])
     best = int(np.where(split, cost, np.inf).argmin())
@@ -211,8 +227,14 @@ def kinds_of(
     return found
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, seed: int = 9) -> Chain:
-    """A chain from at most ``rows`` labelled documents, half of them toxic if there are as many."""
+def learn(
+    docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, seed: int = 9
+) -> tuple[Chain, tuple[np.ndarray, np.ndarray], DataFrame]:
+    """A chain from at most ``rows`` labelled documents, half of them toxic if there are as many.
+
+    With it come the out-of-fold probabilities and labels of these, and ``(doc_id, label)`` of all
+    labelled rows it did not learn from.
+    """
     sample = labelled_sample(documents_of(docs), labels, "toxic", rows, seed)
     packed = F.pandas_udf(_packed, "binary")("text").alias("features")
     data = sample.select("doc_id", "label", packed).toPandas().sort_values("doc_id")
@@ -220,7 +242,48 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, seed: int
     label = data["label"].to_numpy(np.int64)
     chosen = informative(features, label)
     fold = np.array([zlib.crc32(f"{seed}:{d}".encode()) % FOLDS for d in data["doc_id"]], np.int64)
-    return fit_chain(features, chosen, kinds_of(features, chosen, label), fold)
+    chain, verdict = fit_links(features, chosen, kinds_of(features, chosen, label), fold)
+    known = (
+        labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
+        .groupBy("doc_id")
+        .agg(F.max("toxic").cast("int").alias("label"))
+    )
+    ids = [(d,) for d in data["doc_id"].tolist()]
+    learned = docs.sparkSession.createDataFrame(ids, sample.select("doc_id").schema)
+    return chain, (verdict, label), known.join(F.broadcast(learned), "doc_id", "left_anti")
+
+
+def cut_of(learned: tuple[np.ndarray, np.ndarray], others: DataFrame, scored: DataFrame) -> float:
+    """The cut of least cost over all labelled rows: those learned from, and the ``others``.
+
+    ``scored`` holds ``doc_id`` and ``toxicity`` of all documents. Only counts per step of the odds and
+    label reach the driver.
+    """
+    probability, label = learned
+    if others.isEmpty():
+        return least_cost(probability, label)
+    p = F.least(F.greatest(F.col("toxicity"), F.lit(1e-6)), F.lit(1 - 1e-6))
+    step = F.floor((F.log(p) - F.log1p(-p)) / STEP).alias("step")
+    counts = scored.join(others, "doc_id").groupBy(step, "label").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    odds = (counts["step"].to_numpy(np.float64) + 0.5) * STEP
+    return least_cost(
+        np.concatenate([probability, 1 / (1 + np.exp(-odds))]),
+        np.concatenate([label, counts["label"].to_numpy(np.int64)]),
+        np.concatenate([np.ones(len(label), np.int64), counts["n"].to_numpy(np.int64)]),
+    )
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, seed: int = 9) -> Chain:
+    """The chain of ``learn`` with its cut."""
+    chain, learned, others = learn(docs, labels, rows, seed)
+    chain.cut = cut_of(learned, others, _scores(docs, chain))
+    return chain
+
+
+def _scores(docs: DataFrame, chain: Chain) -> DataFrame:
+    """``doc_id``, ``kinds`` and ``toxicity`` of every row."""
+    scored = documents_of(docs).select("doc_id", probabilities(F.col("text"), chain).alias("kinds"))
+    return scored.withColumn("toxicity", F.element_at("kinds", -1))
 
 
 def probabilities(text: Column, chain: Chain) -> Column:
@@ -244,12 +307,10 @@ def score(docs: DataFrame, labels: DataFrame, seed: int = 9) -> DataFrame:
     rows are scored one by one; null ids and labels take no part in training. Without labels of both
     kinds nothing is toxic.
     """
-    chain = train(docs, labels, seed=seed)
-    scored = documents_of(docs).select("doc_id", probabilities(F.col("text"), chain).alias("kinds"))
-    toxicity = F.element_at("kinds", -1)
-    return scored.select(
-        "doc_id", "kinds", toxicity.alias("toxicity"), (toxicity >= chain.cut).alias("toxic")
-    )
+    chain, learned, others = learn(docs, labels, seed=seed)
+    scored = materialize(_scores(docs, chain), "toxicity")  # a few numbers per document
+    cut = cut_of(learned, others, scored)
+    return scored.withColumn("toxic", F.col("toxicity") >= cut)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, seed: int = 9) -> DataFrame:
