@@ -286,7 +286,9 @@ def rare_matches(sets: DataFrame, similarity: float) -> DataFrame:
 
     total = F.col("total").cast("double")
     reach = F.sequence(size_class(total * similarity), size_class(total / similarity))
-    first = F.slice("order", 1, F.floor(total * (1 - similarity)).cast("int") + 1)
+    # rounding can only make it longer
+    shared = F.ceil(total * similarity - 1e-6)
+    first = F.slice("order", 1, (F.col("total") - shared).cast("int") + 1)
     placed = ordered.select(
         "doc", "label", "few", "total", size_class(total).alias("own"), F.explode(reach).alias("other"),
         first.alias("first"),

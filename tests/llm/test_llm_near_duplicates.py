@@ -150,3 +150,19 @@ def test_components_of_a_long_chain(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert near.classes(docs).count() == 0 and near.drop_near_duplicates(docs).count() == 0
+
+
+def test_the_prefix_reaches_the_first_of_just_enough_shared_elements(spark):
+    # 100 elements, of which the other set holds 80: similarity 0.8, and the 20 own ones are rarer
+    sets = [(0, list(range(100)), 100, 0, True), (1, list(range(20, 100)), 80, 1, False)]
+    table = spark.createDataFrame(sets, "doc bigint, elements array<bigint>, total bigint, label bigint, few boolean")
+    assert [tuple(r) for r in near.rare_matches(table, 0.8).collect()] == [(0, 1)]
+
+
+def test_a_pair_of_just_enough_similarity_in_a_large_bucket(spark, monkeypatch):
+    monkeypatch.setattr(near, "SMALL_BUCKET", 1)
+    words = [f"w{i}" for i in range(104)]
+    # the smallest doc is the head of every bucket it is in, and like neither of the others
+    rows = [(1, " ".join(words[:84])), (2, " ".join(words))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {tuple(r) for r in near.classes(docs).collect()} == {(1, 1), (2, 1)}
