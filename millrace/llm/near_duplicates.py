@@ -438,10 +438,10 @@ def classes(
         return F.least(x, y) >= F.lit(similarity) * F.greatest(x, y)
 
     def text_of(wanted: DataFrame) -> DataFrame:
-        """``(doc, text)`` of the named docs."""
+        """``(doc, of, text)`` of the named docs: one row of each of their copies ``of``."""
         named = heads.join(wanted, "doc").select("doc", F.col("copy").alias("of"))
-        found = texts.join(named, F.col("doc_id") == F.col("doc")).filter(F.col("copy") == F.col("of"))
-        return found.select("doc", "text")
+        found = texts.join(named, (F.col("doc_id") == F.col("doc")) & (F.col("copy") == F.col("of")))
+        return found.select("doc", "of", "text").dropDuplicates(["doc", "of"])
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs that are similar enough by their whole shingle sets."""
@@ -455,7 +455,8 @@ def classes(
         likely = materialize(sketched.mapInPandas(_likely(least), "a bigint, b bigint"), "likely")
         wanted = likely.select(F.col("a").alias("doc")).union(likely.select("b")).distinct()
         sets = materialize(
-            text_of(wanted).mapInArrow(_sets(shingle, counted), "doc bigint, set binary"), "sets"
+            text_of(wanted).select("doc", "text").mapInArrow(_sets(shingle, counted), "doc bigint, set binary"),
+            "sets",
         )
         held = likely.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
         return materialize(held.mapInPandas(_similar(similarity), "a bigint, b bigint"), "verified")
@@ -494,17 +495,18 @@ def classes(
     large = materialize(
         split.filter(F.col("members") > SMALL_BUCKET)
         .groupBy("doc")
-        .agg(
-            F.first("total").alias("total"),
-            F.first("label").alias("label"),
-            F.max(F.col("label") != F.col("main")).alias("few"),
-        ),
+        .agg(F.first("label").alias("label"), F.max(F.col("label") != F.col("main")).alias("few")),
         "large",
     )
-    sets = text_of(large.select("doc")).mapInArrow(
-        _elements(shingle, counted), "doc bigint, elements array<bigint>"
+    # rows of one id may have different texts, each of which is a set of its own
+    key = F.struct("doc", F.xxhash64("of").alias("of")).alias("doc")
+    sets = text_of(large.select("doc")).select(key, "text").mapInArrow(
+        _elements(shingle, counted), "doc struct<doc: bigint, of: bigint>, elements array<bigint>"
     )
-    apart = apart.union(rare_matches(materialize(sets.join(large, "doc"), "sets"), similarity))
+    key = F.struct("doc", F.xxhash64("copy").alias("of")).alias("doc")
+    marks = heads.join(large, "doc").select(key, "total", "label", "few")
+    rare = rare_matches(materialize(sets.join(marks, "doc"), "sets"), similarity)
+    apart = apart.union(rare.select(F.col("a.doc").alias("a"), F.col("b.doc").alias("b")))
     rest = verified(apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     # the second links connect whole components
     label = first.select(F.col("doc").alias("of"), "label")

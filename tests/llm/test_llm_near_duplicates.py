@@ -166,3 +166,43 @@ def test_a_pair_of_just_enough_similarity_in_a_large_bucket(spark, monkeypatch):
     rows = [(1, " ".join(words[:84])), (2, " ".join(words))]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert {tuple(r) for r in near.classes(docs).collect()} == {(1, 1), (2, 1)}
+
+
+@pytest.mark.parametrize("times", [2, 4])
+def test_repeated_rows_keep_their_links_in_large_buckets(spark, times, monkeypatch):
+    monkeypatch.setattr(near, "SMALL_BUCKET", 1)
+    # texts of one rare beginning each, a tenth of their shingles, and a shared rest; one id has two texts
+    rest = [f"w{i}" for i in range(180)]
+    rows = [(10 + i, " ".join([f"o{i}x{j}" for j in range(12)] + rest)) for i in range(6)]
+    rows += [(10, " ".join(f"other{j}" for j in range(300)))]
+    # a doc that heads the same buckets but is not like the others, so that they must meet themselves
+    rows += [(1, " ".join(rest[:130] + [f"n{j}" for j in range(10)]))]
+    rows += [(30 + i, " ".join([f"p{i}x{j}" for j in range(3)] + [f"v{j}" for j in range(150)])) for i in range(3)]
+    docs = spark.createDataFrame(rows * times, "doc_id bigint, text string")
+    found = sorted((r["doc_id"], r["class_id"]) for r in near.classes(docs).collect())
+    expected = {}
+    for doc, name in brute(rows):
+        expected[doc] = name
+    assert found == sorted((d, expected[d]) for d, _ in rows * times)
+
+
+def test_large_buckets_compare_one_row_of_each_text(spark, monkeypatch):
+    monkeypatch.setattr(near, "SMALL_BUCKET", 1)
+    given = []
+    real = near.rare_matches
+
+    def spy(sets, similarity):
+        given.extend(sets.collect())
+        return real(sets, similarity)
+
+    monkeypatch.setattr(near, "rare_matches", spy)
+    rest = [f"w{i}" for i in range(130)]
+    texts = [" ".join([f"o{i}x{j}" for j in range(20)] + rest) for i in range(20)]
+    # the last two texts share an id
+    rows = [(min(i, 18), t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows * 3, "doc_id bigint, text string")
+    near.classes(docs).collect()
+    assert given
+    sizes = {r["total"] for r in given}
+    assert sizes == {146} and all(len(r["elements"]) == r["total"] for r in given)
+    assert len({r["doc"] for r in given}) == len(given)
