@@ -62,14 +62,18 @@ class Tree:
                 node[rows] = self.first[parent] + far.argmin(axis=1)
         return self.leaf[node]
 
-    def visits(self, query: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves in best-bin-first order."""
+    def visits(self, query: np.ndarray, most: int, size: np.ndarray | None = None, rows: int = 0) -> list[int]:
+        """The first ``most`` leaves in best-bin-first order, and more until they hold ``rows`` rows.
+
+        ``size`` is the number of rows of each leaf; without it rows do not count.
+        """
         product = self.centre @ query
-        queue, found = [(0.0, 0)], []
-        while queue and len(found) < most:
+        queue, found, held = [(0.0, 0)], [], 0
+        while queue and (len(found) < most or (size is not None and held < rows)):
             _, node = heapq.heappop(queue)
             if not self.children[node]:
                 found.append(int(self.leaf[node]))
+                held += 0 if size is None else int(size[found[-1]])
                 continue
             for child in range(self.first[node], self.first[node] + self.children[node]):
                 heapq.heappush(queue, (-float(product[child]), child))
@@ -235,14 +239,18 @@ def calibrate(tree: Tree, placed: DataFrame, queries: DataFrame, k: int, recall:
     return most, float((needed < most).mean())
 
 
-def _routed(tree: Tree, most: int, parts: np.ndarray, offsets: np.ndarray):
-    """Queries to the parts where they visit leaves, once per part, with a bit per leaf."""
+def _routed(tree: Tree, most: int, size: np.ndarray, k: int, parts: np.ndarray, offsets: np.ndarray):
+    """Queries to the parts where they visit leaves, once per part, with a bit per leaf.
+
+    The leaves hold at least ``k`` rows beside those with the query's id, if the table does.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for vec_id, block, raw in zip(batch["vec_id"], batch["block"], batch["vector"], strict=True):
-                leaves = np.array(tree.visits(np.frombuffer(raw, np.float64), most))
+            named = zip(batch["vec_id"], batch["block"], batch["vector"], batch["own"], strict=True)
+            for vec_id, block, raw, own in named:
+                leaves = np.array(tree.visits(np.frombuffer(raw, np.float64), most, size, k + own))
                 visited = np.zeros(tree.leaves, bool)
                 visited[leaves] = True
                 bits = np.packbits(visited).tobytes()
@@ -281,8 +289,9 @@ def search(
 
     Candidates are all rows but those with the query's id; nearness is the inner product in double
     precision, ties go to the smaller id. Vectors that are null or zero or hold null or non-finite
-    components take no part, nor do null ids and vectors that are not as long as most. Fewer than
-    ``k`` candidates: all that lie in visited leaves. An empty table gives an empty result.
+    components take no part, nor do null ids and vectors that are not as long as most. Every query
+    visits ``leaves_visited`` leaves, and more where these hold fewer than ``k`` candidates. Fewer than
+    ``k`` candidates in the table: all of them. An empty table gives an empty result.
     """
     spark = vectors.sparkSession
     flagged = vectors.select(
@@ -332,8 +341,10 @@ def search(
             at, filled = at + parts[leaf], 0
     blocks = max(1, -(-asking.count() // QUERY_BLOCK))
     block = F.pmod(F.xxhash64(F.lit(seed + 1), "vec_id"), F.lit(blocks)).alias("block")
-    routed = asking.select("vec_id", "vector", block).mapInPandas(
-        _routed(tree, most, parts, offsets),
+    # rows with the query's id are none of its candidates
+    own = index.groupBy("vec_id").agg(F.count(F.lit(1)).alias("own"))
+    routed = asking.join(own, "vec_id").select("vec_id", "vector", block, "own").mapInPandas(
+        _routed(tree, most, size, k, parts, offsets),
         "part bigint, block bigint, query_id bigint, vector binary, bits binary",
     )
     layout = spark.createDataFrame(

@@ -79,3 +79,20 @@ def test_best_bin_first_opens_all_leaves_in_the_end():
     assert sorted(tree.visits(x[0], tree.leaves)) == list(range(tree.leaves))
     assert set(tree.place(x)) <= set(range(tree.leaves))
     assert neighbours.grow(np.ones((50, 3))).leaves == 1
+
+
+def test_thin_leaves_and_lone_rows_still_find_all_they_should(spark, monkeypatch):
+    # tight clusters, for which one leaf is enough, and lone rows far from all others as queries
+    rng = np.random.default_rng(4)
+    centre = 10 * rng.standard_normal((30, 8))
+    x = np.concatenate([np.repeat(centre, 60, axis=0) + 0.01 * rng.standard_normal((1800, 8)), 300 * rng.standard_normal((20, 8))])
+    data = [(i, v.tolist()) for i, v in enumerate(x)] + [(1819, x[1819].tolist())] * 30
+    vectors = spark.createDataFrame(data, "vec_id bigint, embedding array<double>")
+    monkeypatch.setattr(neighbours, "calibrate", lambda *_: (1, 1.0))
+    found = neighbours.search(vectors, F.col("vec_id") >= 1800).toPandas()
+    # a repeated query is answered once, with the best of what its rows found
+    assert found.groupby("query_id").size().to_dict() == dict.fromkeys(range(1800, 1820), 20)
+    # a table of several leaves with fewer rows than asked for: all of them
+    monkeypatch.setattr(neighbours, "LEAF_ROWS", 2)
+    few = spark.createDataFrame(data[:1] + data[60:1800:200], "vec_id bigint, embedding array<double>")
+    assert neighbours.search(few, F.col("vec_id") == 0).count() == few.count() - 1
