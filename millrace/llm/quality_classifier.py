@@ -3,11 +3,14 @@
 A document of label 1 is preferred to one of label 0. The strength of a document is linear in its
 statistics, and the chance that one is preferred is the logistic function of the difference of the
 strengths, so the model is fitted by logistic loss on differences of features. The strength at a
-quantile of the labelled rows becomes the threshold, and strengths are mapped to 0 to 1 around it.
+quantile of the labelled rows becomes the threshold, and strengths are mapped to 0 to 1 around it. The
+quantile is chosen on all labelled rows but the held-out fold: by strengths from models of other rows those
+that the model learned from, the others as counts per strength and label.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.base import documents_of, labelled_sample, remainder
 from millrace.llm.statistics import COUNTS, ratios, text_counts
+from millrace.session import materialize
 
 SAMPLE_ROWS = 20_000
 PAIRS = 60_000
@@ -25,6 +29,10 @@ STEPS = 300
 RATE = 0.5
 RIDGE = 1e-3
 HELD_OUT = 5
+# Parts of the learned rows, each measured by a model of the others.
+FOLDS = 4
+# Strengths of the other rows are counted in steps of this share of their spread.
+STEP = 0.005
 # Quantiles of the strength that are tried as threshold, and what a wrongly rejected clean row costs.
 QUANTILES = 400
 CLEAN_COST = 2.0
@@ -51,9 +59,9 @@ class Strength:
     def strength(self, x: np.ndarray) -> np.ndarray:
         return self.features(x) @ self.weights
 
-    def score(self, x: np.ndarray) -> np.ndarray:
+    def scaled(self, strength: np.ndarray) -> np.ndarray:
         """0 to 1, rising with the strength; ``CUT`` at the threshold."""
-        z = (self.strength(x) - self.cut) / self.scale + np.log(CUT / (1 - CUT))
+        z = (strength - self.cut) / self.scale + np.log(CUT / (1 - CUT))
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
@@ -80,32 +88,38 @@ def fit_strength(x: np.ndarray, label: np.ndarray, seed: int = 5) -> Strength:
     return model
 
 
-def choose_quantile(model: Strength, x: np.ndarray, label: np.ndarray, clean_share: float) -> None:
+def choose_quantile(model: Strength, strength: np.ndarray, label: np.ndarray, rows: np.ndarray) -> None:
     """Sets the threshold: the quantile of the strengths with the least cost of wrong decisions.
 
-    Rows are weighted so that labels have the shares they have among all labelled rows.
+    Each strength and label stands for so many ``rows``.
     """
     if not (label == 1).any() or not (label == 0).any():
         return
-    strength = model.strength(x)
-    weight = np.where(label == 1, clean_share / (label == 1).mean(), (1 - clean_share) / (label == 0).mean())
     order = np.argsort(strength, kind="stable")
-    reached = np.cumsum(weight[order]) / weight.sum()
+    strength, label, rows = strength[order], label[order], rows[order].astype(np.float64)
+    reached = np.cumsum(rows) / rows.sum()
     places = np.searchsorted(reached, np.arange(1, QUANTILES) / QUANTILES)
-    cuts = np.unique(strength[order][np.minimum(places, len(order) - 1)])
+    cuts = np.unique(strength[np.minimum(places, len(order) - 1)])
     cost = [
-        CLEAN_COST * weight[(label == 1) & (strength < c)].sum() + weight[(label == 0) & (strength >= c)].sum()
+        CLEAN_COST * rows[(label == 1) & (strength < c)].sum() + rows[(label == 0) & (strength >= c)].sum()
         for c in cuts
     ]
     best = int(np.argmin(cost))
     # half way to the next lower strength, so that rows at the quantile itself lie clearly above
     lower = strength[strength < cuts[best]]
     model.cut = float((cuts[best] + lower.max()) / 2) if len(lower) else float(cuts[best])
-    model.scale = max(1e-6, float(np.std(strength)) / 2)
+    mean = np.average(strength, weights=rows)
+    model.scale = max(1e-6, float(np.sqrt(np.average((strength - mean) ** 2, weights=rows))) / 2)
+
 
+def learn(
+    docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, seed: int = 5
+) -> tuple[Strength, tuple[np.ndarray, np.ndarray], DataFrame]:
+    """A model from at most ``rows`` labelled documents, none of them of the held-out fold.
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, seed: int = 5) -> Strength:
-    """A model from at most ``rows`` labelled documents, none of them of the held-out fold."""
+    With it come the strengths of these by models of other rows, their labels, and ``(doc_id, label)``
+    of all labelled rows outside the held-out fold that it did not learn from.
+    """
     known = labels.filter(remainder(parts=HELD_OUT) != 0)
     sample = labelled_sample(documents_of(docs), known, "quality", rows, seed)
     counted = sample.select("doc_id", "label", text_counts(F.col("text")).alias("c"))
@@ -113,15 +127,56 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, seed: int
     x = ratios({name: data[name].to_numpy() for name in COUNTS})
     label = data["label"].to_numpy()
     model = fit_strength(x, label, seed)
-    share = known.filter(F.col("quality").isNotNull()).agg(F.avg("quality")).first()[0]
-    choose_quantile(model, x, label, share or 0.0)
-    return model
+    fold = np.array([zlib.crc32(f"{seed}:{d}".encode()) % FOLDS for d in data["doc_id"]], np.int64)
+    strength = model.strength(x)
+    for f in np.unique(fold):
+        inside = fold != f
+        if len(np.unique(label[inside])) == 2:
+            strength[~inside] = fit_strength(x[inside], label[inside], seed).strength(x[~inside])
+    marked = (
+        known.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+        .groupBy("doc_id")
+        .agg(F.max("quality").cast("int").alias("label"))
+    )
+    ids = [(d,) for d in data["doc_id"].tolist()]
+    learned = docs.sparkSession.createDataFrame(ids, sample.select("doc_id").schema)
+    return model, (strength, label), marked.join(F.broadcast(learned), "doc_id", "left_anti")
 
 
-def _score_udf(model: Strength):
+def settle(
+    model: Strength, learned: tuple[np.ndarray, np.ndarray], others: DataFrame, strengths: DataFrame
+) -> None:
+    """Sets the threshold from all labelled rows: those learned from, and the ``others``.
+
+    ``strengths`` holds ``doc_id`` and ``strength`` of all documents. Only counts per step of the
+    strength and label reach the driver.
+    """
+    strength, label = learned
+    rows = np.ones(len(label))
+    if not others.isEmpty():
+        width = max(1e-9, float(np.std(strength)) * STEP) if len(strength) else 1.0
+        step = F.floor(F.col("strength") / width).alias("step")
+        counts = (
+            strengths.join(others, "doc_id").groupBy(step, "label").agg(F.count(F.lit(1)).alias("n")).toPandas()
+        ).sort_values(["step", "label"])
+        strength = np.concatenate([strength, (counts["step"].to_numpy(np.float64) + 0.5) * width])
+        label = np.concatenate([label, counts["label"].to_numpy(np.int64)])
+        rows = np.concatenate([rows, counts["n"].to_numpy(np.float64)])
+    choose_quantile(model, strength, label, rows)
+
+
+def _strength_udf(model: Strength):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series(model.score(ratios({name: batch[name].to_numpy() for name in COUNTS})))
+            yield pd.Series(model.strength(ratios({name: batch[name].to_numpy() for name in COUNTS})))
+
+    return F.pandas_udf(run, "double")
+
+
+def _score_udf(model: Strength):
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for strength in batches:
+            yield pd.Series(model.scaled(strength.to_numpy()))
 
     return F.pandas_udf(run, "double")
 
@@ -133,10 +188,13 @@ def classify(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
     A null id is never held out. Repeated rows are scored one by one. Without labels of both kinds
     every score is the same, at the cut.
     """
-    model = train(docs, labels, seed=seed)
+    model, learned, others = learn(docs, labels, seed=seed)
     counted = documents_of(docs).select("doc_id", text_counts(F.col("text")).alias("counts"))
     inputs = F.struct(*[F.col(f"counts.{name}") for name in COUNTS])
-    scored = counted.select("doc_id", _score_udf(model)(inputs).alias("score"))
+    # a number per document
+    strengths = materialize(counted.select("doc_id", _strength_udf(model)(inputs).alias("strength")), "strength")
+    settle(model, learned, others, strengths)
+    scored = strengths.select("doc_id", _score_udf(model)("strength").alias("score"))
     return scored.select(
         "doc_id",
         F.coalesce(remainder(parts=HELD_OUT) == 0, F.lit(False)).alias("held_out"),

@@ -96,3 +96,19 @@ def test_odd_rows_and_missing_labels(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert quality_rules.judge(empty, none).count() == 0
     assert quality_classifier.classify(empty, none).count() == 0
+
+
+def test_the_threshold_counts_all_labelled_rows(spark):
+    docs, labels = table(spark, FOLDER, "documents"), table(spark, FOLDER, "labels")
+    model, learned, others = quality_classifier.learn(docs, labels, rows=100)
+    allowed = labels.filter("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0 and quality is not null")
+    rest = others.toPandas()
+    assert len(learned[1]) <= 100 and len(rest) == allowed.select("doc_id").distinct().count() - len(learned[1])
+    # the rows it did not learn from, and they alone, lie elsewhere: the threshold follows them
+    low = spark.createDataFrame([(d, float(y) + 100) for d, y in rest.to_numpy().tolist()], "doc_id bigint, strength double")
+    quality_classifier.settle(model, (learned[0] * 0 + learned[1] + 100.0, learned[1]), others, low)
+    assert 100 <= model.cut <= 101
+    before = model.cut
+    lower = low.selectExpr("doc_id", "strength - 2 as strength")
+    quality_classifier.settle(model, (learned[0] * 0 + learned[1] + 100.0, learned[1]), others, lower)
+    assert model.cut < before - 0.9
