@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
+    alignment,
     language_model,
     mixing,
     near_duplicates,
@@ -23,6 +24,8 @@ from millrace.llm import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -126,6 +129,15 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "toxicity", "toxic")
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    found = alignment.align_documents(
+        table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECES)
+    )
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
@@ -137,5 +149,6 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_toxicity": op10_toxicity,
+    "op11_alignment": op11_alignment,
 }
 ORACLES: dict[str, str] = {"op8_secrets": _secrets_sql()}
