@@ -15,10 +15,12 @@ from millrace.llm import (
     near_duplicates,
     neighbours,
     packing,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     repeats,
     secrets,
+    simhash,
     toxicity,
 )
 
@@ -138,6 +140,17 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    linked = simhash.link_documents(table(spark, folder, "documents"))
+    return linked.select(
+        "doc_id", simhash.hexadecimal(F.col("print")).alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
@@ -150,5 +163,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_toxicity": op10_toxicity,
     "op11_alignment": op11_alignment,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_simhash": op13_simhash,
 }
 ORACLES: dict[str, str] = {"op8_secrets": _secrets_sql()}
