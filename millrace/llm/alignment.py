@@ -14,6 +14,7 @@ chunk, and a chunk that was seen before is not encoded again.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -29,8 +30,8 @@ from millrace.llm.packing import _BYTE_LETTERS
 from millrace.operators.joins import lookup_join
 from millrace.session import materialize
 
-# Bytes of remembered chunks a task holds, about; beyond it starts to remember anew.
-REMEMBERED_BYTES = 48 << 20
+# Bytes of remembered chunks a task holds, about.
+REMEMBERED_BYTES = 96 << 20
 # Longer chunks are not remembered.
 LONGEST = 64
 # Texts handled together, in characters.
@@ -49,11 +50,14 @@ class Chunk(NamedTuple):
     groups: str | None
     n_a: int
     n_b: int
-    n_groups: int
-    pairs: tuple[int, ...]
+    # the linked pairs of ids, as 64-bit numbers one after the other
+    pairs: bytes
 
 
-def byte_ends(spans: list[tuple[int, int]], lengths: list[int]) -> list[int]:
+NOT_ALIGNED = Chunk(None, 0, 0, b"")
+
+
+def byte_ends(spans: Iterable[tuple[int, int]], lengths: Iterable[int]) -> list[int]:
     """Byte ends of tokens from their byte spans, refined by their decoded lengths.
 
     A span as long as the token's bytes that begins where the token before it ends is taken as it is.
@@ -77,13 +81,13 @@ def char_places(text: str) -> list[int]:
     return places
 
 
-def align(a_ids: list[int], a_ends: list[int], b_ids: list[int], b_ends: list[int]) -> tuple[str, int, tuple]:
-    """Groups as text, their number, and the linked pairs of ids, one per pair of occurrences.
+def align(a_ids: list[int], a_ends: list[int], b_ids: list[int], b_ends: list[int]) -> Chunk:
+    """Groups and linked pairs of ids, one per pair of occurrences.
 
     Between two neighbouring ends of either side lies one token of each, and no two such stretches
     have the same two tokens: they are the links. An end of both sides closes a group.
     """
-    pairs, groups = [], []
+    pairs, groups = array("q"), []
     i = j = first_a = first_b = 0
     while i < len(a_ids):
         pairs.append(a_ids[i] * PAIR + b_ids[j])
@@ -94,7 +98,7 @@ def align(a_ids: list[int], a_ends: list[int], b_ids: list[int], b_ends: list[in
             left = ",".join(map(str, a_ids[first_a:i]))
             groups.append(f"{left}|{','.join(map(str, b_ids[first_b:j]))}")
             first_a, first_b = i, j
-    return ";".join(groups), len(groups), tuple(pairs)
+    return Chunk(";".join(groups), len(a_ids), len(b_ids), pairs.tobytes())
 
 
 class Aligner:
@@ -113,39 +117,40 @@ class Aligner:
             known = all(c in letters for c in token)
             self._a_bytes[number] = bytes(letters[c] for c in token) if known else token.encode()
         self._b = SentencePieceProcessor(model_file=path_b)
+        self._b_bytes = [self._piece_bytes(self._b.id_to_piece(i)) for i in range(self._b.piece_size())]
 
     @staticmethod
-    def _b_bytes(piece: bytes) -> bytes:
-        if found := _BYTE_PIECE.fullmatch(piece.decode()):
+    def _piece_bytes(piece: str) -> bytes:
+        if found := _BYTE_PIECE.fullmatch(piece):
             return bytes([int(found[1], 16)])
-        return piece.replace(b"\xe2\x96\x81", b" ")
+        return piece.replace("\u2581", " ").encode()
 
-    def chunks(self, texts: list[str]) -> list[Chunk]:
+    def chunks(self, texts: list[str]) -> Iterator[Chunk]:
         """Each text, with a blank in front of it, in both tokenizers."""
         spaced = [" " + text for text in texts]
         left = self._a.encode_batch(spaced, add_special_tokens=False)
         right = self._b.encode(
             [text.encode() for text in texts], return_type="offset_mapping", return_bytes=True, num_threads=1
         )
-        return [self._chunk(*each) for each in zip(spaced, left, right, strict=True)]
+        return map(self._chunk, spaced, left, right)
 
     def _chunk(self, text: str, left, right: dict) -> Chunk:
         whole = text.encode()
         a_ids, b_ids = left.ids, right["ids"]
-        a_parts = [self._a_bytes[i] for i in a_ids]
-        b_parts = [self._b_bytes(piece) for piece in right["pieces"]]
+        a_parts, b_parts = [self._a_bytes[i] for i in a_ids], [self._b_bytes[i] for i in b_ids]
         if b"".join(a_parts) != whole or b"".join(b_parts) != whole:
-            return Chunk(None, 0, 0, 0, ())
+            return NOT_ALIGNED
+        if len(a_ids) == len(b_ids) == 1:
+            return Chunk(f"{a_ids[0]}|{b_ids[0]}", 1, 1, (a_ids[0] * PAIR + b_ids[0]).to_bytes(8, "little"))
         a_spans = left.offsets
         if len(whole) != len(text):
             places = char_places(text)
             a_spans = [(places[start], places[end]) for start, end in a_spans]
         # B's spans count from behind the blank that it puts in front
         b_spans = [(start + 1, end + 1) if start else (0, end + 1) for start, end in right["offsets"]]
-        a_ends = byte_ends(a_spans, list(map(len, a_parts)))
-        b_ends = byte_ends(b_spans, list(map(len, b_parts)))
-        groups, n_groups, pairs = align(a_ids, a_ends, b_ids, b_ends)
-        return Chunk(groups, len(a_ids), len(b_ids), n_groups, pairs)
+        a_ends = byte_ends(a_spans, map(len, a_parts))
+        b_ends = byte_ends(b_spans, map(len, b_parts))
+        return align(a_ids, a_ends, b_ids, b_ends)
 
 
 @lru_cache(maxsize=1)
@@ -154,29 +159,42 @@ def aligner(path_a: str, path_b: str) -> Aligner:
 
 
 class Remembered:
-    """Aligned chunks by text, bounded in bytes."""
+    """Aligned chunks by text, bounded in bytes.
+
+    Two generations are held: when the young one is full it becomes the old one, and what is met again
+    moves to the young one. So frequent chunks stay.
+    """
 
     def __init__(self, source: Aligner):
         self._source = source
-        self._known: dict[str, Chunk] = {}
+        self._young: dict[str, Chunk] = {}
+        self._old: dict[str, Chunk] = {}
         self._held = 0
 
+    def _hold(self, text: str, chunk: Chunk) -> None:
+        self._young[text] = chunk
+        # the text, the groups, the pairs and what the objects take
+        self._held += 330 + 2 * len(text) + len(chunk.groups or "") + len(chunk.pairs)
+
     def of(self, texts: list[str]) -> Iterator[list[Chunk]]:
         """The chunks of each text; what is not remembered is encoded together first."""
         parts = [BETWEEN_WORDS.split(text) if text else [] for text in texts]
-        if self._held > REMEMBERED_BYTES:
-            self._known, self._held = {}, 0
-        new = [chunk for chunk in set(chain.from_iterable(parts)) if chunk not in self._known]
+        if 2 * self._held > REMEMBERED_BYTES:
+            self._young, self._old, self._held = {}, self._young, 0
+        new = []
+        for text in set(chain.from_iterable(parts)).difference(self._young):
+            if known := self._old.get(text):
+                self._hold(text, known)
+            else:
+                new.append(text)
         long = {}
-        for chunk, found in zip(new, self._source.chunks(new), strict=True):
-            if len(chunk) > LONGEST:
-                long[chunk] = found
-                continue
-            self._known[chunk] = found
-            # the text, its groups, the numbers of its pairs and their objects
-            self._held += 300 + 4 * len(chunk) + len(found.groups or "") + 40 * len(found.pairs)
-        for chunks in parts:
-            yield [self._known.get(chunk) or long[chunk] for chunk in chunks]
+        for text, chunk in zip(new, self._source.chunks(new), strict=True):
+            if len(text) > LONGEST:
+                long[text] = chunk
+            else:
+                self._hold(text, chunk)
+        for part in parts:
+            yield [self._young.get(text) or long[text] for text in part]
 
 
 def _runs(texts: pa.Array) -> Iterator[list[str]]:
@@ -208,21 +226,15 @@ def _aligned(path_a: str, path_b: str):
                 at += len(texts)
                 rows = []
                 for chunks in remembered.of(texts):
-                    if any(chunk.groups is None for chunk in chunks):
-                        chunks = []
-                    pairs = list(chain.from_iterable(chunk.pairs for chunk in chunks))
-                    values, times = np.unique(np.array(pairs, np.int64), return_counts=True)
-                    rows.append(
-                        (
-                            sum(chunk.n_a for chunk in chunks),
-                            sum(chunk.n_b for chunk in chunks),
-                            sum(chunk.n_groups for chunk in chunks),
-                            len(pairs),
-                            ";".join(chunk.groups for chunk in chunks),
-                            values,
-                            times.astype(np.int32),
-                        )
-                    )
+                    groups, a, b, pairs = zip(*chunks, strict=True) if chunks else ((), (), (), ())
+                    if None in groups:
+                        groups, a, b, pairs = (), (), (), ()
+                    linked = np.frombuffer(b"".join(pairs), "<i8")
+                    values, times = np.unique(linked, return_counts=True)
+                    text = ";".join(groups)
+                    # an end of both sides is one end of the merged ends, each of which ends a link
+                    n_groups = sum(a) + sum(b) - len(linked)
+                    rows.append((sum(a), sum(b), n_groups, len(linked), text, values, times.astype(np.int32)))
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [
