@@ -36,6 +36,8 @@ REMEMBERED_BYTES = 96 << 20
 LONGEST = 64
 # Texts handled together, in characters.
 RUN = 1 << 20
+# Chunks encoded as one text.
+TOGETHER = 1024
 # Room of an id of the second tokenizer in a pair of ids.
 PAIR = 1 << 32
 
@@ -71,6 +73,18 @@ def byte_ends(spans: Iterable[tuple[int, int]], lengths: Iterable[int]) -> list[
     return ends
 
 
+def refined_ends(spans: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``byte_ends`` of a text whose bytes the tokens give back, for many tokens at once.
+
+    A span as long as its token's bytes is a cut; from one cut to the next the decoded lengths count.
+    """
+    measured = np.cumsum(lengths)
+    whole = spans[:, 1] - spans[:, 0] == lengths
+    last = np.maximum.accumulate(np.where(whole, np.arange(len(lengths)), -1))
+    cut = np.where(last >= 0, spans[last, 1] - measured[last], 0)
+    return measured + cut
+
+
 def char_places(text: str) -> list[int]:
     """Byte place of each character of a text, and the length of the text in bytes."""
     places, at = [0], 0
@@ -118,6 +132,14 @@ class Aligner:
             self._a_bytes[number] = bytes(letters[c] for c in token) if known else token.encode()
         self._b = SentencePieceProcessor(model_file=path_b)
         self._b_bytes = [self._piece_bytes(self._b.id_to_piece(i)) for i in range(self._b.piece_size())]
+        self._a_lengths = np.zeros(max(self._a_bytes) + 1, np.int64)
+        for number, known in self._a_bytes.items():
+            self._a_lengths[number] = len(known)
+        self._b_lengths = np.array([len(known) for known in self._b_bytes], np.int64)
+        # ids with the sign behind them, within a group and at the end of its side
+        inside = ((i, end) for i in range(len(self._a_lengths)) for end in ",|")
+        behind = ((i, end) for i in range(len(self._b_lengths)) for end in ",;")
+        self._signs = [f"{i}{end}" for i, end in chain(inside, behind)]
 
     @staticmethod
     def _piece_bytes(piece: str) -> bytes:
@@ -127,6 +149,20 @@ class Aligner:
 
     def chunks(self, texts: list[str]) -> Iterator[Chunk]:
         """Each text, with a blank in front of it, in both tokenizers."""
+        for at in range(0, len(texts), TOGETHER):
+            run = texts[at : at + TOGETHER]
+            # blanks at the ends of a text would run into the blank that parts it from the next
+            tight = [text for text in run if text and text == text.strip()]
+            found = self._together(tight) if tight else []
+            if found is None:
+                yield from self._one_by_one(run)
+                continue
+            known = dict(zip(tight, found, strict=True))
+            loose = [text for text in run if text not in known]
+            known.update(zip(loose, self._one_by_one(loose), strict=True))
+            yield from (known[text] for text in run)
+
+    def _one_by_one(self, texts: list[str]) -> Iterator[Chunk]:
         spaced = [" " + text for text in texts]
         left = self._a.encode_batch(spaced, add_special_tokens=False)
         right = self._b.encode(
@@ -134,6 +170,50 @@ class Aligner:
         )
         return map(self._chunk, spaced, left, right)
 
+    def _together(self, texts: list[str]) -> list[Chunk] | None:
+        """The same for many texts as one, as a blank between words parts them; None if that fails.
+
+        It fails if either tokenizer does not give back the bytes, or joins what should be apart.
+        """
+        joined = " " + " ".join(texts)
+        whole = joined.encode()
+        left = self._a.encode(joined, add_special_tokens=False)
+        right = self._b.encode(whole[1:], return_type="offset_mapping", return_bytes=True)
+        a_ids, b_ids = left.ids, right["ids"]
+        if b"".join([self._a_bytes[i] for i in a_ids]) != whole or b"".join([self._b_bytes[i] for i in b_ids]) != whole:
+            return None
+        a_ids, b_ids = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+        a_spans = np.array(left.offsets, np.int64).reshape(-1, 2)
+        if len(whole) != len(joined):
+            places = np.flatnonzero((np.frombuffer(whole, np.uint8) & 0xC0) != 0x80)
+            a_spans = np.append(places, len(whole))[a_spans]
+        b_spans = np.array(right["offsets"], np.int64).reshape(-1, 2) + 1
+        b_spans[b_spans[:, 0] == 1, 0] = 0
+        a_ends = refined_ends(a_spans, self._a_lengths[a_ids])
+        b_ends = refined_ends(b_spans, self._b_lengths[b_ids])
+        # links: the tokens between two neighbouring ends of either side
+        ends = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
+        twice = ends[1:] == ends[:-1]
+        common, ends = ends[1:][twice], ends[np.append(True, ~twice)]
+        sizes = [len(t) + 1 if t.isascii() else len(t.encode()) + 1 for t in texts]
+        borders = np.cumsum(sizes)
+        if not np.isin(borders, common).all():
+            return None
+        pairs = a_ids[np.searchsorted(a_ends, ends)] * PAIR + b_ids[np.searchsorted(b_ends, ends)]
+        # the text of the groups: tokens by group, A's first, each with the sign behind it
+        a_group, b_group = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
+        a_sign = 2 * a_ids + (common[a_group] == a_ends)
+        b_sign = 2 * (len(self._a_lengths) + b_ids) + (common[b_group] == b_ends)
+        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        signs = [self._signs[c] for c in np.concatenate([a_sign, b_sign])[order].tolist()]
+        cuts = [np.append(0, np.searchsorted(e, borders, side="right")) for e in (a_ends, b_ends, ends)]
+        a_cut, b_cut, cut = (c.tolist() for c in cuts)
+        data, found = pairs.astype("<i8").tobytes(), []
+        for i in range(len(texts)):
+            text = "".join(signs[a_cut[i] + b_cut[i] : a_cut[i + 1] + b_cut[i + 1]])[:-1]
+            found.append(Chunk(text, a_cut[i + 1] - a_cut[i], b_cut[i + 1] - b_cut[i], data[8 * cut[i] : 8 * cut[i + 1]]))
+        return found
+
     def _chunk(self, text: str, left, right: dict) -> Chunk:
         whole = text.encode()
         a_ids, b_ids = left.ids, right["ids"]

@@ -24,8 +24,8 @@ def plain(text, a, b):
     if not text:
         return [], [], [], []
     whole = (" " + text).encode()
-    left, right = a._a.encode(" " + text, add_special_tokens=False), b.encode(text)
-    a_bytes = [a._a_bytes[i] for i in left.ids]
+    left, right = a._a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+    a_bytes = [a._a_bytes[i] for i in left]
     b_bytes = [a._b_bytes[i] for i in right]
     if b"".join(a_bytes) != whole or b"".join(b_bytes) != whole:
         return [], [], [], []
@@ -37,15 +37,15 @@ def plain(text, a, b):
             first += 1
         j = first
         while j < len(b_end) and b_end[j] - len(b_bytes[j]) < end:
-            links.append((left.ids[i], right[j]))
+            links.append((left[i], right[j]))
             j += 1
     a_at, b_at = {e: k for k, e in enumerate(a_end, 1)}, {e: k for k, e in enumerate(b_end, 1)}
     groups, i, j = [], 0, 0
     for cut in sorted(set(a_end) & set(b_end)):
         m, n = a_at[cut], b_at[cut]
-        groups.append(",".join(map(str, left.ids[i:m])) + "|" + ",".join(map(str, right[j:n])))
+        groups.append(",".join(map(str, left[i:m])) + "|" + ",".join(map(str, right[j:n])))
         i, j = m, n
-    return left.ids, right, groups, links
+    return left, right, groups, links
 
 
 def expected(rows):
