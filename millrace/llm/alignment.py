@@ -188,7 +188,7 @@ class Aligner:
             places = np.flatnonzero((np.frombuffer(whole, np.uint8) & 0xC0) != 0x80)
             a_spans = np.append(places, len(whole))[a_spans]
         b_spans = np.array(right["offsets"], np.int64).reshape(-1, 2) + 1
-        b_spans[b_spans[:, 0] == 1, 0] = 0
+        b_spans[0, 0] = 0
         a_ends = refined_ends(a_spans, self._a_lengths[a_ids])
         b_ends = refined_ends(b_spans, self._b_lengths[b_ids])
         # links: the tokens between two neighbouring ends of either side

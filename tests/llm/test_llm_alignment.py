@@ -106,6 +106,15 @@ def test_forgetting_chunks_changes_nothing(spark, documents, monkeypatch):
     assert len(small._young) + len(small._old) < len(full._young) / 4
 
 
+@pytest.mark.parametrize("together", [1, 2, 7, 1024])
+def test_chunks_encoded_together_are_the_chunks_alone(documents, monkeypatch, together):
+    monkeypatch.setattr(alignment, "TOGETHER", together)
+    source = alignment.Aligner(*PATHS)
+    pieces = {c for t in ODD + [t or "" for _, t in documents[:10]] for c in alignment.BETWEEN_WORDS.split(t)} - {""}
+    for order in (sorted(pieces), sorted(pieces, reverse=True)):
+        assert list(source.chunks(order)) == list(source._one_by_one(order))
+
+
 def test_groups_are_kept_on_request(spark):
     docs = spark.createDataFrame([(1, "Héllo"), (2, "")], "doc_id bigint, text string")
     found = {r["doc_id"]: r["groups"] for r in alignment.align_documents(docs, *PATHS, with_groups=True).collect()}
