@@ -28,6 +28,8 @@ BATCH_EVENTS = 50
 SUMMARY_CHARS = 500
 TRACEBACK_CHARS = 8192
 SCHEMA_VERSION = "1"
+# Minutes of a gap that one row stands for at most.
+GAP_BLOCK = 4096
 
 
 def first_terminal(events: DataFrame, stream: str, seq: str, event: str,
@@ -157,22 +159,32 @@ def progress(events: DataFrame, run: str = "run") -> DataFrame:
 def minute_series(
     points: DataFrame, key: str, ts: str, value: str, fill: float = 0.0
 ) -> DataFrame:
-    """One row per minute between a key's first and last point: count and mean, gaps filled."""
+    """One row per minute between a key's first and last point: count and mean, gaps filled.
+
+    Only the gap behind a minute that has points is filled, first by blocks of blocks of minutes, then
+    by blocks, then by minutes: no array is longer than ``GAP_BLOCK``, however long the gap.
+    """
     minute = F.date_trunc("minute", F.col(ts))
     found = points.groupBy(key, minute.alias("minute")).agg(
         F.count(value).alias("n"), F.avg(value).alias("mean_value")
     )
-    spine = (
-        points.groupBy(key)
-        .agg(F.min(minute).alias("lo"), F.max(minute).alias("hi"))
-        .select(key, F.explode(F.sequence("lo", "hi", F.expr("interval 1 minute"))).alias("minute"))
-    )
-    return spine.join(found, [key, "minute"], "left").select(
+    at = F.expr("unix_seconds(minute) div 60")
+    following = F.lead("_at").over(Window.partitionBy(key).orderBy("_at"))
+    present = found.withColumn("_at", at).withColumn("_next", following)
+    # the minutes from _from up to and without _to, in ever shorter stretches
+    gaps = present.select(key, (F.col("_at") + 1).alias("_from"), F.col("_next").alias("_to")).filter("_from < _to")
+    for step in (GAP_BLOCK**2, GAP_BLOCK, 1):
+        starts = F.sequence("_from", F.col("_to") - 1, F.lit(step).cast("bigint"))
+        cut = gaps.select(key, F.explode(starts).alias("_from"), F.col("_to").alias("_stop"))
+        gaps = cut.select(key, "_from", F.least(F.col("_from") + step, "_stop").alias("_to"))
+    filled = gaps.select(
         key,
-        "minute",
-        F.coalesce("n", F.lit(0).cast("bigint")).alias("n"),
-        F.coalesce("mean_value", F.lit(fill)).alias("mean_value"),
+        F.timestamp_seconds(F.col("_from") * 60).alias("minute"),
+        F.lit(0).cast("bigint").alias("n"),
+        F.lit(fill).cast("double").alias("mean_value"),
     )
+    known = found.select(key, "minute", "n", F.coalesce("mean_value", F.lit(fill)).alias("mean_value"))
+    return known.unionByName(filled)
 
 
 def final_events(events: DataFrame, run: str = "run", kind: str = "type") -> DataFrame:
@@ -268,26 +280,31 @@ def upload_batches(
     event_id: str = "event_id",
     batch_size: int = BATCH_EVENTS,
     backlog: int | None = None,
+    sent: DataFrame | None = None,
 ) -> DataFrame:
     """Each event of a run once, oldest first, with its ``batch_id`` in the run.
 
     All events are delivered. Only a caller whose receiver fails may give a ``backlog``: the newest so
-    many of each run are then kept. Positions come from one range sort of the keys, never from a
-    window over a run, so one run may hold most of the events.
+    many of each run are then kept. ``sent(run, n_sent)`` are events that were delivered before, by
+    one row per run; the numbers go on behind them. Positions come from one range sort of the events,
+    never from a window over a run, so one run may hold most of the events; the event itself is
+    shuffled to find its copies and to be sorted, and is not looked up again.
     """
     once = events.dropDuplicates([run, event_id])
-    placed = ordered_position(once.select(run, event_id, seq), [run, seq, event_id], "_pos")
-    spans = materialize(
-        placed.groupBy(run).agg(F.min("_pos").alias("_from"), F.count(F.lit(1)).alias("_n")), "spans"
-    )
-    joined = lookup_join(placed, spans.withColumn("_all", F.col("_n")), [run], weight="_n", stored=True)
+    placed = ordered_position(once, [run, seq, event_id], "_pos")
+    spans = placed.groupBy(run).agg(F.min("_pos").alias("_from"), F.count(F.lit(1)).alias("_n"))
+    spans = spans.withColumn("_all", F.col("_n"))
+    if sent is not None:
+        spans = null_safe_join(spans, sent.select(run, "n_sent"), [run], "left")
+    joined = lookup_join(placed, spans, [run], weight="_n")
     place = F.col("_pos") - F.col("_from")
     if backlog is not None:
         first = F.greatest(F.col("_all") - F.lit(backlog), F.lit(0))
         joined = joined.filter(place >= first)
         place = place - first
-    numbers = joined.select(run, event_id, F.floor(place / batch_size).alias("batch_id"))
-    return null_safe_join(once, numbers, [run, event_id], "inner")
+    if sent is not None:
+        place = place + F.coalesce("n_sent", F.lit(0))
+    return joined.select(*events.columns, F.floor(place / batch_size).alias("batch_id"))
 
 
 def upload_accounting(events: DataFrame, call: str, event_id: str = "event_id") -> DataFrame:

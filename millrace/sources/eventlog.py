@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.records import is_json_object
 from millrace.session import materialize
+from millrace.sources.growing import lines_since
 
 BYTE_ORDER_MARK = "\ufeff"
 
@@ -75,26 +76,15 @@ def json_lines(lines: DataFrame) -> DataFrame:
     return clean.filter((F.trim("line") != "") & is_json_object(F.col("line")))
 
 
-def log_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, size)`` of the log files as they are listed; their contents aren't read."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return listed.select(F.col("path").alias("file"), F.col("length").alias("size"))
-
-
 def new_lines(spark: SparkSession, path: str, seen: DataFrame) -> DataFrame:
     """``(file, offset, line, end)`` of the lines that have ended behind ``seen(file, size)``.
 
     A line that was still being written when its file had the size seen ends behind it, and is
-    returned now. Only files that have grown are read.
+    returned now. Only what lies behind is read, in byte ranges; the sizes, one number per file, pass
+    through the driver, which lists the files anyway.
     """
-    known = seen.groupBy("file").agg(F.max("size").alias("_seen"))
-    files = log_files(spark, path).join(known, "file", "left")
-    grown = [r["file"] for r in files.filter("size > coalesce(_seen, 0)").select("file").collect()]
-    if not grown:
-        return spark.createDataFrame([], "file string, offset bigint, line string, end bigint")
-    text = spark.read.format("text").option("lineSep", "\n").load(grown)
-    lines = offset_lines(_located(text)).join(known, "file", "left")
-    return lines.filter(F.col("end") > F.coalesce("_seen", F.lit(0))).drop("_seen")
+    known = seen.groupBy("file").agg(F.max("size").alias("size")).collect()
+    return lines_since(spark, path, {r["file"]: r["size"] for r in known})
 
 
 def scan_events(

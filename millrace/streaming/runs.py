@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.functions.records import event_id
 from millrace.operators.joins import lookup_join
@@ -16,13 +14,17 @@ from millrace.operators.runs import (
     ERROR_KEYS,
     FAILURE_STATES,
     SUCCESS_STATES,
+    TERMINAL_INFERENCE,
     TERMINAL_TRAINING,
     first_terminal,
     upload_batches,
 )
 from millrace.session import fresh_path, materialize
-from millrace.sources.eventlog import json_lines, new_lines, offset_lines, raw_lines
-from millrace.streaming.tables import latest_rows, read_batches, run_to_table, start, write_batch
+from millrace.sources.eventlog import json_lines, offset_lines, raw_lines
+from millrace.sources.growing import RANGE_BYTES, growing_lines
+from millrace.streaming import closings
+from millrace.streaming.closings import CLOSING, OUTCOME  # noqa: F401
+from millrace.streaming.tables import latest_rows, newest_batch, read_batches, run_to_table, start, write_batch
 
 
 def tail_log(
@@ -39,23 +41,39 @@ def tail_log(
     return start(raw_lines(spark.readStream, path), handle, checkpoint, **trigger)
 
 
-CURSORS = "file string, size bigint"
+EVENT_LINES = "file string, offset bigint, line string"
 
 
-def follow_log(spark: SparkSession, path: str, table: str) -> int:
+def grow_log(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    checkpoint: str | None = None,
+    range_bytes: int = RANGE_BYTES,
+    **trigger,
+):
+    """Follow a folder of growing logs into ``table``: ``(file, offset, line)`` of each event.
+
+    The stream's offsets are the ends of the files' last complete lines. A micro-batch reads what the
+    files have gained since, and a restart goes on where the checkpoint stands.
+    """
+
+    def handle(rows: DataFrame, batch: int) -> None:
+        write_batch(json_lines(rows).drop("end"), table, batch)
+
+    return start(growing_lines(spark, path, range_bytes), handle, checkpoint, **trigger)
+
+
+def follow_log(spark: SparkSession, path: str, table: str, range_bytes: int = RANGE_BYTES) -> int:
     """One look at a folder of growing logs: new events go to ``table``, their number is returned.
 
-    Beside the table lies how far each file has been read: the end of its last complete line, so a
-    line that is still being written is taken up by a later look. A look that is repeated after a
-    failure overwrites what it wrote before.
+    The checkpoint lies beside the table. A line that is still being written is taken up by a later
+    look; a look that is repeated after a failure overwrites what it wrote before.
     """
-    cursors = read_batches(spark, f"{table}-cursors", CURSORS)
-    look = (cursors.agg(F.max("batch")).first()[0] or 0) + 1
-    found = materialize(new_lines(spark, path, cursors.select("file", "size")), "lines")
-    events = json_lines(found).drop("end")
-    write_batch(events, table, look)
-    write_batch(found.groupBy("file").agg(F.max("end").alias("size")), f"{table}-cursors", look)
-    return read_batches(spark, table, "file string, offset bigint, line string").filter(F.col("batch") == look).count()
+    last = read_batches(spark, table, EVENT_LINES).agg(F.max("batch")).first()[0]
+    grow_log(spark, path, table, f"{table}-checkpoint", range_bytes).awaitTermination()
+    found = read_batches(spark, table, EVENT_LINES)
+    return found.filter(F.col("batch") > (-1 if last is None else last)).count()
 
 
 def with_event_ids(lines: DataFrame, run: str = "file") -> DataFrame:
@@ -97,6 +115,7 @@ def follow_until_terminal(
     ends_schema = f"{key} {stream.schema[key].dataType.simpleString()}, _end {stream.schema[seq].dataType.simpleString()}, _n bigint"
 
     def handle(rows: DataFrame, batch: int) -> None:
+        rows = materialize(rows, "followed")
         ended = read_batches(spark, ends_path, ends_schema, before=batch).select(key, "_end", "_n")
         now = first_terminal(rows, key, seq, event, terminal)
         known = ended.select(key, F.col("_end").alias("_old"))
@@ -127,27 +146,34 @@ def deliver_stream(
     key: str = "event_id",
     batch_size: int = BATCH_EVENTS,
     checkpoint: str | None = None,
+    ts: str | None = None,
+    keep: str = "30 days",
     **trigger,
 ):
     """Deliver every event once, in upload batches that are numbered on over all micro-batches.
 
-    What the table already holds of earlier micro-batches is left out by id, and a run's numbers go
-    on behind its last batch. A batch is cut short at the end of a micro-batch.
+    Which ids were delivered is the stream's own keyed state, spread by run and id; with an event time
+    ``ts`` an id is forgotten ``keep`` of event time later. How many events a run has got so far lies
+    beside the output, one row per run, written whole by each micro-batch. What was delivered is never
+    read again, and one micro-batch or many give the same numbers if they come in order.
     """
     spark = stream.sparkSession
     kind = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
-    schema = f"{run} {kind[run]}, {key} {kind[key]}, batch_id bigint"
+    schema = f"{run} {kind[run]}, n_sent bigint"
 
     def handle(rows: DataFrame, batch: int) -> None:
-        sent = read_batches(spark, table, schema, before=batch)
-        fresh = rows.join(sent.select(run, key).distinct(), [run, key], "left_anti")
-        numbered = upload_batches(fresh, run, seq, key, batch_size)
-        last = sent.groupBy(run).agg((F.max("batch_id") + 1).alias("_next"))
-        onward = numbered.join(last, run, "left")
-        number = F.col("batch_id") + F.coalesce("_next", F.lit(0))
-        write_batch(onward.withColumn("batch_id", number).drop("_next"), table, batch)
+        rows = materialize(rows, "delivery")
+        sent = newest_batch(spark, f"{table}-sent", schema, before=batch)
+        write_batch(upload_batches(rows, run, seq, key, batch_size, sent=sent), table, batch)
+        now = rows.groupBy(run).agg(F.count_distinct(key).alias("n_sent"))
+        counted = sent.unionByName(now).groupBy(run).agg(F.sum("n_sent").alias("n_sent"))
+        write_batch(counted, f"{table}-sent", batch)
 
-    return start(stream, handle, checkpoint, **trigger)
+    if ts is None:
+        fresh = stream.dropDuplicates([run, key])
+    else:
+        fresh = stream.withWatermark(ts, keep).dropDuplicatesWithinWatermark([run, key])
+    return start(fresh, handle, checkpoint, **trigger)
 
 
 def final_events_stream(stream: DataFrame, run: str = "run", kind: str = "type") -> DataFrame:
@@ -172,10 +198,6 @@ def run_latest(stream: DataFrame, keys: Sequence[str], path: str | None = None)
     return latest_rows(read_batches(spark, path, stream.schema), keys)
 
 
-OUTCOME = "operation string, outcome string, state string, detail string"
-_OUTCOME_STATE = "start double, ended double, state string, detail string, done boolean"
-
-
 def operation_outcomes(
     stream: DataFrame,
     operation: str,
@@ -188,62 +210,21 @@ def operation_outcomes(
     delay: str = "1 minute",
     keep_seconds: float = 86400.0,
 ) -> DataFrame:
-    """Outcome of each operation: at its end state, or once event time has passed its deadline.
+    """Outcome of each operation as the stream decides it; see ``closings.operation_outcomes``."""
+    return closings.operation_outcomes(
+        stream, operation, timeout_seconds, ts, state, success, failure, error_keys, delay, keep_seconds
+    )
 
-    State is the first row's time and the earliest end state; rows are read chunk by chunk and not
-    kept. An operation that is done ignores later rows; its state is removed ``keep_seconds`` of
-    event time after the deadline, so the state does not grow with all operations there ever were.
-    Operation and time are cast to text and ``timestamp``.
-    """
-    success, failure = set(success), set(failure)
 
-    def work(key: tuple, chunks: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        start, ended, final, detail, done = (
-            held.get if held.exists else (float("inf"), float("inf"), None, None, False)
-        )
-        if done and held.hasTimedOut:
-            held.remove()
-            return
-        if done:
-            held.setTimeoutTimestamp(max(int((start + timeout_seconds + keep_seconds) * 1000), held.getCurrentWatermarkMs() + 1))
-            return
-        for chunk in chunks:
-            if chunk.empty:
-                continue
-            start = min(start, float(chunk["at"].min()))
-            ends = chunk[chunk["state"].isin(success | failure)]
-            if len(ends):
-                first = ends.loc[ends["at"].idxmin()]
-                if first["at"] < ended:
-                    ended, final, detail = float(first["at"]), first["state"], first["detail"]
-        deadline = start + timeout_seconds
-        passed = held.hasTimedOut or held.getCurrentWatermarkMs() > deadline * 1000
-        timely = ended <= deadline
-        finished = bool(passed or timely)
-        held.update((start, ended, final, detail, finished))
-        until = deadline + keep_seconds if finished else deadline
-        held.setTimeoutTimestamp(max(int(until * 1000), held.getCurrentWatermarkMs()) + 1)
-        if not finished:
-            return
-        outcome = "timeout" if not timely else "success" if final in success else "failure"
-        yield pd.DataFrame(
-            {
-                "operation": [key[0]],
-                "outcome": [outcome],
-                "state": [final if timely else None],
-                "detail": [detail if outcome == "failure" else None],
-            }
-        )
-
-    when = F.col(ts).cast("timestamp")
-    present = [F.col(k) for k in error_keys if k in stream.columns]
-    rows = stream.select(
-        F.col(operation).cast("string").alias("operation"),
-        when.alias("when"),
-        (F.unix_micros(when) / 1e6).alias("at"),
-        F.col(state).alias("state"),
-        F.coalesce(*present, F.lit(None).cast("string")).alias("detail"),
-    ).withWatermark("when", delay)
-    return rows.groupBy("operation").applyInPandasWithState(
-        work, OUTCOME, _OUTCOME_STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
+def stream_closings(
+    stream: DataFrame,
+    key: str,
+    seq: str,
+    idle_seconds: float,
+    ts: str = "ts",
+    event: str = "event",
+    terminal: Sequence[str] = TERMINAL_INFERENCE,
+    delay: str = "1 minute",
+) -> DataFrame:
+    """Which streams have ended and which broke off; see ``closings.stream_closings``."""
+    return closings.stream_closings(stream, key, seq, ts, event, terminal, idle_seconds, delay)

@@ -14,6 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.session import fresh_path
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def write_batch(rows: DataFrame, path: str, batch: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
@@ -35,6 +38,13 @@ def read_batches(spark: SparkSession, path: str, schema, before: int | None = No
     return table if before is None else table.filter(F.col("batch") < before)
 
 
+def newest_batch(spark: SparkSession, path: str, schema, before: int) -> DataFrame:
+    """What the last batch before ``before`` wrote: for tables that every batch writes whole."""
+    rows = read_batches(spark, path, schema, before)
+    last = rows.agg(F.max("batch")).first()[0]
+    return rows.filter(F.col("batch") == F.lit(last)).drop("batch")
+
+
 def latest_rows(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The row of each key from its last batch."""
     values = [c for c in table.columns if c not in keys and c != "batch"]
@@ -49,11 +59,20 @@ def start(
     mode: str = "append",
     **trigger,
 ) -> StreamingQuery:
-    """Start a stream whose micro-batches go to ``handle``; by default it reads what is there."""
+    """Start a stream whose micro-batches go to ``handle``; by default it reads what is there.
+
+    Its state lies in RocksDB, which the operators with timers need and which holds more state than
+    fits in memory. The setting is the query's alone.
+    """
     spark = stream.sparkSession
     writer = stream.writeStream.outputMode(mode).foreachBatch(handle)
     writer = writer.option("checkpointLocation", checkpoint or fresh_path(spark, "stream"))
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return writer.trigger(**(trigger or {"availableNow": True})).start()
+    finally:
+        spark.conf.set(STATE_STORE, before)
 
 
 def run_to_table(

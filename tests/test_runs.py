@@ -182,3 +182,33 @@ def test_every_event_is_delivered(spark):
     out = runs.upload_batches(table, batch_size=50)
     assert out.count() == 10_050
     assert out.filter("batch_id <> seq div 50").count() == 0
+
+
+def test_a_gap_of_ten_years_on_one_key(spark, monkeypatch):
+    from millrace.operators import runs as ops
+
+    rows = [("a", "2016-01-01 00:00:30", 1.0), ("a", "2025-12-31 23:59:59", 3.0), ("a", "2025-12-31 23:59:01", 5.0), ("b", "2020-02-29 12:00:00", 2.0)]
+    points = spark.createDataFrame(rows, "k string, t string, v double").withColumn("t", F.col("t").cast("timestamp"))
+    found = ops.minute_series(points, "k", "t", "v", fill=-1.0)
+    total = found.groupBy("k").agg(
+        F.count("*").alias("n"), F.count_distinct("minute").alias("minutes"), F.sum("n").alias("points"), F.min("minute").alias("a"), F.max("minute").alias("b")
+    )
+    out = {r["k"]: (r["n"], r["minutes"], r["points"], str(r["a"]), str(r["b"])) for r in total.collect()}
+    minutes = (10 * 365 + 3) * 24 * 60
+    assert out == {
+        "a": (minutes, minutes, 3, "2016-01-01 00:00:00", "2025-12-31 23:59:00"),
+        "b": (1, 1, 1, "2020-02-29 12:00:00", "2020-02-29 12:00:00"),
+    }
+    filled = found.filter("n = 0").agg(F.min("mean_value"), F.max("mean_value")).first()
+    assert tuple(filled) == (-1.0, -1.0)
+
+
+def test_short_blocks_fill_the_same_gaps(spark, monkeypatch):
+    from millrace.operators import runs as ops
+
+    points = spark.createDataFrame([("a", m * 60.0) for m in (0, 1, 5, 40, 41, 100)], "k string, s double")
+    points = points.withColumn("t", F.timestamp_seconds("s"))
+    expected = sorted(r["minute"] for r in ops.minute_series(points, "k", "t", "s").collect())
+    monkeypatch.setattr(ops, "GAP_BLOCK", 3)
+    assert sorted(r["minute"] for r in ops.minute_series(points, "k", "t", "s").collect()) == expected
+    assert len(expected) == 101

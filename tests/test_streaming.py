@@ -155,3 +155,83 @@ def test_delivery_leaves_out_what_was_sent(spark, tmp_path):
     out = tables.read_batches(spark, path, schema + ", batch_id bigint")
     found = sorted((r["run"], r["seq"], r["batch_id"]) for r in out.collect())
     assert found == [("r", 1, 0), ("r", 2, 0), ("r", 3, 1), ("s", 1, 0)]
+
+
+def delivered(spark, source, path):
+    events = source.select("run", "seq", F.col("seq").cast("string").alias("event_id"))
+    runs.deliver_stream(events, path, batch_size=2).awaitTermination()
+    rows = tables.read_batches(spark, path, "run bigint, seq bigint, event_id string, batch_id bigint")
+    return sorted((r["run"], r["seq"], r["batch_id"]) for r in rows.collect())
+
+
+def test_numbers_are_the_same_over_one_or_five_batches(spark, source, tmp_path):
+    whole = str(tmp_path / "in" / "*.json")
+    at_once = spark.readStream.schema(SCHEMA).json(whole)
+    expected = delivered(spark, at_once, str(tmp_path / "one"))
+    assert delivered(spark, source, str(tmp_path / "five")) == expected
+    # the third event of run 1 opens its second batch
+    assert [b for r, _, b in expected if r == 1] == [0, 0, 1, 1, 2]
+
+
+def test_delivered_rows_are_not_read_again(spark, tmp_path):
+    folder, check = tmp_path / "in", str(tmp_path / "c")
+    folder.mkdir()
+    schema = "run string, seq bigint, event_id string"
+    path = str(tmp_path / "out")
+    for rows in ([("r", 1, "e1"), ("r", 2, "e2")], [("r", 2, "e2"), ("r", 3, "e3")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(str(folder))
+        stream = spark.readStream.schema(schema).json(str(folder))
+        runs.deliver_stream(stream, path, batch_size=2, checkpoint=check).awaitTermination()
+        for file in (tmp_path / "out").rglob("*.parquet"):
+            file.write_bytes(b"")  # whoever receives the batches may take them away
+    sent = tables.newest_batch(spark, f"{path}-sent", "run string, n_sent bigint", before=9)
+    assert [tuple(r) for r in sent.collect()] == [("r", 3)]
+
+
+def test_outcomes_of_late_and_silent_operations(spark, tmp_path):
+    start = dt.datetime(2026, 1, 1)
+    rows = [
+        [("a", 0, "running"), ("b", 1, "running"), ("c", 2, "running")],
+        [("a", 30, "ready"), ("b", 50, "running"), ("d", 55, "running")],
+        [("b", 90, "failed"), ("d", 100, "running"), ("a", 110, "failed")],
+        [("d", 150, "ready"), ("z", 400, "running")],
+        [("z", 401, "ready"), ("end", 900, "running")],
+    ]
+    folder = tmp_path / "in"
+    schema = "operation string, ts timestamp, state string, error string"
+    for part in rows:
+        data = [(o, start + dt.timedelta(minutes=m), s, f"at {m}") for o, m, s in part]
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").json(str(folder))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(folder))
+    path = str(tmp_path / "out")
+    tables.run_to_table(runs.operation_outcomes(stream, "operation", 3600), path)
+    found = {r["operation"]: (r["outcome"], r["state"], r["detail"]) for r in tables.read_batches(spark, path, runs.OUTCOME).collect()}
+    assert found == {
+        "a": ("success", "ready", None),
+        "b": ("timeout", None, None),  # failed half an hour too late
+        "c": ("timeout", None, None),
+        "d": ("timeout", None, None),
+        "z": ("success", "ready", None),
+    }
+
+
+def test_closings_over_batches(spark, tmp_path):
+    start = dt.datetime(2026, 1, 1)
+    rows = [
+        [("a", 1, 0, "metric"), ("b", 2, 1, "metric"), ("c", 3, 2, "metric")],
+        [("a", 4, 30, "complete"), ("b", 5, 40, "metric")],
+        [("a", 6, 60, "error"), ("b", 7, 70, "metric")],
+        [("b", 8, 99, "error"), ("c", 9, 200, "complete"), ("d", 10, 210, "metric")],
+        [("e", 11, 400, "metric")],
+    ]
+    folder = tmp_path / "in"
+    schema = "stream string, seq bigint, ts timestamp, event string"
+    for part in rows:
+        data = [(k, s, start + dt.timedelta(minutes=m), e) for k, s, m, e in part]
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").json(str(folder))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(folder))
+    path = str(tmp_path / "out")
+    tables.run_to_table(runs.stream_closings(stream, "stream", "seq", 3600), path)
+    found = sorted((r["stream"], r["end"], r["dropped"]) for r in tables.read_batches(spark, path, runs.CLOSING).collect())
+    # c fell silent for more than an hour before its end came; e may still go on
+    assert found == [("a", 4, False), ("b", 8, False), ("c", None, True), ("d", None, True)]
