@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import os
 import tarfile
 import zipfile
 
@@ -17,6 +18,21 @@ from millrace.session import fresh_path
 from millrace.sources import archives, arrays, eventlog, folders, metadata, tabular, text
 
 
+def write_named(files, path, ending):
+    """Each row ``(name, value)`` as one file, written by the task that holds it."""
+    target = path.removeprefix("file:")
+
+    def write(batches):
+        os.makedirs(target, exist_ok=True)
+        for batch in batches:
+            for name, value in zip(batch["name"], batch["value"], strict=True):
+                with open(f"{target}/{name}.{ending}", "w", encoding="utf-8") as file:
+                    file.write(value)
+            yield batch[["name"]]
+
+    files.mapInPandas(write, "name string").write.format("noop").mode("overwrite").save()
+
+
 @query(
     "sc1_scan_csv",
     "select cast(c_custkey as bigint) c_custkey, c_name, cast(c_nationkey as bigint) c_nationkey,"
@@ -31,6 +47,20 @@ def scan_csv(spark, folder):
     return tabular.scan_csv(spark, path, ";")
 
 
+@query(
+    "sc1_scan_large_csv",
+    "select cast(c_custkey as bigint) c_custkey, c_name, cast(c_nationkey as bigint) c_nationkey,"
+    " c_acctbal, case when c_custkey % 3 = 0 then null else c_mktsegment || chr(10) || 'a \"' || c_name || '\", ' || chr(10) || ' b' end as c_mktsegment from customer",
+)
+def scan_large_csv(spark, folder):
+    # one file, its quoted line breaks across the borders of many blocks
+    path = fresh_path(spark, "csv")
+    odd = F.concat("c_mktsegment", F.lit('\na "'), "c_name", F.lit('", \n b'))
+    customers = table(spark, folder, "customer").withColumn("c_mktsegment", F.when(F.col("c_custkey") % 3 != 0, odd))
+    customers.coalesce(1).write.csv(path, header=True, escape='"')
+    return tabular.scan_large_csv(spark, path, ",", block_bytes=1 << 13)
+
+
 @query(
     "sc2_scan_tsv",
     "select p_partkey, p_name, p_brand, p_type, cast(p_size as bigint) p_size, p_retailprice from part",
@@ -49,13 +79,32 @@ def scan_json(spark, folder):
     path = fresh_path(spark, "json")
     rows = table(spark, folder, "supplier")
     records = F.to_json(F.collect_list(F.struct(*rows.columns)))
-    # one array per file, 50 records each
+    # one array per file, 50 records each, and a file of metadata beside them
     part = F.expr("s_suppkey div 50").alias("part")
     arrays_ = rows.groupBy(part).agg(records.alias("value"))
-    arrays_.write.partitionBy("part").format("text").save(path)
-    # the reader takes *.json; Spark names text files *.txt, so the schema is given
-    schema = "s_suppkey bigint, s_name string, s_nationkey bigint, s_acctbal double"
-    return tabular.scan_json(spark, path, schema, "*.txt")
+    meta = spark.range(1).select(F.lit("meta").alias("name"), F.lit('{"rows": 1}').alias("value"))
+    write_named(arrays_.select(F.concat(F.lit("m"), "part").alias("name"), "value").union(meta), path, "json")
+    return tabular.scan_json(spark, path).select(*rows.columns)
+
+
+@query(
+    "sc3_scan_large_json",
+    """select c_custkey, c_name || ' a }, {' || chr(34) || c_mktsegment || chr(92) as about_text, c_acctbal from customer""",
+)
+def scan_large_json(spark, folder):
+    # one file with one array; braces, quotes and backslashes within strings, objects within objects
+    path = fresh_path(spark, "json")
+    note = F.concat(F.lit('a }, {"'), "c_mktsegment", F.lit("\\"))
+    about = F.struct(F.col("c_name").alias("name"), note.alias("note"))
+    rows = table(spark, folder, "customer").select("c_custkey", about.alias("about"), "c_acctbal")
+    key = F.col("c_custkey")
+    first, last = rows.agg(F.min("c_custkey"), F.max("c_custkey")).first()
+    line = F.concat(
+        F.when(key == first, "[\n").otherwise(""), F.to_json(F.struct(*rows.columns)), F.when(key == last, "]").otherwise(", ")
+    )
+    rows.select("c_custkey", line.alias("value")).coalesce(1).sortWithinPartitions("c_custkey").select("value").write.text(path)
+    found = tabular.scan_large_json(spark, path, files="*.txt", block_bytes=1 << 13)
+    return found.select("c_custkey", F.concat_ws(" ", "about.name", "about.note").alias("about_text"), "c_acctbal")
 
 
 @query(

@@ -5,10 +5,13 @@ from __future__ import annotations
 import csv
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import fresh_path, materialize
+from millrace.sources.pieces import block_size, csv_records, json_records
+
 # Separators that are tried, and how much of the file is looked at.
 SEPARATORS = ",;\t|"
 SNIFF_CHARS = 4096
@@ -93,8 +96,80 @@ def scan_csv(
     return reader.schema(schema).csv(path)
 
 
-def scan_tsv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    return scan_csv(spark, path, "\t", schema)
+def _inferred(table: DataFrame) -> T.StructType:
+    """The plainest type of each text column that all its values have, as the reader would infer them."""
+    kinds = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
+
+    def fit(name: str, kind: str) -> Column:
+        # the reader takes blanks around a number for a sign of a double
+        tight = F.lit(True) if kind == "double" else F.col(name) == F.trim(name)
+        return F.bool_and(F.col(name).isNull() | (F.col(name).try_cast(kind).isNotNull() & tight))
+
+    fits = table.agg(*[
+        fit(c, kind).alias(f"{i}_{kind}")
+        for i, c in enumerate(table.columns)
+        for kind in kinds
+    ], *[F.count(c).alias(f"{i}_n") for i, c in enumerate(table.columns)]).first()
+    schema = T.StructType()
+    for i, name in enumerate(table.columns):
+        kind = next((k for k in kinds if fits[f"{i}_{k}"] and fits[f"{i}_n"]), None)
+        schema.add(name, kinds.get(kind, T.StringType()))
+    return schema
+
+
+def scan_large_csv(
+    spark: SparkSession,
+    path: str,
+    separator: str | None = None,
+    schema: T.StructType | None = None,
+    block_bytes: int | None = None,
+) -> DataFrame:
+    """A CSV table with header as ``scan_csv`` gives it, each file read by many tasks.
+
+    For few large files: the records are cut and stored once, so a file is read twice and written once.
+    Every field that holds a quote, a separator or a line break must be quoted. ``block_bytes`` is the
+    size of a task's block, by default the session's.
+    """
+    separator = separator or sniff_separator(spark, path)
+    with block_size(spark, block_bytes):
+        rows = materialize(csv_records(spark, path), "records")
+    options = {"sep": separator, "escape": '"'}
+    head = rows.filter((F.col("block") == 0) & (F.col("at") == 0))
+    first = head.agg(F.min(F.struct("file", "text"))).first()[0]
+    if first is None:
+        return spark.createDataFrame([], schema or T.StructType())
+    names = next(csv.reader([first["text"].removeprefix("\ufeff")], delimiter=separator))
+    plain = ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
+    body = rows.filter(((F.col("block") > 0) | (F.col("at") > 0)) & (F.trim("text") != ""))
+    fields = body.select(F.from_csv("text", plain, options).alias("r")).select("r.*")
+    kinds = schema or _inferred(fields)
+    return fields.select(*[
+        F.col(f"`{name}`").cast(field.dataType).alias(field.name)
+        for name, field in zip(names, kinds.fields, strict=True)
+    ])
+
+
+def scan_large_json(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    files: str | None = None,
+    block_bytes: int | None = None,
+) -> DataFrame:
+    """Files that each hold one JSON array of objects as ``scan_json`` reads them, each by many tasks.
+
+    The objects are stored once as JSON Lines, from which Spark infers the schema and reads.
+    """
+    out = fresh_path(spark, "objects")
+    with block_size(spark, block_bytes):
+        json_records(spark, path, files or JSON_FILES).select("text").write.text(out)
+    return scan_jsonl(spark, out, schema)
+
+
+def scan_tsv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
+) -> DataFrame:
+    return scan_csv(spark, path, "\t", schema, multi_line=multi_line)
 
 
 # File names that end in .json, but for meta.json, as a file pattern: what differs at each letter.
