@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,7 +140,10 @@ def vocabulary(
     counts = token_counts(words, order)
     ranking = [F.desc("n"), F.asc("first")]
     if vocab_size is not None and vocab_size > 1:
-        counts = counts.orderBy(*ranking).limit(vocab_size - 1)
+        # no more rows than the vocabulary that is asked for
+        top = counts.orderBy(*ranking).limit(vocab_size - 1)
+        place = F.row_number().over(Window.orderBy(*ranking)).cast("bigint")
+        return top.select("token", "n", place.alias("id"))
     placed = numbered(counts, ranking, "_rank")
     return placed.select("token", "n", (F.col("_rank") + 1).alias("id"))
 
@@ -147,6 +154,69 @@ def token_ids(words: DataFrame, vocab: DataFrame) -> DataFrame:
     return joined.withColumn("id", F.coalesce("id", F.lit(0).cast("bigint")))
 
 
+def _stream_of_words(docs: DataFrame, text: str, order: Sequence[str]) -> DataFrame:
+    """``(order, words, n, start)``: each text's tokens, parted by blanks, and the tokens before it.
+
+    Sorted by ``order`` and stored once. Each task counts its tokens as they pass; what stands before a
+    task is summed over one row per task.
+    """
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = docs.select(*order, F.col(text).alias("_text")).repartitionByRange(parts, *order)
+    split = ranged.sortWithinPartitions(*order).select(*order, tokens(F.col("_text")).alias("_t"))
+    rows = split.select(*order, F.array_join("_t", " ").alias("words"), F.size("_t").cast("bigint").alias("n"))
+    schema = T.StructType([*rows.schema.fields, T.StructField("_part", T.IntegerType()), T.StructField("_before", T.LongType())])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            n = batch.column("n").to_numpy()
+            ends = before + np.cumsum(n)
+            columns = [pa.array(np.full(len(n), part), pa.int32()), pa.array(ends - n, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=schema.names)
+            before = int(ends[-1]) if len(n) else before
+
+    staged = materialize(rows.mapInArrow(counted, schema), "words")
+    totals = staged.groupBy("_part").agg(F.sum("n").alias("_n"))
+    # one row per partition
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    placed = staged.join(F.broadcast(offsets), "_part")
+    return placed.select(*order, "words", "n", (F.col("_off") + F.col("_before")).alias("start"))
+
+
+def _cut_windows(vocabulary: Sequence[str], chunk: int):
+    """Ids of texts that follow each other, cut at the windows' borders: ``(window_id, at, ids)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(vocabulary, pa.string())
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            start, n = (batch.column(c).to_numpy() for c in ("start", "n"))
+            flat = pc.split_pattern(batch.column("words"), " ").flatten()
+            ids = pc.fill_null(pc.add(pc.index_in(flat, value_set=known), 1), 0).cast(pa.int32())
+            # runs of texts that join, and the borders inside each run
+            first = np.flatnonzero(np.concatenate([[True], start[1:] != start[:-1] + n[:-1]]))
+            begin, size = start[first], np.add.reduceat(n, first)
+            windows = (begin + size - 1) // chunk - begin // chunk + 1
+            run_of = np.repeat(np.arange(len(first)), windows)
+            nth = np.arange(len(run_of)) - np.repeat(np.cumsum(windows) - windows, windows)
+            window = begin[run_of] // chunk + nth
+            place = np.maximum(window * chunk, begin[run_of])
+            offsets = np.append(place - begin[run_of] + (np.cumsum(size) - size)[run_of], size.sum())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(window, pa.int64()),
+                    pa.array(place - window * chunk, pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids),
+                ],
+                names=["window_id", "at", "ids"],
+            )
+
+    return run
+
+
 def lm_sequences(
     docs: DataFrame,
     text: str,
@@ -158,11 +228,15 @@ def lm_sequences(
 
     ``x`` is a window without its last token and ``y`` without its first; a short last window is
     dropped. The stream runs through all texts in ``order``, whose columns must identify a text.
+
+    The texts are sorted once, so each task holds a stretch of the stream and cuts whole windows out
+    of it; only the pieces at the borders of what it holds are shuffled, one row each. With a
+    vocabulary of limited size its words go to the tasks; without a limit it is as large as the corpus
+    makes it, and the tokens meet it in a join.
     """
     if seq_len <= 0:
         raise ValueError("seq_len must be positive")
-    words = words_of(docs, text, order)
-    starts = ordered_position(words.select(*order, "n"), list(order), "_doc", {"_start": "n"})
+    words = _stream_of_words(docs, text, order)
     total = words.agg(F.sum("n")).first()[0] or 0
     chunk = seq_len + 1
     if total == 0:
@@ -170,25 +244,40 @@ def lm_sequences(
     if total < chunk:
         raise CorpusError(f"the corpus has {total} tokens, fewer than one window of {chunk}")
 
-    vocab = vocabulary(words, order, vocab_size)
-    # one row per text on both sides, so the join cannot skew; Catalyst sees the stored size
-    placed = words.join(starts.select(*order, "_start"), list(order))
-    single = placed.select("_start", F.posexplode("words").alias("_at", "token")).select(
-        (F.col("_start") + F.col("_at")).alias("_pos"), "token"
+    held = words.filter("n > 0")
+    single = held.select(*order, F.split("words", " ").alias("words"), "start")
+    if vocab_size is None or vocab_size <= 1:
+        pieces = _joined_windows(single, vocabulary(single, order), chunk)
+    else:
+        ranking = [F.desc("n"), F.asc("first")]
+        top = token_counts(single, order).orderBy(*ranking).limit(vocab_size - 1).collect()
+        cut = held.select("words", "n", "start").mapInArrow(
+            _cut_windows([r["token"] for r in top], chunk), "window_id bigint, at int, ids array<int>"
+        )
+        pieces = materialize(cut, "windows")
+    pieces = pieces.filter(F.col("window_id") < total // chunk)
+    whole = pieces.filter(F.size("ids") == chunk).select("window_id", "ids")
+    parts = pieces.filter(F.size("ids") < chunk).groupBy("window_id").agg(
+        F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("_w")
+    )
+    joined = whole.unionByName(parts.select("window_id", F.flatten("_w.ids").alias("ids")))
+    ids = F.col("ids").cast("array<bigint>")
+    return joined.select(
+        "window_id", F.slice(ids, 1, seq_len).alias("x"), F.slice(ids, 2, seq_len).alias("y")
+    )
+
+
+def _joined_windows(words: DataFrame, vocab: DataFrame, chunk: int) -> DataFrame:
+    """``(window_id, at, ids)`` of single tokens that have met their id in a table of any size."""
+    single = words.select("start", F.posexplode("words").alias("_at", "token")).select(
+        (F.col("start") + F.col("_at")).alias("_pos"), "token"
     )
     coded = token_ids(single, vocab)
     # consecutive tokens sit in one task, so windows are mostly assembled before the shuffle
-    window = F.expr(f"_pos div {chunk}")
-    pieces = (
-        coded.withColumn("window_id", window)
-        .filter(F.col("window_id") < total // chunk)
-        .groupBy("window_id")
-        .agg(F.array_sort(F.collect_list(F.struct("_pos", "id"))).alias("_w"))
-    )
-    ids = F.col("_w.id")
-    return pieces.select(
-        "window_id", F.slice(ids, 1, seq_len).alias("x"), F.slice(ids, 2, seq_len).alias("y")
+    pieces = coded.withColumn("window_id", F.expr(f"_pos div {chunk}")).groupBy("window_id").agg(
+        F.array_sort(F.collect_list(F.struct("_pos", "id"))).alias("_w")
     )
+    return pieces.select("window_id", F.lit(0).alias("at"), F.col("_w.id").alias("ids"))
 
 
 def rows_from_offsets(
@@ -245,10 +334,17 @@ def remap_to_ranks(
 ) -> DataFrame:
     """``(order, out)``: array values as their ranks in a table of any size.
 
-    Negative values, and values that the table lacks, become 0. ``order`` identifies a row.
+    Negative values, and values that the table lacks, become 0, as do null values. A row without
+    values keeps its empty array, and a null array stays null. ``order`` identifies a row.
     """
-    single = df.select(*order, F.posexplode(F.col(column).cast("array<bigint>")).alias("_at", "value"))
-    coded = lookup_join(single, ranks.filter("value >= 0"), ["value"], stored=True)
+    values = F.col(column).cast("array<bigint>")
+    rows = df.select(*order, values.isNull().alias("_none"), F.posexplode_outer(values).alias("_at", "value"))
+    coded = lookup_join(rows, ranks.filter("value >= 0"), ["value"], stored=True)
+    # a row without values is one row without a place here, which no list takes up
     pair = F.struct("_at", F.coalesce("rank", F.lit(0).cast("bigint")).alias("rank"))
-    per_row = coded.groupBy(*order).agg(F.array_sort(F.collect_list(pair)).alias("_p"))
-    return per_row.select(*order, F.col("_p.rank").alias(out))
+    per_row = coded.groupBy(*order).agg(
+        F.array_sort(F.collect_list(F.when(F.col("_at").isNotNull(), pair))).alias("_p"),
+        F.max("_none").alias("_none"),
+    )
+    ranked = F.when(~F.col("_none"), F.col("_p.rank"))
+    return per_row.select(*order, ranked.alias(out))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators.runs import run_state
-from millrace.operators.split import assign_batches, ratio_split, permuted_position
+from millrace.operators.split import ratio_split
 from millrace.queries.registry import RUN_EVENTS, indexed, one_line_base64, query, run_events, table
 from millrace.session import fresh_path
 from millrace.sinks import events as event_sink
@@ -74,10 +74,9 @@ def write_training_shards(spark, folder):
     rows = ratio_split(indexed(spark, folder, "lineitem"), ["row_index"]).select(
         "split", "row_index", "l_quantity"
     )
-    placed = permuted_position(rows, ["row_index"], "42:0", within=["split"])
     path = fresh_path(spark, "shards")
-    shards.write_training_shards(assign_batches(placed, 256), path)
-    stored = spark.read.parquet(path)
+    shards.write_ordered_shards(rows, path, ["row_index"], "42:0", rows_per_shard=1 << 16)
+    stored = shards.read_ordered_shards(spark, path, 256)
     return stored.groupBy("split", "batch_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("row_index").alias("index_sum"),

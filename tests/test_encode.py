@@ -226,4 +226,31 @@ def test_ranks_of_a_value_set_of_any_size(spark):
     ranks = encode.value_ranks(rows, "v")
     assert sorted(tuple(r) for r in ranks.select("value", "rank").collect()) == [(-2, 0), (5, 1), (70_000, 2)]
     out = {r["r"]: r["remapped"] for r in encode.remap_to_ranks(rows, "v", ranks.filter("value < 9"), ["r"]).collect()}
-    assert out == {0: [1, 0, 0], 1: [1, 1]}
+    assert out == {0: [1, 0, 0], 1: [1, 1], 2: []}
+
+
+def test_rows_without_values_keep_their_place_when_remapped(spark):
+    rows = spark.createDataFrame([(1, [3, 5]), (2, []), (3, None), (4, [None, 9, -1])], "r int, v array<bigint>")
+    ranks = encode.value_ranks(rows, "v")
+    out = {r["r"]: r["remapped"] for r in encode.remap_to_ranks(rows, "v", ranks.filter("value is not null"), ["r"]).collect()}
+    low = {r["value"]: r["rank"] for r in ranks.collect()}
+    assert out == {1: [low[3], low[5]], 2: [], 3: None, 4: [0, low[9], 0]}
+
+
+@pytest.mark.parametrize(("vocab", "parts"), [(8, 1), (8, 5), (None, 5)])
+def test_windows_run_through_texts_of_many_tasks(spark, vocab, parts):
+    import random
+    from collections import Counter
+
+    pick = random.Random(7)
+    docs = [(i, " ".join(pick.choices("abcdefghijkl", k=pick.choice([0, 1, 3, 40])))) for i in range(120)] + [(120, None)]
+    stream = [t for _, text in docs for t in (text or "").split()]
+    first = {t: i for i, t in reversed(list(enumerate(stream)))}
+    ranked = sorted(Counter(stream).items(), key=lambda kv: (-kv[1], first[kv[0]]))
+    ids = {t: i for i, (t, _) in enumerate(ranked[: vocab - 1 if vocab else None], 1)}
+    coded = [ids.get(t, 0) for t in stream]
+    expected = {w: coded[9 * w : 9 * w + 9] for w in range(len(coded) // 9)}
+    table = spark.createDataFrame(docs, "id int, text string").repartition(parts)
+    found = encode.lm_sequences(table, "text", ["id"], 8, vocab).collect()
+    assert {r["window_id"]: r["x"] + r["y"][-1:] for r in found} == expected
+    assert all(r["y"] == expected[r["window_id"]][1:] for r in found)

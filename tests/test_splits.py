@@ -161,3 +161,36 @@ def test_two_splits_never_overlap(spark):
     out = split.ratio_split(spark.range(1000), ["id"], 0.2, 0.3, "x")
     assert out.count() == 1000 and out.select("id").distinct().count() == 1000
     assert sizes(out) == {"train": 500, "val": 200, "test": 300}
+
+
+def test_ordered_shards_hold_the_permutation_in_their_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from millrace.operators.split import permuted_position
+    from millrace.sinks import shards
+
+    rows = spark.range(5000).select(
+        F.col("id").alias("k"), F.when(F.col("id") % 10 < 8, "train").otherwise("val").alias("split"), (F.col("id") * 2).alias("v")
+    )
+    path = str(tmp_path / "out")
+    manifest = shards.write_ordered_shards(rows, path, ["k"], "7:0", rows_per_shard=600)
+    listed = sorted(map(tuple, manifest.select("split", "shard", "first_row", "n_rows").collect()))
+    for name, total in (("train", 4000), ("val", 1000)):
+        mine = [r for r in listed if r[0] == name]
+        assert [r[1] for r in mine] == list(range(len(mine))) and len(mine) == -(-total // 600)
+        assert [r[2] for r in mine] == [sum(r[3] for r in mine[:i]) for i in range(len(mine))]
+        assert sum(r[3] for r in mine) == total
+    expected = permuted_position(rows, ["k"], "7:0", within=["split"])
+    want = {r["k"]: (r["split"], r["pos"], r["v"]) for r in expected.collect()}
+    found = shards.read_ordered_shards(spark, path, 32)
+    assert {r["k"]: (r["split"], r["pos"], r["v"]) for r in found.collect()} == want
+    assert all((r["batch_id"], r["pos_in_batch"]) == divmod(r["pos"], 32) for r in found.collect())
+    only = shards.read_ordered_shards(spark, path, 32, name="val")
+    assert only.count() == 1000 and only.select("split").distinct().collect()[0][0] == "val"
+
+
+def test_ordered_shards_of_an_empty_table(spark, tmp_path):
+    from millrace.sinks import shards
+
+    rows = spark.createDataFrame([], "k bigint, split string")
+    assert shards.write_ordered_shards(rows, str(tmp_path / "none"), ["k"], 1).count() == 0
