@@ -28,8 +28,9 @@ from millrace.session import materialize
 LENGTH = 4096
 GROUP_TOKENS = 1 << 20
 GROUP_PIECES = 1 << 16
-# Words whose ids a worker remembers; beyond it starts to remember anew.
+# Words whose ids a task remembers, and their bytes, about; a task that has ended remembers nothing.
 REMEMBERED = 600_000
+REMEMBERED_BYTES = 80 << 20
 
 PIECES = T.StructType(
     [
@@ -53,16 +54,32 @@ _BYTE_LETTERS = _byte_letters()
 
 
 class Memo(dict):
-    """Ids by word, filled on first use and emptied when full."""
+    """Ids by word, filled on first use and bounded in words and bytes.
+
+    Two generations are held: when the young one is full it becomes the old one, and what is met again
+    moves to the young one. So frequent words stay.
+    """
 
     def __init__(self, encode):
         super().__init__()
         self._encode = encode
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self._old, self._held = {}, 0
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
+        found = self._old.get(word)
+        if found is None:
+            found = self._encode(word)
+        if 2 * len(self) >= REMEMBERED or 2 * self._held >= REMEMBERED_BYTES:
+            self._old = dict(self)
             self.clear()
-        found = self[word] = self._encode(word)
+            self._held = 0
+        self[word] = found
+        # the word and its ids, as bytes or numbers, and what the objects take
+        self._held += 200 + 2 * len(word) + len(found)
         return found
 
 
@@ -97,6 +114,10 @@ class WordEncoder:
         ids = self._tokenizer.encode(chunk, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
+    def forget(self) -> None:
+        self._words.forget()
+        self._cores.forget()
+
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         for blank in "\n\t\r":
@@ -113,18 +134,22 @@ def _cut(path: str, end_id: int, length: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
         end = int(end_id).to_bytes(4, "little")
-        for batch in batches:
-            rows: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encoder.ids(text.as_py()) + end
-                total = len(ids) // 4
-                for start in range(0, total, length):
-                    piece = ids[4 * start : 4 * (start + length)]
-                    rows.append((doc, start, len(piece) // 4, zlib.crc32(piece), total))
-            columns = list(zip(*rows, strict=True)) or [[] for _ in PIECES]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], names=PIECES.names
-            )
+        try:
+            for batch in batches:
+                rows: list[tuple] = []
+                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    ids = encoder.ids(text.as_py()) + end
+                    total = len(ids) // 4
+                    for start in range(0, total, length):
+                        piece = ids[4 * start : 4 * (start + length)]
+                        rows.append((doc, start, len(piece) // 4, zlib.crc32(piece), total))
+                columns = list(zip(*rows, strict=True)) or [[] for _ in PIECES]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in columns], names=PIECES.names
+                )
+        finally:
+            encoder.forget()
+            pa.default_memory_pool().release_unused()
 
     return run
 

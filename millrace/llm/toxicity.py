@@ -30,8 +30,10 @@ FOLDS = 4
 SPACE = 1 << 20
 # Beginnings of words that are features beside the whole words: inflected forms share them.
 STEMS = (4, 5, 6)
-# Features that the models look at: those that part the labels best.
+# Features that the models look at: those that part the labels beyond doubt (a chance of one in a
+# million, as there are so many), however many, and at least so many of the best.
 CHOSEN = 256
+SURE = 4.9
 STEPS = 200
 RATE = 1.0
 RIDGE = 1e-4
@@ -39,7 +41,8 @@ RIDGE = 1e-4
 CLEAN_COST = 5.0
 # Rows that were not learned from are counted per step of the logarithm of the odds for this.
 STEP = 0.01
-REMEMBERED = 300_000
+# Bytes of words whose features a task remembers, about; a task that has ended remembers nothing.
+REMEMBERED_BYTES = 40 << 20
 MARKS = ".,!?;:\"'()[]{}|*#%&$<>-_"
 
 
@@ -48,29 +51,32 @@ def _hash(feature: str) -> int:
 
 
 class Terms(dict):
-    """Feature numbers of words as bytes, remembered by word."""
+    """Feature numbers of words as bytes, remembered by word; bounded in bytes."""
+
+    held = 0
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
+        if self.held >= REMEMBERED_BYTES:
             self.clear()
+            self.held = 0
         core = word.strip(MARKS)
         names = [f"w {core}"] + [f"s {core[:n]}" for n in STEMS if len(core) >= n] if core else []
         found = self[word] = np.array([_hash(n) for n in names], np.uint32).tobytes()
+        self.held += 200 + 2 * len(word) + len(found)
         return found
 
 
-_TERMS = Terms()
-
-
-def features_of(text: str) -> np.ndarray:
+def features_of(text: str, terms: Terms | None = None) -> np.ndarray:
     """Sorted distinct feature numbers of a whole text, whatever its case."""
     words = set(text.lower().split())
-    return np.unique(np.frombuffer(b"".join(map(_TERMS.__getitem__, words)), np.uint32))
+    terms = Terms() if terms is None else terms
+    return np.unique(np.frombuffer(b"".join(map(terms.__getitem__, words)), np.uint32))
 
 
 def _packed(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    terms = Terms()
     for batch in texts:
-        yield pd.Series([features_of(text or "").tobytes() for text in batch])
+        yield pd.Series([features_of(text or "", terms).tobytes() for text in batch])
 
 
 @dataclass
@@ -178,10 +184,11 @@ def least_cost(probability: np.ndarray, label: np.ndarray, rows: np.ndarray | No
     return float(1 / (1 + np.exp(-(low + high) / 2)))
 
 
-def informative(features: list[np.ndarray], label: np.ndarray, most: int = CHOSEN) -> np.ndarray:
+def informative(features: list[np.ndarray], label: np.ndarray, least: int = CHOSEN) -> np.ndarray:
     """The features whose shares among rows of the two labels differ most, sorted by number.
 
-    The difference is measured against its standard error; ties go to the smaller number.
+    The difference is measured against its standard error; ties go to the smaller number. All that
+    differ by ``SURE`` standard errors are taken, and others down to 2 until there are ``least``.
     """
     def counts(rows: np.ndarray) -> np.ndarray:
         held = [features[i] for i in rows]
@@ -195,7 +202,7 @@ def informative(features: list[np.ndarray], label: np.ndarray, most: int = CHOSE
     error = np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / len(yes) + 1 / len(no)))
     z = np.abs(a / len(yes) - b / len(no)) / error
     z[a + b < 3] = 0
-    order = np.argsort(-z, kind="stable")[:most]
+    order = np.argsort(-z, kind="stable")[: max(least, int((z > SURE).sum()))]
     return np.sort(order[z[order] > 2]).astype(np.uint32)
 
 
@@ -290,10 +297,11 @@ def probabilities(text: Column, chain: Chain) -> Column:
     """An array with the probability of each category in order; the last is the verdict's."""
 
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        terms = Terms()
         for batch in texts:
             out = []
             for at in range(0, len(batch), 1000):
-                part = [features_of(t or "") for t in batch[at : at + 1000]]
+                part = [features_of(t or "", terms) for t in batch[at : at + 1000]]
                 out.extend(chain.predict(chain.rows(part)).tolist())
             yield pd.Series(out, dtype=object)
 
@@ -314,10 +322,16 @@ def score(docs: DataFrame, labels: DataFrame, seed: int = 9) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, seed: int = 9) -> DataFrame:
-    """The rows of ``docs`` whose text is not toxic, with all their columns."""
-    chain = train(docs, labels, seed=seed)
+    """The rows of ``docs`` whose text is not toxic, with all their columns.
+
+    The rows are stored with their score, as the cut is known only when all labelled rows have one.
+    """
+    chain, learned, others = learn(docs, labels, seed=seed)
     inner = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
-    place = docs.columns.index("text")
-    kinds = probabilities(F.col(f"c{place}"), chain)
-    kept = docs.select(*inner).filter(F.element_at(kinds, -1) < chain.cut)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    kinds = probabilities(text, chain)
+    scored = docs.select(*inner, F.col("doc_id"), F.element_at(kinds, -1).alias("toxicity"))
+    scored = materialize(scored, "toxicity")
+    cut = cut_of(learned, others, scored.select("doc_id", "toxicity"))
+    kept = scored.filter(F.col("toxicity") < cut)
     return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
