@@ -312,7 +312,7 @@ def rare_matches(sets: DataFrame, similarity: float) -> DataFrame:
     return met.select(F.col("a.doc").alias("a"), F.col("b.doc").alias("b"))
 
 
-def weighted_jaccard(a: bytes, b: bytes) -> float:
+def weighted_jaccard(a: bytes | pa.Buffer, b: bytes | pa.Buffer) -> float:
     """Sum of the smaller weights over sum of the larger, of two packed sets."""
     x, y = np.frombuffer(a, _U), np.frombuffer(b, _U)
     n, m = len(x) // 2, len(y) // 2
@@ -324,13 +324,15 @@ def weighted_jaccard(a: bytes, b: bytes) -> float:
 
 
 def _similar(similarity: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The pairs that are similar enough; sets are read where they lie in the batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [
-                weighted_jaccard(a, b) >= similarity
-                for a, b in zip(batch["set_a"], batch["set_b"], strict=True)
-            ]
-            yield batch.loc[keep, ["a", "b"]]
+            sets = zip(batch.column("set_a"), batch.column("set_b"), strict=True)
+            keep = pa.array(
+                [weighted_jaccard(a.as_buffer(), b.as_buffer()) >= similarity for a, b in sets], pa.bool_()
+            )
+            yield batch.select(["a", "b"]).filter(keep)
 
     return run
 
@@ -459,7 +461,7 @@ def classes(
             "sets",
         )
         held = likely.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-        return materialize(held.mapInPandas(_similar(similarity), "a bigint, b bigint"), "verified")
+        return materialize(held.mapInArrow(_similar(similarity), "a bigint, b bigint"), "verified")
 
     # first every member with the head of its bucket: no more pairs than members
     star = shared.filter((F.col("doc") != F.col("a")) & could_be("total", "total_a"))
