@@ -132,13 +132,15 @@ def mix(
     document more than ``most`` copies. Rows without words are never copied (0 copies, unless their
     source is taken in whole rounds). ``keep`` names further columns to return, read from the same
     rows. Equal rows are interchangeable: of two rows alike, either may be the one taken, and the
-    result is the same. Reruns agree, as the choice hangs on ids and the seed alone.
+    result is the same. Reruns agree, as the choice hangs on ids, the seed, and
+    of equal ids on the texts.
     """
     sized = docs.select(
         F.col("doc_id").alias("doc_id"),
         F.col("source").alias("source"),
         word_count(F.col("text")).alias("size"),
         F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 64 - HASH_BITS).alias("part"),
+        F.xxhash64(F.lit(seed), F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("content"),
         F.struct(*[F.col(c) for c in keep]).alias("kept") if keep else F.lit(0).alias("kept"),
     )
     # only what the choice needs is stored; kept columns are read again from the input
@@ -176,7 +178,9 @@ def mix(
     parts = parts.select(
         *[F.col(k).alias(f"_{k}") for k in keys], "before", "source_size", "target", "rounds", "extra"
     )
-    ranked = Window.partitionBy("source", "size", "part").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
+    ranked = Window.partitionBy("source", "size", "part").orderBy(
+        F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "content"
+    )
     rows = (sized if keep else narrow).withColumn("rank", F.row_number().over(ranked))
     joined = rows.join(parts, same([F.col(k) for k in keys], [F.col(f"_{k}") for k in keys]))
     copies = F.col("rounds") + F.when(F.col("before") + F.col("rank") <= F.col("extra"), 1).otherwise(0)
