@@ -7,7 +7,8 @@ the queries the true neighbours are found by brute force over all rows, and the
 until the wanted share of them lies in visited leaves.
 
 Leaves are dealt into parts of bounded size, large leaves over several, and each part meets the
-queries that visit one of its leaves, in blocks. A part returns its best few per query.
+queries that visit one of its leaves, in blocks of queries that lie near each other. A part returns its
+best few per query.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ CALIBRATION = 128
 RECALL = 0.94
 PART_ROWS = 8192
 QUERY_BLOCK = 8192
+# Queries that one task walks through the tree.
+ROUTED_ROWS = 2048
 # Products are formed for so many pairs at a time.
 PAIRS = 1 << 21
 
@@ -150,7 +153,12 @@ def _best(
     same = np.zeros(len(order), bool)
     same[1:] = (words[order][1:] == words[order][:-1]).all(axis=1)
     start = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
-    rows = np.sort(order[np.arange(len(order)) - start <= k])
+    # the copies of one id may all be the query's own
+    alike = np.concatenate([[False], same[1:] & (ids[order][1:] == ids[order][:-1])]) if len(order) else same
+    copies = np.arange(len(order)) - np.maximum.accumulate(np.where(alike, 0, np.arange(len(order))))
+    most = np.zeros(len(order), np.int64)
+    np.maximum.at(most, start, copies)
+    rows = np.sort(order[np.arange(len(order)) - start - most[start] <= k])
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     step = max(1, PAIRS // max(1, len(rows)))
     norm = np.sqrt((x[rows] ** 2).sum(axis=1)).max() if len(rows) else 0.0
@@ -208,8 +216,8 @@ def _brute(ids: np.ndarray, queries: np.ndarray, k: int):
     return run
 
 
-def _top(found: DataFrame, k: int) -> DataFrame:
-    by_score = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+def _top(found: DataFrame, k: int, *query: str) -> DataFrame:
+    by_score = Window.partitionBy("query_id", *query).orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k)
 
 
@@ -222,7 +230,8 @@ def brute_force(placed: DataFrame, queries: pd.DataFrame, k: int = NEAREST) -> D
 
 def calibrate(tree: Tree, placed: DataFrame, queries: DataFrame, k: int, recall: float) -> tuple[int, float]:
     """Leaves to visit so that ``recall`` of the true neighbours of some queries are reached."""
-    some = queries.orderBy(F.xxhash64(F.lit(5), "vec_id"), "vec_id").limit(CALIBRATION).toPandas()
+    single = queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    some = single.orderBy(F.xxhash64(F.lit(5), "vec_id"), "vec_id").limit(CALIBRATION).toPandas()
     if not len(some):
         return 1, 1.0
     truth = brute_force(placed, some, k).select("query_id", "leaf").toPandas()
@@ -248,16 +257,16 @@ def _routed(tree: Tree, most: int, size: np.ndarray, k: int, parts: np.ndarray,
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            named = zip(batch["vec_id"], batch["block"], batch["vector"], batch["own"], strict=True)
-            for vec_id, block, raw, own in named:
+            named = zip(*[batch[c] for c in ("vec_id", "copy", "block", "vector", "own")], strict=True)
+            for vec_id, copy, block, raw, own in named:
                 leaves = np.array(tree.visits(np.frombuffer(raw, np.float64), most, size, k + own))
                 visited = np.zeros(tree.leaves, bool)
                 visited[leaves] = True
                 bits = np.packbits(visited).tobytes()
                 used = {p for leaf in leaves for p in range(offsets[leaf], offsets[leaf] + parts[leaf])}
                 # consecutive small leaves share a part, so several leaves may name the same one
-                rows += [(p, block, vec_id, raw, bits) for p in sorted(used)]
-            yield pd.DataFrame(rows, columns=["part", "block", "query_id", "vector", "bits"])
+                rows += [(p, block, vec_id, copy, raw, bits) for p in sorted(used)]
+            yield pd.DataFrame(rows, columns=["part", "block", "query_id", "copy", "vector", "bits"])
 
     return run
 
@@ -265,13 +274,14 @@ def _routed(tree: Tree, most: int, size: np.ndarray, k: int, parts: np.ndarray,
 def _searched(k: int):
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(rows):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_id": [], "copy": [], "vec_id": [], "score": []})
         bits = np.frombuffer(b"".join(queries["bits"]), np.uint8).reshape(len(queries), -1)
         visited = np.unpackbits(bits, axis=1).astype(bool)
         ids, own = rows["vec_id"].to_numpy(), queries["query_id"].to_numpy()
         open_ = visited[:, rows["leaf"].to_numpy()]
         q, r, score = _best(_matrix(queries["vector"]), ids, _matrix(rows["vector"]), own, k, open_)
-        return pd.DataFrame({"query_id": own[q], "vec_id": ids[r], "score": score})
+        copy = queries["copy"].to_numpy()
+        return pd.DataFrame({"query_id": own[q], "copy": copy[q], "vec_id": ids[r], "score": score})
 
     return run
 
@@ -292,6 +302,9 @@ def search(
     components take no part, nor do null ids and vectors that are not as long as most. Every query
     visits ``leaves_visited`` leaves, and more where these hold fewer than ``k`` candidates. Fewer than
     ``k`` candidates in the table: all of them. An empty table gives an empty result.
+
+    Repeated rows: equal queries (id and vector) are answered once, queries of one id with different
+    vectors each on their own, and a candidate row is named as often as it is in the table.
     """
     spark = vectors.sparkSession
     flagged = vectors.select(
@@ -321,7 +334,8 @@ def search(
         rows.filter("is_query")
         .select("vec_id", "vector")
         .mapInPandas(_placed(tree), "vec_id bigint, leaf bigint, vector binary")
-        .select("vec_id", "vector"),
+        .dropDuplicates(["vec_id", "vector"])
+        .withColumn("copy", F.xxhash64("vector")),
         "queries",
     )
     most, reached = calibrate(tree, index, asking, k, recall)
@@ -339,30 +353,44 @@ def search(
         filled += size[leaf]
         if parts[leaf] > 1:
             at, filled = at + parts[leaf], 0
-    blocks = max(1, -(-asking.count() // QUERY_BLOCK))
-    block = F.pmod(F.xxhash64(F.lit(seed + 1), "vec_id"), F.lit(blocks)).alias("block")
+    # queries are dealt by their own leaf: near queries visit the same leaves, and a block few parts
+    asked = np.zeros(tree.leaves, np.int64)
+    for leaf, n in asking.groupBy("leaf").count().collect():
+        asked[leaf] = n
+    total = int(asked.sum())
+    first = np.cumsum(asked) - asked
+    spans = spark.createDataFrame(pd.DataFrame({"at": np.arange(tree.leaves), "before": first, "asked": asked}))
+    within = F.pmod(F.xxhash64(F.lit(seed + 1), "vec_id", "copy"), F.greatest("asked", F.lit(1)))
+    block = F.floor((F.col("before") + within) / QUERY_BLOCK).alias("block")
     # rows with the query's id are none of its candidates
     own = index.groupBy("vec_id").agg(F.count(F.lit(1)).alias("own"))
-    routed = asking.join(own, "vec_id").select("vec_id", "vector", block, "own").mapInPandas(
-        _routed(tree, most, size, k, parts, offsets),
-        "part bigint, block bigint, query_id bigint, vector binary, bits binary",
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // ROUTED_ROWS))
+    routed = asking.join(F.broadcast(spans), F.col("leaf") == F.col("at")).join(own, "vec_id")
+    routed = materialize(
+        routed.select("vec_id", "copy", block, "vector", "own")
+        .repartition(tasks)
+        .mapInPandas(
+            _routed(tree, most, size, k, parts, offsets),
+            "part bigint, block bigint, query_id bigint, copy bigint, vector binary, bits binary",
+        ),
+        "routed",
     )
     layout = spark.createDataFrame(
         pd.DataFrame({"of": np.arange(tree.leaves), "first": offsets, "parts": parts})
     )
-    dealt = index.join(F.broadcast(layout), F.col("leaf") == F.col("of")).select(
-        (F.col("first") + F.pmod(F.xxhash64("vec_id"), "parts")).alias("part"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"),
-        "vec_id",
-        "leaf",
-        "vector",
+    # a row goes to the blocks that visit its part, and to no other
+    visits = routed.select("part", "block").distinct()
+    dealt = (
+        index.join(F.broadcast(layout), F.col("leaf") == F.col("of"))
+        .select((F.col("first") + F.pmod(F.xxhash64("vec_id"), "parts")).alias("part"), "vec_id", "leaf", "vector")
+        .join(visits, "part")
     )
     found = (
         routed.groupBy("part", "block")
         .cogroup(dealt.groupBy("part", "block"))
-        .applyInPandas(_searched(k), "query_id bigint, vec_id bigint, score double")
+        .applyInPandas(_searched(k), "query_id bigint, copy bigint, vec_id bigint, score double")
     )
-    return _top(found, k).select(
+    return _top(found, k, "copy").select(
         "query_id",
         F.col("rank").cast("int").alias("rank"),
         "vec_id",

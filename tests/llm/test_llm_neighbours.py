@@ -96,3 +96,42 @@ def test_thin_leaves_and_lone_rows_still_find_all_they_should(spark, monkeypatch
     monkeypatch.setattr(neighbours, "LEAF_ROWS", 2)
     few = spark.createDataFrame(data[:1] + data[60:1800:200], "vec_id bigint, embedding array<double>")
     assert neighbours.search(few, F.col("vec_id") == 0).count() == few.count() - 1
+
+
+def test_repeated_rows_are_candidates_but_not_queries_of_their_own(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((400, 6))
+    data = [(i, v.tolist()) for i, v in enumerate(x)]
+    schema = "vec_id bigint, embedding array<double>"
+    is_query = F.col("vec_id") % 20 == 0
+    once = neighbours.search(spark.createDataFrame(data, schema), is_query, recall=1.0).toPandas()
+    asked = [r for r in data if r[0] % 20 == 0]
+    more = neighbours.search(spark.createDataFrame(data + asked * 2, schema), is_query, recall=1.0).toPandas()
+    twice = neighbours.search(spark.createDataFrame(data + data, schema), is_query, recall=1.0).toPandas()
+    for query in range(0, 400, 20):
+        expected, _ = brute(np.arange(400), x, query)
+        lists = [t[t.query_id == query].sort_values("rank").vec_id.tolist() for t in (once, more, twice)]
+        assert lists[0] == expected
+        # other queries are three rows each there
+        kept = [v for v in expected for _ in range(3 if v % 20 == 0 else 1)][:20]
+        assert lists[1] == kept
+        assert lists[2] == [v for v in expected for _ in range(2)][:20]
+
+
+def test_one_id_with_two_vectors_is_two_queries(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((100, 4))
+    data = [(i, v.tolist()) for i, v in enumerate(x)] + [(0, (-x[0]).tolist())]
+    vectors = spark.createDataFrame(data, "vec_id bigint, embedding array<double>")
+    found = neighbours.search(vectors, F.col("vec_id") == 0, k=5, recall=1.0).collect()
+    score = x[1:] @ x[0]
+    expected = sorted([*np.sort(score)[-5:].tolist(), *np.sort(-score)[-5:].tolist()])
+    assert sorted(r["score"] for r in found) == pytest.approx(expected)
+    assert sorted(r["rank"] for r in found) == sorted([*range(1, 6)] * 2)
+
+
+def test_many_own_copies_hide_no_other_row(spark):
+    data = [(7, [1.0, 2.0])] * 40 + [(8, [1.0, 2.0])] * 3 + [(9, [0.5, 0.5])]
+    vectors = spark.createDataFrame(data, "vec_id bigint, embedding array<double>")
+    found = neighbours.search(vectors, F.col("vec_id") == 7, k=4).orderBy("rank").collect()
+    assert [r["vec_id"] for r in found] == [8, 8, 8, 9]
