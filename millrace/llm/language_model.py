@@ -9,8 +9,9 @@ over all texts: the commonest of the other words are sent to all tasks, the rest
 join by word.
 
 The classes come from the counts of all words of all texts. Training passes over all texts as well:
-each part of the table trains a copy of the network on the masked positions of its texts, and the
-copies are averaged by the number of positions, in a shuffle by parameter.
+they are dealt by hash into parts of about two million words, each part trains a copy of the network on
+the masked positions of its texts, and the copies are averaged by the number of positions, in a shuffle by
+parameter. So a score does not depend on how the table is cut into files.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.base import documents_of
+from millrace.llm.base import documents_of, groups_for
 from millrace.llm.near_duplicates import word_hashes
 from millrace.session import materialize
 
@@ -35,6 +36,8 @@ REACH = 3
 PASSES = 2
 # Of the words that share classes, so many at most are sent to all tasks with their counts.
 SENT = 1 << 18
+# Words of the texts on which one copy of the network is trained, about.
+PART_WORDS = 1 << 21
 BATCH = 1024
 RATE = 0.15
 CHUNK = 1 << 21
@@ -280,14 +283,29 @@ def _trained(network: Network, turn: int, seed: int):
     return run
 
 
+def dealt(docs: DataFrame, words: int, seed: int) -> DataFrame:
+    """The texts in parts of about ``PART_WORDS`` words, one task each, in an order of their own.
+
+    Part and order come from a hash of id and text, and the number of parts from the number of words:
+    how the table is stored changes nothing.
+    """
+    parts = groups_for(words, PART_WORDS)
+    key = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text")).alias("key")
+    spread = docs.select("text", key).repartitionById(parts, F.pmod("key", F.lit(parts)).cast("int"))
+    return spread.sortWithinPartitions("key", "text").select("text")
+
+
 def fitted(docs: DataFrame, seed: int = 17) -> tuple[Network, Words]:
     """The network after all passes over all texts, and their words; without any it stays as it began."""
-    texts = documents_of(docs).select("text")
-    network, words = vocabulary(texts, seed)
+    rows = documents_of(docs)
+    network, words = vocabulary(rows.select("text"), seed)
+    texts = dealt(rows, words.counts.agg(F.sum("n")).first()[0], seed)
     for turn in range(PASSES):
         parts = texts.mapInArrow(_trained(network, turn, seed), "weight bigint, total double, seen double")
-        mean = parts.groupBy("weight").agg((F.sum("total") / F.sum("seen")).alias("value"))
-        values = mean.toPandas().sort_values("weight")  # one row per weight of the network
+        # as decimals, so that the order in which the parts are added changes nothing
+        total, seen = (F.sum(F.col(c).cast("decimal(38, 12)")).cast("double") for c in ("total", "seen"))
+        values = parts.groupBy("weight").agg((total / seen).alias("value")).toPandas()
+        values = values.sort_values("weight")  # one row per weight of the network
         if len(values):
             network = network.with_flat(values["value"].to_numpy())
     return network, words

@@ -126,3 +126,14 @@ def test_passes_mask_disjoint_positions_that_cover_all(spark, monkeypatch):
         )
         seen += rows.first()["seen"]
     assert seen == len(hashes) * 200
+
+
+def test_scores_do_not_depend_on_how_the_table_is_stored(spark, monkeypatch):
+    monkeypatch.setattr(lm, "PART_WORDS", 20_000)
+    docs = table(spark, FOLDER, "documents").select("doc_id", "text")
+    one, many = (
+        {r["doc_id"]: r["log_likelihood"] for r in lm.score_words(rows).collect()}
+        for rows in (docs.coalesce(1), docs.orderBy("text").repartition(6))
+    )
+    assert one.keys() == many.keys()
+    assert max(abs(one[d] - many[d]) / max(1, abs(one[d])) for d in one) < 1e-5
