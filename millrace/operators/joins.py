@@ -21,6 +21,7 @@ def lookup_join(
     weight: str | None = None,
     how: str = "left",
     stored: bool = False,
+    by: str | None = None,
 ) -> DataFrame:
     """Join ``facts`` to a table with one row per key; null matches null.
 
@@ -29,17 +30,22 @@ def lookup_join(
     number of fact rows; it does not appear in the result. With it, keys of more than
     ``1 / HOT_SHARE`` of all rows, of which there are fewer than ``HOT_SHARE``, are broadcast, their
     rows spread over ``SALTS`` shuffle keys, and all other keys meet as usual. Without it, skewed
-    partitions are left to adaptive execution.
+    partitions are left to adaptive execution. ``by`` is a join hint for the other keys, where the join
+    shall be the same at every size.
     """
     keys = list(on)
     if not stored:
         table = materialize(table, "lookup")
+
+    def hinted(side: DataFrame) -> DataFrame:
+        return side if by is None else side.hint(by)
+
     if weight is None:
-        return null_safe_join(facts, table, keys, how)
+        return null_safe_join(facts, hinted(table), keys, how)
     values = [c for c in table.columns if c not in keys and c != weight]
     total, top = table.agg(F.sum(weight), F.max(weight)).first()
     if not top or top * HOT_SHARE <= total:
-        return null_safe_join(facts, table.drop(weight), keys, how)
+        return null_safe_join(facts, hinted(table.drop(weight)), keys, how)
     hot_row = F.col(weight) * HOT_SHARE > total
     renamed = [F.col(c).alias(f"_hot_{c}") for c in values]
     hot = table.filter(hot_row).select(*keys, *renamed, F.lit(True).alias("_hot"))
@@ -52,7 +58,7 @@ def lookup_join(
     cold = table.filter(~hot_row).drop(weight).withColumn("_salt", F.lit(0)).withColumn(
         "_cold", F.lit(True)
     )
-    joined = null_safe_join(marked, cold, [*keys, "_salt"], "left")
+    joined = null_safe_join(marked, hinted(cold), [*keys, "_salt"], "left")
     if how == "inner":
         joined = joined.filter(F.col("_hot") | F.col("_cold"))
     picked = [
