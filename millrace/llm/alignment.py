@@ -31,7 +31,7 @@ from millrace.operators.joins import lookup_join
 from millrace.session import materialize
 
 # Bytes of remembered chunks a task holds, about.
-REMEMBERED_BYTES = 96 << 20
+REMEMBERED_BYTES = 128 << 20
 # Longer chunks are not remembered.
 LONGEST = 64
 # Texts handled together, in characters.
@@ -85,6 +85,10 @@ def refined_ends(spans: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return measured + cut
 
 
+def _numbers(spans: list[tuple[int, int]], count: int) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(spans), np.int64, count).reshape(-1, 2)
+
+
 def char_places(text: str) -> list[int]:
     """Byte place of each character of a text, and the length of the text in bytes."""
     places, at = [0], 0
@@ -126,15 +130,14 @@ class Aligner:
         self._a.encode_special_tokens = True
         letters = {letter: byte for byte, letter in _BYTE_LETTERS.items()}
         letters = {chr(b): b for b in range(256) if b not in _BYTE_LETTERS} | letters
-        self._a_bytes = {}
-        for token, number in self._a.get_vocab(with_added_tokens=True).items():
+        entries = self._a.get_vocab(with_added_tokens=True)
+        self._a_bytes = [b""] * (max(entries.values()) + 1)
+        for token, number in entries.items():
             known = all(c in letters for c in token)
             self._a_bytes[number] = bytes(letters[c] for c in token) if known else token.encode()
         self._b = SentencePieceProcessor(model_file=path_b)
         self._b_bytes = [self._piece_bytes(self._b.id_to_piece(i)) for i in range(self._b.piece_size())]
-        self._a_lengths = np.zeros(max(self._a_bytes) + 1, np.int64)
-        for number, known in self._a_bytes.items():
-            self._a_lengths[number] = len(known)
+        self._a_lengths = np.array([len(known) for known in self._a_bytes], np.int64)
         self._b_lengths = np.array([len(known) for known in self._b_bytes], np.int64)
         # ids with the sign behind them, within a group and at the end of its side
         inside = ((i, end) for i in range(len(self._a_lengths)) for end in ",|")
@@ -180,14 +183,18 @@ class Aligner:
         left = self._a.encode(joined, add_special_tokens=False)
         right = self._b.encode(whole[1:], return_type="offset_mapping", return_bytes=True)
         a_ids, b_ids = left.ids, right["ids"]
-        if b"".join([self._a_bytes[i] for i in a_ids]) != whole or b"".join([self._b_bytes[i] for i in b_ids]) != whole:
+        if b"".join(map(self._a_bytes.__getitem__, a_ids)) != whole:
             return None
-        a_ids, b_ids = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
-        a_spans = np.array(left.offsets, np.int64).reshape(-1, 2)
+        if b"".join(map(self._b_bytes.__getitem__, b_ids)) != whole:
+            return None
+        a_spans, b_spans = _numbers(left.offsets, 2 * len(a_ids)), _numbers(right["offsets"], 2 * len(b_ids)) + 1
+        a_ids, b_ids = np.fromiter(a_ids, np.int64, len(a_ids)), np.fromiter(b_ids, np.int64, len(b_ids))
+        borders = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
         if len(whole) != len(joined):
             places = np.flatnonzero((np.frombuffer(whole, np.uint8) & 0xC0) != 0x80)
-            a_spans = np.append(places, len(whole))[a_spans]
-        b_spans = np.array(right["offsets"], np.int64).reshape(-1, 2) + 1
+            places = np.append(places, len(whole))
+            a_spans, borders = places[a_spans], places[borders]
+        # B's spans count from behind the blank that it puts in front
         b_spans[0, 0] = 0
         a_ends = refined_ends(a_spans, self._a_lengths[a_ids])
         b_ends = refined_ends(b_spans, self._b_lengths[b_ids])
@@ -195,8 +202,6 @@ class Aligner:
         ends = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
         twice = ends[1:] == ends[:-1]
         common, ends = ends[1:][twice], ends[np.append(True, ~twice)]
-        sizes = [len(t) + 1 if t.isascii() else len(t.encode()) + 1 for t in texts]
-        borders = np.cumsum(sizes)
         if not np.isin(borders, common).all():
             return None
         pairs = a_ids[np.searchsorted(a_ends, ends)] * PAIR + b_ids[np.searchsorted(b_ends, ends)]
@@ -205,13 +210,14 @@ class Aligner:
         a_sign = 2 * a_ids + (common[a_group] == a_ends)
         b_sign = 2 * (len(self._a_lengths) + b_ids) + (common[b_group] == b_ends)
         order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
-        signs = [self._signs[c] for c in np.concatenate([a_sign, b_sign])[order].tolist()]
-        cuts = [np.append(0, np.searchsorted(e, borders, side="right")) for e in (a_ends, b_ends, ends)]
-        a_cut, b_cut, cut = (c.tolist() for c in cuts)
+        signs = list(map(self._signs.__getitem__, np.concatenate([a_sign, b_sign])[order].tolist()))
+        a_cut, b_cut, cut = (np.searchsorted(e, borders, side="right").tolist() for e in (a_ends, b_ends, ends))
         data, found = pairs.astype("<i8").tobytes(), []
-        for i in range(len(texts)):
-            text = "".join(signs[a_cut[i] + b_cut[i] : a_cut[i + 1] + b_cut[i + 1]])[:-1]
-            found.append(Chunk(text, a_cut[i + 1] - a_cut[i], b_cut[i + 1] - b_cut[i], data[8 * cut[i] : 8 * cut[i + 1]]))
+        a = b = c = 0
+        for a_end, b_end, c_end in zip(a_cut, b_cut, cut, strict=True):
+            text = "".join(signs[a + b : a_end + b_end])[:-1]
+            found.append(Chunk(text, a_end - a, b_end - b, data[8 * c : 8 * c_end]))
+            a, b, c = a_end, b_end, c_end
         return found
 
     def _chunk(self, text: str, left, right: dict) -> Chunk:
@@ -362,9 +368,9 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, with_groups: bool
     documents of each link's pair summed over the links. ``groups`` is several times as long as the
     text and is only kept if asked for. An empty table gives an empty result.
 
-    The alignment is stored once, so no text is encoded twice. Pairs that nearly every document holds
-    are spread over many tasks by ``lookup_join``; while the table of pairs is small on disk, Catalyst
-    broadcasts it and a document's links are summed where they are.
+    The alignment is stored once, so no text is encoded twice. A document's distinct pairs meet their
+    counts in a shuffle by pair, at every size; pairs that nearly every document holds are spread over
+    many tasks by ``lookup_join``.
     """
     found = aligned(docs, path_a, path_b)
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
@@ -378,7 +384,7 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, with_groups: bool
     links = stored.select(*row, F.explode(F.arrays_zip("pairs", "times")).alias("link")).select(
         *row, F.col("link.pairs").alias("pair"), F.col("link.times").alias("times")
     )
-    known = lookup_join(links, counts, ["pair"], weight="weight", how="inner")
+    known = lookup_join(links, counts, ["pair"], weight="weight", how="inner", by="shuffle_hash")
     sums = known.groupBy(*row).agg(
         F.sum(F.col("times") * F.col("best")).alias("n_best"),
         F.sum(F.col("times") * F.col("count")).alias("count_sum"),
