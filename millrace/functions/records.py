@@ -86,19 +86,22 @@ def image_payload(cell: Column) -> Column:
     return F.when(is_link, cell.substr(at + 8, F.length(cell))).otherwise(cell)
 
 
-def image_bytes(cell: Column) -> Column:
-    """Decoded bytes of a base64 cell, null when it is not valid base64 or too long.
+def image_refusal(cell: Column, most: int | None = MAX_IMAGE_TEXT) -> Column:
+    """Why a cell is not decoded: ``too long`` or ``not base64``; null if it is.
 
     The alphabet and the padding are checked, as Spark's decoder skips foreign characters.
     """
     payload = image_payload(cell)
-    wellformed = (
-        (F.length(payload) % 4 == 0)
-        & payload.rlike(r"^[A-Za-z0-9+/]*={0,2}$")
-        & (F.length(cell) >= 8)
-        & (F.length(payload) <= MAX_IMAGE_TEXT)
+    shaped = (
+        (F.length(payload) % 4 == 0) & payload.rlike(r"^[A-Za-z0-9+/]*={0,2}$") & (F.length(cell) >= 8)
     )
-    return F.when(wellformed, F.unbase64(payload))
+    kind = F.when(cell.isNull() | ~shaped, "not base64")
+    return kind if most is None else kind.when(F.length(payload) > most, "too long")
+
+
+def image_bytes(cell: Column, most: int | None = MAX_IMAGE_TEXT) -> Column:
+    """Decoded bytes of a base64 cell, null when it is not valid base64 or longer than ``most``."""
+    return F.when(image_refusal(cell, most).isNull(), F.unbase64(image_payload(cell)))
 
 
 def sniff_image(content: Column) -> Column:

@@ -107,18 +107,21 @@ def redact_url(url: Column, show: bool = False, mark: str = "<redacted>") -> Col
     return url if show else F.when(url.isNotNull(), F.lit(mark))
 
 
+def _unsafe_name(name: Column) -> Column:
+    """Whether a bare name means no file, or one of the device names, whatever its extension."""
+    bare = F.regexp_replace(F.lower(name), r"[ .]+$", "")
+    return name.isNull() | name.isin("", ".", "..") | F.substring_index(bare, ".", 1).isin(RESERVED_STEMS)
+
+
 def safe_basename(raw: Column, default: Column) -> Column:
     """The bare file name in ``raw``, or ``default`` when nothing safe is left.
 
     Both slashes separate; a drive or stream prefix ends at the last colon.
     """
-    path = F.regexp_replace(raw, r"\\", "/")
     # a path ends at its last segment that is neither empty nor "."
-    trimmed = F.regexp_replace(path, r"(/+\.?)+$", "")
-    name = F.substring_index(F.substring_index(trimmed, "/", -1), ":", -1)
-    stem = F.lower(F.substring_index(F.regexp_replace(name, r"[ .]+$", ""), ".", 1))
-    unsafe = raw.isNull() | name.isin("", ".", "..") | stem.isin(RESERVED_STEMS)
-    return F.when(unsafe, default).otherwise(name)
+    path = F.regexp_replace(F.translate(raw, "\\", "/"), r"(/+\.?)+$", "")
+    name = F.regexp_extract(path, r"([^/:]*)$", 1)
+    return F.when(_unsafe_name(name), default).otherwise(name)
 
 
 def _behind(text: Column, mark: str) -> Column:
@@ -140,11 +143,10 @@ def disposition_filename(header: Column) -> Column:
 
 def checked_filename(raw: Column) -> Column:
     """A file name without blanks around it; a path, drive, dot or device name fails the job."""
-    name = F.regexp_replace(F.trim(raw), r"\\", "/")
-    stem = F.lower(F.substring_index(F.regexp_replace(name, r"[ .]+$", ""), ".", 1))
-    unsafe = name.rlike("[/:]") | name.isin("", ".", "..") | stem.isin(RESERVED_STEMS)
+    name = F.trim(raw)
     message = F.concat(F.lit("unsafe file name: "), raw)
-    return F.when(unsafe, F.raise_error(message).cast("string")).otherwise(name)
+    refused = name.rlike(r"[/\\:]") | _unsafe_name(name)
+    return F.when(raw.isNull(), name).when(refused, F.raise_error(message).cast("string")).otherwise(name)
 
 
 def safe_component(text: Column) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import lookup_join
+
 
 def search(
     catalog: DataFrame,
@@ -38,6 +40,16 @@ def search(
     return catalog.orderBy(*_ordering(sort_by, key, order)) if sort_by else catalog
 
 
+def name_collisions(files: DataFrame, name: str = "name", out: str = "sharing") -> DataFrame:
+    """Adds how many rows have the same file name; null names share none (null).
+
+    Names are counted within the tasks first, and the rows of a name that very many share are spread
+    over many tasks when they meet its count.
+    """
+    counts = files.filter(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias(out))
+    return lookup_join(files, counts.withColumn("_rows", F.col(out)), [name], weight="_rows")
+
+
 def status_in(df: DataFrame, statuses: str | Sequence[str], column: str = "status") -> DataFrame:
     """Rows whose status is in a comma list or a sequence."""
     names = statuses.split(",") if isinstance(statuses, str) else list(statuses)

@@ -51,7 +51,6 @@ PAIRS = """select 'img' || doc_id as stem, 'img' || doc_id || '.jpg' as image,
        from documents where lang <> 'es'"""
 
 
-@query("sc11_image_mask_pairs", PAIRS)
 @query("jn3_pair_by_stem", PAIRS)
 def pair_by_stem(spark, folder):
     from millrace.sources.folders import pair_by_stem as pair

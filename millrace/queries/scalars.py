@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import arrays, labels, records, text
 from millrace.operators import roles, runs
+from millrace.operators.catalog import name_collisions
 from millrace.operators.encode import encode_labels, encode_target
 from millrace.queries.registry import RUN_EVENTS, joined, one_line_base64, query, run_events, sql_crc, sql_tokens, table
 from millrace.session import spread
@@ -359,12 +360,11 @@ def file_names(spark, folder):
     named = table(spark, folder, "pages").select(
         "page_id", text.safe_basename(bare, F.lit("page")).alias("name")
     )
-    sharing = named.groupBy("name").agg(F.count(F.lit(1)).alias("sharing"))
     even = F.col("page_id") % 2 == 0
     header = F.when(even, F.concat(F.lit("attachment; filename="), "name", F.lit("; size=3"))).otherwise(
         F.concat(F.lit('attachment; filename="a;b '), "page_id", F.lit('"'))
     )
-    return named.join(sharing, "name").select(
+    return name_collisions(named).select(
         "page_id", "name", "sharing",
         text.disposition_filename(header).alias("header_name"),
         text.safe_component(F.col("name")).alias("component"),

@@ -19,15 +19,16 @@ from millrace.sources import archives, arrays, eventlog, folders, metadata, tabu
 
 
 def write_named(files, path, ending):
-    """Each row ``(name, value)`` as one file, written by the task that holds it."""
+    """Each row ``(name, value)`` as one file, in folders if the name has any, written by its task."""
     target = path.removeprefix("file:")
 
     def write(batches):
-        os.makedirs(target, exist_ok=True)
         for batch in batches:
             for name, value in zip(batch["name"], batch["value"], strict=True):
-                with open(f"{target}/{name}.{ending}", "w", encoding="utf-8") as file:
-                    file.write(value)
+                place = f"{target}/{name}.{ending}" if ending else f"{target}/{name}"
+                os.makedirs(os.path.dirname(place), exist_ok=True)
+                with open(place, "w", encoding="utf-8") as file:
+                    file.write(value or "")
             yield batch[["name"]]
 
     files.mapInPandas(write, "name string").write.format("noop").mode("overwrite").save()
@@ -272,6 +273,50 @@ def scan_audio_folder(spark, folder):
     return found.select("doc_id", "class_name", "label")
 
 
+@query(
+    "sc10_list_audio_folder",
+    """with f as (select doc_id, lang, case doc_id % 3 when 0 then '.wav' when 1 then '.MP3' else '.txt' end as ext,
+        cast(octet_length(encode(text)) as bigint) as size_bytes from documents),
+    c as (select lang, row_number() over (order by lang) - 1 as label from (select distinct lang from f))
+    select lang as class_name, cast(label as bigint) as label, doc_id || ext as file_name, size_bytes
+    from f join c using (lang) where ext <> '.txt'""",
+)
+def list_audio_folder(spark, folder):
+    # real files; the bytes are no audio, which a listing does not open
+    path = fresh_path(spark, "audio")
+    ending = F.when(F.col("doc_id") % 3 == 0, ".wav").when(F.col("doc_id") % 3 == 1, ".MP3").otherwise(".txt")
+    name = F.concat_ws("/", "lang", F.concat(F.col("doc_id").cast("string"), ending))
+    write_named(table(spark, folder, "documents").select(name.alias("name"), F.col("text").alias("value")), path, "")
+    found = folders.scan_audio_folder(spark, path)
+    return found.select("class_name", "label", "file_name", "size_bytes")
+
+
+@query(
+    "sc11_list_image_mask_pairs",
+    """select 'img' || doc_id as stem, 'img' || doc_id || '.jpg' as image,
+        'img' || doc_id || case when lang in ('en', 'fr') then '.png' else '.bmp' end as mask
+       from documents where lang <> 'es'""",
+)
+def list_image_mask_pairs(spark, folder):
+    # real files in two folders; en has masks of two kinds, es only one that is not declared
+    path = fresh_path(spark, "pairs")
+    docs = table(spark, folder, "documents")
+    kinds = (
+        F.when(F.col("lang") == "en", F.array(F.lit("masks/.bmp"), F.lit("masks/.png")))
+        .when(F.col("lang") == "fr", F.array(F.lit("masks/.png")))
+        .when(F.col("lang") == "de", F.array(F.lit("masks/.bmp"), F.lit("masks/.txt")))
+        .otherwise(F.array(F.lit("masks/.gif")))
+    )
+    places = F.explode(F.concat(F.array(F.lit("images/.jpg")), kinds)).alias("place")
+    files = docs.select("doc_id", places).select(
+        F.concat(F.substring_index("place", ".", 1), F.lit("img"), "doc_id", F.lit("."), F.substring_index("place", ".", -1)).alias("name"),
+        F.lit("x").alias("value"),
+    )
+    write_named(files, path, "")
+    pairs = folders.scan_image_mask_pairs(spark, path, "images", "masks", [".jpg"], [".png", ".bmp"])
+    return pairs.select("stem", F.substring_index("image", "/", -1).alias("image"), F.substring_index("mask", "/", -1).alias("mask"))
+
+
 @query(
     "sc14_scan_archive_members",
     """select cast(doc_id // 50 as bigint) as archive, lang || '/' || doc_id || '.txt' as relative, sha256(text) as checksum

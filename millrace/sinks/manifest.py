@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.records import checksum, image_bytes, sniff_image
+from millrace.functions.records import MAX_IMAGE_TEXT, checksum, image_bytes, image_refusal, sniff_image
 from millrace.functions.text import safe_component
 from millrace.operators.joins import verify_checksums
 from millrace.session import fresh_path
@@ -49,14 +49,20 @@ def write_manifest(files: DataFrame, path: str, expected: DataFrame | None = Non
 
 
 def extract_preview_media(
-    samples: DataFrame, dataset_id: str, column: str, index: str = "row_index"
+    samples: DataFrame,
+    dataset_id: str,
+    column: str,
+    index: str = "row_index",
+    most: int | None = MAX_IMAGE_TEXT,
 ) -> DataFrame:
     """Samples with image cells replaced by a file name, the image in ``content``.
 
-    Other cells stay as they are and have null ``content``.
+    Other cells stay as they are and have null ``content``; ``refused`` says why: ``not base64``, ``too
+    long`` (more than ``most`` characters; None sets no limit), or ``no image`` for bytes of another kind.
     """
-    raw = image_bytes(F.col(column))
+    raw = image_bytes(F.col(column), most)
     kind = sniff_image(raw)
+    refused = F.coalesce(image_refusal(F.col(column), most), F.when(kind.isNull(), "no image"))
     safe = [safe_component(F.lit(part)) for part in (dataset_id, column)]
     name = F.concat(
         safe[0], F.lit("-sample"), F.col(index).cast("string"), F.lit("-"), safe[1], F.lit("."), kind
@@ -65,5 +71,6 @@ def extract_preview_media(
         {
             column: F.when(kind.isNotNull(), name).otherwise(F.col(column)),
             "content": F.when(kind.isNotNull(), raw),
+            "refused": refused,
         }
     )
