@@ -127,7 +127,7 @@ def upsert_run_state(spark, folder):
 
 @query(
     "sk6_extract_preview_media",
-    r"""with c as (select doc_id, case lang
+    r"""with c as (select doc_id, lang, case lang
         when 'en' then to_base64('\x89PNG\x0D\x0A\x1A\x0A'::blob || encode(text))
         when 'de' then 'data:image/gif;base64,' || to_base64('GIF89a'::blob || encode(text))
         when 'es' then to_base64(encode(text)) else text end as cell,
