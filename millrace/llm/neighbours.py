@@ -379,11 +379,12 @@ def search(
         pd.DataFrame({"of": np.arange(tree.leaves), "first": offsets, "parts": parts})
     )
     # a row goes to the blocks that visit its part, and to no other
-    visits = routed.select("part", "block").distinct()
+    visits = routed.select(F.col("part").alias("to"), F.col("block").alias("by")).distinct()
     dealt = (
         index.join(F.broadcast(layout), F.col("leaf") == F.col("of"))
         .select((F.col("first") + F.pmod(F.xxhash64("vec_id"), "parts")).alias("part"), "vec_id", "leaf", "vector")
-        .join(visits, "part")
+        .join(visits, F.col("part") == F.col("to"))
+        .select("part", F.col("by").alias("block"), "vec_id", "leaf", "vector")
     )
     found = (
         routed.groupBy("part", "block")
