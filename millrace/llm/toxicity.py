@@ -30,10 +30,10 @@ FOLDS = 4
 SPACE = 1 << 20
 # Beginnings of words that are features beside the whole words: inflected forms share them.
 STEMS = (4, 5, 6)
-# Features that the models look at: those that part the labels beyond doubt (a chance of one in a
-# million, as there are so many), however many, and at least so many of the best.
+# Features that the models look at: all that part the labels by so many standard errors, however many,
+# and at least so many of the best.
 CHOSEN = 256
-SURE = 4.9
+SURE = 3.0
 STEPS = 200
 RATE = 1.0
 RIDGE = 1e-4
@@ -179,6 +179,8 @@ def least_cost(probability: np.ndarray, label: np.ndarray, rows: np.ndarray | No
     cost = missed + CLEAN_COST * (wrong[-1] - wrong)
     split = np.concatenate([[True], p[1:] > p[:-1], [True]])
     best = int(np.where(split, cost, np.inf).argmin())
+    if best == len(p):  # nothing is toxic
+        return float((1 + probability.max()) / 2)
     ends = np.log([p[max(best - 1, 0)], p[min(best, len(p) - 1)]])
     low, high = ends - np.log1p(-np.exp(ends))
     return float(1 / (1 + np.exp(-(low + high) / 2)))
