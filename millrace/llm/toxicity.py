@@ -30,10 +30,11 @@ FOLDS = 4
 SPACE = 1 << 20
 # Beginnings of words that are features beside the whole words: inflected forms share them.
 STEMS = (4, 5, 6)
-# Features that the models look at: all that part the labels by so many standard errors, however many,
-# and at least so many of the best.
+# Features that the models look at: so many that part the labels best, and beyond them those that do so
+# beyond doubt (a chance of one in a million, as there are so many), up to a bound of the models' size.
 CHOSEN = 256
-SURE = 3.0
+SURE = 4.9
+MOST_CHOSEN = 1024
 STEPS = 200
 RATE = 1.0
 RIDGE = 1e-4
@@ -190,7 +191,9 @@ def informative(features: list[np.ndarray], label: np.ndarray, least: int = CHOS
     """The features whose shares among rows of the two labels differ most, sorted by number.
 
     The difference is measured against its standard error; ties go to the smaller number. All that
-    differ by ``SURE`` standard errors are taken, and others down to 2 until there are ``least``.
+    differ by ``SURE`` standard errors are taken, and others down to 2 until there are ``least``. Of
+    features beyond ``least`` that stand in the same rows (a word and its beginnings) one is taken, and
+    of all these the best ``MOST_CHOSEN``.
     """
     def counts(rows: np.ndarray) -> np.ndarray:
         held = [features[i] for i in rows]
@@ -205,6 +208,15 @@ def informative(features: list[np.ndarray], label: np.ndarray, least: int = CHOS
     z = np.abs(a / len(yes) - b / len(no)) / error
     z[a + b < 3] = 0
     order = np.argsort(-z, kind="stable")[: max(least, int((z > SURE).sum()))]
+    if len(order) > least:
+        # rows are told by random numbers, of which equal sets of rows have equal sums
+        draw = np.random.default_rng(1).random(len(label))
+        held = np.repeat(draw, [len(f) for f in features])
+        rows = np.bincount(np.concatenate(features), weights=held, minlength=SPACE)[order]
+        _, first = np.unique(np.round(rows, 6), return_index=True)
+        new = np.zeros(len(order), bool)
+        new[first] = True
+        order = order[new | (np.arange(len(order)) < least)][: max(least, MOST_CHOSEN)]
     return np.sort(order[z[order] > 2]).astype(np.uint32)
 
 

@@ -168,13 +168,13 @@ def test_cut_of_least_cost(seed):
 def test_a_lexicon_of_some_hundred_words_is_learned_whole(spark):
     rng = np.random.default_rng(11)
     plain = [f"word{i}" for i in range(3000)]
-    bad = ["".join(rng.choice(list("bcdfghjklmnprstvz"), 7)) for _ in range(400)]
+    bad = ["".join(rng.choice(list("bcdfghjklmnprstvz"), 7)) for _ in range(200)]
     rows, labels = [], []
     for i in range(4000):
         words = rng.choice(plain, 30).tolist()
         toxic = i % 2
         if toxic:
-            words += rng.choice(bad, 3).tolist()
+            words += rng.choice(bad, 4).tolist()
         rows.append((i, " ".join(words)))
         if i < 3000:
             labels.append((i, toxic))
