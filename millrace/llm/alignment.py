@@ -13,6 +13,7 @@ chunk, and a chunk that was seen before is not encoded again.
 
 from __future__ import annotations
 
+import gc
 import re
 from array import array
 from collections.abc import Iterable, Iterator
@@ -305,33 +306,39 @@ ALIGNED = (
 def _aligned(path_a: str, path_b: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         remembered = Remembered(aligner(path_a, path_b))
-        for batch in batches:
-            at = 0
-            for texts in _runs(batch.column(1)):
-                ids = batch.column(0).slice(at, len(texts))
-                at += len(texts)
-                rows = []
-                for chunks in remembered.of(texts):
-                    groups, a, b, pairs = zip(*chunks, strict=True) if chunks else ((), (), (), ())
-                    if None in groups:
-                        groups, a, b, pairs = (), (), (), ()
-                    linked = np.frombuffer(b"".join(pairs), "<i8")
-                    values, times = np.unique(linked, return_counts=True)
-                    text = ";".join(groups)
-                    # an end of both sides is one end of the merged ends, each of which ends a link
-                    n_groups = sum(a) + sum(b) - len(linked)
-                    rows.append((sum(a), sum(b), n_groups, len(linked), text, values, times.astype(np.int32)))
-                columns = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids,
-                        *[pa.array(c, pa.int64()) for c in columns[:4]],
-                        pa.array(columns[4], pa.string()),
-                        pa.array(columns[5], pa.list_(pa.int64())),
-                        pa.array(columns[6], pa.list_(pa.int32())),
-                    ],
-                    names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times"],
-                )
+        # what is remembered holds no cycles, but the collector would walk through all of it
+        gc.disable()
+        try:
+            for batch in batches:
+                at = 0
+                for texts in _runs(batch.column(1)):
+                    ids = batch.column(0).slice(at, len(texts))
+                    at += len(texts)
+                    rows = []
+                    for chunks in remembered.of(texts):
+                        groups, a, b, pairs = zip(*chunks, strict=True) if chunks else ((), (), (), ())
+                        if None in groups:
+                            groups, a, b, pairs = (), (), (), ()
+                        linked = np.frombuffer(b"".join(pairs), "<i8")
+                        values, times = np.unique(linked, return_counts=True)
+                        text = ";".join(groups)
+                        # an end of both sides is one end of the merged ends, each of which ends a link
+                        n_groups = sum(a) + sum(b) - len(linked)
+                        rows.append((sum(a), sum(b), n_groups, len(linked), text, values, times.astype(np.int32)))
+                    columns = list(zip(*rows, strict=True))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            ids,
+                            *[pa.array(c, pa.int64()) for c in columns[:4]],
+                            pa.array(columns[4], pa.string()),
+                            pa.array(columns[5], pa.list_(pa.int64())),
+                            pa.array(columns[6], pa.list_(pa.int32())),
+                        ],
+                        names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times"],
+                    )
+        finally:
+            gc.enable()
+            pa.default_memory_pool().release_unused()
 
     return run
 
