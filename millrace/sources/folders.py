@@ -1,14 +1,26 @@
-"""Media folders as path tables: classes, splits, pairs. No file is opened here."""
+"""Media folders as path tables: classes, splits, pairs. A file is opened only where its content is used.
+
+Folders are listed by tasks, all those of one depth at a time, and what they hold is stored: the driver never
+holds the names of the files.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+from collections.abc import Iterator, Sequence
+from itertools import islice
 
+import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.catalog import distinct_classes
 from millrace.operators.joins import lookup_join
+from millrace.session import fresh_path
+from millrace.sources.growing import _open
 
 # Folder names that mean a split, and media file extensions.
 SPLIT_FOLDERS = ("train", "val", "validation", "test", "dev")
@@ -22,14 +34,102 @@ FOLDER_ALIASES = {
 }
 
 
+# Names that leave a listing task at a time, rows of a stored file of names, and bytes of contents read at a time.
+NAMES_OUT = 10_000
+NAMES_STORED = 200_000
+CONTENT_BYTES = 8 << 20
+
+ENTRIES = "path string, relative string, size_bytes bigint, is_folder boolean"
+
+
+def _is_listed(name: str, is_folder: bool) -> bool:
+    """Whether Spark's own readers list a file or folder of this name."""
+    if is_folder and name.startswith(("_metadata", "_common_metadata")):
+        return True
+    return not (name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_"))
+
+
+def _inside(uri: str, relative: str) -> Iterator[tuple[str, str, int | None, bool]]:
+    """What lies directly in a folder, one entry at a time where the file system allows it. Empty files are left out."""
+    system, path, prefix = _open(uri)
+    head = f"{relative}/" if relative else ""
+    if not isinstance(system, fs.LocalFileSystem):
+        for info in system.get_file_info(fs.FileSelector(path)):
+            is_folder = info.type == fs.FileType.Directory
+            if _is_listed(info.base_name, is_folder) and (is_folder or info.size):
+                yield prefix + info.path, head + info.base_name, None if is_folder else info.size, is_folder
+        return
+    with os.scandir(path) as entries:
+        for entry in entries:
+            try:
+                is_folder = entry.is_dir()
+                if not _is_listed(entry.name, is_folder):
+                    continue
+                size = None if is_folder else entry.stat().st_size
+            except FileNotFoundError:  # gone since, or a link to nothing
+                continue
+            if is_folder or size:
+                yield f"{prefix}{path.rstrip('/')}/{entry.name}", head + entry.name, size, is_folder
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.bool_()]
+    for batch in batches:
+        for uri, relative in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            found = _inside(uri, relative)
+            while rows := list(islice(found, NAMES_OUT)):
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["path", "relative", "size_bytes", "is_folder"])
+
+
+@F.pandas_udf(T.BinaryType())
+def _content(paths: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The bytes of files, a few megabytes of them at a time."""
+    for part in paths:
+        held, size = [], 0
+        for uri in part:
+            system, path, _ = _open(uri)
+            with system.open_input_stream(path) as file:
+                held.append(file.read())
+            size += len(held[-1])
+            if size >= CONTENT_BYTES:
+                yield pd.Series(held, dtype=object)
+                held, size = [], 0
+        if held:
+            yield pd.Series(held, dtype=object)
+
+
+def _is_walked(spark: SparkSession, root: str) -> bool:
+    """Whether ``root`` is a folder that tasks can list themselves."""
+    if root.startswith("/") and not spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:"):
+        return False
+    try:
+        system, path, _ = _open(root)
+        return system.get_file_info(path).type == fs.FileType.Directory
+    except (ValueError, OSError):  # a relative path, or a file system that pyarrow has no access to
+        return False
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """``(path, relative, size_bytes, content)`` of all files below ``root``.
 
-    ``content`` is read only by plans that use it.
+    ``content`` is read only by plans that use it. Names are listed by tasks, one per folder, when this is
+    called, and stored. A root that ``pyarrow.fs`` can't list, or that is a file or a pattern, is listed by
+    Spark's reader, on the driver.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    relative = F.regexp_replace(F.substring_index("path", root.rstrip("/") + "/", -1), "^/+", "")
-    return files.select("path", relative.alias("relative"), F.col("length").alias("size_bytes"), "content")
+    if not _is_walked(spark, root):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        relative = F.regexp_replace(F.substring_index("path", root.rstrip("/") + "/", -1), "^/+", "")
+        return files.select("path", relative.alias("relative"), F.col("length").alias("size_bytes"), "content")
+    store, depth = fresh_path(spark, "listing"), 0
+    level = spark.createDataFrame([(root, "")], "path string, relative string")
+    while level.limit(1).count():
+        place = f"{store}/depth={depth}"
+        level.mapInArrow(_entries, ENTRIES).write.option("maxRecordsPerFile", NAMES_STORED).parquet(place)
+        found = spark.read.schema(ENTRIES).parquet(place).filter("is_folder").select("path", "relative")
+        level, depth = found.repartition(spark.sparkContext.defaultParallelism), depth + 1
+    files = spark.read.schema(ENTRIES).option("basePath", store).parquet(store).filter("not is_folder")
+    return files.select("path", "relative", "size_bytes", _content("path").alias("content"))
 
 
 def suffix(name: Column) -> Column:
@@ -120,7 +220,8 @@ def pair_by_stem(
     named = images.filter(suffix(F.col("file_name")).isin(*image_extensions)).select(
         stem(F.col("file_name")).alias("stem"), F.col("file_name").alias("image")
     )
-    return named.join(best, "stem")
+    # both sides grow with the files: never a broadcast, however few bytes the names are taken for
+    return named.join(best.hint("merge"), "stem")
 
 
 def scan_image_mask_pairs(

@@ -4,6 +4,7 @@ import tarfile
 import zipfile
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from millrace.queries.media import png_file, wav_file
@@ -289,3 +290,36 @@ def test_a_line_that_was_being_written_is_read_later(spark, tmp_path):
         more.write(b'2}\n')
     rows = eventlog.scan_events(spark, str(tmp_path), seen=before).collect()
     assert [(r["offset"], r["line"]) for r in rows] == [(8, '{"a":22}')]
+
+
+def test_files_are_listed_by_tasks(spark, tmp_path):
+    names = ["a/b c%20.png", "a/deep/er/ü.wav", "_hidden/x.png", "a/.y", "a/_z", "k=v/_p=1", "top.txt", "_metadata/m.png"]
+    tree(tmp_path, [*names, "a/_metadata"], b"data")
+    tree(tmp_path, ["a/empty.png"], b"")
+    (tmp_path / "bare").mkdir()
+    (tmp_path / "broken").symlink_to(tmp_path / "nothing")
+    files = folders.list_files(spark, str(tmp_path))
+    plain = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(tmp_path))
+    found = sorted((r["path"], r["size_bytes"], bytes(r["content"])) for r in files.collect())
+    assert found == sorted((r["path"], r["length"], bytes(r["content"])) for r in plain.collect())
+    assert {r["relative"] for r in files.collect()} == set(names) - {"_hidden/x.png", "a/.y", "a/_z"}
+    # the driver holds no list of the files: what is read is the stored listing
+    assert files.select("path").inputFiles() and not any(str(tmp_path / "a") in f for f in files.inputFiles())
+    # without content no file is opened
+    (tmp_path / "top.txt").unlink()
+    assert files.select("relative", "size_bytes").count() == len(found)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        folders.list_files(spark, str(tmp_path / "nowhere"))
+
+
+def test_contents_are_read_a_few_at_a_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(folders, "CONTENT_BYTES", 10)
+    tree(tmp_path, [f"a/{i}.png" for i in range(9)], b"0123456")
+    paths = pd.Series([f"file:{tmp_path}/a/{i}.png" for i in range(9)])
+    assert [len(part) for part in folders._content.func(iter([paths]))] == [2, 2, 2, 2, 1]
+
+
+def test_pairs_meet_without_a_broadcast(spark, tmp_path):
+    tree(tmp_path, ["im/a.jpg", "ma/a.png"])
+    pairs = folders.scan_image_mask_pairs(spark, str(tmp_path), "im", "ma", [".jpg"], [".png"])
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
