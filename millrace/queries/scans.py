@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from millrace.operators.encode import rows_from_offsets, spans_of, words_of
 from millrace.operators.position import ordered_position
 from millrace.queries.registry import LINE_CLASS, indexed, joined, query, sql_tokens, table
-from millrace.session import fresh_path
+from millrace.session import fresh_path, spread
 from millrace.sources import archives, arrays, eventlog, folders, metadata, tabular, text
 
 
@@ -31,7 +31,7 @@ def write_named(files, path, ending):
                     file.write(value or "")
             yield batch[["name"]]
 
-    files.mapInPandas(write, "name string").write.format("noop").mode("overwrite").save()
+    spread(files).mapInPandas(write, "name string").write.format("noop").mode("overwrite").save()
 
 
 @query(
