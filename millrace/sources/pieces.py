@@ -24,17 +24,26 @@ _ESCAPED = re.compile(r"\\.", re.DOTALL)
 PIECES = "file string, block bigint, at bigint, kind string, text string"
 
 
+# Bytes of blocks that one task reads, where blocks are made smaller than that.
+TASK_BYTES = 64 << 20
+
+
 @contextmanager
-def block_size(spark: SparkSession, size: int | None) -> Iterator[None]:
-    """Files are read in blocks of ``size`` bytes by what runs inside."""
-    name = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(name)
-    if size is not None:
-        spark.conf.set(name, str(size))
+def block_size(spark: SparkSession, size: int | None, tasks: int | None = None) -> Iterator[None]:
+    """Files are read in blocks of ``size`` bytes by what runs inside, by ``tasks`` tasks at most."""
+    wanted = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.maxPartitionNum": tasks}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        if value is not None:
+            spark.conf.set(name, str(value))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def _located(lines: DataFrame) -> DataFrame:
@@ -169,13 +178,19 @@ def _begins(effects: DataFrame) -> DataFrame:
     return known.filter("starts_inside or starts_depth <> 0").select("file", "block", "starts_inside", "starts_depth")
 
 
-def records(pieces: DataFrame, rules) -> DataFrame:
-    """``(file, block, at, text)`` of every record of ``pieces(file, block, value)``, in one row each."""
+def records(pieces: DataFrame, rules, block_bytes: int | None = None, tasks: int | None = None) -> DataFrame:
+    """``(file, block, at, text)`` of every record of ``pieces(file, block, value)``, in one row each.
+
+    Only the two passes over the files read them in blocks of ``block_bytes``, several to a task if there are
+    more than ``tasks``; what is stored between is read as any table.
+    """
+    spark = pieces.sparkSession
     effects = pieces.mapInArrow(
         _effects(rules), "file string, block bigint, turns boolean, outside bigint, inside bigint"
     )
     # at most one row per block of the input
-    begins = materialize(_begins(effects), "begins")
+    with block_size(spark, block_bytes, tasks):
+        begins = materialize(_begins(effects), "begins")
     started = pieces.join(F.broadcast(begins), ["file", "block"], "left").select(
         "file",
         "block",
@@ -183,7 +198,8 @@ def records(pieces: DataFrame, rules) -> DataFrame:
         F.coalesce("starts_inside", F.lit(False)),
         F.coalesce("starts_depth", F.lit(0).cast("bigint")),
     )
-    found = materialize(started.mapInArrow(_cut(rules), PIECES), "pieces")
+    with block_size(spark, block_bytes, tasks):
+        found = materialize(started.mapInArrow(_cut(rules), PIECES), "pieces")
     whole = found.filter("kind = 'whole'").select("file", "block", "at", "text")
     # at most two pieces per block, and one row of its record for each
     order = Window.partitionBy("file").orderBy("block", "at")
@@ -197,13 +213,25 @@ def records(pieces: DataFrame, rules) -> DataFrame:
     return whole.unionByName(joined.select("file", "place.block", "place.at", text.alias("text")))
 
 
-def csv_records(spark: SparkSession, path: str) -> DataFrame:
+def _tasks(spark: SparkSession, path: str, block_bytes: int | None, **options) -> int | None:
+    """How many tasks read blocks of a size of their own: as many as there are cores, more for large files."""
+    if block_bytes is None:
+        return None
+    listed = spark.read.format("binaryFile").options(**options).load(path)
+    total = listed.agg(F.sum("length")).first()[0] or 0
+    return max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+
+
+def csv_records(spark: SparkSession, path: str, block_bytes: int | None = None) -> DataFrame:
     """The records of CSV files as text. Quotes stand only around fields, and twice within them."""
-    return records(_located(spark.read.option("lineSep", "\n").text(path)), _Csv)
+    lines = _located(spark.read.option("lineSep", "\n").text(path))
+    return records(lines, _Csv, block_bytes, _tasks(spark, path, block_bytes))
 
 
-def json_records(spark: SparkSession, path: str, files: str) -> DataFrame:
+def json_records(spark: SparkSession, path: str, files: str, block_bytes: int | None = None) -> DataFrame:
     """The objects of files that hold one JSON array of objects each, one line of text per object."""
-    reader = spark.read.option("lineSep", "}").option("recursiveFileLookup", True).option("pathGlobFilter", files)
+    which = {"recursiveFileLookup": True, "pathGlobFilter": files}
+    lines = _located(spark.read.option("lineSep", "}").options(**which).text(path))
     # the reader takes the brace away that ends a piece
-    return records(_located(reader.text(path)).withColumn("value", F.concat("value", F.lit("}"))), _Json)
+    closed = lines.withColumn("value", F.concat("value", F.lit("}")))
+    return records(closed, _Json, block_bytes, _tasks(spark, path, block_bytes, **which))

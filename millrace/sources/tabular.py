@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.session import fresh_path, materialize
-from millrace.sources.pieces import block_size, csv_records, json_records
+from millrace.sources.pieces import csv_records, json_records
 
 # Separators that are tried, and how much of the file is looked at.
 SEPARATORS = ",;\t|"
@@ -128,11 +128,10 @@ def scan_large_csv(
 
     For few large files: the records are cut and stored once, so a file is read twice and written once.
     Every field that holds a quote, a separator or a line break must be quoted. ``block_bytes`` is the
-    size of a task's block, by default the session's.
+    size of a block, by default the session's; a task reads several blocks if they are small.
     """
     separator = separator or sniff_separator(spark, path)
-    with block_size(spark, block_bytes):
-        rows = materialize(csv_records(spark, path), "records")
+    rows = materialize(csv_records(spark, path, block_bytes), "records")
     options = {"sep": separator, "escape": '"'}
     head = rows.filter((F.col("block") == 0) & (F.col("at") == 0))
     first = head.agg(F.min(F.struct("file", "text"))).first()[0]
@@ -161,8 +160,7 @@ def scan_large_json(
     The objects are stored once as JSON Lines, from which Spark infers the schema and reads.
     """
     out = fresh_path(spark, "objects")
-    with block_size(spark, block_bytes):
-        json_records(spark, path, files or JSON_FILES).select("text").write.text(out)
+    json_records(spark, path, files or JSON_FILES, block_bytes).select("text").write.text(out)
     return scan_jsonl(spark, out, schema)
 
 
