@@ -75,3 +75,30 @@ def test_json_arrays(spark, tmp_path, indent):
         assert blocks.count() >= 8
     whole = tabular.scan_json(spark, str(tmp_path))
     assert table.select(whole.columns).dtypes == whole.dtypes
+
+
+def task_count(spark, work):
+    """The result of ``work`` and how many tasks its longest stage had."""
+    context = spark.sparkContext
+    context.setJobGroup("counted", "")
+    try:
+        found = work()
+        tracker = context.statusTracker()
+        stages = [s for job in tracker.getJobIdsForGroup("counted") for s in tracker.getJobInfo(job).stageIds]
+        return found, max(info.numTasks for s in stages if (info := tracker.getStageInfo(s)))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_many_small_blocks_make_few_tasks(spark, tmp_path):
+    rows = [[str(i), f'a "{i}"\n, b'] for i in range(2000)]
+    path = written(tmp_path, [["id", "text"], *rows])
+    table, tasks = task_count(spark, lambda: tabular.scan_large_csv(spark, path, ",", block_bytes=512))
+    assert sorted(tuple(r) for r in table.collect()) == [(int(a), b) for a, b in rows]
+    assert pieces.csv_records(spark, path, 512).select("block").distinct().count() >= 50
+    assert tasks <= 2 * spark.sparkContext.defaultParallelism
+    (tmp_path / "j.json").write_text(json.dumps([{"id": i, "in": {"x": "} {"}} for i in range(2000)]))
+    table, tasks = task_count(spark, lambda: tabular.scan_large_json(spark, str(tmp_path), block_bytes=512))
+    assert sorted(r["id"] for r in table.collect()) == list(range(2000))
+    assert tasks <= 2 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get("spark.sql.files.maxPartitionNum", None) is None
