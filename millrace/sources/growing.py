@@ -3,7 +3,7 @@
 ``spark.read`` and ``spark.readStream`` with format ``growing_lines`` give ``(file, offset, line, end)`` of
 complete lines. A stream's offset is the end of the last complete line of each file, so what a file has
 gained is read and nothing before it, after a restart too; a line that is still being written waits. What a
-file has gained is cut into byte ranges, one task each.
+file has gained is cut into byte ranges, which are dealt to tasks by their bytes.
 """
 
 from __future__ import annotations
@@ -19,9 +19,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 
 FORMAT = "growing_lines"
 SCHEMA = "file string, offset bigint, line string, end bigint"
-# Bytes of a task, and of a look at the end of a file.
+# Bytes of a task, of a look at the end of a file, and of a first look behind the end of a range.
 RANGE_BYTES = 64 << 20
 LOOK_BYTES = 1 << 16
+BEHIND_BYTES = 1 << 12
 # Bytes of lines in one batch on their way to Spark.
 BATCH_BYTES = 4 << 20
 
@@ -41,6 +42,13 @@ class ByteRange(InputPartition):
         self.file, self.start, self.stop, self.end, self.first = file, start, stop, end, first
 
 
+class ByteRanges(InputPartition):
+    """The ranges of one task."""
+
+    def __init__(self, ranges: list[ByteRange]):
+        self.ranges = ranges
+
+
 def last_line_end(system: fs.FileSystem, path: str, size: int, known: int = 0) -> int:
     """The place behind the last line feed of a file before ``size``, ``known`` if none is behind it."""
     with system.open_input_file(path) as file:
@@ -65,6 +73,34 @@ def byte_ranges(before: dict[str, int], now: dict[str, int], size: int) -> list[
     return ranges
 
 
+def dealt(ranges: list[ByteRange], tasks: int) -> list[ByteRanges]:
+    """Ranges in their order to about ``tasks`` tasks of the same bytes, to more if these would be above ``RANGE_BYTES``."""
+    share = min(RANGE_BYTES, -(-sum(r.stop - r.start for r in ranges) // tasks))
+    parts: list[ByteRanges] = []
+    held = share
+    for part in ranges:
+        if held >= share:
+            parts.append(ByteRanges([]))
+            held = 0
+        parts[-1].ranges.append(part)
+        held += part.stop - part.start
+    return parts
+
+
+def lines_of_all(ranges: list[ByteRange]) -> Iterator[pa.RecordBatch]:
+    """The lines of ranges, a few megabytes at a time however small the ranges are."""
+    held, size = [], 0
+    for part in ranges:
+        for batch in lines_of(part):
+            held.append(batch)
+            size += batch.nbytes
+            if size >= BATCH_BYTES:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def lines_of(part: ByteRange) -> Iterator[pa.RecordBatch]:
     """The lines of a range, a few megabytes at a time."""
     system, path, _ = _open(part.file)
@@ -73,8 +109,13 @@ def lines_of(part: ByteRange) -> Iterator[pa.RecordBatch]:
         at = part.start if part.first else part.start - 1
         skip, rest = not part.first, b""
         offsets, lines, held = [], [], 0
+        behind = BEHIND_BYTES
         while at < part.end:
-            data = file.read_at(min(LOOK_BYTES * 16, part.end - at), at)
+            # up to the end of the range, then a little at first, as only the rest of a line is wanted
+            size = part.stop - at
+            if size <= 0:
+                size, behind = behind, behind * 2
+            data = file.read_at(min(LOOK_BYTES * 16, size, part.end - at), at)
             if not data:
                 break
             at += len(data)
@@ -90,6 +131,9 @@ def lines_of(part: ByteRange) -> Iterator[pa.RecordBatch]:
                     lines.append(piece)
                     held += len(piece)
                 start += len(piece) + 1
+            if skip and at >= part.stop:
+                # the line before goes on behind the range, so none begins here
+                break
             if held >= BATCH_BYTES:
                 yield _batch(part.file, offsets, lines)
                 offsets, lines, held = [], [], 0
@@ -117,6 +161,7 @@ class _Files:
     def __init__(self, options: dict):
         self._path = options["path"]
         self._range = int(options.get("rangebytes", RANGE_BYTES))
+        self._tasks = int(options.get("tasks", 1))
         self._looked: dict[str, tuple[int, int]] = {}
 
     def ends(self) -> dict[str, int]:
@@ -149,10 +194,10 @@ class _Batch(_Files, DataSourceReader):
                 before[name] = last_line_end(system, path, size)
             elif name in now and size <= self._looked[name][0]:
                 before[name] = now[name]
-        return byte_ranges(before, now, self._range) or [ByteRange("", 0, 0, 0, True)]
+        return dealt(byte_ranges(before, now, self._range), self._tasks) or [ByteRanges([])]
 
-    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
-        return lines_of(partition) if partition.file else iter(())
+    def read(self, partition: ByteRanges) -> Iterator[pa.RecordBatch]:
+        return lines_of_all(partition.ranges)
 
 
 class _Stream(_Files, DataSourceStreamReader):
@@ -163,10 +208,10 @@ class _Stream(_Files, DataSourceStreamReader):
         return self.ends()
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        return byte_ranges(start, end, self._range)
+        return dealt(byte_ranges(start, end, self._range), self._tasks)
 
-    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
-        return lines_of(partition)
+    def read(self, partition: ByteRanges) -> Iterator[pa.RecordBatch]:
+        return lines_of_all(partition.ranges)
 
 
 class GrowingLines(DataSource):
@@ -187,7 +232,8 @@ class GrowingLines(DataSource):
 def growing_lines(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """A stream of the complete lines of the files in a folder, however they grow."""
     spark.dataSource.register(GrowingLines)
-    return spark.readStream.format(FORMAT).option("rangeBytes", range_bytes).load(path)
+    reader = spark.readStream.format(FORMAT).option("rangeBytes", range_bytes)
+    return reader.option("tasks", spark.sparkContext.defaultParallelism).load(path)
 
 
 def lines_since(
@@ -199,4 +245,5 @@ def lines_since(
     """
     spark.dataSource.register(GrowingLines)
     reader = spark.read.format(FORMAT).option("rangeBytes", range_bytes)
+    reader = reader.option("tasks", spark.sparkContext.defaultParallelism)
     return reader.option("seen", json.dumps(seen)).load(path)

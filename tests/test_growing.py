@@ -72,3 +72,47 @@ def test_a_stream_goes_on_where_it_stopped(spark, tmp_path):
     rows = tables.read_batches(spark, table, runs.EVENT_LINES)
     assert sorted(r["offset"] for r in rows.collect()) == [0, 8, 16, 24]
     assert rows.select(F.max("batch")).first()[0] == 2
+
+
+def test_small_ranges_share_tasks_and_read_little(tmp_path, monkeypatch):
+    file = tmp_path / "a.log"
+    data = b"".join(b"%06d\n" % i for i in range(100_000)) + b"z" * 300_000 + b"\n"
+    file.write_bytes(data)
+    ranges = growing.byte_ranges({}, {str(file): len(data)}, 1 << 12)
+    parts = growing.dealt(ranges, 4)
+    assert len(ranges) > 200 and len(parts) == 4
+    assert [r for p in parts for r in p.ranges] == ranges and growing.dealt([], 4) == []
+    sizes = []
+    whole = growing._open
+
+    class Counted:
+        def __init__(self, file):
+            self.file = file
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *error):
+            self.file.close()
+
+        def read_at(self, size, at):
+            sizes.append(size)
+            return self.file.read_at(size, at)
+
+    class System:
+        @staticmethod
+        def open_input_file(path):
+            return Counted(whole(path)[0].open_input_file(path))
+
+    monkeypatch.setattr(growing, "_open", lambda uri: (System, uri, "file:"))
+    batches = [list(growing.lines_of_all(p.ranges)) for p in parts]
+    assert max(len(b) for b in batches) == 1
+    rows = [r for part in batches for b in part for r in b.to_pylist()]
+    assert "".join(r["line"] + "\n" for r in rows).encode() == data
+    # a range reads itself and the rest of a line, not a megabyte behind it
+    assert sum(sizes) < 4 * len(data)
+
+
+def test_large_ranges_have_tasks_of_their_own():
+    ranges = growing.byte_ranges({}, {"a": 1 << 30}, growing.RANGE_BYTES)
+    assert [len(p.ranges) for p in growing.dealt(ranges, 2)] == [1] * 16
