@@ -45,8 +45,11 @@ def _files(spark, folder, make):
 
     def work(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk in chunks:
-            content = [make(np.asarray(v)) for v in chunk["v"]]
-            yield pd.DataFrame({"vec_id": chunk["vec_id"], "content": content})
+            # a file is far larger than its vector: few of them leave a task at a time
+            for start in range(0, len(chunk), media.ROWS_OUT):
+                part = chunk.iloc[start : start + media.ROWS_OUT]
+                content = [make(np.asarray(v)) for v in part["v"]]
+                yield pd.DataFrame({"vec_id": part["vec_id"], "content": content})
 
     byte = F.transform("embedding", lambda e: F.floor((e.cast("double") + 1) * 100).cast("int"))
     rows = table(spark, folder, "embeddings").select("vec_id", byte.alias("v"))

@@ -88,3 +88,27 @@ def test_mel():
     centre = 700 * (10 ** (np.linspace(0, top, 66)[peak + 1] / 2595) - 1)
     assert abs(centre - 1000) < 60
     assert media.mel_bank(rate).shape == (513, 64) and (media.mel_bank(rate) >= 0).all()
+
+
+def test_few_files_of_a_batch_are_unpacked_at_a_time(spark):
+    from millrace.queries.media import wav_file
+
+    rows = [(i, "k", wav_file(np.full(100, i), 16000)) for i in range(100)]
+    files = spark.createDataFrame(rows, "i bigint, kind string, content binary").coalesce(1)
+    seen = []
+
+    class Held:
+        schema = files.schema
+
+        @staticmethod
+        def mapInArrow(run, schema):
+            seen.append((run, schema))
+
+    media._per_row(Held, "content", "audio", lambda c: media.waveform(c, 16000, 100))
+    run, schema = seen[0]
+    batch = files.toArrow().combine_chunks().to_batches()[0]
+    taken = [part.num_rows for part in run(iter([batch]))]
+    assert max(taken) == media.ROWS_OUT and sum(taken) == 100
+    made = media.prepare_audio(files, length=100).orderBy("i").collect()
+    assert [round(r["audio"]["data"][0] * 32768) for r in made] == list(range(100))
+    assert all(r["kind"] == "k" and r["audio"]["shape"] == [100] for r in made)
