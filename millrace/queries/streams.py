@@ -55,8 +55,8 @@ def stream_in_parts(spark, folder):
     low, high = events.agg(F.min(at), F.max(at)).first()
     part = F.floor((at - low) * PARTS / (high - low + 1))
     for number in range(PARTS):
-        # one file each, as Spark takes files in the order in which they were written
-        events.filter(part == number).coalesce(1).write.mode("append").parquet(path)
+        # one file each, as Spark takes files in the order in which they were written; read by many tasks
+        events.filter(part == number).repartition(1).write.mode("append").parquet(path)
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 

@@ -2,15 +2,15 @@
 
 Rows are reduced first: of the rows of one key in one minute only the earliest and the latest time, and the
 first end, go on to its state. Spark sums these up in the tasks that read the rows, so a key that holds a
-third of all rows sends one row per task and minute. State and timers then see a few rows per key.
+third of all rows sends one row per task and minute. State and timers then see a few rows per key, as plain
+rows: a table per key would cost far more than what is done with it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -48,20 +48,16 @@ class _Outcomes(StatefulProcessor):
             "operation", "start double, ended double, state string, detail string, done boolean"
         )
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = self._state.get() if self._state.exists() else None
-        start, ended, state, detail, done = held or (None, None, None, None, False)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        start, ended, state, detail, done = self._state.get() or (None, None, None, None, False)
         if done:
             return
         known = start
-        for part in rows:
-            least = float(part["first"].min())
-            start = least if start is None else min(start, least)
-            ends = part.dropna(subset=["ended"])
-            if len(ends):
-                first = ends.sort_values(["ended", "state"]).iloc[0]
-                if ended is None or float(first["ended"]) < ended:
-                    ended, state, detail = float(first["ended"]), first["state"], first["detail"]
+        for row in rows:
+            start = row["first"] if start is None else min(start, row["first"])
+            # ends of two rows lie in different minutes
+            if row["ended"] is not None and (ended is None or row["ended"] < ended):
+                ended, state, detail = row["ended"], row["state"], row["detail"]
         if known is not None and start < known:
             self._handle.deleteTimer(_millis(known + self._timeout))
         timely = ended is not None and ended <= start + self._timeout
@@ -73,7 +69,7 @@ class _Outcomes(StatefulProcessor):
         elif start != known:
             self._handle.registerTimer(_millis(start + self._timeout))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         start, ended, state, detail, done = self._state.get()
         if done:
             self._state.clear()
@@ -96,20 +92,20 @@ class _Closings(StatefulProcessor):
         self._handle = handle
         self._state = handle.getValueState("stream", "last double, closed boolean")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last, closed = self._state.get() if self._state.exists() else (None, False)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        last, closed = self._state.get() or (None, False)
         if closed:
             return
         known, found = last, None
         # a row per minute that has rows, in the order of their times
-        parts = pd.concat(rows).sort_values("first")
-        for first, latest, end in parts[["first", "last", "seq"]].itertuples(index=False):
+        parts = sorted(((row["first"], row["last"], row["seq"]) for row in rows), key=lambda part: part[0])
+        for first, latest, end in parts:
             if last is not None and first - last > self._idle:
                 found = _row(CLOSING, key[0], None, True)
                 break
             last = latest if last is None else max(last, latest)
-            if not pd.isna(end):
-                found = _row(CLOSING, key[0], int(end), False)
+            if end is not None:
+                found = _row(CLOSING, key[0], end, False)
                 break
         if known is not None:
             self._handle.deleteTimer(_millis(known + self._idle))
@@ -119,7 +115,7 @@ class _Closings(StatefulProcessor):
         else:
             self._handle.registerTimer(_millis(last + self._idle))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         last, closed = self._state.get()
         if not closed:
             self._state.update((last, True))
@@ -129,11 +125,9 @@ class _Closings(StatefulProcessor):
         pass
 
 
-def _row(schema: str, *values) -> pd.DataFrame:
+def _row(schema: str, *values) -> Row:
     names = [field.split()[0] for field in schema.split(", ")]
-    kinds = {"bigint": "Int64", "boolean": "boolean"}
-    types = [kinds.get(field.split()[1], "object") for field in schema.split(", ")]
-    return pd.DataFrame({n: pd.array([v], dtype=t) for n, v, t in zip(names, values, types, strict=True)})
+    return Row(**dict(zip(names, values, strict=True)))
 
 
 def operation_outcomes(
@@ -163,7 +157,7 @@ def operation_outcomes(
         F.col(state).isin(*success, *failure), F.struct(ended, F.col(state).alias("state"), detail.alias("detail"))
     )
     parts = _reduced(stream, operation, when, end, delay)
-    return parts.groupBy("key").transformWithStateInPandas(
+    return parts.groupBy("key").transformWithState(
         _Outcomes(timeout_seconds, keep_seconds, success), OUTCOME, "append", "eventTime"
     )
 
@@ -187,6 +181,6 @@ def stream_closings(
     when = F.col(ts).cast("timestamp")
     end = F.when(F.col(event).isin(*terminal), F.struct(F.col(seq).cast("bigint").alias("seq")))
     parts = _reduced(stream, key, when, end, delay)
-    return parts.groupBy("key").transformWithStateInPandas(
+    return parts.groupBy("key").transformWithState(
         _Closings(idle_seconds), CLOSING, "append", "eventTime"
     )

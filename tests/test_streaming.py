@@ -4,10 +4,11 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from millrace.operators import runs as batch
-from millrace.streaming import runs, tables
+from millrace.streaming import closings, runs, tables
 
 SCHEMA = "run bigint, seq bigint, event string, ts timestamp"
 EVENTS = [
@@ -235,3 +236,47 @@ def test_closings_over_batches(spark, tmp_path):
     found = sorted((r["stream"], r["end"], r["dropped"]) for r in tables.read_batches(spark, path, runs.CLOSING).collect())
     # c fell silent for more than an hour before its end came; e may still go on
     assert found == [("a", 4, False), ("b", 8, False), ("c", None, True), ("d", None, True)]
+
+
+class OneState:
+    """The state and timers of one key, as a processor's handle."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, [], 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_processors_take_plain_rows():
+    held = OneState()
+    outcomes = closings._Outcomes(100, 1000, ["ready"])
+    outcomes.init(held)
+    rows = [Row(first=9.0, ended=None, state=None, detail=None), Row(first=5.0, ended=7.0, state="bad", detail="d")]
+    assert list(outcomes.handleInputRows(("a",), iter(rows[:1]), None)) == []
+    assert held.timers == [109001]
+    assert [tuple(r) for r in outcomes.handleInputRows(("a",), iter(rows[1:]), None)] == [("a", "failure", "bad", "d")]
+    assert held.timers == [1105001] and held.value == (5.0, 7.0, "bad", "d", True)
+    assert list(outcomes.handleInputRows(("a",), iter(rows), None)) == [] and held.calls == 3
+    held = OneState()
+    closed = closings._Closings(50)
+    closed.init(held)
+    rows = [Row(first=70.0, last=71.0, seq=9), Row(first=10.0, last=30.0, seq=None)]
+    assert [tuple(r) for r in closed.handleInputRows(("s",), iter(rows), None)] == [("s", 9, False)]
+    assert held.value == (71.0, True)
+    held.value = None
+    rows = [Row(first=90.0, last=91.0, seq=9), Row(first=10.0, last=30.0, seq=None)]
+    assert [tuple(r) for r in closed.handleInputRows(("s",), iter(rows), None)] == [("s", None, True)]
