@@ -14,7 +14,9 @@ import re
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +28,8 @@ PIECES = "file string, block bigint, at bigint, kind string, text string"
 
 # Bytes of blocks that one task reads, where blocks are made smaller than that.
 TASK_BYTES = 64 << 20
+# Blocks that one task opens, about: each costs as much as reading some 100 KB.
+TASK_BLOCKS = 256
 
 
 @contextmanager
@@ -57,6 +61,13 @@ class _Csv:
 
     joint = "\n"
 
+    @staticmethod
+    def effects(pieces: DataFrame) -> DataFrame:
+        quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+        turns = (F.sum(quotes) % 2 == 1).alias("turns")
+        none = F.lit(0).cast("bigint")
+        return pieces.groupBy("file", "block").agg(turns, none.alias("outside"), none.alias("inside"))
+
     @staticmethod
     def step(piece: str, inside: bool, depth: int) -> tuple[bool, int]:
         return inside ^ (piece.count('"') % 2 == 1), 0
@@ -75,6 +86,11 @@ class _Json:
 
     joint = ""
 
+    @staticmethod
+    def effects(pieces: DataFrame) -> DataFrame:
+        schema = "file string, block bigint, turns boolean, outside bigint, inside bigint"
+        return pieces.mapInArrow(_effects(_Json), schema)
+
     @staticmethod
     def step(piece: str, inside: bool, depth: int) -> tuple[bool, int]:
         plain = _ESCAPED.sub("", piece) if "\\" in piece else piece
@@ -95,6 +111,17 @@ class _Json:
         return piece.replace("\n", " ").replace("\r", " ")
 
 
+def _stretches(batch: pa.RecordBatch) -> Iterator[tuple[tuple, list[str]]]:
+    """The values of each stretch of one block, after what all its rows have: file, block and the rest."""
+    file, block, values = batch.column(0), batch.column(1).to_numpy(), batch.column(2).to_pylist()
+    other = pc.not_equal(file.slice(1), file.slice(0, max(len(file) - 1, 0))).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(other | (block[1:] != block[:-1])) + 1
+    edges = [0, *cuts.tolist(), len(values)] if values else [0]
+    for first, end in zip(edges, edges[1:]):
+        shared = (column[first].as_py() for i, column in enumerate(batch.columns) if i != 2)
+        yield tuple(shared), values[first:end]
+
+
 def _cut(rules) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Records of each block: ``whole``, or the pieces ``tail`` (goes on in the next block) and ``head``."""
 
@@ -110,22 +137,22 @@ def _cut(rules) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]
             held, kind, number = [], "whole", number + 1
 
         for batch in batches:
-            columns = [column.to_pylist() for column in batch.columns]
-            for file, block, value, starts_inside, starts_depth in zip(*columns, strict=True):
+            for (file, block, starts_inside, starts_depth), values in _stretches(batch):
                 if (file, block) != key:
                     if held:
                         close("open")
                     key, number = (file, block), 0
                     inside, depth = bool(starts_inside), int(starts_depth)
                     kind = "head" if inside or depth else "whole"
-                if not held and kind == "whole":
-                    value = rules.begin(value)
-                    if not value:
-                        continue
-                held.append(value)
-                inside, depth = rules.step(value, inside, depth)
-                if not inside and depth <= 0:
-                    close("end")
+                for value in values:
+                    if not held and kind == "whole":
+                        value = rules.begin(value)
+                        if not value:
+                            continue
+                    held.append(value)
+                    inside, depth = rules.step(value, inside, depth)
+                    if not inside and depth <= 0:
+                        close("end")
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c) for c in zip(*rows, strict=True)], names=["file", "block", "at", "kind", "text"]
@@ -147,10 +174,11 @@ def _effects(rules):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple, list] = {}
         for batch in batches:
-            for file, block, value in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                state = found.setdefault((file, block), [False, 0, True, 0])
-                state[0], state[1] = rules.step(value, state[0], state[1])
-                state[2], state[3] = rules.step(value, state[2], state[3])
+            for key, values in _stretches(batch):
+                state = found.setdefault(key, [False, 0, True, 0])
+                for value in values:
+                    state[0], state[1] = rules.step(value, state[0], state[1])
+                    state[2], state[3] = rules.step(value, state[2], state[3])
         if found:
             keys, states = zip(*found.items(), strict=True)
             yield pa.RecordBatch.from_arrays(
@@ -185,9 +213,7 @@ def records(pieces: DataFrame, rules, block_bytes: int | None = None, tasks: int
     more than ``tasks``; what is stored between is read as any table.
     """
     spark = pieces.sparkSession
-    effects = pieces.mapInArrow(
-        _effects(rules), "file string, block bigint, turns boolean, outside bigint, inside bigint"
-    )
+    effects = rules.effects(pieces)
     # at most one row per block of the input
     with block_size(spark, block_bytes, tasks):
         begins = materialize(_begins(effects), "begins")
@@ -213,19 +239,24 @@ def records(pieces: DataFrame, rules, block_bytes: int | None = None, tasks: int
     return whole.unionByName(joined.select("file", "place.block", "place.at", text.alias("text")))
 
 
-def _tasks(spark: SparkSession, path: str, block_bytes: int | None, **options) -> int | None:
-    """How many tasks read blocks of a size of their own: as many as there are cores, more for large files."""
+def _blocks(spark: SparkSession, path: str, block_bytes: int | None, **options) -> tuple[int | None, int | None]:
+    """The size of blocks that have a size of their own, and how many tasks read them.
+
+    There are as many tasks as cores, more for large files. Where a task would open more than
+    ``TASK_BLOCKS`` blocks, these are made larger, so that their number does not grow with the file.
+    """
     if block_bytes is None:
-        return None
+        return None, None
     listed = spark.read.format("binaryFile").options(**options).load(path)
     total = listed.agg(F.sum("length")).first()[0] or 0
-    return max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    return max(block_bytes, -(-total // (tasks * TASK_BLOCKS))), tasks
 
 
 def csv_records(spark: SparkSession, path: str, block_bytes: int | None = None) -> DataFrame:
     """The records of CSV files as text. Quotes stand only around fields, and twice within them."""
     lines = _located(spark.read.option("lineSep", "\n").text(path))
-    return records(lines, _Csv, block_bytes, _tasks(spark, path, block_bytes))
+    return records(lines, _Csv, *_blocks(spark, path, block_bytes))
 
 
 def json_records(spark: SparkSession, path: str, files: str, block_bytes: int | None = None) -> DataFrame:
@@ -234,4 +265,4 @@ def json_records(spark: SparkSession, path: str, files: str, block_bytes: int |
     lines = _located(spark.read.option("lineSep", "}").options(**which).text(path))
     # the reader takes the brace away that ends a piece
     closed = lines.withColumn("value", F.concat("value", F.lit("}")))
-    return records(closed, _Json, block_bytes, _tasks(spark, path, block_bytes, **which))
+    return records(closed, _Json, *_blocks(spark, path, block_bytes, **which))

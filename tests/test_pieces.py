@@ -102,3 +102,25 @@ def test_many_small_blocks_make_few_tasks(spark, tmp_path):
     assert sorted(r["id"] for r in table.collect()) == list(range(2000))
     assert tasks <= 2 * spark.sparkContext.defaultParallelism
     assert spark.conf.get("spark.sql.files.maxPartitionNum", None) is None
+
+
+def test_blocks_are_larger_where_a_task_would_open_too_many(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pieces, "TASK_BLOCKS", 2)
+    rows = [[str(i), f'a "{i}"\n, b'] for i in range(4000)]
+    path = written(tmp_path, [["id", "text"], *rows])
+    table = tabular.scan_large_csv(spark, path, ",", block_bytes=512)
+    assert sorted(tuple(r) for r in table.collect()) == [(int(a), b) for a, b in rows]
+    blocks = pieces.csv_records(spark, path, 512).select("block").distinct().count()
+    assert 2 <= blocks <= 2 * spark.sparkContext.defaultParallelism + 1
+
+
+def test_text_is_looked_at_before_it_is_cast(spark):
+    # a cast that fails throws, value by value; what the pattern leaves out must be what fails
+    odd = ["", " ", "-", "+5", " 5 ", "\t5", "5\x00", "9223372036854775807", "9223372036854775808", "0" * 30 + "5"]
+    odd += ["5.", ".5", ".", "1E+5", "e5", "1f", "1L", "0x1.8P-3f", "0x.8p1", "0x1", "inf", "-Infinity", "nan", "+NaN"]
+    odd += ["TRUE", "t", "yes", "N", "0", "true\t", "ye\u017f", "tru", "\u0665", "1_0", "--5", "5\u00a0", "Customer#5"]
+    values = spark.createDataFrame([(text,) for text in odd], "s string")
+    for kind, pattern in tabular.CASTABLE.items():
+        cast, looked = F.col("s").try_cast(kind).isNotNull(), F.col("s").rlike(pattern)
+        assert values.filter(cast & ~looked).count() == 0
+        assert {r["s"] for r in values.filter(~cast & looked).collect()} <= {"9223372036854775808"}
