@@ -30,6 +30,7 @@ from millrace.session import materialize
 
 COMMON = 192
 SHARED = 64
+# An even number: sums take two at a time.
 HIDDEN = 32
 REACH = 3
 # Passes over the texts; each masks its own part of the positions, and together they mask them all.
@@ -41,6 +42,10 @@ PART_WORDS = 1 << 21
 BATCH = 1024
 RATE = 0.15
 CHUNK = 1 << 21
+# Words whose counts a task holds before it hands them on, about.
+HELD = 1 << 18
+# Where a chunk need not be long, arrays over its bytes stay in a core's cache.
+SHORT_CHUNK = 1 << 18
 # Logits are kept in this range, so that their exponentials can be summed as they are.
 LIMIT = 30.0
 
@@ -82,15 +87,41 @@ class Network:
         place = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
         return np.where(self.known[place] == hashes, place, shared)
 
-    def hidden(self, around: np.ndarray) -> np.ndarray:
-        return np.tanh((self.into[around] * self.near).sum(axis=1) + self.bias)
-
-    def log_probability(self, around: np.ndarray, middle: np.ndarray) -> np.ndarray:
+    def weighted(self) -> list[np.ndarray]:
+        """For each place around, what each class there adds to the hidden layer."""
+        return [self.into * near for near in self.near]
+
+    def joint(self) -> np.ndarray:
+        """The weights out of the hidden layer, and behind them the prior as that of a layer's constant 1."""
+        return np.concatenate([self.out, self.prior[:, None]], axis=1)
+
+    def hidden(self, parts: Iterator[np.ndarray]) -> np.ndarray:
+        """The hidden layer of each word from what each place around adds, and the constant 1 behind it."""
+        total = next(parts)
+        for part in parts:
+            total += part
+        total += self.bias
+        layer = np.ones((len(total), total.shape[1] + 1), total.dtype)
+        np.tanh(total, out=layer[:, :-1])
+        return layer
+
+    @staticmethod
+    def logits(layer: np.ndarray, joint: np.ndarray) -> np.ndarray:
+        found = layer @ joint.T
+        # the layer lies within -1 and 1, so mostly its weights tell that nothing is beyond the limit
+        if np.abs(joint).sum(axis=1).max() > LIMIT * 0.999:
+            np.clip(found, -LIMIT, LIMIT, out=found)
+        return found
+
+    def log_probability(
+        self, around: np.ndarray, middle: np.ndarray, weighted: list[np.ndarray], joint: np.ndarray
+    ) -> np.ndarray:
         """Logarithm of the probability of each middle class, given the classes around it."""
-        logits = np.clip(self.hidden(around) @ self.out.T + self.prior, -LIMIT, LIMIT)
+        parts = (table.take(classes, axis=0) for table, classes in zip(weighted, around, strict=True))
+        logits = self.logits(self.hidden(parts), joint)
         chosen = logits[np.arange(len(middle)), middle]
         np.exp(logits, out=logits)
-        return chosen - np.log(logits.sum(axis=1))
+        return chosen - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
 
 
 def fresh(known: np.ndarray, counts: np.ndarray, seed: int) -> Network:
@@ -113,17 +144,17 @@ def fresh(known: np.ndarray, counts: np.ndarray, seed: int) -> Network:
 
 
 def windows(hashes: np.ndarray, of: np.ndarray, network: Network) -> tuple[np.ndarray, np.ndarray]:
-    """The classes around each word, places outside its text as the class behind the last, and its own."""
+    """The classes at each place around the words, outside of a word's text the class behind the last, and its own."""
     middle = network.class_of(hashes)
     n = len(middle)
-    around = np.full((n, 2 * REACH), network.classes, np.int64)
-    for column, step in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
+    around = np.full((2 * REACH, n), network.classes, np.int32)
+    for place, step in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
         here = slice(max(0, -step), n - max(0, step))
         there = slice(max(0, step), n - max(0, -step))
         if here.stop <= here.start:
             continue
         same = of[here] == of[there]
-        around[here, column] = np.where(same, middle[there], network.classes)
+        around[place, here] = np.where(same, middle[there], network.classes)
     return around, middle
 
 
@@ -135,24 +166,39 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(ends, start, side="right")
 
 
-def _chunks(batches: Iterable[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, list[bytes]]]:
-    """Runs of about ``CHUNK`` bytes of each batch's texts, with the number of the first."""
+def _chunks(
+    batches: Iterable[pa.RecordBatch], column: int, size: int = SHORT_CHUNK
+) -> Iterator[tuple[pa.RecordBatch, int, list[bytes]]]:
+    """Runs of about ``size`` bytes of each batch's texts, with the number of the first."""
     for batch in batches:
         texts = [t.as_py().encode("utf-8", "surrogatepass").lower() for t in batch.column(column)]
         first, held = 0, 0
         for i, text in enumerate(texts):
             held += len(text)
-            if held >= CHUNK or i + 1 == len(texts):
+            if held >= size or i + 1 == len(texts):
                 yield batch, first, texts[first : i + 1]
                 first, held = i + 1, 0
 
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, _, texts in _chunks(batches, 0):
-        hashes, n = np.unique(words_of(texts)[0], return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"]
-        )
+    """Counts of words; those of several chunks are added up while their words are few enough to be held."""
+    held, counts = np.zeros(0, _U), np.zeros(0, np.int64)
+    for _, _, texts in _chunks(batches, 0, CHUNK):
+        found, n = np.unique(words_of(texts)[0], return_counts=True)
+        both = np.concatenate([held, found])
+        order = np.argsort(both, kind="stable")
+        both, counts = both[order], np.concatenate([counts, n])[order]
+        first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])[: len(both)])
+        held, counts = both[first], np.add.reduceat(counts, first) if len(first) else counts
+        if len(held) > HELD:
+            yield _counts_of(held, counts)
+            held, counts = held[:0], counts[:0]
+    if len(held):
+        yield _counts_of(held, counts)
+
+
+def _counts_of(words: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
 
 
 @dataclass
@@ -208,28 +254,33 @@ def vocabulary(texts: DataFrame, seed: int) -> tuple[Network, Words]:
 
 def train_on(network: Network, around: np.ndarray, middle: np.ndarray, squares: list[np.ndarray]) -> None:
     """One step of gradient descent, scaled by the past squares of each weight's gradients."""
-    n, rows = len(middle), np.arange(len(middle))
-    inner = network.into[around]
-    hidden = np.tanh((inner * network.near).sum(axis=1) + network.bias)
-    logits = np.clip(hidden @ network.out.T + network.prior, -LIMIT, LIMIT)
-    error = np.exp(logits)
-    error /= error.sum(axis=1, keepdims=True)
-    error[rows, middle] -= 1
-    error /= n
-    back = (error @ network.out) * (1 - hidden * hidden)
+    joint = network.joint()
+    inner = [network.into.take(classes, axis=0) for classes in around]
+    layer = network.hidden(part * near for part, near in zip(inner, network.near, strict=True))
+    # each row of the error is, but for its scale, the exponentials, less their sum at the class that was there
+    error = network.logits(layer, joint)
+    np.exp(error, out=error)
+    total = error @ np.ones(error.shape[1], error.dtype)
+    error[np.arange(len(middle)), middle] -= total
+    scale = (1 / (total * len(middle)))[:, None]
+    hidden = layer[:, :-1]
+    back = (error @ network.out) * scale * (1 - hidden * hidden)
+    out = error.T @ (layer * scale)
     # sums by class of the words around, in the order of the classes
     into = np.zeros_like(network.into)
-    order = np.argsort(around, axis=None, kind="stable")
-    classes = around.ravel()[order]
+    classes = around.ravel()
+    order = np.argsort(classes.astype(np.min_scalar_type(len(into))), kind="stable")
+    classes = classes[order]
     first = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]]))
-    each = (back[:, None, :] * network.near).reshape(around.size, -1)
-    into[classes[first]] = np.add.reduceat(each[order], first, axis=0)
+    each = np.concatenate([back * near for near in network.near]).take(order, axis=0)
+    # as complex numbers two columns are summed at a time
+    into[classes[first]] = np.add.reduceat(each.view(np.complex64), first, axis=0).view(into.dtype)
     gradients = [
         into,
-        (inner * back[:, None, :]).sum(axis=0),
+        np.stack([(part * back).sum(axis=0) for part in inner]),
         back.sum(axis=0),
-        error.T @ hidden,
-        error.sum(axis=0),
+        out[:, :-1],
+        out[:, -1],
     ]
     for weight, gradient, square in zip(network.weights(), gradients, squares, strict=True):
         square += gradient * gradient
@@ -257,16 +308,16 @@ def _trained(network: Network, turn: int, seed: int):
             hashes, of = words_of(texts)
             around, middle = windows(hashes, of, own)
             chosen = np.flatnonzero(turns(hashes, of, seed) == turn)
-            waiting.append((around[chosen], middle[chosen]))
+            waiting.append((around[:, chosen], middle[chosen]))
             held += len(chosen)
             if held >= BATCH:
-                x, y = (np.concatenate(c) for c in zip(*waiting, strict=True))
+                x, y = (np.concatenate(c, axis=-1) for c in zip(*waiting, strict=True))
                 for at in range(0, len(y) - BATCH + 1, BATCH):
-                    train_on(own, x[at : at + BATCH], y[at : at + BATCH], squares)
+                    train_on(own, x[:, at : at + BATCH], y[at : at + BATCH], squares)
                 done = len(y) // BATCH * BATCH
-                waiting, held, seen = [(x[done:], y[done:])], len(y) - done, seen + done
+                waiting, held, seen = [(x[:, done:], y[done:])], len(y) - done, seen + done
         if held:
-            x, y = (np.concatenate(c) for c in zip(*waiting, strict=True))
+            x, y = (np.concatenate(c, axis=-1) for c in zip(*waiting, strict=True))
             train_on(own, x, y, squares)
             seen += held
         if seen:
@@ -320,9 +371,10 @@ def _log_of_classes(network: Network, hashes: np.ndarray, of: np.ndarray) -> tup
     """The class of each word and the logarithm of its probability."""
     around, middle = windows(hashes, of, network)
     logs = np.empty(len(middle))
+    weighted, joint = network.weighted(), network.joint()
     for at in range(0, len(middle), BATCH):
         span = slice(at, at + BATCH)
-        logs[span] = network.log_probability(around[span], middle[span])
+        logs[span] = network.log_probability(around[:, span], middle[span], weighted, joint)
     return middle, logs
 
 
@@ -356,7 +408,10 @@ def _scored_words(network: Network, shared: np.ndarray, sent: np.ndarray, n: np.
             within = -log_shared[middle[alike] - (network.classes - SHARED)]
             left = np.ones(len(hashes), bool)
             if len(sent):
-                place = np.minimum(np.searchsorted(sent, hashes), len(sent) - 1)
+                # looked up in their order, one place is near the next
+                order = np.argsort(hashes)
+                place = np.empty(len(hashes), np.int64)
+                place[order] = np.minimum(np.searchsorted(sent, hashes[order]), len(sent) - 1)
                 left = sent[place] != hashes
                 within += np.where(left, 0.0, log_n[place])
             share = np.bincount(of, weights=within, minlength=len(texts)).astype(np.float64)

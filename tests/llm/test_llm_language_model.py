@@ -137,3 +137,58 @@ def test_scores_do_not_depend_on_how_the_table_is_stored(spark, monkeypatch):
     )
     assert one.keys() == many.keys()
     assert max(abs(one[d] - many[d]) / max(1, abs(one[d])) for d in one) < 1e-5
+
+
+def test_a_step_follows_the_plain_gradient():
+    # places of classes meet in sums; against one word and place at a time, in double precision
+    rng = np.random.default_rng(4)
+    network = lm.fresh(np.sort(rng.integers(0, 1 << 60, 5).astype(np.uint64)), np.ones(5 + lm.SHARED), 1)
+    network.near += rng.standard_normal(network.near.shape).astype(np.float32) / 4
+    around = rng.integers(0, network.classes + 1, (2 * lm.REACH, 300)).astype(np.int32)
+    middle = rng.integers(0, network.classes, 300)
+    into, near, bias, out, prior = (w.astype(float) for w in network.weights())
+    grads = [np.zeros_like(w) for w in (into, near, bias, out, prior)]
+    for at, target in enumerate(middle.tolist()):
+        hidden = np.tanh(sum(into[c] * near[k] for k, c in enumerate(around[:, at])) + bias)
+        logits = out @ hidden + prior
+        error = np.exp(logits) / np.exp(logits).sum() - (np.arange(network.classes) == target)
+        back = error @ out * (1 - hidden * hidden) / len(middle)
+        for k, c in enumerate(around[:, at]):
+            grads[0][c] += back * near[k]
+            grads[1][k] += back * into[c]
+        for grad, part in zip(grads[2:], (back, np.outer(error, hidden) / len(middle), error / len(middle)), strict=True):
+            grad += part
+    before = [w.copy() for w in network.weights()]
+    # with squares this large a step is in proportion to the gradient
+    lm.train_on(network, around, middle, [np.full_like(w, 1e6) for w in network.weights()])
+    for old, new, grad in zip(before, network.weights(), grads, strict=True):
+        expected = old - lm.RATE * grad / np.sqrt(1e6 + grad * grad)
+        assert np.abs(new - expected).max() < 1e-6
+    squares = [np.zeros_like(w) for w in network.weights()]
+    network = network.with_flat(np.concatenate([w.ravel() for w in before]))
+    lm.train_on(network, around, middle, squares)
+    for square, grad in zip(squares, grads, strict=True):
+        assert np.abs(np.sqrt(square) - np.abs(grad)).max() < 1e-5
+
+
+def test_logits_beyond_the_limit_are_cut():
+    joint = np.array([[50.0, 1.0], [-50.0, 1.0], [1.0, 1.0]], np.float32)
+    layer = np.array([[1.0, 1.0], [0.1, 1.0]], np.float32)
+    assert np.allclose(lm.Network.logits(layer, joint), [[30, -30, 2], [6, -4, 1.1]])
+
+
+def test_counts_of_many_chunks_are_added_up(monkeypatch):
+    import pyarrow as pa
+
+    texts = [f"a b{i % 7} c{i}" for i in range(300)] + ["", "a a"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    words, n = np.unique(lm.words_of([t.encode() for t in texts])[0].view(np.int64), return_counts=True)
+    monkeypatch.setattr(lm, "CHUNK", 64)
+    assert len(list(lm._counted([batch]))) == 1
+    for most in (lm.HELD, 20):
+        monkeypatch.setattr(lm, "HELD", most)
+        found = {}
+        for part in lm._counted([batch, batch.slice(0, 0)]):
+            for word, count in zip(*part.to_pydict().values(), strict=True):
+                found[word] = found.get(word, 0) + count
+        assert found == dict(zip(words.tolist(), n.tolist(), strict=True))
