@@ -9,9 +9,10 @@ over all texts: the commonest of the other words are sent to all tasks, the rest
 join by word.
 
 The classes come from the counts of all words of all texts. Training passes over all texts as well:
-they are dealt by hash into parts of about two million words, each part trains a copy of the network on
-the masked positions of its texts, and the copies are averaged by the number of positions, in a shuffle by
-parameter. So a score does not depend on how the table is cut into files.
+their words are written once as numbers of classes, and these are dealt by hash into parts of about two
+million words; each part trains a copy of the network on the masked positions of its texts, and the copies
+are averaged by the number of positions, in a shuffle by parameter. So a score does not depend on how the
+table is cut into files.
 """
 
 from __future__ import annotations
@@ -46,6 +47,7 @@ CHUNK = 1 << 21
 HELD = 1 << 18
 # Where a chunk need not be long, arrays over its bytes stay in a core's cache.
 SHORT_CHUNK = 1 << 18
+CODE_CHUNK = 1 << 16
 # Logits are kept in this range, so that their exponentials can be summed as they are.
 LIMIT = 30.0
 
@@ -87,14 +89,19 @@ class Network:
         place = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
         return np.where(self.known[place] == hashes, place, shared)
 
-    def weighted(self) -> list[np.ndarray]:
+    def weighted(self) -> np.ndarray:
         """For each place around, what each class there adds to the hidden layer."""
-        return [self.into * near for near in self.near]
+        return self.into * self.near[:, None]
 
     def joint(self) -> np.ndarray:
         """The weights out of the hidden layer, and behind them the prior as that of a layer's constant 1."""
         return np.concatenate([self.out, self.prior[:, None]], axis=1)
 
+    @staticmethod
+    def parts(around: np.ndarray, weighted: np.ndarray) -> Iterator[np.ndarray]:
+        """What each place around adds to the hidden layer of each word."""
+        return (table.take(classes, axis=0) for table, classes in zip(weighted, around, strict=True))
+
     def hidden(self, parts: Iterator[np.ndarray]) -> np.ndarray:
         """The hidden layer of each word from what each place around adds, and the constant 1 behind it."""
         total = next(parts)
@@ -114,11 +121,10 @@ class Network:
         return found
 
     def log_probability(
-        self, around: np.ndarray, middle: np.ndarray, weighted: list[np.ndarray], joint: np.ndarray
+        self, around: np.ndarray, middle: np.ndarray, weighted: np.ndarray, joint: np.ndarray
     ) -> np.ndarray:
         """Logarithm of the probability of each middle class, given the classes around it."""
-        parts = (table.take(classes, axis=0) for table, classes in zip(weighted, around, strict=True))
-        logits = self.logits(self.hidden(parts), joint)
+        logits = self.logits(self.hidden(self.parts(around, weighted)), joint)
         chosen = logits[np.arange(len(middle)), middle]
         np.exp(logits, out=logits)
         return chosen - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
@@ -143,19 +149,18 @@ def fresh(known: np.ndarray, counts: np.ndarray, seed: int) -> Network:
     )
 
 
-def windows(hashes: np.ndarray, of: np.ndarray, network: Network) -> tuple[np.ndarray, np.ndarray]:
-    """The classes at each place around the words, outside of a word's text the class behind the last, and its own."""
-    middle = network.class_of(hashes)
+def windows(middle: np.ndarray, of: np.ndarray, outside: int) -> np.ndarray:
+    """The classes at each place around the words of these classes; beyond the ends of a word's text ``outside``."""
     n = len(middle)
-    around = np.full((2 * REACH, n), network.classes, np.int32)
+    around = np.full((2 * REACH, n), outside, np.int32)
     for place, step in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
         here = slice(max(0, -step), n - max(0, step))
         there = slice(max(0, step), n - max(0, -step))
         if here.stop <= here.start:
             continue
         same = of[here] == of[there]
-        around[place, here] = np.where(same, middle[there], network.classes)
-    return around, middle
+        around[place, here] = np.where(same, middle[there], outside)
+    return around
 
 
 def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -255,36 +260,38 @@ def vocabulary(texts: DataFrame, seed: int) -> tuple[Network, Words]:
 def train_on(network: Network, around: np.ndarray, middle: np.ndarray, squares: list[np.ndarray]) -> None:
     """One step of gradient descent, scaled by the past squares of each weight's gradients."""
     joint = network.joint()
-    inner = [network.into.take(classes, axis=0) for classes in around]
-    layer = network.hidden(part * near for part, near in zip(inner, network.near, strict=True))
+    layer = network.hidden(network.parts(around, network.weighted()))
     # each row of the error is, but for its scale, the exponentials, less their sum at the class that was there
     error = network.logits(layer, joint)
     np.exp(error, out=error)
     total = error @ np.ones(error.shape[1], error.dtype)
     error[np.arange(len(middle)), middle] -= total
-    scale = (1 / (total * len(middle)))[:, None]
+    scale = 1 / (total * len(middle))
     hidden = layer[:, :-1]
-    back = (error @ network.out) * scale * (1 - hidden * hidden)
-    out = error.T @ (layer * scale)
+    scaled = hidden * scale[:, None]
+    back = error @ network.out
+    back *= scale[:, None] - scaled * hidden
+    out, prior = error.T @ scaled, scale @ error
+    inner = network.into.take(around, axis=0)
+    near = np.einsum("kbh,bh->kh", inner, back)
     # sums by class of the words around, in the order of the classes
     into = np.zeros_like(network.into)
-    classes = around.ravel()
-    order = np.argsort(classes.astype(np.min_scalar_type(len(into))), kind="stable")
+    classes = around.ravel().astype(np.min_scalar_type(len(into)))
+    order = np.argsort(classes, kind="stable")
     classes = classes[order]
     first = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]]))
-    each = np.concatenate([back * near for near in network.near]).take(order, axis=0)
+    each = np.multiply(back, network.near[:, None], out=inner).reshape(len(order), -1).take(order, axis=0)
     # as complex numbers two columns are summed at a time
     into[classes[first]] = np.add.reduceat(each.view(np.complex64), first, axis=0).view(into.dtype)
-    gradients = [
-        into,
-        np.stack([(part * back).sum(axis=0) for part in inner]),
-        back.sum(axis=0),
-        out[:, :-1],
-        out[:, -1],
-    ]
+    gradients = [into, near, np.ones(len(back), back.dtype) @ back, out, prior]
     for weight, gradient, square in zip(network.weights(), gradients, squares, strict=True):
-        square += gradient * gradient
-        weight -= RATE * gradient / (np.sqrt(square) + 1e-6)
+        step = gradient * gradient
+        square += step
+        np.sqrt(square, out=step)
+        step += 1e-6
+        np.divide(gradient, step, out=step)
+        step *= RATE
+        weight -= step
 
 
 def turns(hashes: np.ndarray, of: np.ndarray, seed: int) -> np.ndarray:
@@ -296,19 +303,53 @@ def turns(hashes: np.ndarray, of: np.ndarray, seed: int) -> np.ndarray:
     return ((draw >> _U(40)) * _U(PASSES)) >> _U(24)
 
 
-def _trained(network: Network, turn: int, seed: int):
-    """Of one part of the table, the weights after a pass over its masked positions."""
+def _coded(network: Network, seed: int):
+    """Texts, the last column, as a number for each word: of its class and of the pass that masks it."""
+    kind = np.min_scalar_type(network.classes * PASSES - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, first, texts in _chunks(batches, -1, CODE_CHUNK):
+            hashes, of = words_of(texts)
+            codes = network.class_of(hashes) * PASSES + turns(hashes, of, seed).astype(np.int64)
+            ends = np.cumsum(np.bincount(of, minlength=len(texts))) * kind.itemsize
+            offsets = np.concatenate([[0], ends]).astype(np.int32)
+            buffers = [None, pa.py_buffer(offsets), pa.py_buffer(codes.astype(kind))]
+            others = [column[first : first + len(texts)] for column in batch.columns[:-1]]
+            yield pa.RecordBatch.from_arrays(
+                [*others, pa.Array.from_buffers(pa.binary(), len(texts), buffers)], names=[*batch.schema.names[:-1], "code"]
+            )
+
+    return run
+
+
+def _codes(
+    batches: Iterable[pa.RecordBatch], network: Network, size: int = CODE_CHUNK
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Class and pass of the words of runs of texts, of about ``size`` bytes of codes each, and which text they are in."""
+    kind = np.min_scalar_type(network.classes * PASSES - 1)
+    for batch in batches:
+        texts, held = [], 0
+        for i, code in enumerate(batch.column(0)):
+            texts.append(code.as_py())
+            held += len(texts[-1])
+            if held >= size or i + 1 == batch.num_rows:
+                codes = np.frombuffer(b"".join(texts), kind)
+                of = np.repeat(np.arange(len(texts)), [len(t) // kind.itemsize for t in texts])
+                yield codes // PASSES, codes % PASSES, of
+                texts, held = [], 0
+
+
+def _passed(network: Network, turn: int):
+    """Of one part of the coded texts, the weights after a pass over its masked positions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = network.with_flat(network.flat().copy())
         squares = [np.full_like(w, 1e-4) for w in own.weights()]
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
         held = seen = 0
-        for _, _, texts in _chunks(batches, 0):
-            hashes, of = words_of(texts)
-            around, middle = windows(hashes, of, own)
-            chosen = np.flatnonzero(turns(hashes, of, seed) == turn)
-            waiting.append((around[:, chosen], middle[chosen]))
+        for middle, masked, of in _codes(batches, own):
+            chosen = np.flatnonzero(masked == turn)
+            waiting.append((windows(middle, of, own.classes)[:, chosen], middle[chosen]))
             held += len(chosen)
             if held >= BATCH:
                 x, y = (np.concatenate(c, axis=-1) for c in zip(*waiting, strict=True))
@@ -334,25 +375,32 @@ def _trained(network: Network, turn: int, seed: int):
     return run
 
 
-def dealt(docs: DataFrame, words: int, seed: int) -> DataFrame:
-    """The texts in parts of about ``PART_WORDS`` words, one task each, in an order of their own.
+def _trained(network: Network, turn: int, seed: int):
+    """As ``_passed``, of texts that are not coded yet."""
+    code, train = _coded(network, seed), _passed(network, turn)
+    return lambda batches: train(code(batches))
+
+
+def dealt(docs: DataFrame, words: int, network: Network, seed: int) -> DataFrame:
+    """The coded texts in parts of about ``PART_WORDS`` words, one task each, in an order of their own.
 
     Part and order come from a hash of id and text, and the number of parts from the number of words:
-    how the table is stored changes nothing.
+    how the table is stored changes nothing. Texts are read once; what the passes shuffle are codes.
     """
     parts = groups_for(words, PART_WORDS)
     key = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text")).alias("key")
-    spread = docs.select("text", key).repartitionById(parts, F.pmod("key", F.lit(parts)).cast("int"))
-    return spread.sortWithinPartitions("key", "text").select("text")
+    coded = materialize(docs.select(key, "text").mapInArrow(_coded(network, seed), "key bigint, code binary"), "codes")
+    spread = coded.repartitionById(parts, F.pmod("key", F.lit(parts)).cast("int"))
+    return spread.sortWithinPartitions("key", "code").select("code")
 
 
 def fitted(docs: DataFrame, seed: int = 17) -> tuple[Network, Words]:
     """The network after all passes over all texts, and their words; without any it stays as it began."""
     rows = documents_of(docs)
     network, words = vocabulary(rows.select("text"), seed)
-    texts = dealt(rows, words.counts.agg(F.sum("n")).first()[0], seed)
+    coded = dealt(rows, words.counts.agg(F.sum("n")).first()[0], network, seed)
     for turn in range(PASSES):
-        parts = texts.mapInArrow(_trained(network, turn, seed), "weight bigint, total double, seen double")
+        parts = coded.mapInArrow(_passed(network, turn), "weight bigint, total double, seen double")
         # as decimals, so that the order in which the parts are added changes nothing
         total, seen = (F.sum(F.col(c).cast("decimal(38, 12)")).cast("double") for c in ("total", "seen"))
         values = parts.groupBy("weight").agg((total / seen).alias("value")).toPandas()
@@ -369,7 +417,8 @@ def train(docs: DataFrame, seed: int = 17) -> Network:
 
 def _log_of_classes(network: Network, hashes: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The class of each word and the logarithm of its probability."""
-    around, middle = windows(hashes, of, network)
+    middle = network.class_of(hashes)
+    around = windows(middle, of, network.classes)
     logs = np.empty(len(middle))
     weighted, joint = network.weighted(), network.joint()
     for at in range(0, len(middle), BATCH):

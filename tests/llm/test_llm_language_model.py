@@ -192,3 +192,33 @@ def test_counts_of_many_chunks_are_added_up(monkeypatch):
             for word, count in zip(*part.to_pydict().values(), strict=True):
                 found[word] = found.get(word, 0) + count
         assert found == dict(zip(words.tolist(), n.tolist(), strict=True))
+
+
+def test_texts_are_coded_once_for_all_passes(spark, monkeypatch):
+    import pyarrow as pa
+
+    texts = ["one two three one", "", "four", "two " * 40, " \n"]
+    hashes, of = lm.words_of([t.encode() for t in texts])
+    for known in (np.unique(hashes)[:2], np.arange(300, dtype=np.uint64)):
+        network = lm.fresh(known, np.ones(len(known) + lm.SHARED), 1)
+        batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(texts)], names=["key", "text"])
+        for most in (lm.CODE_CHUNK, 8):
+            monkeypatch.setattr(lm, "CODE_CHUNK", most)
+            coded = list(lm._coded(network, 17)([batch, batch.slice(0, 0)]))
+            assert [k for part in coded for k in part.column(0).to_pylist()] == list(range(5))
+            codes = [part.select(["code"]) for part in coded]
+            whole = pa.Table.from_batches(codes).combine_chunks().to_batches()
+            for size in (1 << 16, 8):
+                found = list(lm._codes(whole, network, size))
+                assert np.concatenate([f[0] for f in found]).tolist() == network.class_of(hashes).tolist()
+                assert np.concatenate([f[1] for f in found]).tolist() == lm.turns(hashes, of, 17).tolist()
+                lengths = [n for f in found for n in np.bincount(f[2]).tolist() if n]
+                assert lengths == [4, 1, 40]
+    # texts are read for the counts and for the codes; every pass reads codes
+    read = []
+    for name in ("_coded", "_passed"):
+        made = getattr(lm, name)
+        monkeypatch.setattr(lm, name, lambda *a, name=name, made=made: read.append(name) or made(*a))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    lm.fitted(docs)
+    assert read == ["_coded"] + ["_passed"] * lm.PASSES
