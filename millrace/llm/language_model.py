@@ -54,6 +54,28 @@ LIMIT = 30.0
 _U = np.uint64
 
 
+class Lookup:
+    """Places of hashes among sorted keys, as ``np.searchsorted`` has them, but for those behind all keys the last.
+
+    It is known where the keys with the same leading bits begin. Hashes are spread evenly, so few keys
+    share these bits, and a place is a step or two from there.
+    """
+
+    def __init__(self, keys: np.ndarray, spare: int):
+        bits = (spare * len(keys)).bit_length()
+        self.keys, self.shift = keys, _U(64 - bits)
+        self.start = np.searchsorted(keys, np.arange(1 << bits, dtype=_U) << self.shift).astype(np.int32)
+        np.minimum(self.start, len(keys) - 1, out=self.start)
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        place = self.start[hashes >> self.shift]
+        on = np.flatnonzero(self.keys[place] < hashes)
+        while len(on := on[place[on] < len(self.keys) - 1]):
+            place[on] += 1
+            on = on[self.keys[place[on]] < hashes[on]]
+        return place
+
+
 @dataclass
 class Network:
     """Classes of the common words by hash, and the weights."""
@@ -86,7 +108,7 @@ class Network:
         shared = (hashes % _U(SHARED)).astype(np.int64) + (self.classes - SHARED)
         if not len(self.known):
             return shared
-        place = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        place = Lookup(self.known, 16).places(hashes)
         return np.where(self.known[place] == hashes, place, shared)
 
     def weighted(self) -> np.ndarray:
@@ -447,6 +469,7 @@ def _scored_words(network: Network, shared: np.ndarray, sent: np.ndarray, n: np.
     log_shared, log_n = np.log(np.maximum(shared, 1)), np.log(n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = Lookup(sent, 2) if len(sent) else None
         for batch, first, texts in _chunks(batches, 1):
             hashes, of = words_of(texts)
             middle, logs = _log_of_classes(network, hashes, of)
@@ -456,11 +479,8 @@ def _scored_words(network: Network, shared: np.ndarray, sent: np.ndarray, n: np.
             hashes, of = hashes[alike], of[alike]
             within = -log_shared[middle[alike] - (network.classes - SHARED)]
             left = np.ones(len(hashes), bool)
-            if len(sent):
-                # looked up in their order, one place is near the next
-                order = np.argsort(hashes)
-                place = np.empty(len(hashes), np.int64)
-                place[order] = np.minimum(np.searchsorted(sent, hashes[order]), len(sent) - 1)
+            if lookup is not None:
+                place = lookup.places(hashes)
                 left = sent[place] != hashes
                 within += np.where(left, 0.0, log_n[place])
             share = np.bincount(of, weights=within, minlength=len(texts)).astype(np.float64)

@@ -222,3 +222,15 @@ def test_texts_are_coded_once_for_all_passes(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     lm.fitted(docs)
     assert read == ["_coded"] + ["_passed"] * lm.PASSES
+
+
+def test_lookup_is_a_search():
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(0, 1 << 64, 5000, dtype=np.uint64))
+    ends = np.array([0, 1, (1 << 64) - 1], np.uint64)
+    for known in (keys, keys[:1], ends, np.arange(40, dtype=np.uint64)):
+        asked = np.concatenate([known, known + np.uint64(1), keys[::7], ends])
+        expected = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+        for spare in (2, 16):
+            assert lm.Lookup(known, spare).places(asked).tolist() == expected.tolist()
+        assert lm.Lookup(known, 2).places(asked[:0]).tolist() == []
