@@ -8,8 +8,9 @@ by hash. The probability of a word is that of its class times the word's share o
 over all texts: the commonest of the other words are sent to all tasks, the rest meet their counts in a
 join by word.
 
-The classes come from the counts of all words of all texts. Training passes over all texts as well:
-their words are written once as numbers of classes, and these are dealt by hash into parts of about two
+The classes come from the counts of all words of all texts. Then texts are read once more: their words
+are written as numbers of classes, beside what the words' shares add to each text. Training passes over all
+texts by these numbers, and so does the scoring. For training they are dealt by hash into parts of about two
 million words; each part trains a copy of the network on the masked positions of its texts, and the copies
 are averaged by the number of positions, in a shuffle by parameter. So a score does not depend on how the
 table is cut into files.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -119,19 +121,19 @@ class Network:
         """The weights out of the hidden layer, and behind them the prior as that of a layer's constant 1."""
         return np.concatenate([self.out, self.prior[:, None]], axis=1)
 
-    @staticmethod
-    def parts(around: np.ndarray, weighted: np.ndarray) -> Iterator[np.ndarray]:
-        """What each place around adds to the hidden layer of each word."""
-        return (table.take(classes, axis=0) for table, classes in zip(weighted, around, strict=True))
-
-    def hidden(self, parts: Iterator[np.ndarray]) -> np.ndarray:
-        """The hidden layer of each word from what each place around adds, and the constant 1 behind it."""
-        total = next(parts)
-        for part in parts:
-            total += part
+    def hidden(self, around: np.ndarray, weighted: np.ndarray) -> np.ndarray:
+        """The hidden layer of each word from the classes at each place around it."""
+        total = weighted[0].take(around[0], axis=0)
+        for table, classes in zip(weighted[1:], around[1:], strict=True):
+            total += table.take(classes, axis=0)
         total += self.bias
-        layer = np.ones((len(total), total.shape[1] + 1), total.dtype)
-        np.tanh(total, out=layer[:, :-1])
+        return np.tanh(total, out=total)
+
+    @staticmethod
+    def with_one(hidden: np.ndarray) -> np.ndarray:
+        """The layer with the constant 1 behind it."""
+        layer = np.empty((len(hidden), hidden.shape[1] + 1), hidden.dtype)
+        layer[:, :-1], layer[:, -1] = hidden, 1
         return layer
 
     @staticmethod
@@ -146,7 +148,7 @@ class Network:
         self, around: np.ndarray, middle: np.ndarray, weighted: np.ndarray, joint: np.ndarray
     ) -> np.ndarray:
         """Logarithm of the probability of each middle class, given the classes around it."""
-        logits = self.logits(self.hidden(self.parts(around, weighted)), joint)
+        logits = self.logits(self.with_one(self.hidden(around, weighted)), joint)
         chosen = logits[np.arange(len(middle)), middle]
         np.exp(logits, out=logits)
         return chosen - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
@@ -171,17 +173,16 @@ def fresh(known: np.ndarray, counts: np.ndarray, seed: int) -> Network:
     )
 
 
-def windows(middle: np.ndarray, of: np.ndarray, outside: int) -> np.ndarray:
-    """The classes at each place around the words of these classes; beyond the ends of a word's text ``outside``."""
-    n = len(middle)
-    around = np.full((2 * REACH, n), outside, np.int32)
-    for place, step in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
-        here = slice(max(0, -step), n - max(0, step))
-        there = slice(max(0, step), n - max(0, -step))
-        if here.stop <= here.start:
-            continue
-        same = of[here] == of[there]
-        around[place, here] = np.where(same, middle[there], outside)
+def windows(middle: np.ndarray, of: np.ndarray, outside: int, chosen: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """The classes at each place around the chosen words, all by default; beyond the ends of a word's text ``outside``."""
+    # between two texts, before the first and behind the last lie as many places outside as a window reaches
+    place = np.arange(REACH, len(middle) + REACH) + REACH * of
+    padded = np.full((place[-1] if len(place) else 0) + REACH + 1, outside, np.int32)
+    padded[place] = middle
+    place = place[chosen]
+    around = np.empty((2 * REACH, len(place)), np.int32)
+    for row, step in zip(around, [*range(-REACH, 0), *range(1, REACH + 1)], strict=True):
+        row[:] = padded[place + step]
     return around
 
 
@@ -198,7 +199,7 @@ def _chunks(
 ) -> Iterator[tuple[pa.RecordBatch, int, list[bytes]]]:
     """Runs of about ``size`` bytes of each batch's texts, with the number of the first."""
     for batch in batches:
-        texts = [t.as_py().encode("utf-8", "surrogatepass").lower() for t in batch.column(column)]
+        texts = [t.lower() for t in batch.column(column).cast(pa.binary()).to_pylist()]
         first, held = 0, 0
         for i, text in enumerate(texts):
             held += len(text)
@@ -207,11 +208,24 @@ def _chunks(
                 first, held = i + 1, 0
 
 
+def _hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Hashes of the words of texts of about ``CHUNK`` bytes at a time."""
+    waiting, held = [], 0
+    for _, _, texts in _chunks(batches, 0, CODE_CHUNK):
+        waiting.append(words_of(texts)[0])
+        held += sum(map(len, texts))
+        if held >= CHUNK:
+            yield np.concatenate(waiting)
+            waiting, held = [], 0
+    if waiting:
+        yield np.concatenate(waiting)
+
+
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of words; those of several chunks are added up while their words are few enough to be held."""
     held, counts = np.zeros(0, _U), np.zeros(0, np.int64)
-    for _, _, texts in _chunks(batches, 0, CHUNK):
-        found, n = np.unique(words_of(texts)[0], return_counts=True)
+    for words in _hashed(batches):
+        found, n = np.unique(words, return_counts=True)
         both = np.concatenate([held, found])
         order = np.argsort(both, kind="stable")
         both, counts = both[order], np.concatenate([counts, n])[order]
@@ -228,12 +242,62 @@ def _counts_of(words: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
 
 
+@dataclass
+class Shares:
+    """What tells the words of a shared class apart: how many words it has, and of the commonest their counts.
+
+    ``hashes`` and ``n`` are sent to all tasks; ``least`` is the least count among these.
+    """
+
+    shared: np.ndarray
+    hashes: np.ndarray
+    n: np.ndarray
+    least: int
+
+    def of_texts(self, hashes: np.ndarray, alike: np.ndarray, of: np.ndarray, texts: int) -> list[pa.Array]:
+        """Of words of shared classes, the sums per text of the logarithms of their shares, as far as sent, and
+        the text's distinct words whose counts were not sent, with how often each occurs."""
+        within = -np.log(np.maximum(self.shared, 1))[alike]
+        left = np.ones(len(hashes), bool)
+        if len(self.hashes):
+            place = self.lookup.places(hashes)
+            left = self.hashes[place] != hashes
+            within += np.where(left, 0.0, self.log_n[place])
+        share = np.bincount(of, weights=within, minlength=texts).astype(np.float64)
+        hashes, of = hashes[left], of[left]
+        order = np.lexsort([hashes, of])
+        hashes, of = hashes[order], of[order]
+        new = np.ones(len(of), bool)
+        new[1:] = (of[1:] != of[:-1]) | (hashes[1:] != hashes[:-1])
+        at = np.flatnonzero(new)
+        times = np.diff(np.append(at, len(of)))
+        cut = pa.array(np.searchsorted(of[at], np.arange(texts + 1)).astype(np.int32))
+        return [
+            pa.array(share),
+            pa.ListArray.from_arrays(cut, pa.array(hashes[at].view(np.int64))),
+            pa.ListArray.from_arrays(cut, pa.array(times.astype(np.int32))),
+        ]
+
+    @cached_property
+    def lookup(self) -> Lookup:
+        return Lookup(self.hashes, 2)
+
+    @cached_property
+    def log_n(self) -> np.ndarray:
+        return np.log(self.n)
+
+
 @dataclass
 class Words:
-    """How often each word occurs in all texts, as ``word, n``, and all words of each shared class."""
+    """How often each word occurs in all texts, as ``word, n``, and all words of each shared class.
+
+    ``texts`` are the coded texts of ``coded``, once they are made.
+    """
 
     counts: DataFrame
     shared: np.ndarray
+    shares: Shares | None = None
+    texts: DataFrame | None = None
 
     def sent(self, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         """Hashes and counts of the commonest words that are not ``known``, and the least count of these.
@@ -282,29 +346,30 @@ def vocabulary(texts: DataFrame, seed: int) -> tuple[Network, Words]:
 def train_on(network: Network, around: np.ndarray, middle: np.ndarray, squares: list[np.ndarray]) -> None:
     """One step of gradient descent, scaled by the past squares of each weight's gradients."""
     joint = network.joint()
-    layer = network.hidden(network.parts(around, network.weighted()))
+    hidden = network.hidden(around, network.weighted())
     # each row of the error is, but for its scale, the exponentials, less their sum at the class that was there
-    error = network.logits(layer, joint)
+    error = network.logits(network.with_one(hidden), joint)
     np.exp(error, out=error)
     total = error @ np.ones(error.shape[1], error.dtype)
     error[np.arange(len(middle)), middle] -= total
     scale = 1 / (total * len(middle))
-    hidden = layer[:, :-1]
     scaled = hidden * scale[:, None]
-    back = error @ network.out
-    back *= scale[:, None] - scaled * hidden
     out, prior = error.T @ scaled, scale @ error
+    back = error @ network.out
+    hidden *= scaled
+    back *= np.subtract(scale[:, None], hidden, out=hidden)
     inner = network.into.take(around, axis=0)
     near = np.einsum("kbh,bh->kh", inner, back)
     # sums by class of the words around, in the order of the classes
     into = np.zeros_like(network.into)
     classes = around.ravel().astype(np.min_scalar_type(len(into)))
     order = np.argsort(classes, kind="stable")
-    classes = classes[order]
-    first = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]]))
+    count = np.bincount(classes, minlength=len(into))
+    there = np.flatnonzero(count)
+    first = (np.cumsum(count) - count)[there]
     each = np.multiply(back, network.near[:, None], out=inner).reshape(len(order), -1).take(order, axis=0)
     # as complex numbers two columns are summed at a time
-    into[classes[first]] = np.add.reduceat(each.view(np.complex64), first, axis=0).view(into.dtype)
+    into[there] = np.add.reduceat(each.view(np.complex64), first, axis=0).view(into.dtype)
     gradients = [into, near, np.ones(len(back), back.dtype) @ back, out, prior]
     for weight, gradient, square in zip(network.weights(), gradients, squares, strict=True):
         step = gradient * gradient
@@ -325,40 +390,54 @@ def turns(hashes: np.ndarray, of: np.ndarray, seed: int) -> np.ndarray:
     return ((draw >> _U(40)) * _U(PASSES)) >> _U(24)
 
 
-def _coded(network: Network, seed: int):
-    """Texts, the last column, as a number for each word: of its class and of the pass that masks it."""
+def _coded(network: Network, seed: int, shares: Shares | None = None):
+    """Texts, the last column, as a number for each word: of its class and of the pass that masks it.
+
+    With ``shares`` also each text's number of words and what ``Shares.of_texts`` finds.
+    """
     kind = np.min_scalar_type(network.classes * PASSES - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, first, texts in _chunks(batches, -1, CODE_CHUNK):
             hashes, of = words_of(texts)
-            codes = network.class_of(hashes) * PASSES + turns(hashes, of, seed).astype(np.int64)
-            ends = np.cumsum(np.bincount(of, minlength=len(texts))) * kind.itemsize
-            offsets = np.concatenate([[0], ends]).astype(np.int32)
+            middle = network.class_of(hashes)
+            codes = middle * PASSES + turns(hashes, of, seed).astype(np.int64)
+            count = np.bincount(of, minlength=len(texts))
+            offsets = np.concatenate([[0], np.cumsum(count) * kind.itemsize]).astype(np.int32)
             buffers = [None, pa.py_buffer(offsets), pa.py_buffer(codes.astype(kind))]
-            others = [column[first : first + len(texts)] for column in batch.columns[:-1]]
-            yield pa.RecordBatch.from_arrays(
-                [*others, pa.Array.from_buffers(pa.binary(), len(texts), buffers)], names=[*batch.schema.names[:-1], "code"]
-            )
+            columns = [column[first : first + len(texts)] for column in batch.columns[:-1]]
+            columns.append(pa.Array.from_buffers(pa.binary(), len(texts), buffers))
+            names = [*batch.schema.names[:-1], "code"]
+            if shares is not None:
+                alike = np.flatnonzero(middle >= network.classes - SHARED)
+                group = middle[alike] - (network.classes - SHARED)
+                columns += [pa.array(count), *shares.of_texts(hashes[alike], group, of[alike], len(texts))]
+                names += ["n_words", "share", "words", "times"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
+def _runs(codes: pa.Array, network: Network, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Runs of coded texts, of about ``size`` bytes: the codes, which text each is in, and the number of texts."""
+    kind = np.min_scalar_type(network.classes * PASSES - 1)
+    texts, held = [], 0
+    for i, code in enumerate(codes):
+        texts.append(code.as_py())
+        held += len(texts[-1])
+        if held >= size or i + 1 == len(codes):
+            of = np.repeat(np.arange(len(texts)), [len(t) // kind.itemsize for t in texts])
+            yield np.frombuffer(b"".join(texts), kind), of, len(texts)
+            texts, held = [], 0
+
+
 def _codes(
     batches: Iterable[pa.RecordBatch], network: Network, size: int = CODE_CHUNK
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Class and pass of the words of runs of texts, of about ``size`` bytes of codes each, and which text they are in."""
-    kind = np.min_scalar_type(network.classes * PASSES - 1)
     for batch in batches:
-        texts, held = [], 0
-        for i, code in enumerate(batch.column(0)):
-            texts.append(code.as_py())
-            held += len(texts[-1])
-            if held >= size or i + 1 == batch.num_rows:
-                codes = np.frombuffer(b"".join(texts), kind)
-                of = np.repeat(np.arange(len(texts)), [len(t) // kind.itemsize for t in texts])
-                yield codes // PASSES, codes % PASSES, of
-                texts, held = [], 0
+        for codes, of, _ in _runs(batch.column(0), network, size):
+            yield codes // PASSES, codes % PASSES, of
 
 
 def _passed(network: Network, turn: int):
@@ -371,7 +450,7 @@ def _passed(network: Network, turn: int):
         held = seen = 0
         for middle, masked, of in _codes(batches, own):
             chosen = np.flatnonzero(masked == turn)
-            waiting.append((windows(middle, of, own.classes)[:, chosen], middle[chosen]))
+            waiting.append((windows(middle, of, own.classes, chosen), middle[chosen]))
             held += len(chosen)
             if held >= BATCH:
                 x, y = (np.concatenate(c, axis=-1) for c in zip(*waiting, strict=True))
@@ -403,16 +482,29 @@ def _trained(network: Network, turn: int, seed: int):
     return lambda batches: train(code(batches))
 
 
-def dealt(docs: DataFrame, words: int, network: Network, seed: int) -> DataFrame:
+def coded(docs: DataFrame, network: Network, shares: Shares, seed: int) -> DataFrame:
+    """The texts as ``code``, with what the shares of their words add, and a number for each row.
+
+    Ids may be null or repeated, so rows are numbered; stored, the numbers stay as they are. ``key`` is a hash
+    of id and text.
+    """
+    key = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text")).alias("key")
+    schema = (
+        f"key bigint, doc_id {docs.schema['doc_id'].dataType.simpleString()}, code binary, n_words bigint, "
+        "share double, words array<bigint>, times array<int>"
+    )
+    found = docs.select(key, "doc_id", "text").mapInArrow(_coded(network, seed, shares), schema)
+    return materialize(found.withColumn("row", F.monotonically_increasing_id()), "codes")
+
+
+def dealt(texts: DataFrame, words: int) -> DataFrame:
     """The coded texts in parts of about ``PART_WORDS`` words, one task each, in an order of their own.
 
-    Part and order come from a hash of id and text, and the number of parts from the number of words:
-    how the table is stored changes nothing. Texts are read once; what the passes shuffle are codes.
+    Part and order come from the key, and the number of parts from the number of words:
+    how the table is stored changes nothing.
     """
     parts = groups_for(words, PART_WORDS)
-    key = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text")).alias("key")
-    coded = materialize(docs.select(key, "text").mapInArrow(_coded(network, seed), "key bigint, code binary"), "codes")
-    spread = coded.repartitionById(parts, F.pmod("key", F.lit(parts)).cast("int"))
+    spread = texts.select("key", "code").repartitionById(parts, F.pmod("key", F.lit(parts)).cast("int"))
     return spread.sortWithinPartitions("key", "code").select("code")
 
 
@@ -420,11 +512,13 @@ def fitted(docs: DataFrame, seed: int = 17) -> tuple[Network, Words]:
     """The network after all passes over all texts, and their words; without any it stays as it began."""
     rows = documents_of(docs)
     network, words = vocabulary(rows.select("text"), seed)
-    coded = dealt(rows, words.counts.agg(F.sum("n")).first()[0], network, seed)
+    words.shares = Shares(words.shared, *words.sent(network.known))
+    words.texts = coded(rows, network, words.shares, seed)
+    parts_of = dealt(words.texts, words.counts.agg(F.sum("n")).first()[0])
     for turn in range(PASSES):
-        parts = coded.mapInArrow(_passed(network, turn), "weight bigint, total double, seen double")
+        parts = parts_of.mapInArrow(_passed(network, turn), "weight bigint, total double, seen double")
         # as decimals, so that the order in which the parts are added changes nothing
-        total, seen = (F.sum(F.col(c).cast("decimal(38, 12)")).cast("double") for c in ("total", "seen"))
+        total, seen = F.sum(F.col("total").cast("decimal(38, 12)")).cast("double"), F.sum(F.col("seen").cast("bigint"))
         values = parts.groupBy("weight").agg((total / seen).alias("value")).toPandas()
         values = values.sort_values("weight")  # one row per weight of the network
         if len(values):
@@ -437,23 +531,27 @@ def train(docs: DataFrame, seed: int = 17) -> Network:
     return fitted(docs, seed)[0]
 
 
-def _log_of_classes(network: Network, hashes: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The class of each word and the logarithm of its probability."""
-    middle = network.class_of(hashes)
-    around = windows(middle, of, network.classes)
-    logs = np.empty(len(middle))
+def _log_of_classes(network: Network):
+    """From the classes of words, and the texts they are in, the logarithms of the classes' probabilities."""
     weighted, joint = network.weighted(), network.joint()
-    for at in range(0, len(middle), BATCH):
-        span = slice(at, at + BATCH)
-        logs[span] = network.log_probability(around[:, span], middle[span], weighted, joint)
-    return middle, logs
+
+    def run(middle: np.ndarray, of: np.ndarray) -> np.ndarray:
+        around = windows(middle, of, network.classes)
+        logs = np.empty(len(middle))
+        for at in range(0, len(middle), BATCH):
+            span = slice(at, at + BATCH)
+            logs[span] = network.log_probability(around[:, span], middle[span], weighted, joint)
+        return logs
+
+    return run
 
 
 def _scored(network: Network):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        log_of = _log_of_classes(network)
         for batch, first, texts in _chunks(batches, 1):
             hashes, of = words_of(texts)
-            _, logs = _log_of_classes(network, hashes, of)
+            logs = log_of(network.class_of(hashes), of)
             count = np.bincount(of, minlength=len(texts))
             total = np.bincount(of, weights=logs, minlength=len(texts)).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
@@ -464,44 +562,17 @@ def _scored(network: Network):
     return run
 
 
-def _scored_words(network: Network, shared: np.ndarray, sent: np.ndarray, n: np.ndarray):
-    """Sums over each text, and its distinct words whose counts were not sent, with how often each occurs."""
-    log_shared, log_n = np.log(np.maximum(shared, 1)), np.log(n)
+def _scored_codes(network: Network):
+    """Coded texts, the last column, as the sum over each text of the logarithms of its classes' probabilities."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(sent, 2) if len(sent) else None
-        for batch, first, texts in _chunks(batches, 1):
-            hashes, of = words_of(texts)
-            middle, logs = _log_of_classes(network, hashes, of)
-            count = np.bincount(of, minlength=len(texts))
-            own = np.bincount(of, weights=logs, minlength=len(texts)).astype(np.float64)
-            alike = np.flatnonzero(middle >= network.classes - SHARED)
-            hashes, of = hashes[alike], of[alike]
-            within = -log_shared[middle[alike] - (network.classes - SHARED)]
-            left = np.ones(len(hashes), bool)
-            if lookup is not None:
-                place = lookup.places(hashes)
-                left = sent[place] != hashes
-                within += np.where(left, 0.0, log_n[place])
-            share = np.bincount(of, weights=within, minlength=len(texts)).astype(np.float64)
-            hashes, of = hashes[left], of[left]
-            order = np.lexsort([hashes, of])
-            hashes, of = hashes[order], of[order]
-            new = np.ones(len(of), bool)
-            new[1:] = (of[1:] != of[:-1]) | (hashes[1:] != hashes[:-1])
-            at = np.flatnonzero(new)
-            times = np.diff(np.append(at, len(of)))
-            cut = pa.array(np.searchsorted(of[at], np.arange(len(texts) + 1)).astype(np.int32))
+        log_of = _log_of_classes(network)
+        for batch in batches:
+            sums = [np.zeros(0)]
+            for codes, of, texts in _runs(batch.columns[-1], network, CODE_CHUNK):
+                sums.append(np.bincount(of, weights=log_of(codes // PASSES, of), minlength=texts))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0)[first : first + len(texts)],
-                    pa.array(count.astype(np.int64)),
-                    pa.array(own),
-                    pa.array(share),
-                    pa.ListArray.from_arrays(cut, pa.array(hashes[at].view(np.int64))),
-                    pa.ListArray.from_arrays(cut, pa.array(times.astype(np.int32))),
-                ],
-                names=["doc_id", "n_words", "classes", "share", "words", "times"],
+                [*batch.columns[:-1], pa.array(np.concatenate(sums))], names=[*batch.schema.names[:-1], "classes"]
             )
 
     return run
@@ -534,22 +605,15 @@ def score_words(docs: DataFrame, seed: int = 17) -> DataFrame:
     whose counts were not sent meet them in a join, one row per text and word.
     """
     network, words = fitted(docs, seed)
-    texts = documents_of(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sent, n, least = words.sent(network.known)
-    run = _scored_words(network, words.shared, sent, n)
-    schema = (
-        "doc_id bigint, n_words bigint, classes double, share double, words array<bigint>, times array<int>"
-    )
-    # ids may be null or repeated, so rows are numbered; stored, the numbers stay as they are
-    stored = materialize(
-        texts.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored"
-    )
-    single = stored.select("row", F.inline(F.arrays_zip("words", "times")).alias("word", "times"))
+    codes = words.texts.select("row", F.col("doc_id").cast("bigint").alias("doc_id"), "n_words", "share", "code")
+    schema = "row bigint, doc_id bigint, n_words bigint, share double, classes double"
+    stored = materialize(codes.mapInArrow(_scored_codes(network), schema), "scored")
+    single = words.texts.select("row", F.inline(F.arrays_zip("words", "times")).alias("word", "times"))
     # a word that occurs once has the logarithm 0
-    counted = words.counts.filter((F.col("n") < least) & (F.col("n") > 1))
+    counted = words.counts.filter((F.col("n") < words.shares.least) & (F.col("n") > 1))
     more = single.join(counted, "word").groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("more"))
     total = F.col("classes") + F.col("share") + F.coalesce("more", F.lit(0.0))
-    summed = stored.drop("words", "times").join(more, "row", "left").select(
+    summed = stored.join(more, "row", "left").select(
         "doc_id", "n_words", total.alias("log_likelihood"), F.col("classes").alias("class_log_likelihood")
     )
     return summed.select("doc_id", "n_words", "log_likelihood", *_means(), "class_log_likelihood")

@@ -234,3 +234,55 @@ def test_lookup_is_a_search():
         for spare in (2, 16):
             assert lm.Lookup(known, spare).places(asked).tolist() == expected.tolist()
         assert lm.Lookup(known, 2).places(asked[:0]).tolist() == []
+
+
+def test_texts_are_read_for_counts_and_codes_only(spark):
+    # the scoring once read every text a third time; now it reads codes
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(row):
+        read.add(1)
+        return row
+
+    rows = [(i % 50, f"w{i % 7} x{i} y{i % 3}") for i in range(80)] + [(None, None), (None, "w1 w1")]
+    made = spark.sparkContext.parallelize(rows, 2).map(seen)
+    found = op4_rows(spark.createDataFrame(made, "doc_id bigint, text string"))
+    assert read.value == 2 * len(rows)
+    plainly = op4_rows(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert found == plainly and len(found) == len(rows)
+
+
+def op4_rows(docs):
+    found = lm.score_words(docs).select("doc_id", "n_words", "log_likelihood", "class_log_likelihood").collect()
+    return sorted([tuple(r) for r in found], key=str)
+
+
+def test_coded_texts_score_as_texts_do(monkeypatch):
+    import pyarrow as pa
+
+    texts = ["one two three one", "", "four", "two " * 40, " \n", ""]
+    hashes, _ = lm.words_of([t.encode() for t in texts])
+    network = lm.fresh(np.unique(hashes)[:2], np.ones(2 + lm.SHARED), 1)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], names=["doc_id", "text"])
+    plainly = next(lm._scored(network)([batch])).column(2).to_pylist()
+    code = pa.Table.from_batches(lm._coded(network, 17)([batch])).combine_chunks().to_batches()[0]
+    for size in (lm.CODE_CHUNK, 8):
+        monkeypatch.setattr(lm, "CODE_CHUNK", size)
+        whole, none = lm._scored_codes(network)([code, code.slice(0, 0)])
+        assert whole.column(0).to_pylist() == list(range(6)) and none.num_rows == 0
+        assert whole.column(1).to_pylist() == pytest.approx(plainly, rel=1e-6)
+
+
+def test_windows_of_chosen_words():
+    rng = np.random.default_rng(3)
+    # texts of 0 to 9 words, also none at all
+    of = np.repeat(np.arange(40), rng.integers(0, 10, 40))
+    for length in (len(of), 1, 0):
+        middle, texts = rng.integers(0, 9, length), of[:length]
+        expected = [
+            [middle[i + step] if 0 <= i + step < length and texts[i + step] == texts[i] else 9 for i in range(length)]
+            for step in (-3, -2, -1, 1, 2, 3)
+        ]
+        assert lm.windows(middle, texts, 9).tolist() == expected
+        chosen = np.flatnonzero(rng.random(length) < 0.5)
+        assert lm.windows(middle, texts, 9, chosen).tolist() == [[row[i] for i in chosen] for row in expected]
